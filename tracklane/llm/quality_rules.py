@@ -59,23 +59,21 @@ def base_stats(text: Column) -> Column:
     def of(t: Column) -> Column:
         words = F.filter(F.split(t, common.GAP), lambda w: w != "")
         lines = F.filter(F.split(t, "\n"), lambda x: x.rlike(common.WORD))
-        gone = lambda chars: F.length(t) - F.length(F.translate(t, chars, ""))
+        gone = lambda chars: (F.length(t) - F.length(F.regexp_replace(t, f"[{chars}]+", ""))).cast("bigint")
         return F.struct(
-            let(words, lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), _repeat_words(w).cast("bigint").alias("n_repeat_words"))).alias("w"),
-            gone(" \t\n\x0b\f\r").cast("bigint").alias("n_gaps"),
-            F.length(t).cast("bigint").alias("n_code_points"),
-            gone("#*$%&|<>").cast("bigint").alias("n_symbols"),
+            let(words, lambda w: F.struct(F.size(w).cast("bigint").alias("n_words"), F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"), _repeat_words(w).cast("bigint").alias("n_repeat_words"))).alias("w"),
+            gone("#*$%&|<>").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-            gone("ABCDEFGHIJKLMNOPQRSTUVWXYZ").cast("bigint").alias("n_upper"),
-            gone("!?").cast("bigint").alias("n_bangs"),
-            gone("0123456789").cast("bigint").alias("n_digits"),
+            gone("A-Z").alias("n_upper"),
+            gone("!?").alias("n_bangs"),
+            gone("0-9").alias("n_digits"),
         )
 
     s = let(F.coalesce(text, F.lit("")), of)
     return let(
         s,
         lambda s: F.struct(
-            s["w"]["n_words"].alias("n_words"), (s["n_code_points"] - s["n_gaps"]).alias("word_chars"), s["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
+            s["w"]["n_words"].alias("n_words"), s["w"]["word_chars"].alias("word_chars"), s["n_symbols"].alias("n_symbols"), s["n_dup_lines"].alias("n_dup_lines"),
             s["w"]["n_repeat_words"].alias("n_repeat_words"), s["n_upper"].alias("n_upper"), s["n_bangs"].alias("n_bangs"), s["n_digits"].alias("n_digits"),
         ),
     )

@@ -1,9 +1,11 @@
 """The subpackage's queries and their DuckDB counterparts."""
 
-from tracklane.llm import quality_rules, token_counts, url_filter
+from tracklane.llm import packing, quality_rules, simhash_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
+    "op2_simhash_dedup": simhash_dedup.op2_simhash_dedup,
+    "op3_best_fit_packing": packing.op3_best_fit_packing,
     "op5_token_counts": token_counts.op5_token_counts,
     "op8_url_filter": url_filter.op8_url_filter,
 }
