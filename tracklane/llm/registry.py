@@ -1,12 +1,14 @@
 """The subpackage's queries and their DuckDB counterparts."""
 
-from tracklane.llm import packing, quality_rules, simhash_dedup, token_counts, url_filter
+from tracklane.llm import decontaminate, packing, quality_rules, secret_scan, simhash_dedup, token_counts, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
     "op2_simhash_dedup": simhash_dedup.op2_simhash_dedup,
     "op3_best_fit_packing": packing.op3_best_fit_packing,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_counts": token_counts.op5_token_counts,
     "op8_url_filter": url_filter.op8_url_filter,
+    "op9_secret_scan": secret_scan.op9_secret_scan,
 }
 ORACLES = {"op8_url_filter": url_filter.ORACLE_SQL}
