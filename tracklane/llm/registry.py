@@ -1,6 +1,6 @@
 """The subpackage's queries and their DuckDB counterparts."""
 
-from tracklane.llm import decontaminate, packing, pii_surrogates, quality_rules, secret_scan, simhash_dedup, token_counts, tool_calls, url_filter
+from tracklane.llm import decontaminate, katz_lm, packing, pii_surrogates, quality_rules, secret_scan, simhash_dedup, token_counts, tool_calls, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -9,6 +9,7 @@ QUERIES = {
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_pii_surrogates": pii_surrogates.op6_pii_surrogates,
+    "op7_katz_lm": katz_lm.op7_katz_lm,
     "op8_url_filter": url_filter.op8_url_filter,
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_tool_calls": tool_calls.op10_tool_calls,
