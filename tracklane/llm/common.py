@@ -96,3 +96,8 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Sum of `values` in each range at[i]:at[i+1]; 0 for an empty range."""
     total = np.concatenate([[0], np.cumsum(values)])
     return total[at[1:]] - total[at[:-1]]
+
+
+def row_key(id_: Column, text: Column) -> Column:
+    """What rows of equal id and text share: decisions are joined back by it (null and empty differ)."""
+    return F.md5(F.concat(F.coalesce(id_.cast("string"), F.lit("\0")), F.lit("\x1f"), F.coalesce(text, F.lit("\0"))))

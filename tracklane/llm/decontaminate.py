@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane.llm import common
@@ -132,7 +132,7 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
 
 
 def _parts(docs: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
-    """(uid, id, key, toks, seeds) of every document (id, t): the words inside seeds that pass the bitmap, 0 between runs."""
+    """(uid, id, toks, seeds) of every document (id, t): the words inside seeds that pass the bitmap, 0 between runs."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,27 +160,22 @@ def _parts(docs: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
                     toks.append(np.insert(h[mine].view(np.int64), breaks, 0))
                     seeds.append(np.unique(s[a:b]).view(np.int64))
                 kind = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(toks, kind), pa.array(seeds, kind)], names=["id", "key", "toks", "seeds"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(toks, kind), pa.array(seeds, kind)], names=["id", "toks", "seeds"])
 
-    schema = f"id {docs.schema['id'].dataType.simpleString()}, key bigint, toks array<bigint>, seeds array<bigint>"
+    schema = f"id {docs.schema['id'].dataType.simpleString()}, toks array<bigint>, seeds array<bigint>"
     return common.cut(docs.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()))
 
 
-def text_key(text: Column) -> Column:
-    """With the id, what tells one content from another when a decision is joined back to its rows."""
-    return F.xxhash64(F.coalesce(text, F.lit("\0")), F.length(text))
-
-
 def contamination(
     docs: DataFrame, benchmark: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
 ) -> DataFrame:
-    """(id, text_key, item, n_tiles, n_covered, n_item_words, coverage, contaminated) for each document.
+    """(id, item, n_tiles, n_covered, n_item_words, coverage, contaminated) for each document.
 
     item is the one covered most; null, with zeros, where no seed is shared.
     """
     items = _tokens(benchmark.select(benchmark[item_col].alias("id"), benchmark[item_text_col].alias("t")), least)
     seeds = items.select(F.col("uid").alias("item"), F.explode("seeds").alias("seed")).distinct()
-    own = docs.select(docs[id_col].alias("id"), docs[text_col].alias("t"), text_key(docs[text_col]).alias("key"))
+    own = docs.select(docs[id_col].alias("id"), docs[text_col].alias("t"))
     parts = _parts(own, _bitmap(seeds), least)
     some = parts.filter(F.col("seeds").isNotNull())
     # A passage that a third of the documents hold is a frequent key on the left only; the right has each item's seeds once.
@@ -203,11 +198,11 @@ def contamination(
     tiled = tiled.withColumn("coverage", F.col("n_covered") / F.col("n_item_words"))
     best = tiled.groupBy("uid").agg(F.min_by(F.struct("item_id", "n_tiles", "n_covered", "n_item_words", "coverage"), F.struct(-F.col("coverage"), F.col("item_id"))).alias("b"))
     zero = lambda k: F.coalesce(F.col("b")[k], F.lit(0).cast("bigint")).alias(k)
-    return parts.select("uid", "id", "key").join(best, "uid", "left").select(
-        F.col("id").alias(id_col), F.col("key").alias("text_key"), F.col("b.item_id").alias(item_col), zero("n_tiles"), zero("n_covered"), zero("n_item_words"),
+    return parts.select("uid", "id").join(best, "uid", "left").select(
+        F.col("id").alias(id_col), F.col("b.item_id").alias(item_col), zero("n_tiles"), zero("n_covered"), zero("n_item_words"),
         F.coalesce(F.col("b.coverage"), F.lit(0.0)).alias("coverage"), F.coalesce(F.col("b.coverage") >= threshold, F.lit(False)).alias("contaminated"),
     )
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(common.table(spark, sf_dir, "documents", "doc_id", "text"), common.table(spark, sf_dir, "benchmark", "item_id", "text")).drop("text_key")
+    return contamination(common.table(spark, sf_dir, "documents", "doc_id", "text"), common.table(spark, sf_dir, "benchmark", "item_id", "text"))

@@ -156,30 +156,29 @@ def attempts(found: DataFrame, key: str) -> DataFrame:
     raise RuntimeError(f"entities still collide after {MAX_ATTEMPTS} draws: too many for their format")
 
 
-def replace(df: DataFrame, key: str = KEY, text_col: str = "text", into: str = "_pii") -> DataFrame:
-    """`df` with a struct `into`: the rewritten text and the number of entities of each type in the original."""
-    text = df[text_col]
-    pairs = F.array_distinct(F.flatten(F.transform(matches(text), parts)))
-    found = common.cut(df.select(F.explode(pairs).alias("x")).select("x.type", "x.canon").distinct())
+def replace(df: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
+    """(doc, pii): each row of `df` as a struct, and the rewritten text with the number of entities of each type."""
+    rows = df.select(F.struct(*df.columns).alias("doc"), matches(df[text_col]).alias("m"))
+    pairs = lambda m: F.array_distinct(F.flatten(F.transform(m, parts)))
+    found = common.cut(df.select(matches(df[text_col]).alias("m")).select(F.explode(pairs(F.col("m"))).alias("x")).select("x.type", "x.canon").distinct())
     odd = common.cut(attempts(found, key))
-    own = df.withColumn("_m", matches(text))
-    signature = lambda m: F.sha2(F.array_join(m, "\x1f"), 256)
     if odd.isEmpty():
-        own = own.withColumn("_odd", F.create_map().cast("map<string,int>"))
+        rows = rows.withColumn("odd", F.create_map().cast("map<string,int>"))
     else:
         # By the list of its entities, each document that holds an odd one finds their attempts.
-        lists = df.select(matches(text).alias("m")).filter(F.size("m") > 0).distinct().select(signature(F.col("m")).alias("_sig"), F.explode(F.array_distinct(F.flatten(F.transform("m", parts)))).alias("x"))
-        held = lists.join(odd, (F.col("x.type") == odd["type"]) & (F.col("x.canon") == odd["canon"]))
-        by = held.groupBy("_sig").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "x.type", "x.canon"), "attempt"))).alias("_odd"))
-        own = own.withColumn("_sig", F.when(F.size("_m") > 0, signature(F.col("_m")))).join(common.cut(by), "_sig", "left").drop("_sig")
-    cores = lambda m: F.transform(parts(m), lambda p: core(p["type"], p["canon"], F.coalesce(F.try_element_at(F.col("_odd"), F.concat_ws("\x1f", p["type"], p["canon"])), F.lit(0)), key))
+        signature = F.when(F.size("m") > 0, F.sha2(F.array_join("m", "\x1f"), 256)).alias("sig")
+        lists = df.select(matches(df[text_col]).alias("m")).filter(F.size("m") > 0).distinct().select(signature, F.explode(pairs(F.col("m"))).alias("x")).select("sig", "x.type", "x.canon")
+        held = lists.join(odd, ["type", "canon"]).groupBy("sig").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "type", "canon"), "attempt"))).alias("odd"))
+        rows = rows.withColumn("sig", signature).join(common.cut(held), "sig", "left").drop("sig")
+    own_core = lambda p: core(p["type"], p["canon"], F.coalesce(F.try_element_at(F.col("odd"), F.concat_ws("\x1f", p["type"], p["canon"])), F.lit(0)), key)
+    text = F.col("doc")[text_col]
     fresh = let(
         F.split(text, ENTITY, -1),
-        lambda kept: F.array_join(F.transform(kept, lambda s, i: F.concat(s, F.coalesce(let(F.get(F.col("_m"), i), lambda m: render(m, cores(m))), F.lit("")))), ""),
+        lambda kept: F.array_join(F.transform(kept, lambda s, i: F.concat(s, F.coalesce(let(F.get(F.col("m"), i), lambda m: render(m, F.transform(parts(m), own_core))), F.lit("")))), ""),
     )
-    count = lambda k: F.size(F.filter(F.col("_m"), lambda m: kind_of(m) == k)).cast("bigint").alias(f"n_{k}")
-    return own.withColumn(into, F.struct(F.when(F.size("_m") > 0, fresh).otherwise(text).alias("text"), *map(count, TYPES))).drop("_m", "_odd")
+    count = lambda k: F.size(F.filter(F.col("m"), lambda m: kind_of(m) == k)).cast("bigint").alias(f"n_{k}")
+    return rows.select("doc", F.struct(F.when(F.size("m") > 0, fresh).otherwise(text).alias("text"), *map(count, TYPES)).alias("pii"))
 
 
 def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replace(common.table(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "_pii.*")
+    return replace(common.table(spark, sf_dir, "documents", "doc_id", "text")).select("doc.doc_id", "pii.*")

@@ -207,18 +207,15 @@ def _prune(rows: DataFrame, rule: list, binned) -> tuple[list, int, int]:
     return max(scored, key=lambda x: x[:2])[2:]
 
 
-def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text", into: str = "_quality") -> DataFrame:
-    """`docs` with a struct `into`: the statistics, base_failed, kept, and the rule that rejects."""
-    s = F.col("_s")
-    return (
-        docs.withColumn("_s", base_stats(docs[text_col])).withColumn("_r", rules.rule(s))
-        .withColumn(into, F.struct("_s.*", base_failed(s).alias("base_failed"), (~base_failed(s) & F.col("_r").isNull()).alias("kept"), F.col("_r").alias("rule")))
-        .drop("_s", "_r")
-    )
+def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataFrame:
+    """(doc, quality): each row of `docs` as a struct, and the statistics, base_failed, kept, and the rule that rejects it."""
+    s = F.col("s")
+    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("s", base_stats(F.col("doc")[text_col])).withColumn("rule", rules.rule(s))
+    return rows.select("doc", F.struct("s.*", base_failed(s).alias("base_failed"), (~base_failed(s) & F.col("rule").isNull()).alias("kept"), "rule").alias("quality"))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents", "doc_id", "text")
     rules = learn(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality"))
-    q = F.col("_quality")
-    return judge(docs, rules).select("doc_id", *[q[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")])
+    q = F.col("quality")
+    return judge(docs, rules).select("doc.doc_id", *[q[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")])
