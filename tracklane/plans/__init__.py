@@ -1,6 +1,6 @@
 """Registered queries over the test tables, each with its SQL counterpart."""
 
-from collections.abc import Callable
+from tracklane.plans import cells, names, sets
 
-QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = cells.QUERIES | names.QUERIES | sets.QUERIES
+ORACLES = cells.ORACLES | names.ORACLES | sets.ORACLES
