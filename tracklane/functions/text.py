@@ -34,7 +34,6 @@ def canonical_header(c: Column) -> Column:
     return F.lower(strip(c))
 
 
-@pandas_udf("string")
 def _folded(s: pd.Series) -> pd.Series:
     """Compatibility forms without accents and format marks. There is no built-in Unicode normalisation."""
 
@@ -49,7 +48,7 @@ def _folded(s: pd.Series) -> pd.Series:
 
 def fold(c: Column) -> Column:
     """The form in which cells are compared: folded, white space collapsed and stripped; null is empty."""
-    return strip(collapse(_folded(strip(c))))
+    return strip(collapse(pandas_udf(_folded, "string")(strip(c))))
 
 
 def title_key(c: Column) -> Column:
