@@ -141,7 +141,10 @@ class PagedReader(DataSourceReader):
 
 
 def paged_source(format_name: str, ddl: str, fetch: Callable[[int, int, dict], Sequence[tuple]]) -> type[DataSource]:
-    """A data source class for spark.dataSource.register that reads a service page by page."""
+    """A data source class for spark.dataSource.register that reads a service page by page.
+
+    It takes over filters, so the session needs spark.sql.python.filterPushdown.enabled=true.
+    """
 
     class Paged(DataSource):
         @classmethod
