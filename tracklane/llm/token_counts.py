@@ -11,14 +11,13 @@ from __future__ import annotations
 
 import heapq
 import json
-import unicodedata
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from tracklane.llm import common
@@ -27,27 +26,23 @@ from tracklane.llm import common
 CACHE_WORDS = 400_000
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that byte-level vocabularies write for each byte."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = iter(range(256, 512))
-    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
-
-
 class MergeCounter:
-    """Counts the tokens of a text for a word-level byte-pair vocabulary file with an end-of-word mark."""
+    """Counts the tokens of a text for a word-level byte-pair vocabulary file with an end-of-word mark.
+
+    The library's own normaliser and splitter make the pre-tokens, so that both agree on every character's class.
+    """
 
     def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_file(path)
+        self.normal, self.split = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.end = spec["model"]["end_of_word_suffix"] or ""
         self.rank = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(spec["model"]["merges"])}
-        self.vocab = spec["model"]["vocab"].keys()
-        self.symbol = byte_symbols()
-        split = next(x for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"])
-        self.added = [x["content"] for x in spec["added_tokens"]]
-        self.is_added = regex.compile("|".join(map(regex.escape, self.added))) if self.added else None
+        added = [re.escape(x["content"]) for x in spec["added_tokens"]]
+        self.is_added = re.compile("|".join(added)) if added else None
         self.counts: dict[str, int] = {}
 
     def merged(self, symbols: list[str]) -> int:
@@ -75,11 +70,9 @@ class MergeCounter:
         return n
 
     def plain(self, text: str) -> int:
-        text = unicodedata.normalize("NFC", text)
-        text = "".join(map(str.lower, text)) if not text.isascii() else text.lower()
         total = 0
-        for piece in self.pieces.findall(text):
-            symbols = [self.symbol[b] for b in piece.encode()]
+        for piece, _ in self.split(self.normal(text)):
+            symbols = list(piece)
             symbols[-1] += self.end
             total += self.merged(symbols)
         return total
