@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracklane.llm import common, decontaminate, packing, pii_surrogates, quality_rules, simhash_dedup
+from tracklane.llm import common, decontaminate, jaccard, packing, pii_surrogates, quality_rules
 
 KEY = "_row_key_of_stage"
 
@@ -24,10 +24,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group that SimHash links."""
+    """The document of the least id of each group that SimHash (radius 2) or a 5-word-shingle Jaccard of 0.8 links."""
     key = common.row_key(F.col("doc_id"), F.col("text"))
     rows = docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key.alias("key")).alias("row"), "text")
-    kept = simhash_dedup.near_duplicates(rows, id_col="row").filter("row = component_id").select(F.col("row.key").alias(KEY)).distinct()
+    kept = jaccard.near_duplicates(rows, id_col="row").filter("row = component_id").select(F.col("row.key").alias(KEY)).distinct()
     return docs.withColumn(KEY, key).join(kept, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
 
 
