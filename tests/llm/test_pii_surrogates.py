@@ -57,3 +57,32 @@ def test_odd_and_empty_tables(spark):
     assert got.count() == 7
     assert got.filter("doc.text is null and pii.text is not null or doc.text is not null and pii.text is null").count() == 0
     assert pii.replace(no_docs(spark), "k").count() == 0
+
+
+FOUND = {
+    "phone": [
+        "+15551234567", "(555)123-4567", "(555) 1234567", "+1(555)123-4567", "1 (555) 123-4567", "555 123 4567", "555 123-4567", "1-555-123-4567", "1 555 123 4567",
+        "555-123-4567", "+44 20 79460958", "+1 5551234567", "+1 (017) 555-7713", "+44 20 7946 0958",
+    ],
+    "card": ["3782 822463 10005", "3782-822463-10005", "4111 1111 1111 1111"],
+    "name": ["Dr. Smith", "Prof. Anna Smith", "Professor Smith", "Herr Dr. Smith", "Доктор Иванов"],
+}
+MISSED = [
+    "5551234567", "555-1234", "0044 20 7946 0958", "020 7946 0958", "055 123 4567", "2001:db8::1", "41111 11111 111111", "123 45 6789", "John Smith", "Mr. SMITH", "mr. smith", "Dr. J. Smith", "Prof.Smith",
+    "1.555-123-45678", "7-555-123-4567-8", "555-123-4567-89", "4.555.123.4567", "+1.2345678",
+]
+
+
+def test_forms_found_and_not_found(spark):
+    ways = ("Reach {}", "Reach {}.", "Reach {}- now", "({}), then", "tel.{} or so")
+    rows = [(k, x, w.format(x)) for k, all_ in FOUND.items() for x in all_ for w in ways[: 4 if k == "name" else 5]]
+    got = pii.replace(spark.createDataFrame(rows, "kind string, x string, text string"), "k").select("doc.*", F.col("pii").alias("p")).collect()
+    bad = [r.text for r in got if r.p[f"n_{r.kind}"] != 1 or sum(r.p[f"n_{t}"] for t in pii.TYPES) != 1 or r.x in r.p.text or r.text[: r.text.index(r.x)] != r.p.text[: r.text.index(r.x)]]
+    assert bad == []
+    got = pii.replace(spark.createDataFrame([(f"Reach {x} now",) for x in MISSED], "text string"), "k").select("doc.text", "pii").collect()
+    assert [(r.text, r.pii.text) for r in got if r.text != r.pii.text] == []
+
+
+def test_given_name_of_a_neutral_title(spark):
+    got = pii.replace(spark.createDataFrame([("Herr Dr. Hans Meyer met Dr. Hans Meyer and Herr Hans Meyer.",)], "text string"), "k").first().pii.text.rstrip(".").split()
+    assert got[:2] == ["Herr", "Dr."] and got[2] == got[10] != got[6] and got[3] == got[7] == got[11]

@@ -9,6 +9,12 @@ documents that hold such an entity; all other text is rewritten where it is read
 Null texts stay null with zero counts; texts without entities come back as they are. Repeated rows are rewritten alike.
 An empty table gives no rows. Surrogates keep what is no letter or digit; e-mail domains become subdomains of
 example.com; card numbers that satisfy the Luhn check still do.
+
+Phone numbers are found with an area code in brackets, with a plus (spaced or E.164), or as ten digits 3-3-4 with or
+without 1 in front. Not found: phone numbers without any sign or gap (5551234567), without an area code (555-1234), with
+00 for the plus (0044 20 7946 0958) or in national groups without brackets (020 7946 0958), and spaced 3-3-4 ones that
+begin with 0 or 1; IPv6 addresses; cards in other groups than 4-4-4-4 and 4-6-5; SSNs in spaces; names without a title of
+the lists below and a space after it, in capitals or small letters only, or beginning with an initial (Dr. J. Smith).
 """
 
 from __future__ import annotations
@@ -21,19 +27,25 @@ from tracklane.llm.common import let
 
 KEY = "tracklane"
 MAX_ATTEMPTS = 40
-_GAP = r"[^\p{L}\p{N}\n]{1,6}"
+_GAP = r"[^\p{L}\p{N}\n]{0,6}"
 MALE, FEMALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Г-н", "Κύριος"), ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Г-жа", "Κυρία")
-_TITLES = "|".join(sorted((*MALE, *FEMALE), key=len, reverse=True))
+FEMALE = (*FEMALE, "Dra", "Profesora")
+#: Titles that tell no gender.
+NEUTRAL = ("Dr", "Prof", "Professor", "Doctor", "Docteur", "Doktor", "Profesor", "Mx", "Д-р", "Доктор", "Профессор", "Δρ", "Καθηγητής")
+_TITLES = "|".join(sorted((*MALE, *FEMALE, *NEUTRAL), key=len, reverse=True))
+_TITLE = rf"(?:(?:{_TITLES})\.? )++"
 _NAME = r"\p{Lu}[\p{Ll}\p{M}]+(?:[-'’]\p{Lu}[\p{Ll}\p{M}]+)?"
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 IP = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\d|\.\d)"
 PHONE = (
-    rf"(?<![\p{{L}}\p{{N}}])(?:\+\d{{1,3}}{_GAP})?\(\d{{2,4}}\){_GAP}\d{{3,4}}[ .-]\d{{3,4}}(?!\d)"
-    r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)|(?<![\p{L}\p{N}.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])"
+    rf"(?<![\p{{L}}\p{{N}}])(?:(?:\+\d{{1,3}}|1){_GAP})?\(\d{{2,4}}\){_GAP}(?:\d{{3,4}}[ .-]\d{{3,4}}|\d{{7}})(?!\d)"
+    r"|(?<![\p{L}\p{N}+])\+\d{1,3}(?:[ .-]\d{2,4}){2,4}(?!\d)"
+    r"|(?<![\p{L}\p{N}+])\+(?:[1-9]\d{7,14}|\d{1,3}(?:[ -]\d{1,5})?[ -]\d{6,11})(?![\p{L}\p{N}])"
+    r"|(?<![\p{L}\p{N}])(?<!\d[.-])(?:1[ .-])?(?:\d{3}[.-]\d{3}[.-]|[2-9]\d{2}[ .-]\d{3}[ .-])\d{4}(?!\d|[.-]\d)"
 )
-CARD = r"(?<![\p{L}\p{N}])(?:\d{4}[ -]){3}\d{4}(?!\d)|(?<![\p{L}\p{N}])\d{13,19}(?![\p{L}\p{N}])"
+CARD = r"(?<![\p{L}\p{N}])(?:(?:\d{4}[ -]){3}\d{4}|3[47]\d{2}[ -]\d{6}[ -]\d{5})(?!\d)|(?<![\p{L}\p{N}])\d{13,19}(?![\p{L}\p{N}])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{_TITLES})\.? {_NAME}(?: {_NAME})?"
+NAME = rf"(?<![\p{{L}}\p{{N}}]){_TITLE}{_NAME}(?: {_NAME})?"
 ENTITY = "|".join((EMAIL, IP, PHONE, CARD, SSN, NAME))
 #: A text without any of these characters or titles holds no entity.
 HINT = rf"\d|@|(?:{_TITLES})\.? "
@@ -59,8 +71,9 @@ def parts(m: Column) -> Column:
 
     def of(kind: Column) -> Column:
         one = lambda t, c: F.struct(t.alias("type"), c.alias("canon"))
-        words = F.split(F.regexp_replace(m, rf"^(?:{_TITLES})\.? ", ""), " ")
-        gender = F.when(m.rlike(rf"^(?:{'|'.join(MALE)})\b"), "given_m").otherwise("given_f")
+        words = F.split(F.regexp_replace(m, rf"^{_TITLE}", ""), " ")
+        told = lambda titles: F.regexp_extract(m, rf"^{_TITLE}", 0).rlike(rf"(?:^| )(?:{'|'.join(titles)})\.? ")
+        gender = F.when(told(MALE), "given_m").when(told(FEMALE), "given_f").otherwise("given")
         names = F.transform(words, lambda w, i: one(F.when(i == F.size(words) - 1, "surname").otherwise(gender), F.lower(w)))
         return (
             F.when(kind == "name", names).when(kind.isin("email", "ip"), F.array(one(kind, F.lower(m))))
@@ -127,7 +140,7 @@ def render(m: Column, cores: Column) -> Column:
         lambda a, c: F.when(c.rlike("[0-9]"), F.struct(F.concat(a["out"], F.substring(first, a["k"], F.lit(1))).alias("out"), (a["k"] + 1).alias("k"))).otherwise(F.struct(F.concat(a["out"], c).alias("out"), a["k"].alias("k"))),
         lambda a: a["out"],
     )
-    title = F.regexp_extract(m, rf"^(?:{_TITLES})\.? ", 0)
+    title = F.regexp_extract(m, rf"^{_TITLE}", 0)
     names = F.array_join(F.transform(cores, lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substring(c, 2, 1000))), " ")
     shaped = F.when(m.contains("@") & (F.upper(m) == m), F.upper(first)).otherwise(first)
     return let(kind_of(m), lambda k: F.when(k == "name", F.concat(title, names)).when(k.isin("email", "ip"), shaped).otherwise(digits))
