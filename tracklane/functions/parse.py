@@ -47,10 +47,11 @@ def length_seconds(c: Column) -> Column:
 
 
 def length_seconds_long(c: Column) -> Column:
-    """As length_seconds, and "h:mm:ss" whose parts are not checked."""
+    """As length_seconds, and "h:mm:ss" whose parts are not checked; a native time "Thh:mm:ss" means hh minutes and mm seconds."""
+    native = r"^T([0-9]{2}):([0-9]{2}):[0-9]{2}$"
     form = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{2})$"
     h, m, s = (_part(strip(c), form, k) for k in (1, 2, 3))
-    return F.coalesce(h * 3600 + m * 60 + s, length_seconds(c))
+    return F.coalesce(_part(strip(c), native, 1) * 60 + _part(strip(c), native, 2), h * 3600 + m * 60 + s, length_seconds(c))
 
 
 def length_key(c: Column) -> Column:
@@ -78,9 +79,9 @@ def play_time(c: Column) -> Column:
 
 
 def play_time_ampm(c: Column) -> Column:
-    """As play_time; "h:mm AM" and "PM" as 24-hour "HH:MM"."""
+    """As play_time; "h:mm AM" and "PM" as 24-hour "HH:MM", a native time "Thh:mm:ss" without its T."""
     form = r"^(?i)([0-9]{1,2}):([0-9]{2})\s*([ap])m$"
-    s = strip(c)
+    s = F.regexp_replace(strip(c), r"^T([0-9]{2}:[0-9]{2}:[0-9]{2})$", "$1")
     h, half = _part(s, form, 1), F.lower(F.regexp_extract(s, form, 3))
     hour = F.pmod(h, F.lit(12)) + F.when(half == "p", 12).otherwise(0)
     return F.coalesce(F.when(h.isNotNull(), F.format_string("%02d:%s", hour, F.regexp_extract(s, form, 2))), play_time(s))

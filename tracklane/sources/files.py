@@ -72,13 +72,54 @@ def history_entries(rows: DataFrame, file_date: Callable[[Column], Column] | Non
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 
 
+_REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+
+
+def _active(z: zipfile.ZipFile) -> str:
+    """The part of the active sheet; without a workbook part the first sheet by name."""
+    names = set(z.namelist())
+    if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= names:
+        book = ElementTree.fromstring(z.read("xl/workbook.xml"))
+        view, sheets = book.find("m:bookViews/m:workbookView", _NS), book.findall("m:sheets/m:sheet", _NS)
+        target = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        part = target[sheets[int(view.get("activeTab", 0)) if view is not None else 0].get(_REL)]
+        return part.lstrip("/") if part.startswith("/") else f"xl/{part}"
+    return sorted(n for n in names if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n))[0]
+
+
+def _time_styles(z: zipfile.ZipFile) -> dict[int, str]:
+    """Cell style -> "duration" or "time" (any other date format), of the styles with such a number format."""
+    if "xl/styles.xml" not in z.namelist():
+        return {}
+    root = ElementTree.fromstring(z.read("xl/styles.xml"))
+    own = {int(f.get("numFmtId")): f.get("formatCode", "") for f in root.findall("m:numFmts/m:numFmt", _NS)}
+    out = {}
+    for i, x in enumerate(root.findall("m:cellXfs/m:xf", _NS)):
+        k = int(x.get("numFmtId", 0))
+        code = re.sub(r'"[^"]*"|\\.|_.', "", own.get(k, "")).lower().split(";")[0]
+        if k == 46 or re.search(r"\[(h+|m+|s+)\]", code):
+            out[i] = "duration"
+        elif 14 <= k <= 22 or k in (45, 47) or re.search("[dmhys]", re.sub(r"\[[^\]]*\]|general", "", code)):
+            out[i] = "time"
+    return out
+
+
+def _time_text(text: str, kind: str | None) -> str:
+    """A native duration as "h:mm:ss", a native time of day as "Thh:mm:ss" (see parse.length_seconds_long); others unchanged."""
+    days = float(text) if kind and re.fullmatch(r"[0-9.]+(?:[eE][+-]?[0-9]+)?", text) else -1.0
+    if days < 0 or kind == "time" and days >= 1:
+        return text
+    s = round(days * 86400)
+    return f"{s // 3600}:{s // 60 % 60:02d}:{s % 60:02d}" if kind == "duration" else f"T{s // 3600 % 24:02d}:{s // 60 % 60:02d}:{s % 60:02d}"
+
+
 def sheet_cells(data: bytes) -> list[list[str]]:
-    """The first sheet of a workbook as text cells; a small reader of the open format."""
+    """The active sheet of a workbook as text cells; a small reader of the open format."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in s.iter(f"{{{_NS['m']}}}t")) for s in ElementTree.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS)]
-        first = sorted(n for n in z.namelist() if re.fullmatch(r"xl/worksheets/sheet\d+\.xml", n))[0]
+        first, styles = _active(z), _time_styles(z)
         out = []
         for row in ElementTree.fromstring(z.read(first)).iter(f"{{{_NS['m']}}}row"):
             cells: list[str] = []
@@ -90,7 +131,8 @@ def sheet_cells(data: bytes) -> list[list[str]]:
                 cells += [""] * (place - 1 - len(cells))
                 v, kind = c.find("m:v", _NS), c.get("t")
                 text = "".join(t.text or "" for t in c.iter(f"{{{_NS['m']}}}t")) if kind == "inlineStr" else (v.text if v is not None else "") or ""
-                cells.append(shared[int(text)] if kind == "s" and text else text)
+                style = styles.get(int(c.get("s", 0))) if kind in (None, "n") else None
+                cells.append(shared[int(text)] if kind == "s" and text else _time_text(text, style))
             out.append(cells)
     return out
 
