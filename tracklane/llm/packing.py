@@ -13,52 +13,64 @@ Null and empty texts are documents of the end id alone. Repeated rows are packed
 
 from __future__ import annotations
 
+import os
 import random
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 from math import ceil
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracklane.llm import common
+from tracklane.llm.word_pieces import Pieces, ragged
 
 CAPACITY, END_ID = 2048, 0
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 6
 #: Bins filled less than this go on to the next level.
 LOOSE = 0.995
-CACHE_WORDS = 300_000
+#: Word pieces in one text for the library; bytes of text in one step of a task.
+LINES, STEP_BYTES = 500, 12_000_000
 _PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-class WordIds:
-    """Token ids of text without white space, as bytes, from the tokenizer library; remembers a bounded number."""
+class Library:
+    """Token ids from the tokenizer's library."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.known: dict[str, bytes] = {}
-
-    def all(self, words: list[str]) -> list[bytes]:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        if new := [w for w in words if w not in self.known]:
-            found = self.library.encode_batch(new, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, "<u4").tobytes()) for w, e in zip(new, found, strict=True))
-        return [self.known[w] for w in words]
+        # Spark runs one task a core; the library's own threads would only fight over them.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        # Pieces are lower-cased and split already: many of them, a line each, are one text for the merges alone.
+        self.lines = Tokenizer(self.whole.model)
+        self.lines.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        ids = self.whole.get_vocab()
+        self.ends = np.zeros(max(ids.values()) + 1, bool)
+        mark = self.whole.model.end_of_word_suffix
+        self.ends[[i for x, i in ids.items() if mark and x.endswith(mark)]] = True
+
+    def __call__(self, plain: list[str], whole: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.lines.encode_batch_fast(["\n".join(plain[k : k + LINES]) for k in range(0, len(plain), LINES)], add_special_tokens=False)
+        lines = np.fromiter(chain.from_iterable(e.ids for e in found), np.uint32)
+        sizes = np.diff(np.flatnonzero(self.ends[lines]), prepend=-1)
+        if len(sizes) != len(plain):  # a piece without an end mark: its character is not in the vocabulary
+            return self(([]), [*plain, *whole])
+        rest = [e.ids for e in self.whole.encode_batch_fast(whole, add_special_tokens=False)]
+        return np.concatenate([lines, np.fromiter(chain.from_iterable(rest), np.uint32)]), np.concatenate([sizes, np.fromiter(map(len, rest), np.int64, len(rest))])
 
 
 @lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    return WordIds(path)
+def piece_ids(path: str) -> Pieces:
+    return Pieces(path, Library(path))
 
 
 def pieces(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,26 +79,32 @@ def pieces(df: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: int
     The vocabulary must cut at white space (a text's ids are then those of its words in turn).
     """
     schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, {_PIECES}" + ", ids array<int>" * keep_ids
-    end = np.array([end_id], "<u4").tobytes()
+    names = [id_col, "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_ids(vocabulary)
+        own = piece_ids(vocabulary)
         for batch in batches:
-            for part in common.slices(batch, "t"):
+            for part in common.slices(batch, "t", STEP_BYTES):
                 words, at = common.split_words(part.column("t"))
-                distinct, code = common.encoded(words)
-                ids, code = own.all(distinct), code.tolist()
-                rows: list[tuple] = []
-                for k in range(part.num_rows):
-                    raw = b"".join([ids[c] for c in code[at[k] : at[k + 1]]]) + end
-                    for j, a in enumerate(range(0, len(raw), 4 * capacity)):
-                        one = raw[a : a + 4 * capacity]
-                        rows.append((k, j, a // 4, len(one) // 4, zlib.crc32(one), np.frombuffer(one, "<u4").astype(np.int32) if keep_ids else None))
-                of = list(zip(*rows, strict=True))
-                arrays = [part.column("i").take(pa.array(of[0])), pa.array(of[1], pa.int32()), *[pa.array(x, pa.int64()) for x in of[2:5]]]
+                coded = words.dictionary_encode()
+                ids, begin, size = own.of(coded.dictionary)
+                code = coded.indices.to_numpy(zero_copy_only=False)
+                sizes = size[code]
+                flat = ragged(ids, begin[code], sizes)
+                ends = np.concatenate([[0], np.cumsum(sizes)])[at[1:]]
+                flat = np.ascontiguousarray(np.insert(flat, ends, end_id), dtype="<u4")
+                length = np.diff(ends, prepend=0) + 1
+                number = -(-length // capacity)
+                row = np.repeat(np.arange(part.num_rows), number)
+                piece = np.arange(len(row)) - np.repeat(np.cumsum(number) - number, number)
+                begins = np.repeat(np.cumsum(length) - length, number) + piece * capacity
+                held = np.minimum(capacity, np.repeat(length, number) - piece * capacity)
+                raw = memoryview(flat).cast("B")
+                crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(begins.tolist(), held.tolist(), strict=True)]
+                arrays = [part.column("i").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(piece * capacity, pa.int64()), pa.array(held, pa.int64()), pa.array(crc, pa.int64())]
                 if keep_ids:
-                    arrays.append(pa.array(of[5], pa.list_(pa.int32())))
-                yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
+                    arrays.append(pa.ListArray.from_arrays(pa.array(np.append(begins, len(flat)), pa.int32()), pa.array(flat.astype(np.int32))))
+                yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return df.select(df[id_col].alias("i"), df[text_col].alias("t")).mapInArrow(run, schema)
 
