@@ -6,6 +6,7 @@ from math import ceil
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from conftest import DATA
 from helpers import no_docs, odd_docs
 from pyspark.sql import functions as F
@@ -66,6 +67,55 @@ def test_crossover_and_mutation_keep_every_piece():
         assert all(sum(sizes[i] for i in x) <= 2048 for x in a)
 
 
+def full_triplets(n, seed):
+    """3 n pieces that fill n sequences exactly, no two of the same one alike."""
+    rng, out = random.Random(seed), []
+    for _ in range(n):
+        a = rng.randint(780, 1000)
+        b = rng.randint(520, (2048 - a) // 2)
+        out += [a, b, 2048 - a - b]
+    rng.shuffle(out)
+    return out
+
+
+def test_the_search_saves_sequences(spark):
+    """Where best fit decreasing wastes a seventh, crossover and swaps nearly reach the bound, and migration helps."""
+    sizes = full_triplets(200, 1)
+    falling = sorted(range(600), key=lambda i: -sizes[i])
+    assert len(packing.packed(falling, sizes, 2048)) >= 230
+    islands = [packing.evolve(sizes, [], 2048, i) for i in range(packing.ISLANDS)]
+    assert min(map(len, islands)) <= 204
+    for e in range(1, packing.EPOCHS):
+        islands = [packing.evolve(sizes, [islands[i], islands[i - 1]], 2048, 100 * e + i) for i in range(packing.ISLANDS)]
+    assert min(map(len, islands)) <= 202
+    df = spark.createDataFrame(list(enumerate(sizes)), "rid bigint, length bigint")
+    rows = packing.pack(common.cut(df)).join(df, "rid").collect()
+    assert len(rows) == 600 and held(rows, 2048) <= 202
+
+
+def test_swaps_keep_every_piece():
+    rng = random.Random(5)
+    sizes = [rng.randint(1, 900) for _ in range(120)]
+    bins = packing.packed(range(100), sizes[:100], 2048)
+    left = packing.improved(bins, list(range(100, 120)), sizes, 2048)
+    assert sorted([*left, *(i for x in bins for i in x)]) == list(range(120))
+    assert all(sum(sizes[i] for i in x) <= 2048 for x in bins)
+
+
+def test_ids_of_any_text():
+    """Word pieces give the ids that the library gives the whole text."""
+    own, library, rng = packing.piece_ids(PATH), Tokenizer.from_file(PATH), random.Random(3)
+    parts = [*"abcXYZ'smtredvl.,;:!?0123 \t\n<|>-_\"#()$éßİяΣς日’«½²ÖЯ", "<|endoftext|>", "'re", "'LL", "\x1f", "\x7f", "\u00a0", "e\u0301", "İ"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    words, at = common.split_words(pa.array(texts))
+    coded = words.dictionary_encode()
+    ids, begin, size = own.of(coded.dictionary)
+    code = coded.indices.to_pylist()
+    for k, t in enumerate(texts):
+        got = [i for c in code[at[k] : at[k + 1]] for i in ids[begin[c] : begin[c] + size[c]].tolist()]
+        assert got == library.encode(t, add_special_tokens=False).ids
+
+
 def test_odd_and_empty_tables(spark):
     rows = packing.pack_documents(odd_docs(spark), PATH, keep_ids=True).collect()
     assert [r.length for r in rows if r.doc_id in (1, 2, 3)] == [1, 1, 1]

@@ -3,8 +3,8 @@
 Documents become pieces of at most `capacity` tokens; full pieces are sequences of their own. The rest is dealt by hash
 into shards of about SHARD pieces, so a task's work is bounded at any corpus size. A shard is packed on several islands
 (tasks): each holds a population that starts from best fit, decreasing and in random orders; crossover injects whole
-well-filled bins of one parent into the other, bins that hold a duplicate are emptied and their displaced pieces put
-back by best fit. After each epoch an island's elite migrates to the next island through a shuffle. A shard at its lower
+well-filled bins of one parent into the other, bins that hold a duplicate are emptied, displaced pieces take the place
+of one or two smaller ones in other bins where that fills those better, and what is left over is put back by best fit. After each epoch an island's elite migrates to the next island through a shuffle. A shard at its lower
 bound (tokens / capacity, rounded up) stops. Bins that are not nearly full are then emptied and packed together at
 the next level, until one shard holds them all, so about one bin in the whole corpus stays loose.
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import random
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -31,7 +32,9 @@ from tracklane.llm import common
 from tracklane.llm.word_pieces import Pieces, ragged
 
 CAPACITY, END_ID = 2048, 0
-SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 2, 2, 6, 6
+SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 3, 4, 8, 8
+#: Displaced pieces that may be swapped into bins at a time.
+SWAPPED = 48
 #: Bins filled less than this go on to the next level.
 LOOSE = 0.995
 #: Word pieces in one text for the library; bytes of text in one step of a task.
@@ -147,39 +150,67 @@ def packed(order, sizes: list[int], capacity: int) -> Packing:
     return bins.items
 
 
+def improved(kept: Packing, displaced: list[int], sizes: list[int], capacity: int) -> list[int]:
+    """Change `kept` in place: one or two pieces of a bin give way to one or two displaced ones that fill it better.
+
+    Returns what is displaced then. The biggest SWAPPED displaced pieces take part; all the others wait for best fit.
+    """
+    displaced = sorted(displaced, key=lambda i: -sizes[i])
+    out, rest = displaced[:SWAPPED], displaced[SWAPPED:]
+
+    def sums(items: list[int]) -> tuple[list[int], list[tuple[int, ...]]]:
+        pairs = [(sizes[i] + sizes[j], (i, j)) for k, i in enumerate(items) for j in items[:k]]
+        of = sorted([(sizes[i], (i,)) for i in items] + pairs)
+        return [n for n, _ in of], [x for _, x in of]
+
+    totals, sets = sums(out)
+    for x in kept:
+        free = capacity - sum(sizes[i] for i in x)
+        if not free or not out:
+            continue
+        best = (0, (), ())
+        for k, i in enumerate(x):
+            for away in [(i,), *[(i, j) for j in x[:k]]]:
+                gone = sum(sizes[j] for j in away)
+                at = bisect_right(totals, gone + free) - 1
+                if at >= 0 and totals[at] - gone > best[0]:
+                    best = (totals[at] - gone, away, sets[at])
+        if best[0]:
+            _, away, new = best
+            x[:] = [i for i in x if i not in away] + [*new]
+            out = [i for i in out if i not in new] + [*away]
+            totals, sets = sums(out)
+    return out + rest
+
+
+def replaced(kept: Packing, displaced: list[int], sizes: list[int], capacity: int) -> Packing:
+    """`kept`, improved by displaced pieces, and the others by best fit, decreasing."""
+    left = improved(kept, displaced, sizes, capacity)
+    bins = Bins(capacity)
+    for x in kept:
+        bins.add_bin(x, capacity - sum(sizes[i] for i in x))
+    for i in sorted(left, key=lambda i: -sizes[i]):
+        bins.best_fit(i, sizes[i])
+    return bins.items
+
+
 def crossover(a: Packing, b: Packing, sizes: list[int], capacity: int, rng: random.Random) -> Packing:
     """`a` with some of the best-filled bins of `b` put in whole."""
     fullest = sorted(b, key=lambda x: -sum(sizes[i] for i in x))
     injected = fullest[: rng.randint(1, max(1, len(fullest) * 2 // 3))]
     inside = {i for x in injected for i in x}
-    bins, displaced = Bins(capacity), []
-    for x in injected:
-        bins.add_bin(list(x), capacity - sum(sizes[i] for i in x))
-    for x in a:
-        if inside.isdisjoint(x):
-            bins.add_bin(list(x), capacity - sum(sizes[i] for i in x))
-        else:
-            displaced += [i for i in x if i not in inside]
-    for i in sorted(displaced, key=lambda i: -sizes[i]):
-        bins.best_fit(i, sizes[i])
-    return bins.items
+    kept = [list(x) for x in injected] + [list(x) for x in a if inside.isdisjoint(x)]
+    displaced = [i for x in a if not inside.isdisjoint(x) for i in x if i not in inside]
+    return replaced(kept, displaced, sizes, capacity)
 
 
 def mutated(a: Packing, sizes: list[int], capacity: int, rng: random.Random) -> Packing:
-    """`a` with its emptiest bins and a few others emptied, their pieces put back by best fit in a random order."""
+    """`a` with its emptiest bins and a few others emptied, their pieces put back."""
     by_fill = sorted(a, key=lambda x: sum(sizes[i] for i in x))
     gone = min(len(a), 2 + rng.randint(0, 4))
     rest = by_fill[gone:]
     rng.shuffle(rest)
-    out = by_fill[:gone] + rest[:gone]
-    bins = Bins(capacity)
-    for x in rest[gone:]:
-        bins.add_bin(list(x), capacity - sum(sizes[i] for i in x))
-    moved = [i for x in out for i in x]
-    rng.shuffle(moved)
-    for i in moved:
-        bins.best_fit(i, sizes[i])
-    return bins.items
+    return replaced([list(x) for x in rest[gone:]], [i for x in by_fill[:gone] + rest[:gone] for i in x], sizes, capacity)
 
 
 def evolve(sizes: list[int], elites: list[Packing], capacity: int, seed: int) -> Packing:
