@@ -36,3 +36,26 @@ def test_any_text(text):
 
     words, _ = common.split_words(pa.array([text]))
     assert sum(map(token_counts.counter(PATH).count, words.to_pylist())) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x500), st.sampled_from("abcst'.,<|>09éЯ")), max_size=40))
+def test_pieces_of_any_text(text):
+    import pyarrow as pa
+
+    words, _ = common.split_words(pa.array([text]))
+    counts, begin, size = token_counts.piece_counts(PATH).of(words)
+    assert sum(int(counts[b : b + n].sum()) for b, n in zip(begin, size, strict=True)) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
+
+
+def test_memory_of_pieces_may_run_out(monkeypatch):
+    import pyarrow as pa
+
+    from tracklane.llm import word_pieces
+
+    monkeypatch.setattr(word_pieces, "CACHE_PIECES", 5)
+    own = word_pieces.Pieces(PATH, token_counts.counter(PATH).values)
+    for text in ("the cat, sat", "on a mat. the", "cat don't", "日本 the cat"):
+        words, _ = common.split_words(pa.array([text]))
+        counts, begin, size = own.of(words)
+        assert sum(int(counts[b : b + n].sum()) for b, n in zip(begin, size, strict=True)) == len(LIBRARY.encode(text, add_special_tokens=False).ids)
