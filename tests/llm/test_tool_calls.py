@@ -35,8 +35,31 @@ def test_links_order_and_checks(spark):
     assert all(list(json.loads(r.json)) == sorted(json.loads(r.json)) for r in got)
 
 
+def test_query_equals_sql(spark, same_as_sql):
+    for sf in ("sf0.001", "sf0.01"):
+        same_as_sql(tool_calls.op10_tool_calls(spark, f"{DATA}/{sf}"), tool_calls.ORACLE_SQL, f"{DATA}/{sf}")
+    seen = {(r.kind, r.link) for r in tool_calls.op10_tool_calls(spark, f"{DATA}/sf0.01").select("kind", "link").distinct().collect()}
+    assert seen == {("message", "none"), ("call", "linked"), ("call", "no_result"), ("call", "duplicate"), ("result", "linked"), ("result", "orphan_result"), ("result", "duplicate")}
+
+
 def test_plain_conversations_and_empty_table(spark):
-    got = tool_calls.op10_tool_calls(spark, f"{DATA}/sf0.001")
-    assert got.count() == spark.read.parquet(f"{DATA}/sf0.001/conversations.parquet").count()
+    plain = spark.read.parquet(f"{DATA}/sf0.001/conversations.parquet")
+    got = tool_calls.link(plain)
+    assert got.count() == plain.count() == got.filter("kind = 'message'").count()
     none = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     assert tool_calls.link(none).count() == 0
+
+
+def test_forms_places_and_ties(spark):
+    nested = json.dumps({"content": "I call", "tool_calls": [{"id": "n", "type": "function", "function": {"name": "search", "arguments": json.dumps({"query": "x", "limit": 1.0})}}]})
+    absent = json.dumps({"tool_calls": [{"id": "m", "name": "weather", "arguments": {"city": "Oslo", "unit": None}}, {"id": "o", "name": "weather", "arguments": {"city": None}}]})
+    twice = call(("t", "calculator", {"expression": "2"}))
+    rows = [(1, 5000, "assistant", nested), (1, 5001, "tool", result("n")), (1, 1, "assistant", absent), (1, 2, "assistant", twice), (1, 2, "assistant", twice), (1, 3, "assistant", call(("t", "calculator", {"expression": "3"}))),
+            (1, None, "user", "first"), (1, 2_000_000, "user", "word " * 200_000)]
+    got = tool_calls.link(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).orderBy("place").collect()
+    assert [r.place for r in got] == list(range(1, 11))
+    assert [(r.kind, r.turn, r.call_id, r.problems) for r in got[1:3]] == [("call", 1, "m", ""), ("call", 1, "o", "missing city")]
+    assert [(r.turn, r.link) for r in got if r.call_id == "t"] == [(2, "no_result"), (2, "no_result"), (3, "duplicate")]
+    assert [(r.kind, r.turn) for r in got[6:9]] == [("message", 5000), ("call", 5000), ("result", 5001)]
+    assert json.loads(got[6].json)["content"] == "I call" and got[7].name == "search" and got[7].valid
+    assert got[0].turn is None and len(json.loads(got[9].json)["content"]) == 1_000_000

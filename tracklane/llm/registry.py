@@ -14,4 +14,4 @@ QUERIES = {
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_tool_calls": tool_calls.op10_tool_calls,
 }
-ORACLES = {"op8_url_filter": url_filter.ORACLE_SQL}
+ORACLES = {"op8_url_filter": url_filter.ORACLE_SQL, "op10_tool_calls": tool_calls.ORACLE_SQL}
