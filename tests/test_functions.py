@@ -18,6 +18,9 @@ def one(spark, f, *values):
 
 CASES = [
     (text.strip, {" a ": "a", "\ta b\n": "a b", None: ""}),
+    (text.clean_cell, {"\u00a0a\u00a0b ": "a b", None: ""}),
+    (text.text_cell, {"2024": "'2024", "": ""}),
+    (text.base_url, {" https://x.example.com// ": "https://x.example.com", "": ""}),
     (text.title_key, {"Beyoncé - Halo!": "beyoncehalo", "beyonce halo": "beyoncehalo", "": ""}),
     (text.fold, {"P!nk": "P!nk", "ｆｕｌｌ  width": "full width", "so­ft": "soft"}),
     (text.base_name, {"a.b.csv": "a.b", ".hidden": ".hidden", "..x.csv": "..x", "none": "none", "a.": "a"}),
@@ -25,7 +28,7 @@ CASES = [
     (text.year_of_name, {"2024-01-15_My Set.csv": "2024", "2024_x": "2024", "My Set.csv": None, "": None}),
     (parse.length_seconds, {"2:30": 150, "02:60": None, "1:02:30": None, "": None, None: None}),
     (parse.length_seconds_long, {"00:2:52": 172, "2:30": 150}),
-    (parse.length_key, {"00:2:54": "2:54", "0:02:54": "2:54", "2:54": "2:54", "75:00": "75:00", "x": "x"}),
+    (parse.length_key, {"00:2:54": "2:54", "0:02:54": "2:54", "2:54": "2:54", "75:00": "75:00", "x": "x", ": 2 :: 05:": "2:05", "1:2:3:4": "1:2:3:4", "-1:00": "-1:00", "1_0:05": "10:05", "2:5": "2:05"}),
     (parse.bpm_key, {"100": "100", "100.0": "100", "100.50": "100.5", "nan": "nan", "fast": "fast"}),
     (parse.to_count, {"3": 3, "2.0": 0, "x": 0, "": 0, None: 0}),
     (parse.to_int, {"2020": 2020, "2020.0": None, "1_000": 1000, "-3": -3}),
@@ -43,10 +46,10 @@ def test_values(spark, k):
 
 
 def test_dates_of_names(spark):
-    got = one(spark, text.date_venue, "2024-01-15 MADjam WCS", "No Date")
-    assert [tuple(x) for x in got] == [("2024-01-15", "MADjam WCS"), (None, None)]
-    got = one(spark, text.date_title, "2024-03-15_MADjam_WCS.csv", "2024-03-15 - My Set", "No Date Here", "2024-01-01")
-    assert [tuple(x) for x in got] == [("2024-03-15", "MADjam_WCS.csv"), ("2024-03-15", "My Set"), ("", "No Date Here"), ("2024-01-01", "")]
+    got = one(spark, text.date_venue, "2024-01-15 Harbor Swing", "No Date")
+    assert [tuple(x) for x in got] == [("2024-01-15", "Harbor Swing"), (None, None)]
+    got = one(spark, text.date_title, "2024-03-15_Harbor_Swing.csv", "2024-03-15 - My Set", "No Date Here", "2024-01-01")
+    assert [tuple(x) for x in got] == [("2024-03-15", "Harbor_Swing.csv"), ("2024-03-15", "My Set"), ("", "No Date Here"), ("2024-01-01", "")]
     got = one(spark, text.archive_entry, "y/2024-01-01.xlsx", "y/2024-01-01 - Club.XLSX", "y/notes.xlsx")
     assert [tuple(x) for x in got] == [("2024-01-01", "Unknown", "2024-01-01"), ("2024-01-01", "Club", "2024-01-01 - Club"), (None, "Unknown", "notes")]
 

@@ -108,8 +108,10 @@ def test_cap_and_finding(spark):
     got = routing.capped(rows, F.lit(True), F.col("day"), ["day", "i"], limit=4).orderBy("i").collect()
     assert [r.scanned for r in got] == [i < 4 for i in range(9)]
     assert routing.capped(rows, F.lit(True), F.col("day"), ["day", "i"], limit=0).filter("scanned").count() == 9
-    (f,) = routing.finding(spark.createDataFrame([(0, 2, 5)], "bad_filename int, failed int, seen int"), ["failed"]).collect()
-    assert (f.severity, f.text, f.extra) == ("WARN", "2 files failed", "bad_filename=0 seen=5")
+    (f,) = routing.finding(spark.createDataFrame([(0, 2, 1, 5, 9)], "bad_filename_in_file int, ingest_failed int, sets_failed int, seen int, total_tracks int")).collect()
+    assert (f.severity, f.text, f.extra) == ("WARN", "Completed with issues: sets_failed=1; ingest_failed=2", "bad_filename_in_file=0 ingest_failed=2 seen=5")
+    (f,) = routing.finding(spark.createDataFrame([(0, 7)], "sets_failed int, unrecognized_filename_skips int")).collect()
+    assert (f.severity, f.text, f.extra) == ("SUCCESS", None, "")
     c = spark.createDataFrame([([(0.5, "b"), (0.9, "a")],)], "c array<struct<confidence: double, mbid: string>>").select(routing.best_candidates(F.col("c"), 1).alias("c")).first().c
     assert [x.mbid for x in c] == ["a"]
 
@@ -118,12 +120,56 @@ def test_collection(spark):
     rows = [("2024", "1", "2024-01-01 A", 1), ("2024", "2", "2024-01-01 B", 2), ("2024", "3", "2024-05-01 C", 3), ("Archive", "4", "x", 1), ("Summary", "5", "2023 Summary", 1)]
     f = spark.createDataFrame([(a, b, c, files.SPREADSHEET, o) for a, b, c, o in rows], "folder string, file_id string, name string, mime_type string, listing_ord int")
     i = collection.items(f)
-    assert [r.label for r in collection.sheet_rows(i).filter("folder = '2024'").orderBy("tab_row").collect()] == ["C", "A", "B"]
-    snap = {r.folder: json.loads(r["items"]) for r in collection.snapshot(i).collect()}
-    assert [x["label"] for x in snap["2024"]] == ["C", "B", "A"]
-    assert sorted(snap["Summary"][0]) == ["label", "name", "url"]
-    assert tuple(collection.totals(f).first()) == (3, 3)
-    assert json.loads(sinks.pretty_snapshot(collection.snapshot(i)).first().json)["folders"][0]["folder"] == "2024"
+    tab = collection.sheet_rows(i).filter("folder = '2024'").orderBy("tab_row").collect()
+    assert [(r.date_cell, r.title_cell) for r in tab] == [("'2024-05-01", "'C"), ("'2024-01-01", "'A"), ("'2024-01-01", "'B")]
+    snap = {r.folder: json.loads(r["items"]) for r in collection.nested(collection.snapshot(i)).collect()}
+    assert [x["label"] for x in snap["2024"]] == ["2024-05-01 C", "2024-01-01 B", "2024-01-01 A"]
+    assert list(snap["2024"][0]) == ["date", "title", "label", "url", "spreadsheet_id"] and list(snap["Summary"][0]) == ["label", "url", "spreadsheet_id"]
+    assert tuple(collection.totals(f).first()) == (3, 1, 3)
+    assert json.loads(sinks.pretty_snapshot(collection.nested(collection.snapshot(i))).first().json)["folders"][0]["folder"] == "2024"
+
+
+def test_a_hot_key_is_split_by_a_column_that_is_never_blank(spark):
+    """The merge of one key with many rows equals the plain loop, and its combinations come in many pieces."""
+    rng = random.Random(4)
+    rows = [(i, "", f"c{rng.randrange(400)}", rng.choice(["", "x", "y"])) for i in range(3000)]
+    got = first_fit.deduplicate(spark.createDataFrame(rows, "i int, Title string, Comment string, Genre string"), ["i"])
+    entries: list[list] = []
+    for _, _, c, g in rows:
+        for e in entries:
+            if e[0] == c and (not e[1] or not g or e[1] == g):
+                e[:] = [c, e[1] or g, e[2] + 1]
+                break
+        else:
+            entries.append([c, g, 1])
+    assert sorted((r.Comment, r.Genre, r.Count) for r in got.collect()) == sorted(map(tuple, entries))
+
+
+def test_running_sums_cross_buckets(spark):
+    from tracklane.operators import order
+
+    rows = spark.createDataFrame([(g, k, k % 3) for g in ("a", None) for k in range(40)], "g string, k int, v int")
+    got = order.running_before(rows, F.col("v"), ["g"], F.floor(F.col("k") / 7), ["k"], "before").collect()
+    assert all(r.before == sum(j % 3 for j in range(r.k)) for r in got) and len(got) == 80
+    assert [r.place for r in order.placed(rows, ["g"], -F.floor(F.col("k") / 7), [F.desc("k")], "place").filter("g IS NULL").orderBy(F.desc("k")).collect()] == list(range(1, 41))
+    assert rows.select(order.spread(rows, F.col("k"), 8).alias("b")).distinct().count() == 8
+    assert rows.filter("false").select(order.spread(rows.filter("false"), F.col("k")).alias("b")).count() == 0
+
+
+def test_summary_order_without_titles(spark):
+    g = sheet(spark, ["Artist", "Genre"], ["b", "x"], ["a", "y"], ["a", "x"])
+    assert grid.present_columns(g) == ["Artist", "Genre"]
+    rows = grid.sorted_summary(grid.summary_rows(g).select("source_id", "tab", "row_ord", "Artist", "Genre", "Count")).collect()
+    assert [(r.Artist, r.Genre, r.place) for r in rows] == [("a", "x", 1), ("a", "y", 2), ("b", "x", 3)]
+
+
+def test_modes_go_on_after_a_failure(spark, tmp_path):
+    sheet(spark, ["Title", "Artist"], ["A", "B"]).write.parquet(str(tmp_path / "in"))
+    args = ["tracks", str(tmp_path / "in"), str(tmp_path / "missing"), str(tmp_path / "out")]
+    assert modes.main(args) == 1
+    assert spark.read.parquet(str(tmp_path / "out" / "0")).count() == 1
+    assert modes.main(["tracks", str(tmp_path / "in"), str(tmp_path / "none"), "--dry-run"]) == 0
+    assert not (tmp_path / "none").exists()
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -144,6 +190,13 @@ def test_sources_and_sinks(spark, tmp_path):
         z.writestr("a/broken.xlsx", b"no zip")
     got = sources.workbook_archives(spark, str(tmp_path / "sets.zip")).orderBy("path").collect()
     assert [(r.path, r.cells, r.error is None) for r in got] == [("a/2024-01-01 X.xlsx", ["Title", "", "7"], True), ("a/broken.xlsx", [], False)]
+    (tmp_path / "bad.zip").write_bytes(b"no archive")
+    got = sources.workbook_archives(spark, [str(tmp_path / "sets.zip"), str(tmp_path / "bad.zip")]).collect()
+    assert sorted(r.error is None for r in got) == [False, False, True]
+    sinks.write_clean_folders(sources.clean_lines(sources.lines(spark, str(tmp_path / "in" / "a b.csv"))).withColumn("name", F.lit("a")), str(tmp_path / "clean"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "clean" / "name=a")).collect()] == ['h,"x, y"', '1,"say ""hi"""']
+    sinks.write_json(spark.createDataFrame([("é", None)], "a string, b string"), str(tmp_path / "json"), ascii_only=True)
+    assert spark.read.text(str(tmp_path / "json")).first().value == '{"a":"\\u00E9","b":null}'
     for n in (1, 2):
         sinks.overwrite_years(spark.createDataFrame([(2023 + n, n), (2024, n * 10)], "year int, v int"), str(tmp_path / "years"))
     assert sorted((r.year, r.v) for r in spark.read.parquet(str(tmp_path / "years")).collect()) == [(2024, 20), (2025, 2)]
@@ -158,7 +211,11 @@ def test_paged_source_and_posts(spark, tmp_path):
 
     spark.dataSource.register(sources.paged_source("pages_of_numbers", "id int, type string", lambda o, n, where: [(i, "x") for i in range(o, min(o + n, 120))]))
     assert spark.read.format("pages_of_numbers").option("total", 120).load().agg(F.sum("id")).first()[0] == sum(range(120))
-    spark.dataSource.register(sinks.post_sink("posts", send))
+    spark.dataSource.register(sources.paged_source("pages_with_next", "id int, type string", lambda o, n, where: {"items": [(o, "x")], "next": o < 200} if o < 1000 else None))
+    assert [r.id for r in spark.read.format("pages_with_next").load().collect()] == [0, 50, 100, 150, 200]
+    spark.dataSource.register(sources.paged_source("no_pages", "id int, type string", lambda o, n, where: "an error"))
+    assert spark.read.format("no_pages").load().count() == 0
+    spark.dataSource.register(sinks.post_sink("posts", send, pause=0))
     spark.createDataFrame([("k", "body")], "key string, payload string").write.format("posts").mode("append").save()
     assert open(target).read() == "body\n"
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklane.functions.text import strip
@@ -54,14 +54,18 @@ def length_seconds_long(c: Column) -> Column:
     return F.coalesce(_part(strip(c), native, 1) * 60 + _part(strip(c), native, 2), h * 3600 + m * 60 + s, length_seconds(c))
 
 
+_PART = r"[+-]?[0-9]+(?:_[0-9]+)*"
+_LENGTH = rf"^[:\s]*({_PART})\s*:[:\s]*({_PART})\s*(?::[:\s]*({_PART})\s*)?(?::[:\s]*)?$"
+
+
 def length_key(c: Column) -> Column:
-    """Equal lengths in one form, "m:ss" or "h:mm:ss"; other text unchanged (stripped)."""
+    """Equal lengths in one form, "m:ss" or "h:mm:ss"; other text unchanged (stripped). Empty parts do not count."""
     s = strip(c)
-    parts = F.transform(F.filter(F.split(s, ":"), lambda x: strip(x) != ""), to_int)
-    n, p = F.size(parts), lambda k: F.get(parts, F.size(parts) - 1 - k)
-    hours = F.when(n == 3, p(2)).otherwise(0)
-    good = n.isin(2, 3) & ~F.exists(parts, lambda x: x.isNull() | (x < 0)) & (p(0) < 60) & (p(1) < 60)
-    return F.when(s.contains(":") & good, F.when(hours > 0, F.format_string("%d:%02d:%02d", hours, p(1), p(0))).otherwise(F.format_string("%d:%02d", p(1), p(0)))).otherwise(s)
+    a, b, c3 = (F.replace(F.regexp_extract(s, _LENGTH, k), F.lit("_"), F.lit("")).try_cast("int") for k in (1, 2, 3))
+    three = F.regexp_extract(s, _LENGTH, 3) != ""
+    h, m, sec = F.when(three, a).otherwise(0), F.when(three, b).otherwise(a), F.when(three, c3).otherwise(b)
+    good = (h >= 0) & (m >= 0) & (m < 60) & (sec >= 0) & (sec < 60)
+    return F.when(good, F.when(h > 0, F.format_string("%d:%02d:%02d", h, m, sec)).otherwise(F.format_string("%d:%02d", m, sec))).otherwise(s)
 
 
 def bpm_key(c: Column) -> Column:
@@ -87,17 +91,34 @@ def play_time_ampm(c: Column) -> Column:
     return F.coalesce(F.when(h.isNotNull(), F.format_string("%02d:%s", hour, F.regexp_extract(s, form, 2))), play_time(s))
 
 
-def local_instant(c: Column, zone: str) -> Column:
-    """Wall time "y-M-d H:m" in `zone` as ISO text with its offset; the standard offset where the hour occurs twice."""
-    wall = F.when(strip(c).rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}$"), F.try_to_timestamp(strip(c), F.lit("yyyy-M-d H:m")))
-    return instant_text(wall, zone)
+def wall_time(c: Column) -> Column:
+    """Wall time "y-M-d H:m" as a timestamp, else null."""
+    s = strip(c)
+    return F.when(s.rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}$"), F.try_to_timestamp(s, F.lit("yyyy-M-d H:m")))
 
 
-def instant_text(wall: Column, zone: str) -> Column:
-    """A UTC timestamp that holds wall time in `zone`, as ISO text with the offset. Session time zone: UTC."""
+def instant_of(wall: Column, zone: str) -> Column:
+    """The UTC timestamp of wall time in `zone`: of the standard offset where the hour occurs twice."""
     early = F.to_utc_timestamp(wall, zone)
     late = early + F.expr("interval 1 hour")
-    instant = F.when(F.from_utc_timestamp(late, zone) == wall, late).otherwise(early)
+    return F.when(F.from_utc_timestamp(late, zone) == wall, late).otherwise(early)
+
+
+def instant_text(wall: Column, instant: Column) -> Column:
+    """Wall time in ISO form with its distance from the UTC `instant`. Session time zone: UTC."""
     minutes = ((F.unix_timestamp(wall) - F.unix_timestamp(instant)) / 60).cast("int")
     sign = F.when(minutes < 0, "-").otherwise("+")
     return F.concat(F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss"), sign, F.format_string("%02d:%02d", F.floor(F.abs(minutes) / 60), F.abs(minutes) % 60))
+
+
+def local_instant(c: Column, zone: str) -> Column:
+    """Wall time "y-M-d H:m" in `zone` as ISO text with its offset, in one expression; for tables see with_instant."""
+    wall = wall_time(c)
+    return instant_text(wall, instant_of(wall, zone))
+
+
+def with_instant(rows: DataFrame, c: Column, zone: str, name: str = "played_at") -> DataFrame:
+    """`rows` whose wall time parses, with its text in ISO form; each step is a projection of its own, computed once."""
+    wall = rows.withColumn("_wall", wall_time(c)).filter(F.col("_wall").isNotNull())
+    at = wall.withColumn("_instant", instant_of(F.col("_wall"), zone))
+    return at.withColumn(name, instant_text(F.col("_wall"), F.col("_instant"))).drop("_wall", "_instant")

@@ -4,26 +4,36 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from tracklane.functions import text
-from tracklane.operators import first_fit, grid, live, routing, tracks
+from tracklane.operators import grid, live, routing, summaries, tracks
+
+
+def _env(name: str, default, kind=str):
+    return field(default_factory=lambda: kind(os.environ.get(f"TRACKLANE_{name}", default)))
 
 
 @dataclass(frozen=True)
 class Settings:
     """Settings of a run, with defaults, from the environment where it names them."""
 
-    zone: str = field(default_factory=lambda: os.environ.get("TRACKLANE_ZONE", live.ZONE))
-    min_confidence: float = field(default_factory=lambda: float(os.environ.get("TRACKLANE_MIN_CONFIDENCE", routing.MIN_CONFIDENCE)))
-    max_uploads: int = field(default_factory=lambda: int(os.environ.get("TRACKLANE_MAX_UPLOADS", routing.MAX_UPLOADS)))
+    zone: str = _env("ZONE", live.ZONE)
+    min_confidence: float = _env("MIN_CONFIDENCE", routing.MIN_CONFIDENCE, float)
+    max_candidates: int = _env("MAX_CANDIDATES", routing.MAX_CANDIDATES, int)
+    max_uploads: int = _env("MAX_UPLOADS", routing.MAX_UPLOADS, int)
+    service: str = _env("SERVICE", "", lambda x: x.strip().rstrip("/"))
+    summary_folder: str = _env("SUMMARY_FOLDER", "Summary")
+    snapshot_path: str = _env("SNAPSHOT_PATH", "collection.json")
 
 
 def _summary(g: DataFrame, _: Settings) -> DataFrame:
-    return first_fit.deduplicate(grid.summary_rows(g), order=["source_id", "tab", "row_ord"])
+    return summaries.table(g)
 
 
 def _tracks(g: DataFrame, _: Settings) -> DataFrame:
@@ -49,15 +59,27 @@ def run(mode: str, rows: DataFrame, settings: Settings | None = None) -> DataFra
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run a mode over each source; 1 if one of them failed, while the others are still done."""
     p = argparse.ArgumentParser(prog="tracklane")
     p.add_argument("mode", choices=sorted(MODES))
-    p.add_argument("source", help="Parquet table of the mode's input rows")
-    p.add_argument("target", help="Parquet folder to write")
+    p.add_argument("sources", nargs="+", help="Parquet tables of the mode's input rows")
+    p.add_argument("target", help="folder to write; with several sources a sub-folder each, by number")
     p.add_argument("--year", help="only sets whose source_id holds this year")
+    p.add_argument("--dry-run", action="store_true", help="count the rows, write nothing")
     args = p.parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    rows = spark.read.parquet(args.source)
-    if args.year:
-        rows = rows.filter(text.year_of_name(rows["source_id"]) == args.year)
-    run(args.mode, rows).write.mode("overwrite").parquet(args.target)
-    return 0
+    failed = 0
+    for k, source in enumerate(args.sources):
+        try:
+            rows = spark.read.parquet(source)
+            if args.year:
+                rows = rows.filter(text.year_of_name(rows["source_id"]) == args.year)
+            out = run(args.mode, rows)
+            if args.dry_run:
+                print(f"{source}: {out.count()} rows")
+            else:
+                out.write.mode("overwrite").parquet(args.target if len(args.sources) == 1 else f"{args.target}/{k}")
+        except PySparkException as e:
+            failed += 1
+            print(f"{source}: {e}", file=sys.stderr)
+    return 1 if failed else 0

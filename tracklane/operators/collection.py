@@ -3,39 +3,61 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracklane.functions import text
 from tracklane.operators.files import SPREADSHEET
+from tracklane.operators.order import placed
 
 ARCHIVE, SUMMARY = "archive", "summary"
 
 
-def items(files: DataFrame, url_prefix: str = "https://docs.example.com/spreadsheets/d/") -> DataFrame:
-    """(folder, is_summary, date, label, name, url, link, listing_ord) of the spreadsheets outside of the archive folder."""
-    got, name = text.date_title(text.base_name(F.col("name"))), F.col("name")
+def items(files: DataFrame, url_prefix: str = "https://docs.google.com/spreadsheets/d/") -> DataFrame:
+    """(folder, is_summary, date, title, label, url, spreadsheet_id, link, listing_ord) of the spreadsheets outside of the archive folder.
+
+    Date and title come from the whole file name, which is the label.
+    """
+    got, name = text.date_title(F.col("name")), F.col("name")
     url = F.concat(F.lit(url_prefix), F.col("file_id").cast("string"))
     rows = files.filter((F.lower("folder") != ARCHIVE) & (F.col("mime_type") == SPREADSHEET))
-    return rows.select("folder", (F.lower("folder") == SUMMARY).alias("is_summary"), got["date"].alias("date"), got["title"].alias("label"), "name", url.alias("url"), text.hyperlink(url, name).alias("link"), "listing_ord")
+    return rows.select(
+        "folder", (F.lower("folder") == SUMMARY).alias("is_summary"), got["date"].alias("date"), got["title"].alias("title"), name.alias("label"), url.alias("url"),
+        F.col("file_id").cast("string").alias("spreadsheet_id"), text.hyperlink(url, name).alias("link"), "listing_ord",
+    )
 
 
 def sheet_rows(rows: DataFrame) -> DataFrame:
-    """Items with tab_row: by date text, latest first, ties as listed; the summary tab by name, last first."""
-    by = [F.when(F.col("is_summary"), F.col("name")).otherwise(F.col("date")).desc(), "listing_ord"]
-    return rows.withColumn("tab_row", F.row_number().over(W.partitionBy("folder").orderBy(*by)))
+    """(folder, tab_row, date_cell, title_cell, link): a tab a folder, by the date cell's text, latest first, ties as listed.
+
+    Dates and titles are kept as text by an apostrophe; the summary tab shows links only, by name, last first.
+    """
+    s = F.col("is_summary")
+    cells = rows.select(
+        "folder", F.when(~s, text.text_cell(F.col("date"))).alias("date_cell"), F.when(~s, text.text_cell(F.col("title"))).alias("title_cell"), "link",
+        F.when(s, F.col("label")).otherwise(text.text_cell(F.col("date"))).alias("by"), "listing_ord",
+    )
+    return placed(cells, ["folder"], F.substring("by", 1, 8), [F.desc("by"), "listing_ord"], "tab_row", descending=True).drop("by", "listing_ord")
 
 
 def snapshot(rows: DataFrame) -> DataFrame:
-    """(folder, n_items, items JSON): items by (date, label), latest first; of a summary folder by label, with fewer fields."""
-    order = F.struct(F.when(F.col("is_summary"), "").otherwise(F.col("date")).alias("date"), "label", (-F.col("listing_ord")).alias("o"))
-    item = F.when(F.col("is_summary"), F.to_json(F.struct("label", "name", "url"))).otherwise(F.to_json(F.struct("date", "label", "name", "url", "link")))
-    return rows.groupBy("folder").agg(F.count("*").alias("n_items"), F.sort_array(F.collect_list(F.struct(order.alias("order"), item.alias("item"))), asc=False).alias("all")).select(
-        "folder", "n_items", F.concat(F.lit("["), F.array_join(F.transform("all", lambda x: x["item"]), ","), F.lit("]")).alias("items")
-    )
+    """(folder, place, item as JSON): by (date, label), latest first, ties as listed; of a summary folder by label, with fewer fields."""
+    s = F.col("is_summary")
+    item = F.when(s, F.to_json(F.struct("label", "url", "spreadsheet_id"))).otherwise(F.to_json(F.struct("date", "title", "label", "url", "spreadsheet_id")))
+    flat = rows.select("folder", F.when(s, "").otherwise(F.col("date")).alias("by"), "label", item.alias("item"), "listing_ord")
+    # The date and the label's first letters, as one text whose order is theirs.
+    bucket = F.concat(F.rpad("by", 10, " "), F.substring("label", 1, 4))
+    return placed(flat, ["folder"], bucket, [F.desc("by"), F.desc("label"), "listing_ord"], "place", descending=True).select("folder", "place", "item")
+
+
+def nested(snap: DataFrame) -> DataFrame:
+    """(folder, n_items, items): a folder's items as one JSON array, for a file sink; a folder must fit one row there."""
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: x["item"])
+    return snap.groupBy("folder").agg(F.count("*").alias("n_items"), F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]")).alias("items"))
 
 
 def totals(files: DataFrame) -> DataFrame:
-    """One row: folders (with the archive) and sets (spreadsheets outside of summary and archive)."""
-    f = F.lower("folder")
-    return files.agg(F.countDistinct("folder").alias("folders_processed"), F.count_if((F.col("mime_type") == SPREADSHEET) & ~f.isin(ARCHIVE, SUMMARY)).alias("total_sets"))
+    """One row: folders (with the archive), tabs (folders besides summary and archive that hold a spreadsheet) and their sets."""
+    own = (F.col("mime_type") == SPREADSHEET) & ~F.lower("folder").isin(ARCHIVE, SUMMARY)
+    return files.agg(
+        F.countDistinct("folder").alias("folders_processed"), F.countDistinct(F.when(own, F.col("folder"))).alias("tabs_written"), F.count_if(own).alias("total_sets"),
+    )

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import text
 
+#: Fixed value: the name of the collection's own workbook.
+CATALOGUE = "DJ Set Collection"
 SPREADSHEET = "application/vnd.google-apps.spreadsheet"
 
 
@@ -34,6 +36,27 @@ def new_files(incoming: DataFrame, existing: DataFrame, name: str = "name", keys
     return base(incoming).join(base(existing).select(*keys, "_base"), [*keys, "_base"], "left_anti").drop("_base")
 
 
+def failed_names(files: DataFrame, name: str = "name") -> DataFrame:
+    """Files with out_name: under the failed prefix where their status is "failed"."""
+    return files.withColumn("out_name", F.when(F.col("status") == "failed", text.failed_name(F.col(name))).otherwise(F.col(name)))
+
+
+def to_archive(files: DataFrame, parents: DataFrame) -> DataFrame:
+    """The files (file_id, folder_id) that are still to move to their archive folder: those that do not lie there."""
+    return files.join(parents.select("file_id", "folder_id").distinct(), ["file_id", "folder_id"], "left_anti")
+
+
+def stale_summaries(summaries: DataFrame, years: DataFrame, name: str = "name") -> DataFrame:
+    """The files named exactly "<year> Summary" of `years` (year), which new files make out of date."""
+    return summaries.join(years.select(F.concat("year", F.lit(" Summary")).alias(name)).distinct(), name, "left_semi")
+
+
+def sub_folders(listing: DataFrame) -> DataFrame:
+    """(folder, n_files, place) of the folders of a listing, by name, last first; a row each, so few enough to sort."""
+    folders = listing.groupBy("folder").agg(F.count("*").alias("n_files"))
+    return folders.withColumn("place", F.row_number().over(W.orderBy(F.desc("folder"))))
+
+
 def in_folder(files: DataFrame, parents: DataFrame) -> DataFrame:
     """Files that already lie in the folder they are to go to (file_id, folder_id)."""
     return files.join(parents.select("file_id", "folder_id"), ["file_id", "folder_id"], "left_semi")
@@ -63,13 +86,18 @@ def year_actions(files: DataFrame, summaries: DataFrame, name: str = "name") ->
 
 
 def archive_sets(entries: DataFrame, path: str = "path", year: str | None = None) -> DataFrame:
-    """Workbooks of an archive listing that are sets: (path, set_date, venue, source_file)."""
+    """Workbooks of an archive listing that are sets: (path, set_date, venue, source_file); the catalogue is none."""
     p = F.col(path)
-    good = ~p.endswith("/") & ~p.contains("__MACOSX") & ~p.contains("/Summary/") & text.archive_entry(p)["set_date"].isNotNull()
-    out = entries.filter(good).select(path, text.archive_entry(p).alias("_e")).select(path, "_e.*")
+    good = ~p.endswith("/") & ~p.contains("__MACOSX") & ~p.contains("/Summary/") & ~F.substring_index(p, "/", -1).contains(CATALOGUE)
+    out = entries.filter(good).select(path, text.archive_entry(p).alias("_e")).select(path, "_e.*").filter(F.col("set_date").isNotNull())
     return out.filter(F.col("set_date").startswith(year)) if year else out
 
 
+def by_date(sets: DataFrame, order: str = "path") -> DataFrame:
+    """Sets by date, those of one day as listed; a range-partitioned sort."""
+    return sets.orderBy("set_date", order)
+
+
 def ordinals(rows: DataFrame, group: list[str], order: list[str], keep: Column) -> DataFrame:
     """Rows where `keep`, with place (among all rows of the group) and kept_place (among the kept), from 1."""
     w = W.partitionBy(*group).orderBy(*order)

@@ -4,6 +4,10 @@ The merge depends on the order of rows, but equal rows always join the entry tha
 blanks only ever get filled, so what contradicted a row still does, and the entry that took it still fits. So equal rows
 are summed first, before and after the shuffle, and only a key's different combinations are merged in order. A key with
 very many rows, such as blank titles, costs no more than its combinations.
+
+Entries that differ in a column which no row of the key leaves blank never take the same row, so a key's combinations are
+split by all such columns and merged apart. What is left in one piece is a key with many different values and a blank in
+every such column: first fit is sequential there by its definition, and costs rows times entries in one task.
 """
 
 from __future__ import annotations
@@ -11,13 +15,15 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracklane.functions import parse, text
+from tracklane.operators.grid import padded
 
-#: The columns that may differ within a merged row, and how each is compared.
-OPTIONAL: dict[str, Callable[[Column], Column]] = {"comment": text.fold, "genre": text.fold, "year": text.fold, "length": parse.length_key, "bpm": parse.bpm_key}
-COUNT = "count"
+#: The columns that may differ within a merged row, and how each is compared once it is folded.
+OPTIONAL: dict[str, Callable[[Column], Column]] = {"comment": lambda c: c, "genre": lambda c: c, "year": lambda c: c, "length": parse.length_key, "bpm": parse.bpm_key}
+COUNT, TITLE = "count", "title"
 
 
 def merge(rows: DataFrame, keys: Mapping[str, Column], optional: Mapping[str, tuple[Column, Column]], count: Column, order: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
@@ -28,12 +34,20 @@ def merge(rows: DataFrame, keys: Mapping[str, Column], optional: Mapping[str, tu
     """
     names = list(optional)
     shown = F.struct(*[optional[k][0].alias(k) for k in names])
-    at = F.struct(*order)
-    flat = rows.select(*[c.alias(k) for k, c in keys.items()], *[optional[k][1].alias(f"same_{k}") for k in names], at.alias("at"), shown.alias("shown"), F.struct(*carry, at.alias("at")).alias("carried"), count.cast("bigint").alias("n"))
-    alike = flat.groupBy(*keys, *[f"same_{k}" for k in names]).agg(F.min("at").alias("at"), F.min_by("shown", "at").alias("shown"), F.min_by("carried", "at").alias("carried"), F.sum("n").alias("n"))
-    same = F.array(*[F.col(f"same_{k}") for k in names]).cast("array<string>")
-    each = F.struct("at", F.col("n"), same.alias("same"), F.array(*[F.col("shown")[k] for k in names]).cast("array<string>").alias("shown"), "carried")
-    combos = alike.groupBy(*keys).agg(F.array_sort(F.collect_list(each)).alias("all"))
+    at, carried = F.struct(*order), F.struct(*carry, F.struct(*order).alias("at"))
+    same = [f"same_{k}" for k in names]
+    flat = rows.select(
+        *[c.alias(k) for k, c in keys.items()], *[optional[k][1].alias(f"same_{k}") for k in names], at.alias("at"), shown.alias("shown"), carried.alias("carried"), count.cast("bigint").alias("n")
+    )
+    alike = flat.groupBy(*keys, *same).agg(F.min("at").alias("at"), F.min_by("shown", "at").alias("shown"), F.min_by("carried", "at").alias("carried"), F.sum("n").alias("n"))
+    combos = alike.select(
+        *keys, F.struct("at", "n", F.array(*same).cast("array<string>").alias("same"), F.array(*[F.col("shown")[k] for k in names]).cast("array<string>").alias("shown"), "carried").alias("x")
+    )
+    # Only keys with more than one combination need to know which of their columns are never blank.
+    blank = combos.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.bool_or(F.col("x.same")[i] == "").alias(f"_b{i}") for i in range(len(names))]).filter("_n > 1")
+    part = F.array(*[F.when(~F.col(f"_b{i}"), F.col("x.same")[i]).otherwise("") for i in range(len(names))]).cast("array<string>")
+    split = combos.join(blank, list(keys), "left").select(*keys, "x", F.when(F.col("_n") > 1, part).alias("_part"))
+    groups = split.groupBy(*keys, "_part").agg(F.array_sort(F.collect_list("x")).alias("all"))
 
     def fits(e: Column, x: Column) -> Column:
         return F.forall(F.zip_with(e["same"], x["same"], lambda a, b: (a == "") | (b == "") | (a == b)), lambda ok: ok)
@@ -52,23 +66,87 @@ def merge(rows: DataFrame, keys: Mapping[str, Column], optional: Mapping[str, tu
         return F.when(first.isNull(), F.concat(done, F.array(x))).otherwise(joined)
 
     entries = F.aggregate("all", F.slice("all", 1, 0), step)
-    out = combos.select(*keys, F.posexplode(entries).alias("entry", "e"))
-    return out.select(*keys, "entry", *[F.get(F.col("e.shown"), i).alias(k) for i, k in enumerate(names)], *[F.col("e.carried")[c].alias(c) for c in carry], F.col("e.n").alias("n"), F.col("e.at").alias("at"))
+    out = groups.select(*keys, F.explode(entries).alias("e"))
+    entry = F.row_number().over(W.partitionBy(*keys).orderBy("e.at")) - 1
+    return out.select(
+        *keys, entry.alias("entry"), *[F.get(F.col("e.shown"), i).alias(k) for i, k in enumerate(names)], *[F.col("e.carried")[c].alias(c) for c in carry], F.col("e.n").alias("n"), F.col("e.at").alias("at")
+    )
+
+
+def column_of(columns: Sequence[str], name: str) -> str | None:
+    """The first of `columns` that is `name`, whatever its case, accents and width."""
+    fold = lambda c: text.folded_text(c).lower()
+    return next((c for c in columns if fold(c) == fold(name)), None)
 
 
 def deduplicate(rows: DataFrame, order: Sequence[str], count_col: str = "Count") -> DataFrame:
     """A summary table with its duplicate rows merged, in the same columns and `count_col` (added as 1 if missing).
 
     Rows are alike where all columns but the optional ones and the count are: folded and lower-case, the title by its
-    letters and digits only. Columns are found whatever their case; output keeps each entry's first row's texts.
+    letters and digits only. Columns are found whatever their case, accents and width; output keeps each entry's first
+    row's texts.
     """
     columns = [c for c in rows.columns if c not in order]
-    of = {c: c.strip().lower() for c in columns}
-    count = next((c for c in columns if of[c] == COUNT), None)
-    fixed = [c for c in columns if of[c] != COUNT and of[c] not in OPTIONAL]
-    own = [c for c in columns if of[c] in OPTIONAL]
-    keys = {f"key_{i}": F.lower(text.title_key(F.col(c)) if of[c] == "title" else text.fold(F.col(c))) for i, c in enumerate(fixed)}
-    optional = {c: (text.strip(F.col(c)), OPTIONAL[of[c]](F.col(c))) for c in own}
-    n = parse.to_count(F.col(count).cast("string")) if count else F.lit(1)
-    merged = merge(rows, keys, optional, n, order, fixed)
-    return merged.select(*[text.strip(F.col(c)).alias(c) if c in fixed else c for c in columns if c != count], F.col("n").alias(count or count_col), F.col("at").alias("first_at"))
+    count, title = column_of(columns, COUNT), column_of(columns, TITLE)
+    loose = {column_of(columns, k): f for k, f in OPTIONAL.items()}
+    own, fixed = [c for c in columns if c in loose], [c for c in columns if c not in loose and c != count]
+    cell = lambda c: F.col(f"`{c}`").cast("string")
+    number = {c: i for i, c in enumerate(columns)}
+    # Each step is a projection of its own, so that nothing is computed twice.
+    clean = rows.select(*order, *[text.clean_cell(cell(c)).alias(f"v{number[c]}") for c in columns], (parse.to_count(cell(count)) if count else F.lit(1)).alias("_count"))
+    folded = clean.select("*", *[text.fold(F.col(f"v{number[c]}")).alias(f"f{number[c]}") for c in columns if c != count])
+    f = lambda c: F.col(f"f{number[c]}")
+    bare = folded.select(
+        *order, "_count", *[f"v{number[c]}" for c in columns], *[F.lower(letters(f(c)) if c == title else f(c)).alias(f"key_{number[c]}") for c in fixed], *[loose[c](f(c)).alias(f"own_{number[c]}") for c in own]
+    )
+    keys = {f"key_{number[c]}": F.col(f"key_{number[c]}") for c in fixed}
+    optional = {f"v{number[c]}": (F.col(f"v{number[c]}"), F.col(f"own_{number[c]}")) for c in own}
+    merged = merge(bare, keys, optional, F.col("_count"), order, [f"v{number[c]}" for c in fixed])
+    return merged.select(*[F.col(f"v{number[c]}").alias(c) for c in columns if c != count], F.col("n").alias(count or count_col), F.col("at").alias("first_at"))
+
+
+def letters(c: Column) -> Column:
+    """A folded title's letters and digits."""
+    return F.regexp_replace(c, r"[^\p{L}\p{N}]", "")
+
+
+def deduplicate_grid(grid: DataFrame) -> DataFrame:
+    """(source_id, tab, entry, row_ord, header, cells, count): the merged rows of each tab of a grid, whatever its columns.
+
+    grid: (source_id, tab, row_ord, header, cells) as operators.grid.with_headers gives it, headers in any case. Columns
+    are found at run time, so a tab's key is one array of its other cells. Short rows are padded with blanks, long ones
+    cut; a tab without a count counts each row once. Cells come back stripped, in the entry's first row's texts but for
+    optional columns that a later row filled.
+    """
+    wide = grid.select("source_id", "tab", "row_ord", "header", F.transform(padded(F.col("cells"), F.size("header")), text.clean_cell).alias("cells"))
+    read = wide.withColumn("names", F.transform(text.folded_cells(F.col("header")), F.lower)).withColumn("folded", text.folded_cells(F.col("cells")))
+    special = F.array(*map(F.lit, (COUNT, *OPTIONAL)))
+    places = {k: F.array_position("names", k) for k in (COUNT, TITLE, *OPTIONAL)}
+    at = lambda cells, k: F.coalesce(F.try_element_at(cells, F.nullif(places[k], F.lit(0)).cast("int")), F.lit(""))
+    # A second column of such a name is one like any other.
+    first = lambda i: F.array_position("names", F.get("names", i)) == i + 1
+    key = F.filter(
+        F.transform("folded", lambda c, i: F.when(F.array_contains(special, F.get("names", i)) & first(i), F.lit(None).cast("string")).otherwise(F.lower(F.when(i + 1 == places[TITLE], letters(c)).otherwise(c)))),
+        lambda c: c.isNotNull(),
+    )
+    count = F.when(places[COUNT] == 0, F.lit(1)).otherwise(parse.to_count(at(F.col("cells"), COUNT)))
+    bare = read.select("source_id", "tab", "row_ord", "names", "header", "cells", key.alias("key"), count.alias("_count"), *[at(F.col("folded"), k).alias(f"own_{k}") for k in OPTIONAL])
+    optional = {k: (at(F.col("cells"), k), f(F.col(f"own_{k}"))) for k, f in OPTIONAL.items()}
+    merged = merge(bare, {"source_id": F.col("source_id"), "tab": F.col("tab"), "key": F.col("key")}, optional, F.col("_count"), ["row_ord"], ["names", "header", "cells"])
+    back = F.transform("cells", lambda c, i: F.when(F.get("names", i) == COUNT, F.when(first(i), F.col("n").cast("string")).otherwise(c)).otherwise(_filled(c, i, first)))
+    return merged.select("source_id", "tab", "entry", F.col("at.row_ord").alias("row_ord"), "header", back.alias("cells"), F.col("n").alias("count"))
+
+
+def _filled(c: Column, i: Column, first: Callable[[Column], Column]) -> Column:
+    """The merged optional value where cell i holds one, else the cell."""
+    out = c
+    for k in OPTIONAL:
+        out = F.when((F.get("names", i) == k) & first(i), F.col(k)).otherwise(out)
+    return out
+
+
+def totals(before: DataFrame, after: DataFrame, count: str = "count") -> DataFrame:
+    """One row: rows before, rows after, and the sum of their counts."""
+    a = before.agg(F.count("*").alias("rows_before"))
+    b = after.agg(F.count("*").alias("rows_after"), F.coalesce(F.sum(count), F.lit(0)).alias("total_count"))
+    return a.join(b)  # one row each

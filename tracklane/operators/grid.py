@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracklane.functions.text import canonical_header, strip
+from tracklane.operators.order import placed
 
 #: The columns a summary keeps, in order, and the names they are shown by.
 SUMMARY_COLUMNS = {"title": "Title", "remix": "Remix", "artist": "Artist", "comment": "Comment", "genre": "Genre", "year": "Year", "bpm": "BPM", "length": "Length"}
@@ -75,9 +76,30 @@ def align(tables: Sequence[DataFrame], order: Mapping[str, str] = SUMMARY_COLUMN
     return union.select(*[F.col(f"`{k}`").alias(order.get(k, k)) for k in names if not keep or k in order or k in keep], F.lit(1).alias(count))
 
 
+def present_columns(grid: DataFrame, order: Mapping[str, str] = SUMMARY_COLUMNS) -> list[str]:
+    """The summary columns, in order, that some tab with rows has. At most as many names as `order` reach the driver."""
+    rows = with_headers(grid).filter(any_filled(F.col("cells")))
+    found = rows.select(F.explode("header").alias("h")).filter(F.col("h").isin(*order)).distinct().collect()
+    there = {r.h for r in found}
+    return [v for k, v in order.items() if k in there]
+
+
 def summary_rows(grid: DataFrame, order: Mapping[str, str] = SUMMARY_COLUMNS) -> DataFrame:
     """All tabs' rows in the summary's columns; rows that are blank in every column, kept or not, are dropped."""
     rows = with_headers(grid).filter(any_filled(F.col("cells")))
     kept = [strip(named_cell(F.col("header"), F.col("cells"), k, last=True)).alias(v) for k, v in order.items()]
     has_any = F.arrays_overlap("header", F.array(*map(F.lit, order)))
     return rows.filter(has_any).select("source_id", "tab", "row_ord", *kept, F.lit(1).alias("Count"))
+
+
+def sorted_summary(rows: DataFrame) -> DataFrame:
+    """Summary rows with their place by title in the order of characters, equal ones as they were; without a title by all columns."""
+    at = [c for c in ("source_id", "tab", "row_ord") if c in rows.columns]
+    by = ["Title"] if "Title" in rows.columns else [c for c in rows.columns if c not in at]
+    return placed(rows, [], F.substring(F.col(f"`{by[0]}`").cast("string"), 1, 6), [*[F.col(f"`{c}`").cast("string") for c in by], *at], "place").orderBy("place")
+
+
+def first_tabs(grid: DataFrame, order: str = "tab") -> DataFrame:
+    """The rows of each source's first tab, by `order`; a minimum a source, joined back."""
+    first = grid.groupBy("source_id").agg(F.min(order).alias("_first")).withColumnRenamed("source_id", "_source")
+    return grid.join(first, (F.col("source_id") == F.col("_source")) & (F.col(order) == F.col("_first"))).drop("_source", "_first")

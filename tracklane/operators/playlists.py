@@ -14,7 +14,10 @@ SCHEMA = "id string, name string, uri string, type string, public boolean, colla
 
 
 def flattened(playlists: DataFrame) -> DataFrame:
-    """Playlists with an id and a name, flat, with defaults: public, not collaborative, no tracks, an empty url."""
+    """Playlists with an id and a name, flat, with defaults: public, not collaborative, no tracks, an empty url.
+
+    A service that leaves a field out sends no null: uri and snapshot_id are then empty and type is "playlist".
+    """
     e = lambda c: F.coalesce(F.col(c), F.lit(""))
     return playlists.filter((e("id") != "") & (e("name") != "")).select(
         "id", "name", "uri", "type", F.coalesce("public", F.lit(True)).alias("public"), F.coalesce("collaborative", F.lit(False)).alias("collaborative"), "snapshot_id",
@@ -52,10 +55,25 @@ def upsert(stored: DataFrame, fresh: DataFrame, key: str = "id", version: str =
 
 
 def write_plan(playlists: DataFrame, sets: DataFrame) -> DataFrame:
-    """(name, action, uris): refresh an existing playlist with all uris, or create one with each uri once; none: nothing.
+    """(name, action, playlist_id, uris): refresh an existing playlist with all uris, or create one with each uri once; none: nothing.
 
     sets: (name, uris array in order).
     """
-    there = playlists.groupBy("name").agg(F.lit(True).alias("_there"))
+    there = playlists.groupBy("name").agg(F.min("id").alias("playlist_id"))
     out = sets.filter(F.size("uris") > 0).join(there, "name", "left")
-    return out.select("name", F.when(F.col("_there"), "refresh").otherwise("create").alias("action"), F.when(F.col("_there"), F.col("uris")).otherwise(F.array_distinct("uris")).alias("uris"))
+    old = F.col("playlist_id").isNotNull()
+    return out.select("name", F.when(old, "refresh").otherwise("create").alias("action"), "playlist_id", F.when(old, F.col("uris")).otherwise(F.array_distinct("uris")).alias("uris"))
+
+
+def snapshot_payload(flat: DataFrame) -> DataFrame:
+    """(n_playlists, payload): all flat playlists as the one snapshot that the service takes; an account's playlists, no more."""
+    body = F.struct(F.array_sort(F.collect_list(F.struct(*flat.columns))).alias("playlists"))
+    return flat.agg(F.count("*").alias("n_playlists"), F.to_json(body, {"ignoreNullFields": "false"}).alias("payload"))
+
+
+def upserted(responses: DataFrame, response: str = "response") -> DataFrame:
+    """`responses` with upserted and unchanged from {data: {upserted, unchanged}}; both null where the answer has no count."""
+    got = F.from_json(response, "data struct<upserted: bigint, unchanged: bigint>")["data"]
+    return responses.withColumn("_d", got).select(
+        *responses.columns, F.col("_d.upserted").alias("upserted"), F.when(F.col("_d.upserted").isNotNull(), F.coalesce("_d.unchanged", F.lit(0))).alias("unchanged")
+    )

@@ -3,48 +3,92 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tracklane.functions.text import base_name
+from tracklane.operators.order import running_before, spread
+
 MIN_CONFIDENCE, MAX_UPLOADS, MAX_CANDIDATES = 0.90, 200, 5
-#: Failure counters that make a run's finding a warning, and their words.
-FAILURES = {"bad_filename": "files with a bad name", "bad_filename_in_file": "sets with a bad name", "failed": "files failed", "sets_failed": "sets failed", "playlists_failed": "playlists failed"}
+#: The counters that make a run's finding a warning, in the order in which they are named.
+ISSUES = ("sets_failed", "ingest_failed", "spotify_failed", "bad_filename_in_file", "track_read_failed")
+#: Counters that a finding's extra text leaves out.
+ABSORBED = (
+    "sets_imported", "sets_failed", "sets_skipped", "total_tracks", "failed_set_labels", "api_ingest_success", "sets_attempted", "collection_update",
+    "unrecognized_filename_skips", "duplicate_csv_count", "folders_processed", "tabs_written", "total_sets", "json_snapshot_written", "folder_names",
+)
 
 
 def routed(files: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """Files with action (in_place or move), reason and tagged, from has_candidate, confidence and has_metadata."""
-    none, low = ~F.coalesce("has_candidate", F.lit(False)), F.coalesce("confidence", F.lit(0.0)) < min_confidence
-    reason = F.when(none, "no_candidates").when(low, "low_confidence").otherwise("identified")
-    return files.select("*", F.when(none | low, "in_place").otherwise("move").alias("action"), reason.alias("reason"), (~none & F.coalesce("has_metadata", F.lit(False))).alias("tagged"))
+    """Files with action (in_place or move), reason and tagged, from has_candidate, confidence and has_metadata.
 
+    Tags are written wherever there is metadata, whatever the candidate.
+    """
+    none, sure = ~F.coalesce("has_candidate", F.lit(False)), F.coalesce("confidence", F.lit(0.0))
+    low = sure < min_confidence
+    reason = F.when(none, "no_candidates").when(low, F.format_string("low_confidence:%.3f", sure)).otherwise("identified")
+    tagged = F.coalesce("has_metadata", F.lit(False))
+    return files.select("*", F.when(none | low, "in_place").otherwise("move").alias("action"), reason.alias("reason"), tagged.alias("tagged"))
+
+
+def writes(routed_files: DataFrame) -> DataFrame:
+    """(file_id, step, target) of each routed file: update in place, or upload to the destination and then delete."""
+    moved = F.array(F.struct(F.lit(0).alias("k"), F.lit("upload").alias("step"), F.lit("destination").alias("target")), F.struct(F.lit(1).alias("k"), F.lit("delete").alias("step"), F.lit("source").alias("target")))
+    kept = F.array(F.struct(F.lit(0).alias("k"), F.lit("update").alias("step"), F.lit("source").alias("target")))
+    return routed_files.select("file_id", F.inline(F.when(F.col("action") == "move", moved).otherwise(kept)).alias("k", "step", "target"))
+
+
+def retag_counters(handled: DataFrame) -> DataFrame:
+    """One row of sums over handled files (scanned, action, tagged, failed); files behind the cap count as skipped."""
+    seen = F.col("scanned")
+    good, moved = seen & ~F.col("failed"), F.col("action") == "move"
+    return handled.agg(
+        F.count_if(seen).alias("scanned"), F.count_if(seen).alias("downloaded"), F.count_if(good & moved).alias("identified"), F.count_if(good & F.col("tagged")).alias("tagged"),
+        F.count_if(good).alias("uploaded"), F.count_if(good & moved).alias("deleted"), F.count_if(seen & F.col("failed")).alias("failed"), F.count_if(~seen).alias("skipped"),
+    )
 
-def running_before(rows: DataFrame, value: Column, bucket: Column, order: Sequence[str], name: str = "before") -> DataFrame:
-    """Rows with the sum of `value` over all rows before them.
 
-    bucket: a coarse, order-preserving part of the order (a day of a time). Buckets are summed first; only these sums,
-    not the rows, are put in one order. Inside a bucket rows are summed by a window.
-    """
-    held = rows.withColumn("_bucket", bucket).withColumn("_value", value)
-    sums = held.groupBy("_bucket").agg(F.sum("_value").alias("_sum"))
-    so_far = sums.select("_bucket", F.coalesce(F.sum("_sum").over(W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_earlier"))
-    inside = F.coalesce(F.sum("_value").over(W.partitionBy("_bucket").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return held.withColumn("_inside", inside).join(so_far, "_bucket").withColumn(name, F.col("_earlier") + F.col("_inside")).drop("_bucket", "_value", "_earlier", "_inside")
+def retag_finding(counters: DataFrame) -> DataFrame:
+    """Retag counters as (severity, text)."""
+    bad = F.col("failed") > 0
+    text = F.concat(F.lit("Completed with issues: failed="), F.col("failed").cast("string"), F.lit(" of scanned="), F.col("scanned").cast("string"), F.lit("."))
+    return counters.select(F.when(bad, "WARN").otherwise("SUCCESS").alias("severity"), F.when(bad, text).alias("text"))
+
 
+def capped(rows: DataFrame, uploaded: Column, by: Column, order: Sequence[str], limit: int = MAX_UPLOADS) -> DataFrame:
+    """Rows with `before`, the uploads before each one in `order`, and scanned: false once there were `limit` of them.
 
-def capped(rows: DataFrame, uploaded: Column, bucket: Column, order: Sequence[str], limit: int = MAX_UPLOADS) -> DataFrame:
-    """Rows with scanned: false once `limit` uploads came before (0 or less: no limit)."""
-    out = running_before(rows, uploaded.cast("bigint"), bucket, order)
+    by: the first of `order`, a number or a time, by whose values the rows are dealt. 0 or less: no limit.
+    """
+    out = running_before(rows, uploaded.cast("bigint"), [], spread(rows, by), order, "before")
     return out.withColumn("scanned", F.lit(True) if limit <= 0 else F.col("before") < limit)
 
 
+def _said(name: str, value: Column) -> Column:
+    """`name=value`, or null where the value is null or empty."""
+    return F.concat(F.lit(f"{name}="), F.nullif(value.cast("string"), F.lit("")))
+
+
 def candidate_text(candidate: Column) -> Column:
-    """A candidate in a line of log."""
-    return F.concat_ws(
-        ", ", F.format_string("confidence=%.3f", F.coalesce(candidate["confidence"], F.lit(0.0))), F.concat(F.lit("id="), F.coalesce(F.nullif(candidate["mbid"], F.lit("")), candidate["recording_id"])),
-        F.concat(F.lit("title="), F.nullif(candidate["title"], F.lit(""))), F.concat(F.lit("artist="), F.nullif(candidate["artist"], F.lit(""))),
-    )
+    """A candidate in a line of log: confidence, the first of its two ids, title, artist."""
+    sure = F.coalesce(F.format_string("%.3f", candidate["confidence"]), F.lit("N/A"))
+    sure = F.when(candidate["confidence"].isNull(), "N/A").otherwise(sure)
+    of = F.coalesce(F.nullif(candidate["mbid"], F.lit("")), candidate["recording_id"])
+    return F.concat_ws(", ", F.concat(F.lit("confidence="), sure), _said("id", of), _said("title", candidate["title"]), _said("artist", candidate["artist"]))
+
+
+def metadata_text(metadata: Column) -> Column:
+    """Metadata in a line of log: title, artist, year, without empty ones; a year of 0 is empty."""
+    year = F.when(metadata["year"].cast("string") != "0", metadata["year"].cast("string"))
+    return F.concat_ws(", ", _said("title", metadata["title"]), _said("artist", metadata["artist"]), _said("year", year))
+
+
+def sorted_tags(tags: Column) -> Column:
+    """A map of tags as `key=value` texts by key."""
+    return F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat_ws("=", e["key"], F.coalesce(e["value"], F.lit(""))))
 
 
 def best_candidates(candidates: Column, n: int = MAX_CANDIDATES) -> Column:
@@ -70,13 +114,48 @@ def listed_or_all(tables: Sequence[DataFrame], everything: DataFrame, key: str =
     return some.unionByName(rest)
 
 
-def finding(counters: DataFrame, absorbed: Sequence[str] = ()) -> DataFrame:
-    """One row of counters as (severity, text, extra): a warning that lists what failed, or a success; absorbed ones go from extra."""
-    there = [c for c in FAILURES if c in counters.columns]
-    said = [F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(f" {FAILURES[c]}"))) for c in there]
-    bad = F.greatest(*[F.col(c) for c in there], F.lit(0)) > 0
+def run_counters(files: DataFrame) -> DataFrame:
+    """One row of a run's counters from (route, status, n_tracks, ingest, playlist).
+
+    route as operators.files.routed gives it; status of a CSV file: imported, duplicate or failed; ingest and playlist:
+    sent, failed, no_tracks, unset or null; n_tracks null where the tracks could not be read.
+    """
+    route, status, c = F.col("route"), F.col("status"), F.count_if
+    csv = route.isin("set", "bad_set_name")
+    imported = csv & (status == "imported")
+    return files.agg(
+        c(csv).alias("sets_attempted"), c(imported).alias("sets_imported"), c(csv & (status == "failed")).alias("sets_failed"), c(route == "other").alias("sets_skipped"),
+        c(route == "bad_filename").alias("unrecognized_filename_skips"), c(csv & (status == "duplicate")).alias("duplicate_csv_count"),
+        F.coalesce(F.sum(F.when(imported, F.col("n_tracks"))), F.lit(0)).alias("total_tracks"), c(imported & F.col("ingest").isin("sent", "failed")).alias("ingest_attempted"),
+        c(imported & (F.col("ingest") == "failed")).alias("ingest_failed"), c(imported & (F.col("playlist") == "failed")).alias("spotify_failed"),
+        c(imported & (route == "bad_set_name")).alias("bad_filename_in_file"), c(imported & (F.col("ingest") == "no_tracks")).alias("ingest_skipped_no_tracks"),
+        c(imported & (F.col("ingest") == "unset")).alias("ingest_skipped_env_missing"), c(imported & F.col("n_tracks").isNull()).alias("track_read_failed"),
+    ).withColumn("api_ingest_success", F.col("ingest_failed") == 0)
+
+
+def failed_labels(files: DataFrame, name: str = "name") -> DataFrame:
+    """The base names of the sets that failed, as rows: their number has no bound."""
+    csv = F.col("route").isin("set", "bad_set_name")
+    return files.filter(csv & (F.col("status") == "failed")).select(base_name(F.col(name)).alias("label"))
+
+
+def finding(counters: DataFrame, issues: Sequence[str] = ISSUES, absorbed: Sequence[str] = ABSORBED) -> DataFrame:
+    """One row of counters as (severity, text, extra).
+
+    A warning where one of `issues` is above 0, with those counters in order; else a success without a text. `extra`
+    holds the counters that are not absorbed.
+    """
+    there = [c for c in issues if c in counters.columns]
+    said = [F.when(F.col(c) > 0, F.concat(F.lit(f"{c}="), F.col(c).cast("string"))) for c in there]
+    bad = reduce(lambda a, b: a | b, [F.col(c) > 0 for c in there], F.lit(False))
+    text = F.concat(F.lit("Completed with issues: "), F.concat_ws("; ", *said))
     extra = F.concat_ws(" ", *[F.concat(F.lit(f"{c}="), F.col(c).cast("string")) for c in counters.columns if c not in absorbed])
-    return counters.select(F.when(bad, "WARN").otherwise("SUCCESS").alias("severity"), F.when(bad, F.concat_ws("; ", *said)).otherwise("all files processed").alias("text"), extra.alias("extra"))
+    return counters.select(F.when(bad, "WARN").otherwise("SUCCESS").alias("severity"), F.when(bad, text).alias("text"), extra.alias("extra"))
+
+
+def sorted_report(report: DataFrame) -> DataFrame:
+    """A yearly report's rows with their place, years ascending and the totals last; as many rows as years."""
+    return report.withColumn("place", F.row_number().over(W.orderBy(F.asc_nulls_last("year")))).orderBy("place")
 
 
 def yearly_report(sets: DataFrame, year: Column) -> DataFrame:

@@ -1,6 +1,7 @@
 """Registered queries over the test tables, each with its SQL counterpart."""
 
-from tracklane.plans import cells, names, sets
+from tracklane.plans import cells, feeds, grids, names, sets
 
-QUERIES = cells.QUERIES | names.QUERIES | sets.QUERIES
-ORACLES = cells.ORACLES | names.ORACLES | sets.ORACLES
+MODULES = (cells, names, sets, grids, feeds)
+QUERIES = {k: f for m in MODULES for k, f in m.QUERIES.items()}
+ORACLES = {k: sql for m in MODULES for k, sql in m.ORACLES.items()}

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import text
 from tracklane.operators import collection, files
+from tracklane.operators.order import placed
 from tracklane.plans.base import Registry, table
+from tracklane.sources import files as sources
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -112,20 +114,113 @@ def _files(spark, sf_dir):
     return _names(spark, sf_dir).select(folder.alias("folder"), k.alias("file_id"), "name", F.when(k % 7 == 0, "text/csv").otherwise(files.SPREADSHEET).alias("mime_type"), k.alias("listing_ord"))
 
 
-@R.add(f"""WITH {_FILES},
-i AS (SELECT folder, file_id, name, folder = 'Summary' AS is_summary, regexp_extract(regexp_replace(name, '\\.[^.]*$', ''), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS date FROM f WHERE folder <> 'Archive' AND mime_type LIKE '%spreadsheet')
-SELECT folder, name, date, CAST(row_number() OVER (PARTITION BY folder ORDER BY CASE WHEN is_summary THEN name ELSE date END DESC, file_id) AS INT) AS tab_row FROM i""")
+_URL = "'https://docs.google.com/spreadsheets/d/' || file_id"
+_ITEMS = f"""{_FILES}, i AS (SELECT folder, CAST(file_id AS VARCHAR) AS id, file_id AS ord, name, folder = 'Summary' AS is_summary, {_URL} AS url, regexp_extract(name, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AS date,
+  CASE WHEN regexp_matches(name, '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN regexp_replace(name[11:], '^[-_ ]+', '') ELSE name END AS title FROM f WHERE folder <> 'Archive' AND mime_type LIKE '%spreadsheet')"""
+
+
+@R.add(f"""WITH {_ITEMS}, c AS (SELECT folder, is_summary, name, ord, CASE WHEN NOT is_summary THEN CASE WHEN date = '' THEN '' ELSE chr(39) || date END END AS date_cell,
+  CASE WHEN NOT is_summary THEN CASE WHEN title = '' THEN '' ELSE chr(39) || title END END AS title_cell, '=HYPERLINK("' || url || '", "' || name || '")' AS link FROM i)
+SELECT folder, date_cell, title_cell, link, CAST(row_number() OVER (PARTITION BY folder ORDER BY CASE WHEN is_summary THEN name ELSE date_cell END DESC, ord) AS INT) AS tab_row FROM c""")
 def collection_rows(spark, sf_dir):
-    return collection.sheet_rows(collection.items(_files(spark, sf_dir))).select("folder", "name", "date", "tab_row")
+    return collection.sheet_rows(collection.items(_files(spark, sf_dir)))
+
 
+_SNAPSHOT = f"""{_ITEMS}, j AS (SELECT folder, CASE WHEN is_summary THEN '{{"label":"' || name || '","url":"' || url || '","spreadsheet_id":"' || id || '"}}'
+  ELSE '{{"date":"' || date || '","title":"' || title || '","label":"' || name || '","url":"' || url || '","spreadsheet_id":"' || id || '"}}' END AS item,
+  row_number() OVER (PARTITION BY folder ORDER BY CASE WHEN is_summary THEN '' ELSE date END DESC, name DESC, ord) AS place FROM i)"""
 
-@R.add(f"""WITH {_FILES},
-i AS (SELECT folder, count(*) AS n FROM f WHERE folder <> 'Archive' AND mime_type LIKE '%spreadsheet' GROUP BY 1)
-SELECT folder, CAST(n AS BIGINT) AS n_items FROM i""")
+
+@R.add(f"WITH {_SNAPSHOT} SELECT folder, CAST(place AS INT) AS place, item FROM j")
 def collection_snapshot(spark, sf_dir):
-    return collection.snapshot(collection.items(_files(spark, sf_dir))).select("folder", "n_items")
+    return collection.snapshot(collection.items(_files(spark, sf_dir)))
+
 
+@R.add(f"WITH {_SNAPSHOT} SELECT folder, count(*) AS n_items, '[' || string_agg(item, ',' ORDER BY place) || ']' AS items FROM j GROUP BY 1")
+def collection_nested(spark, sf_dir):
+    return collection.nested(collection.snapshot(collection.items(_files(spark, sf_dir))))
 
-@R.add(f"""WITH {_FILES} SELECT count(DISTINCT folder) AS folders_processed, count(*) FILTER (mime_type LIKE '%spreadsheet' AND folder NOT IN ('Archive', 'Summary')) AS total_sets FROM f""")
+
+@R.add(f"""WITH {_FILES} SELECT count(DISTINCT folder) AS folders_processed, count(DISTINCT folder) FILTER (mime_type LIKE '%spreadsheet' AND folder NOT IN ('Archive', 'Summary')) AS tabs_written,
+  count(*) FILTER (mime_type LIKE '%spreadsheet' AND folder NOT IN ('Archive', 'Summary')) AS total_sets FROM f""")
 def collection_totals(spark, sf_dir):
     return collection.totals(_files(spark, sf_dir))
+
+
+@R.add(f"WITH {_FILES}, g AS (SELECT folder, count(*) AS n_files FROM f GROUP BY 1) SELECT folder, n_files, CAST(row_number() OVER (ORDER BY folder DESC) AS INT) AS place FROM g")
+def folders_descending(spark, sf_dir):
+    return files.sub_folders(_files(spark, sf_dir))
+
+
+@R.add(f"WITH {_FILES} SELECT folder, file_id, name FROM f WHERE folder = 'Summary' AND mime_type LIKE '%spreadsheet' AND file_id % 9 <> 0")
+def folder_listing(spark, sf_dir):
+    listed = _files(spark, sf_dir).withColumn("trashed", F.col("file_id") % 9 == 0)
+    return sources.folder_files(listed, "Summary", files.SPREADSHEET).select("folder", "file_id", "name")
+
+
+_AUDIO = """a AS (SELECT event_id, CASE WHEN event_id % 97 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS file_id, CASE event_type WHEN 'click' THEN 'audio/flac' WHEN 'view' THEN 'audio/mpeg' WHEN 'error' THEN 'text/csv' ELSE 'audio/ogg' END AS mime_type,
+  event_id % 13 = 0 AS trashed FROM events)"""
+
+
+def _audio(spark, sf_dir):
+    e, t = table(spark, sf_dir, "events", "event_id", "user_id", "event_type"), F.col("event_type")
+    return e.select(
+        F.when(F.col("event_id") % 97 == 0, "").otherwise(F.col("user_id").cast("string")).alias("file_id"),
+        F.when(t == "click", "audio/flac").when(t == "view", "audio/mpeg").when(t == "error", "text/csv").otherwise("audio/ogg").alias("mime_type"), (F.col("event_id") % 13 == 0).alias("trashed"), F.col("event_id").alias("listing_ord"),
+    )
+
+
+@R.add(f"""WITH {_AUDIO}, r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY CASE mime_type WHEN 'audio/mpeg' THEN 1 WHEN 'audio/flac' THEN 6 ELSE 8 END, event_id) AS k FROM a WHERE NOT trashed AND file_id <> '' AND mime_type <> 'text/csv')
+SELECT file_id, mime_type, event_id AS listing_ord FROM r WHERE k = 1""")
+def audio_listing(spark, sf_dir):
+    return sources.audio_files(_audio(spark, sf_dir)).select("file_id", "mime_type", "listing_ord")
+
+
+@R.add(f"WITH {_AUDIO} SELECT file_id, mime_type, event_id AS listing_ord FROM a WHERE NOT trashed AND mime_type = 'text/csv'")
+def audio_listing_fallback(spark, sf_dir):
+    """A folder without audio files is listed whole."""
+    return sources.audio_files(_audio(spark, sf_dir).filter("mime_type = 'text/csv'")).select("file_id", "mime_type", "listing_ord")
+
+
+@R.add(f"""WITH {_PAGES} SELECT page_id, name, year, CASE WHEN page_id % 5 = 0 THEN 'FAILED_' || name ELSE name END AS out_name FROM p""")
+def failed_rename(spark, sf_dir):
+    rows, _ = _pages(spark, sf_dir)
+    return files.failed_names(rows.withColumn("status", F.when(F.col("page_id") % 5 == 0, "failed").otherwise("imported"))).select("page_id", "name", "year", "out_name")
+
+
+def _parents(spark, sf_dir):
+    """Files that belong in a folder, and the folders in which files lie."""
+    o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey").select(F.col("o_orderkey").alias("file_id"), (F.col("o_custkey") % 10).cast("int").alias("folder_id"))
+    l = table(spark, sf_dir, "lineitem", "l_orderkey", "l_suppkey").select(F.col("l_orderkey").alias("file_id"), (F.col("l_suppkey") % 10).cast("int").alias("folder_id"))
+    return o, l
+
+
+_LIES = "EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_suppkey % 10 = o_custkey % 10)"
+
+
+@R.add(f"SELECT o_orderkey AS file_id, CAST(o_custkey % 10 AS INT) AS folder_id FROM orders WHERE NOT {_LIES}")
+def archive_moves(spark, sf_dir):
+    return files.to_archive(*_parents(spark, sf_dir))
+
+
+@R.add(f"SELECT o_orderkey AS file_id, CAST(o_custkey % 10 AS INT) AS folder_id FROM orders WHERE {_LIES}")
+def already_in_folder(spark, sf_dir):
+    return files.in_folder(*_parents(spark, sf_dir))
+
+
+@R.add("""SELECT c_custkey, (1992 + c_custkey % 9) || ' Summary' AS name FROM customer
+WHERE c_custkey % 4 = 0 AND 1992 + c_custkey % 9 IN (SELECT year(o_orderdate) FROM orders WHERE o_orderdate >= DATE '1996-01-01')""")
+def stale_summaries(spark, sf_dir):
+    k = F.col("c_custkey")
+    kept = table(spark, sf_dir, "customer", "c_custkey").select("c_custkey", F.concat((F.lit(1992) + k % 9).cast("string"), F.when(k % 4 == 0, " Summary").otherwise(" Summary (old)")).alias("name"))
+    years = table(spark, sf_dir, "orders", "o_orderdate").filter("o_orderdate >= date'1996-01-01'").select(F.year("o_orderdate").cast("string").alias("year"))
+    return files.stale_summaries(kept, years).select("c_custkey", "name")
+
+
+@R.add(f"""WITH {_NAMES} SELECT CAST(row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d'), 'y/' || name) AS INT) AS place, 'y/' || name AS path
+FROM n WHERE ends_with(name, '.xlsx')""")
+def archive_by_date(spark, sf_dir):
+    """The order by date as numbers; the collection's own workbook is no set."""
+    own = spark.createDataFrame([("y/DJ Set Collection.xlsx",), ("y/1998-01-02 DJ Set Collection.xlsx",)], "path string")
+    entries = _names(spark, sf_dir).select(F.concat(F.lit("y/"), "name").alias("path")).union(own)
+    return placed(files.archive_sets(entries), [], F.substring("set_date", 1, 7), ["set_date", "path"], "place").select("place", "path")

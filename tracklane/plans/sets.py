@@ -47,15 +47,55 @@ def yearly_report(spark, sf_dir):
     return routing.yearly_report(s, F.year("o_orderdate"))
 
 
-@R.add("""
-WITH c AS (SELECT count(*) FILTER (event_type = 'error') AS failed, count(*) FILTER (event_type = 'none') AS bad_filename, count(*) FILTER (event_type = 'purchase' AND value > 20) AS sets_failed, count(*) AS seen FROM events)
-SELECT CASE WHEN failed + bad_filename + sets_failed > 0 THEN 'WARN' ELSE 'SUCCESS' END AS severity,
-  concat_ws('; ', CASE WHEN bad_filename > 0 THEN bad_filename || ' files with a bad name' END, CASE WHEN failed > 0 THEN failed || ' files failed' END, CASE WHEN sets_failed > 0 THEN sets_failed || ' sets failed' END) AS text,
-  'bad_filename=' || bad_filename || ' seen=' || seen AS extra FROM c""")
+_RUN = """
+f AS (SELECT CASE WHEN event_id % 50 = 0 THEN 'bad_filename' WHEN event_id % 50 < 4 THEN 'other' WHEN event_id % 50 < 6 THEN 'bad_set_name' ELSE 'set' END AS route,
+  CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 11 = 0 THEN 'duplicate' ELSE 'imported' END AS status, CASE WHEN event_id % 301 <> 0 THEN CAST(user_id % 40 AS BIGINT) END AS n_tracks,
+  CASE WHEN event_id % 17 = 0 THEN 'failed' WHEN event_id % 17 = 1 THEN 'no_tracks' WHEN event_id % 17 = 2 THEN 'unset' ELSE 'sent' END AS ingest, event_id % 503 = 0 AS playlist_failed, event_id FROM events),
+i AS (SELECT * FROM f WHERE route IN ('set', 'bad_set_name') AND status = 'imported'),
+c AS (SELECT count(*) FILTER (route IN ('set', 'bad_set_name')) AS sets_attempted, (SELECT count(*) FROM i) AS sets_imported, count(*) FILTER (route IN ('set', 'bad_set_name') AND status = 'failed') AS sets_failed,
+  count(*) FILTER (route = 'other') AS sets_skipped, count(*) FILTER (route = 'bad_filename') AS unrecognized_filename_skips, count(*) FILTER (route IN ('set', 'bad_set_name') AND status = 'duplicate') AS duplicate_csv_count,
+  (SELECT CAST(coalesce(sum(n_tracks), 0) AS BIGINT) FROM i) AS total_tracks, (SELECT count(*) FROM i WHERE ingest IN ('sent', 'failed')) AS ingest_attempted, (SELECT count(*) FROM i WHERE ingest = 'failed') AS ingest_failed,
+  (SELECT count(*) FROM i WHERE playlist_failed) AS spotify_failed, (SELECT count(*) FROM i WHERE route = 'bad_set_name') AS bad_filename_in_file, (SELECT count(*) FROM i WHERE ingest = 'no_tracks') AS ingest_skipped_no_tracks,
+  (SELECT count(*) FROM i WHERE ingest = 'unset') AS ingest_skipped_env_missing, (SELECT count(*) FROM i WHERE n_tracks IS NULL) AS track_read_failed FROM f)"""
+
+
+def _run_files(spark, sf_dir):
+    """Files of a run with what became of them, made of the events."""
+    e, k = table(spark, sf_dir, "events", "event_id", "event_type", "user_id"), F.col("event_id")
+    m = k % 17
+    return e.select(
+        "event_id", F.concat(F.lit("2024-01-01 S"), k.cast("string"), F.lit(".csv")).alias("name"),
+        F.when(k % 50 == 0, "bad_filename").when(k % 50 < 4, "other").when(k % 50 < 6, "bad_set_name").otherwise("set").alias("route"),
+        F.when(F.col("event_type") == "error", "failed").when(k % 11 == 0, "duplicate").otherwise("imported").alias("status"), F.when(k % 301 != 0, F.col("user_id").cast("bigint") % 40).alias("n_tracks"),
+        F.when(m == 0, "failed").when(m == 1, "no_tracks").when(m == 2, "unset").otherwise("sent").alias("ingest"), F.when(k % 503 == 0, "failed").otherwise("sent").alias("playlist"),
+    )
+
+
+@R.add(f"WITH {_RUN} SELECT *, ingest_failed = 0 AS api_ingest_success FROM c")
 def run_counters(spark, sf_dir):
-    e, t = table(spark, sf_dir, "events", "event_type", "value"), F.col("event_type")
-    c = e.agg(F.count_if(t == "error").alias("failed"), F.count_if(t == "none").alias("bad_filename"), F.count_if((t == "purchase") & (F.col("value") > 20)).alias("sets_failed"), F.count("*").alias("seen"))
-    return routing.finding(c, absorbed=["failed", "sets_failed"])
+    return routing.run_counters(_run_files(spark, sf_dir))
+
+
+@R.add(f"""WITH {_RUN}, p AS (SELECT *, concat_ws('; ', CASE WHEN sets_failed > 0 THEN 'sets_failed=' || sets_failed END, CASE WHEN ingest_failed > 0 THEN 'ingest_failed=' || ingest_failed END,
+  CASE WHEN spotify_failed > 0 THEN 'spotify_failed=' || spotify_failed END, CASE WHEN bad_filename_in_file > 0 THEN 'bad_filename_in_file=' || bad_filename_in_file END,
+  CASE WHEN track_read_failed > 0 THEN 'track_read_failed=' || track_read_failed END) AS said FROM c)
+SELECT CASE WHEN said <> '' THEN 'WARN' ELSE 'SUCCESS' END AS severity, CASE WHEN said <> '' THEN 'Completed with issues: ' || said END AS text, 'ingest_attempted=' || ingest_attempted || ' ingest_failed=' || ingest_failed ||
+  ' spotify_failed=' || spotify_failed || ' bad_filename_in_file=' || bad_filename_in_file || ' ingest_skipped_no_tracks=' || ingest_skipped_no_tracks || ' ingest_skipped_env_missing=' || ingest_skipped_env_missing ||
+  ' track_read_failed=' || track_read_failed AS extra FROM p""")
+def run_finding(spark, sf_dir):
+    return routing.finding(routing.run_counters(_run_files(spark, sf_dir)))
+
+
+@R.add("SELECT 'SUCCESS' AS severity, CAST(NULL AS VARCHAR) AS text, 'seen=' || count(*) AS extra FROM events")
+def run_finding_without_issues(spark, sf_dir):
+    """Skipped names and duplicates alone are no issue."""
+    n = table(spark, sf_dir, "events", "event_id").agg(F.lit(0).alias("sets_failed"), F.lit(3).alias("unrecognized_filename_skips"), F.lit(2).alias("duplicate_csv_count"), F.count("*").alias("seen"))
+    return routing.finding(n)
+
+
+@R.add(f"WITH {_RUN} SELECT '2024-01-01 S' || event_id AS label FROM f WHERE route IN ('set', 'bad_set_name') AND status = 'failed'")
+def run_failed_labels(spark, sf_dir):
+    return routing.failed_labels(_run_files(spark, sf_dir))
 
 
 @R.add("""
@@ -73,7 +113,7 @@ SELECT event_id, CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE
   coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 200 AS scanned FROM events""")
 def running_cap(spark, sf_dir):
     e = table(spark, sf_dir, "events", "event_id", "ts", "event_type")
-    return routing.capped(e, F.col("event_type") == "purchase", F.to_date("ts"), ["ts", "event_id"]).select("event_id", "before", "scanned")
+    return routing.capped(e, F.col("event_type") == "purchase", F.col("ts"), ["ts", "event_id"]).select("event_id", "before", "scanned")
 
 
 @R.add("""
@@ -117,13 +157,46 @@ def upsert_diff(spark, sf_dir):
     return playlists.upsert(last(e.filter("ts < timestamp_ntz'2024-01-10'")), last(e.filter("event_type <> 'view' AND ts < timestamp_ntz'2024-01-11'")))
 
 
-@R.add("""
-SELECT event_id, CASE WHEN event_type = 'error' OR coalesce(CASE WHEN event_id % 9 <> 0 THEN value / 25 END, 0) < 0.9 THEN 'in_place' ELSE 'move' END AS action,
-  CASE WHEN event_type = 'error' THEN 'no_candidates' WHEN coalesce(CASE WHEN event_id % 9 <> 0 THEN value / 25 END, 0) < 0.9 THEN 'low_confidence' ELSE 'identified' END AS reason, event_type <> 'error' AND event_id % 2 = 0 AS tagged FROM events""")
+_SURE = "coalesce(CASE WHEN event_id % 9 <> 0 THEN value / 25 END, 0)"
+_ROUTED = f"""r AS (SELECT event_id, ts, event_id % 37 = 0 AS failed, CASE WHEN event_type = 'error' OR {_SURE} < 0.9 THEN 'in_place' ELSE 'move' END AS action,
+  CASE WHEN event_type = 'error' THEN 'no_candidates' WHEN {_SURE} < 0.9 THEN 'low_confidence:' || printf('%.3f', {_SURE}) ELSE 'identified' END AS reason, event_id % 2 = 0 AS tagged FROM events)"""
+
+
+def _identified(spark, sf_dir):
+    """Audio files with what was found about them, made of the events."""
+    e, k = table(spark, sf_dir, "events", "event_id", "event_type", "value", "ts"), F.col("event_id")
+    return e.select("event_id", "ts", (F.col("event_type") != "error").alias("has_candidate"), F.when(k % 9 != 0, F.col("value") / 25).alias("confidence"), (k % 2 == 0).alias("has_metadata"), (k % 37 == 0).alias("failed"))
+
+
+@R.add(f"WITH {_ROUTED} SELECT event_id, action, reason, tagged FROM r")
 def confidence_route(spark, sf_dir):
-    e = table(spark, sf_dir, "events", "event_id", "event_type", "value")
-    rows = e.select("event_id", (F.col("event_type") != "error").alias("has_candidate"), F.when(F.col("event_id") % 9 != 0, F.col("value") / 25).alias("confidence"), (F.col("event_id") % 2 == 0).alias("has_metadata"))
-    return routing.routed(rows).select("event_id", "action", "reason", "tagged")
+    return routing.routed(_identified(spark, sf_dir)).select("event_id", "action", "reason", "tagged")
+
+
+@R.add(f"""WITH {_ROUTED} SELECT event_id AS file_id, 0 AS k, CASE WHEN action = 'move' THEN 'upload' ELSE 'update' END AS step, CASE WHEN action = 'move' THEN 'destination' ELSE 'source' END AS target FROM r
+UNION ALL SELECT event_id, 1, 'delete', 'source' FROM r WHERE action = 'move'""")
+def file_writes(spark, sf_dir):
+    return routing.writes(routing.routed(_identified(spark, sf_dir)).withColumnRenamed("event_id", "file_id"))
+
+
+_HANDLED = f"""{_ROUTED}, h AS (SELECT *, coalesce(sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 200 AS scanned FROM r),
+n AS (SELECT count(*) FILTER (scanned) AS scanned, count(*) FILTER (scanned) AS downloaded, count(*) FILTER (scanned AND NOT failed AND action = 'move') AS identified, count(*) FILTER (scanned AND NOT failed AND tagged) AS tagged,
+  count(*) FILTER (scanned AND NOT failed) AS uploaded, count(*) FILTER (scanned AND NOT failed AND action = 'move') AS deleted, count(*) FILTER (scanned AND failed) AS failed, count(*) FILTER (NOT scanned) AS skipped FROM h)"""
+
+
+def _retagged(spark, sf_dir):
+    rows = routing.routed(_identified(spark, sf_dir))
+    return routing.retag_counters(routing.capped(rows, ~F.col("failed"), F.col("ts"), ["ts", "event_id"]))
+
+
+@R.add(f"WITH {_HANDLED} SELECT * FROM n")
+def retag_counters(spark, sf_dir):
+    return _retagged(spark, sf_dir)
+
+
+@R.add(f"WITH {_HANDLED} SELECT CASE WHEN failed > 0 THEN 'WARN' ELSE 'SUCCESS' END AS severity, CASE WHEN failed > 0 THEN 'Completed with issues: failed=' || failed || ' of scanned=' || scanned || '.' END AS text FROM n")
+def retag_finding(spark, sf_dir):
+    return routing.retag_finding(_retagged(spark, sf_dir))
 
 
 @R.add("""
@@ -159,4 +232,4 @@ SELECT event_id, strftime(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN t < utc THEN '-'
 def local_instants(spark, sf_dir):
     e = table(spark, sf_dir, "events", "event_id", "ts")
     t = F.expr("date_trunc('MINUTE', cast(ts as timestamp)) + make_interval(0, 0, 0, cast(event_id % 366 as int))")
-    return e.select("event_id", parse.local_instant(F.date_format(t, "yyyy-MM-dd HH:mm"), live.ZONE).alias("played_at"))
+    return parse.with_instant(e.select("event_id", F.date_format(t, "yyyy-MM-dd HH:mm").alias("dt")), F.col("dt"), live.ZONE).select("event_id", "played_at")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 from tracklane.functions.text import clean_line
+from tracklane.operators.order import placed
 
 #: The audio types that are listed.
 AUDIO_TYPES = ("audio/mpeg", "audio/mp4", "audio/x-m4a", "audio/wav", "audio/x-wav", "audio/flac", "audio/aac", "audio/ogg", "audio/x-aiff", "audio/aiff")
@@ -47,15 +48,40 @@ def csv_grid(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("path").alias("source_id"), F.lit("csv").alias("tab"), order.alias("row_ord"), bare.alias("cells"))
 
 
-def listing(spark: SparkSession, root: str) -> DataFrame:
-    """(folder, file_id, name, mime_type, listing_ord) of the files below `root`; contents are not read."""
-    from pyspark.sql import Window as W
+#: Suffix -> type of the files that a listing tells apart.
+TYPES = {
+    "csv": "text/csv", "m3u": "audio/x-mpegurl", "xlsx": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", "mp3": "audio/mpeg", "m4a": "audio/mp4",
+    "wav": "audio/wav", "flac": "audio/flac", "aac": "audio/aac", "ogg": "audio/ogg", "aiff": "audio/aiff", "aif": "audio/x-aiff",
+}
+
 
+def listing(spark: SparkSession, root: str) -> DataFrame:
+    """(folder, file_id, name, mime_type, trashed, listing_ord) of the files below `root`; contents are not read."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path")
-    kind = F.lower(F.substring_index("path", ".", -1))
-    mime = F.when(kind == "csv", "text/csv").when(kind == "m3u", "audio/x-mpegurl").when(kind == "mp3", "audio/mpeg").when(kind == "xlsx", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet").otherwise("application/octet-stream")
-    rows = raw.select(F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder"), F.col("path").alias("file_id"), file_name(F.col("path")).alias("name"), mime.alias("mime_type"))
-    return rows.withColumn("listing_ord", F.row_number().over(W.partitionBy("folder").orderBy("name")))
+    types = F.create_map(*[F.lit(x) for kv in TYPES.items() for x in kv])
+    mime = F.coalesce(F.try_element_at(types, F.lower(F.substring_index("path", ".", -1))), F.lit("application/octet-stream"))
+    rows = raw.select(
+        F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder"), F.col("path").alias("file_id"), file_name(F.col("path")).alias("name"), mime.alias("mime_type"), F.lit(False).alias("trashed")
+    )
+    return placed(rows, ["folder"], F.substring("name", 1, 8), ["name", "file_id"], "listing_ord")
+
+
+def folder_files(listed: DataFrame, folder: str | None = None, mime_type: str | None = None) -> DataFrame:
+    """The files of a listing that are not in the trash, of one folder and type where these are given."""
+    out = listed.filter(~F.col("trashed"))
+    out = out.filter(F.col("folder") == folder) if folder is not None else out
+    return out.filter(F.col("mime_type") == mime_type) if mime_type is not None else out
+
+
+def audio_files(listed: DataFrame) -> DataFrame:
+    """Files of the audio types, each id once (of repeated ones the first by type, then place), or all where there are none."""
+    there = folder_files(listed)
+    place = F.array_position(F.array(*map(F.lit, AUDIO_TYPES)), F.col("mime_type"))
+    typed = there.withColumn("_type", place).filter("_type > 0 AND coalesce(file_id, '') <> ''")
+    row = F.struct(*listed.columns)
+    found = typed.groupBy("file_id").agg(F.min_by(row, F.struct("_type", "listing_ord")).alias("_r")).select("_r.*")
+    n = typed.agg(F.count("*").alias("_n")).filter("_n = 0")
+    return found.unionByName(there.join(F.broadcast(n)).drop("_n"))  # one row or none
 
 
 def history_entries(rows: DataFrame, file_date: Callable[[Column], Column] | None = None) -> DataFrame:
@@ -137,23 +163,51 @@ def sheet_cells(data: bytes) -> list[list[str]]:
     return out
 
 
-def workbook_archives(spark: SparkSession, paths: str | Sequence[str], wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
-    """(archive, path, row_ord, cells, error) of the workbooks in zip archives; a broken workbook gives one row with its error."""
+def archive_entries(spark: SparkSession, paths: str | Sequence[str], wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
+    """(archive, path, content, error): a row for each wanted entry of zip archives; a broken archive gives one with its error.
+
+    An archive is read whole by one task (Spark's binary files hold at most 2 GB); its entries are dealt out after that.
+    """
     raw = spark.read.format("binaryFile").load(paths).select("path", "content")
+    schema = "archive string, path string, content binary, error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for archive, content in zip(part["path"], part["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    for name in sorted(n for n in z.namelist() if wanted(n)):
-                        try:
-                            rows = sheet_cells(z.read(name))
-                        except Exception as e:  # noqa: BLE001  one bad file must not end the others
-                            yield pd.DataFrame({"archive": [archive], "path": [name], "row_ord": [-1], "cells": [[]], "error": [str(e)]})
-                            continue
-                        yield pd.DataFrame({"archive": archive, "path": name, "row_ord": range(len(rows)), "cells": rows, "error": None})
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as z:
+                        for name in sorted(n for n in z.namelist() if wanted(n)):
+                            yield pd.DataFrame({"archive": [archive], "path": [name], "content": [z.read(name)], "error": [None]})
+                except Exception as e:  # noqa: BLE001  one bad archive must not end the others
+                    yield pd.DataFrame({"archive": [archive], "path": [None], "content": [None], "error": [str(e)]})
+
+    return raw.mapInPandas(run, schema)
 
-    return raw.mapInPandas(run, "archive string, path string, row_ord int, cells array<string>, error string")
+
+def workbook_rows(entries: DataFrame) -> DataFrame:
+    """(archive, path, row_ord, cells, error) of the workbooks in `entries`; a broken one gives a row with its error."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            for archive, path, content, error in part.itertuples(index=False):
+                rows: list[list[str]] = []
+                if error is None:
+                    try:
+                        rows = sheet_cells(content)
+                    except Exception as e:  # noqa: BLE001  one bad file must not end the others
+                        error = str(e) or type(e).__name__
+                if error is not None:
+                    yield pd.DataFrame({"archive": [archive], "path": [path], "row_ord": [-1], "cells": [[]], "error": [error]})
+                else:
+                    yield pd.DataFrame({"archive": archive, "path": path, "row_ord": range(len(rows)), "cells": rows, "error": None})
+
+    return entries.select("archive", "path", "content", "error").mapInPandas(run, "archive string, path string, row_ord int, cells array<string>, error string")
+
+
+def workbook_archives(spark: SparkSession, paths: str | Sequence[str], wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
+    """(archive, path, row_ord, cells, error) of the workbooks in zip archives, parsed in tasks of their own."""
+    entries = archive_entries(spark, paths, wanted)
+    return workbook_rows(entries.repartition(F.xxhash64("archive", "path")))
 
 
 class Page(InputPartition):
@@ -162,10 +216,14 @@ class Page(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    """One input partition for each page of `limit` rows; equality filters on `type` are taken over."""
+    """One input partition for each page of `limit` rows where the option `total` tells how many rows there are.
+
+    Without it one partition follows the pages, mappings of `items` and `next`, as long as there is a next one; anything
+    that is no mapping ends it. Equality filters on `type` are taken over.
+    """
 
-    def __init__(self, schema, options, fetch: Callable[[int, int, dict], Sequence[tuple]]):
-        self.total, self.limit = int(options.get("total", 0)), int(options.get("limit", 50))
+    def __init__(self, schema, options, fetch: Callable[[int, int, dict], Sequence[tuple] | Mapping]):
+        self.total, self.limit = int(options.get("total", -1)), int(options.get("limit", 50))
         self.fetch, self.where = fetch, {}
 
     def pushFilters(self, filters: list[Filter]):  # noqa: N802
@@ -176,13 +234,24 @@ class PagedReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        return [Page(o, self.limit) for o in range(0, self.total, self.limit)]
+        return [Page(o, self.limit) for o in range(0, self.total, self.limit)] if self.total >= 0 else [Page(0, self.limit)]
 
     def read(self, page: Page):
-        yield from self.fetch(page.offset, page.limit, self.where)
-
-
-def paged_source(format_name: str, ddl: str, fetch: Callable[[int, int, dict], Sequence[tuple]]) -> type[DataSource]:
+        offset = page.offset
+        while True:
+            got = self.fetch(offset, page.limit, self.where)
+            if self.total >= 0:
+                yield from got["items"] if isinstance(got, Mapping) else got
+                return
+            if not isinstance(got, Mapping):
+                return
+            yield from got.get("items") or []
+            if not got.get("next"):
+                return
+            offset += page.limit
+
+
+def paged_source(format_name: str, ddl: str, fetch: Callable[[int, int, dict], Sequence[tuple] | Mapping]) -> type[DataSource]:
     """A data source class for spark.dataSource.register that reads a service page by page.
 
     It takes over filters, so the session needs spark.sql.python.filterPushdown.enabled=true.
