@@ -35,23 +35,30 @@ def to_count(c: Column) -> Column:
     return F.coalesce(to_int(c), F.lit(0))
 
 
-def _part(c: Column, form: str, k: int) -> Column:
-    return F.nullif(F.regexp_extract(c, form, k), F.lit("")).cast("int")
+def _part(c: Column, k: int) -> Column:
+    """The k-th part of a text in colons, as a number; the caller has checked that it is one."""
+    return F.split_part(c, F.lit(":"), F.lit(k)).cast("int")
+
+
+def _two(n: Column) -> Column:
+    return F.lpad(n.cast("string"), 2, "0")
 
 
 def length_seconds(c: Column) -> Column:
     """ "m:ss" with ss below 60 in seconds, else null (hours are not read)."""
-    form = r"^([0-9]{1,3}):([0-9]{2})$"
-    m, s = (_part(strip(c), form, k) for k in (1, 2))
-    return F.when(s < 60, m * 60 + s)
+    s = strip(c)
+    return F.when(s.rlike(r"^[0-9]{1,3}:[0-5][0-9]$"), _part(s, 1) * 60 + _part(s, 2))
 
 
 def length_seconds_long(c: Column) -> Column:
     """As length_seconds, and "h:mm:ss" whose parts are not checked; a native time "Thh:mm:ss" means hh minutes and mm seconds."""
-    native = r"^T([0-9]{2}):([0-9]{2}):[0-9]{2}$"
-    form = r"^([0-9]{1,2}):([0-9]{1,2}):([0-9]{2})$"
-    h, m, s = (_part(strip(c), form, k) for k in (1, 2, 3))
-    return F.coalesce(_part(strip(c), native, 1) * 60 + _part(strip(c), native, 2), h * 3600 + m * 60 + s, length_seconds(c))
+    s = strip(c)
+    native = F.substring(s, 2, 8)
+    return (
+        F.when(s.rlike(r"^[0-9]{1,3}:[0-5][0-9]$"), _part(s, 1) * 60 + _part(s, 2))
+        .when(s.rlike(r"^[0-9]{1,2}:[0-9]{1,2}:[0-9]{2}$"), _part(s, 1) * 3600 + _part(s, 2) * 60 + _part(s, 3))
+        .when(s.rlike(r"^T[0-9]{2}:[0-9]{2}:[0-9]{2}$"), _part(native, 1) * 60 + _part(native, 2))
+    )
 
 
 _PART = r"[+-]?[0-9]+(?:_[0-9]+)*"
@@ -61,11 +68,14 @@ _LENGTH = rf"^[:\s]*({_PART})\s*:[:\s]*({_PART})\s*(?::[:\s]*({_PART})\s*)?(?::[
 def length_key(c: Column) -> Column:
     """Equal lengths in one form, "m:ss" or "h:mm:ss"; other text unchanged (stripped). Empty parts do not count."""
     s = strip(c)
+    # Most lengths are plain; only others need the parts found by the wider form.
+    plain = s.rlike(r"^(?:0|[1-9][0-9]?):[0-5][0-9]$")
     a, b, c3 = (F.replace(F.regexp_extract(s, _LENGTH, k), F.lit("_"), F.lit("")).try_cast("int") for k in (1, 2, 3))
     three = F.regexp_extract(s, _LENGTH, 3) != ""
     h, m, sec = F.when(three, a).otherwise(0), F.when(three, b).otherwise(a), F.when(three, c3).otherwise(b)
     good = (h >= 0) & (m >= 0) & (m < 60) & (sec >= 0) & (sec < 60)
-    return F.when(good, F.when(h > 0, F.format_string("%d:%02d:%02d", h, m, sec)).otherwise(F.format_string("%d:%02d", m, sec))).otherwise(s)
+    short, long = F.concat_ws(":", m.cast("string"), _two(sec)), F.concat_ws(":", h.cast("string"), _two(m), _two(sec))
+    return F.when((plain & (_part(s, 1) < 60)) | ~s.rlike(_LENGTH), s).when(good, F.when(h > 0, long).otherwise(short)).otherwise(s)
 
 
 def bpm_key(c: Column) -> Column:
@@ -84,11 +94,13 @@ def play_time(c: Column) -> Column:
 
 def play_time_ampm(c: Column) -> Column:
     """As play_time; "h:mm AM" and "PM" as 24-hour "HH:MM", a native time "Thh:mm:ss" without its T."""
-    form = r"^(?i)([0-9]{1,2}):([0-9]{2})\s*([ap])m$"
-    s = F.regexp_replace(strip(c), r"^T([0-9]{2}:[0-9]{2}:[0-9]{2})$", "$1")
-    h, half = _part(s, form, 1), F.lower(F.regexp_extract(s, form, 3))
-    hour = F.pmod(h, F.lit(12)) + F.when(half == "p", 12).otherwise(0)
-    return F.coalesce(F.when(h.isNotNull(), F.format_string("%02d:%s", hour, F.regexp_extract(s, form, 2))), play_time(s))
+    s = strip(c)
+    half = F.lower(F.substring(s, -2, 1))
+    hour = F.pmod(_part(s, 1), F.lit(12)) + F.when(half == "p", 12).otherwise(0)
+    return (
+        F.when(s.rlike(r"^[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$"), s).when(s.rlike(r"^(?i)[0-9]{1,2}:[0-9]{2}\s*[ap]m$"), F.concat_ws(":", _two(hour), F.substring(F.split_part(s, F.lit(":"), F.lit(2)), 1, 2)))
+        .when(s.rlike(r"^T[0-9]{2}:[0-9]{2}:[0-9]{2}$"), F.substring(s, 2, 8))
+    )
 
 
 def wall_time(c: Column) -> Column:
