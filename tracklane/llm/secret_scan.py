@@ -1,20 +1,25 @@
 """Secret scan: fixed patterns, and formats that are learned from labelled credentials.
 
 The base kinds are regular expressions. Their finds in a bounded sample of documents are the labelled credentials: each
-kind's strings, as character classes, make a prefix tree whose statistically compatible states are merged (Hoeffding
-bound) into a probabilistic automaton; runs of credential characters that no base kind covers make the background's.
-Every such run in every document is then scored: it is a secret where some kind's automaton likes it far better than the
-background's does, and about as well as that kind's own credentials.
-
-Null and empty texts have no spans. Repeated rows give repeated rows. Without labelled credentials nothing is added to
-the base spans. An empty table gives no rows.
+kind's strings with their counts, as character classes, make a prefix tree whose statistically compatible states are
+merged (Hoeffding bound) into a probabilistic automaton; runs of credential characters that no base kind covers make the
+background's. Then every run of such characters in every document, from the least length of a labelled string on, is
+scored: it is a secret where some kind's automaton likes it far better than the background's does, and about as well as
+that kind's own credentials. A secret run that a base span holds whole is not named again; the others are added as spans
+of the kind "format".
+
+Only the learning has bounds: MAX_DOCUMENTS documents, MAX_STRINGS strings of a kind, MAX_BACKGROUND background runs, and
+of strings longer than MAX_LENGTH characters (as in very long texts without a gap) none is learned from; they are scored
+like all others. Null and empty texts have no spans. Repeated rows give repeated rows. Without labelled credentials
+nothing is added to the base spans. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 from math import log, sqrt
 
 import numpy as np
@@ -25,19 +30,22 @@ from pyspark.sql import functions as F
 
 from tracklane.llm import common
 
-#: Documents, about, whose base finds are the labelled credentials; and strings of a kind that an automaton learns from.
-MAX_DOCUMENTS, MAX_STRINGS = 20_000, 400
+#: Documents, about, whose base finds are the labelled credentials; strings that an automaton learns from, and their length.
+MAX_DOCUMENTS, MAX_STRINGS, MAX_BACKGROUND, MAX_LENGTH = 20_000, 400, 4_000, 256
 ALPHA, UNSEEN, MARGIN, SLACK = 0.05, 1e-5, 6.0, 0.25
 KINDS = ("assign", "access", "hex", "format")
 #: Fixed patterns of the query's contract.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-MIN_VALUE, MIN_ACCESS, MIN_HEX, MIN_RUN = 6, 20, 24, 16
+MIN_VALUE, MIN_ACCESS, MIN_HEX = 6, 20, 24
 LONG_HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)  # the same finds: a run is maximal either way
-RUN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z0-9+/_.=-]{%d,}" % MIN_RUN)
-#: Texts without a match of these (RE2) have no span of the kind.
-MAY_ASSIGN, MAY_REST = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]", r"[A-Za-z0-9+/_.=-]{%d}" % MIN_RUN
+RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+GAP = r"[^A-Za-z0-9+/_.=-]+"
+#: Texts without a match (RE2) have no assignment.
+MAY_ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
+#: Distinct shapes of runs whose scores a worker remembers.
+CACHE_SHAPES = 500_000
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, str]]:
@@ -47,16 +55,15 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return out + [(m.start(), m.end(), 2, m.group()) for m in LONG_HEX.finditer(text)]
 
 
-def other_runs(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str]]:
-    """Runs of credential characters that overlap no base span."""
+def free_runs(text: str, base: list[tuple[int, int, int, str]], least: int) -> Iterator[tuple[int, int, str, bool]]:
+    """Runs of credential characters (start, end, run, whether it is apart from all base spans) that no base span holds whole."""
     taken = sorted((a, b) for a, b, _, _ in base)
-    k, reach = 0, 0
     for m in RUN.finditer(text):
-        while k < len(taken) and taken[k][0] < m.end():
-            reach = max(reach, taken[k][1])
-            k += 1
-        if reach <= m.start():
-            yield m.start(), m.end(), m.group()
+        a, b = m.span()
+        if b - a >= least:
+            near = [(x, y) for x, y in taken if x < b and y > a] if taken else []
+            if not any(x <= a and b <= y for x, y in near):
+                yield a, b, m.group(), not near
 
 
 _CLASS = str.maketrans({c: k for k, chars in {"d": "0123456789", "h": "abcdef", "l": "ghijklmnopqrstuvwxyz", "H": "ABCDEF", "U": "GHIJKLMNOPQRSTUVWXYZ"}.items() for c in chars})
@@ -65,24 +72,25 @@ _CLASS = str.maketrans({c: k for k, chars in {"d": "0123456789", "h": "abcdef",
 class Automaton:
     """A prefix tree of class strings whose compatible states are merged, first found first."""
 
-    def __init__(self, strings: list[str], alpha: float = ALPHA):
+    def __init__(self, strings: Mapping[str, int] | Sequence[str], alpha: float = ALPHA):
+        counts = strings if isinstance(strings, Mapping) else Counter(strings)
         self.go: list[dict[str, int]] = [{}]
         self.seen: list[dict[str, int]] = [{}]
         self.ends: list[int] = [0]
-        for s in strings:
+        for s, n in counts.items():
             at = 0
             for c in s.translate(_CLASS):
-                self.seen[at][c] = self.seen[at].get(c, 0) + 1
+                self.seen[at][c] = self.seen[at].get(c, 0) + n
                 if c not in self.go[at]:
                     self.go[at][c] = len(self.go)
                     self.go.append({})
                     self.seen.append({})
                     self.ends.append(0)
                 at = self.go[at][c]
-            self.ends[at] += 1
+            self.ends[at] += n
         self.bound = sqrt(0.5 * log(2 / alpha))
         self._merge_states()
-        floor = [self.score(s) / (len(s) + 1) for s in strings]
+        floor = [self.score(s) / (len(s) + 1) for s in counts]
         #: Per symbol, what all but the oddest twentieth of the strings reach.
         self.usual = sorted(floor)[len(floor) // 20] if floor else 0.0
 
@@ -118,9 +126,9 @@ class Automaton:
                     self.go[a][c] = self.go[b][c]
 
     def _merge_states(self) -> None:
-        red = [0]
+        red, known = [0], {0}
         while True:
-            fringe = next(((q, c, t) for q in red for c, t in sorted(self.go[q].items()) if t not in red), None)
+            fringe = next(((q, c, t) for q in red for c, t in sorted(self.go[q].items()) if t not in known), None)
             if fringe is None:
                 break
             q, c, t = fringe
@@ -131,6 +139,7 @@ class Automaton:
                     break
             else:
                 red.append(t)
+                known.add(t)
         number = {q: k for k, q in enumerate(red)}
         self.go = [{c: number[t] for c, t in self.go[q].items()} for q in red]
         self.seen, self.ends = [self.seen[q] for q in red], [self.ends[q] for q in red]
@@ -149,46 +158,66 @@ class Automaton:
 class Formats:
     """The kinds' automata and the background's."""
 
-    def __init__(self, strings: dict[str, list[str]], background: list[str]):
+    def __init__(self, strings: Mapping[str, Mapping[str, int] | Sequence[str]], background: Mapping[str, int] | Sequence[str]):
         self.kinds = [Automaton(s) for _, s in sorted(strings.items()) if s]
         self.background = Automaton(background)
+        #: No labelled credential is shorter.
+        self.least = max(MIN_VALUE, min((len(x) for s in strings.values() for x in s), default=MIN_VALUE))
         self.known: dict[str, bool] = {}
 
     def likes(self, run: str) -> bool:
-        key = run.translate(_CLASS)
-        if key not in self.known:
-            if len(self.known) > 100_000:
+        if not self.kinds:
+            return False
+        shape = run.translate(_CLASS)
+        if shape not in self.known:
+            if len(self.known) >= CACHE_SHAPES:
                 self.known.clear()
-            usual = self.background.score(run)
+            usual, n = self.background.score(run), len(run) + 1
             scores = [(a.score(run), a.usual) for a in self.kinds]
-            self.known[key] = any(s - usual > MARGIN and s / (len(run) + 1) >= floor - SLACK for s, floor in scores)
-        return self.known[key]
-
-
-def _maybe(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    found = lambda p: pc.fill_null(pc.match_substring_regex(texts, p), False).to_numpy(zero_copy_only=False)
-    return found(MAY_ASSIGN), found(MAY_REST)
+            self.known[shape] = any(s - usual > MARGIN and s / n >= floor - SLACK for s, floor in scores)
+        return self.known[shape]
 
 
 def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
+        found: Counter[tuple[str, str]] = Counter()
         for t in batch.column("t").to_pylist():
             base = base_spans(t or "")
-            rows += [(KINDS[k], v) for _, _, k, v in base] + [("background", s) for _, _, s in other_runs(t or "", base)]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], names=["kind", "value"])
+            found.update((KINDS[k], v) for _, _, k, v in base)
+            found.update(("background", s) for _, _, s, apart in free_runs(t or "", base, MIN_VALUE) if apart)
+        rows = [(k, v, n) for (k, v), n in found.items() if len(v) <= MAX_LENGTH]
+        kinds, values, counts = zip(*rows, strict=True) if rows else ((), (), ())
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string()), pa.array(counts, pa.int64())], names=["kind", "value", "n"])
 
 
-def learn(df: DataFrame, max_documents: int = MAX_DOCUMENTS, max_strings: int = MAX_STRINGS, text_col: str = "text") -> Formats:
-    """Automata from the base finds in about `max_documents` documents; at most `max_strings` strings of a kind come to the driver."""
+def learn(df: DataFrame, max_documents: int = MAX_DOCUMENTS, max_strings: int = MAX_STRINGS, max_background: int = MAX_BACKGROUND, text_col: str = "text") -> Formats:
+    """Automata from the base finds, with their counts, in about `max_documents` documents.
+
+    At most `max_strings` strings of a kind and `max_background` background runs come to the driver.
+    """
     n = df.count()
     some = df.select(df[text_col].alias("t")).filter(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(1e6 * min(1, max_documents / max(n, 1))))
-    found = common.cut(some.mapInArrow(_strings, "kind string, value string").groupBy("kind", "value").agg(F.count("*").alias("n")).filter(F.length("value") <= 256))
-    got = {k: [r.value for r in found.filter(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(max_strings).collect()] for k in (*KINDS[:3], "background")}
+    found = common.cut(some.mapInArrow(_strings, "kind string, value string, n bigint").groupBy("kind", "value").agg(F.sum("n").alias("n")))
+    bound = {**dict.fromkeys(KINDS[:3], max_strings), "background": max_background}
+    got = {k: {r.value: r.n for r in found.filter(F.col("kind") == k).orderBy(F.xxhash64("value"), "value").limit(m).collect()} for k, m in bound.items()}
     common.discard(found)
     return Formats({k: v for k, v in got.items() if k != "background"}, got["background"])
 
 
+def liked_texts(texts: pa.Array, formats: Formats) -> tuple[np.ndarray, np.ndarray]:
+    """Which texts hold a run that some format likes, and which hold one long enough for the base kinds; each distinct run is scored once."""
+    lists = pc.split_pattern_regex(pc.fill_null(texts, ""), GAP)
+    runs, at = lists.flatten(), np.asarray(lists.offsets, dtype=np.int64)
+    at = at - at[0]
+    size = pc.binary_length(runs).to_numpy(zero_copy_only=False)
+    enough = size >= formats.least
+    coded = runs.filter(pa.array(enough)).dictionary_encode()
+    liked = np.fromiter(map(formats.likes, coded.dictionary.to_pylist()), bool, len(coded.dictionary))
+    good = np.zeros(len(size), np.int64)
+    good[enough] = liked[coded.indices.to_numpy(zero_copy_only=False)]
+    return common.sums(good, at) > 0, common.sums(size >= MIN_ACCESS, at) > 0
+
+
 def scan(df: DataFrame, formats: Formats, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans array<struct<kind, start, end>>) by start, then kind as in KINDS; one narrow stage."""
     kind = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
@@ -197,14 +226,15 @@ def scan(df: DataFrame, formats: Formats, id_col: str = "doc_id", text_col: str
         for batch in batches:
             for part in common.slices(batch, "t"):
                 texts = part.column("t")
-                assign, rest = _maybe(texts)
+                liked, long = liked_texts(texts, formats)
+                assign = pc.fill_null(pc.match_substring_regex(texts, MAY_ASSIGN), False).to_numpy(zero_copy_only=False)
                 out: list[list[dict]] = [[] for _ in range(part.num_rows)]
-                for k in np.flatnonzero(assign | rest).tolist():
+                for k in np.flatnonzero(assign | long | liked).tolist():
                     t = texts[k].as_py()
                     base = base_spans(t)
                     spans = [(a, n, b) for a, b, n, _ in base]
-                    if rest[k]:
-                        spans += [(a, 3, b) for a, b, s in other_runs(t, base) if formats.likes(s)]
+                    if liked[k]:
+                        spans += [(a, 3, b) for a, b, s, _ in free_runs(t, base, formats.least) if formats.likes(s)]
                     out[k] = [{"kind": KINDS[n], "start": a, "end": b} for a, n, b in sorted(spans)]
                 yield pa.RecordBatch.from_arrays([part.column("i"), pa.array(out, pa.list_(kind))], names=[id_col, "spans"])
 
