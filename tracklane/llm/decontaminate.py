@@ -3,15 +3,21 @@
 Texts become runs of word hashes (lower case, letters and digits only). Documents and benchmark items that share a seed,
 `least` words in a row, are joined on the seed; each such pair is tiled: the longest unmarked common runs are found by a
 running Karp-Rabin hash and marked, longest first, down to runs of `least` words, so reordered passages still add up. A
-document is contaminated where the tiles cover at least `threshold` of some item's words.
+document is contaminated where the tiles cover at least `threshold` of some item's words. An item of fewer words than
+`least` has one seed, all of its words, and one tile.
 
-Before the join, document seeds pass a bitmap of the items' seeds whose size is fixed (BITMAP_BITS), whatever the number
-of items; it lets no true seed fail, and the join is exact. Of a document only the words inside seeds that passed are
-kept, since a tile holds no other word: texts are never shuffled.
+Only pairs that can reach a coverage of `floor` are tiled, and found by few seeds. Tiles that cover c words hold at least
+c / least of the item's seeds, so a pair that reaches the floor shares one even when an item's most frequent seeds, one
+less than that number, are left out of the join; a stock phrase of many documents and items is thus no key of the join.
+Then the words inside shared seeds bound the coverage from above, and a pair below the floor is not tiled. Items of equal
+words are one item, that of the least id. For documents whose best item stays below the floor no item is named.
 
-Null and empty texts share no seed. Items of fewer than `least` words cannot be told from ordinary prose and match
-nothing. Repeated rows are judged one by one; of several items of equal coverage the least id is named. Empty tables:
-no documents, no rows; no items, nothing contaminated.
+Before the join, document seeds pass a bitmap of the items' seeds, of about BITS_A_SEED bits a seed and two hash
+functions, at most MAX_BITS in all; it lets no true seed fail, and the join is exact. Of a document only the words inside
+seeds that passed are kept, since a tile holds no other word: texts are never shuffled.
+
+Null and empty texts share no seed. Repeated rows are judged one by one; of several items of equal coverage the least id
+is named. Very long texts are like any others. Empty tables: no documents, no rows; no items, nothing contaminated.
 """
 
 from __future__ import annotations
@@ -23,12 +29,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracklane.llm import common
 
 LEAST, THRESHOLD = 5, 0.8
-BITMAP_BITS = 1 << 23
+#: The bitmap: bits for each seed of the items, and bounds of their number (8 MB).
+BITS_A_SEED, MIN_BITS, MAX_BITS = 16, 1 << 16, 1 << 26
 _BASE = 0x9E3779B97F4A7C15  # odd: the hash's multiplier modulo 2^64
 
 
@@ -105,48 +113,78 @@ def tile(p: list[int], t: list[int], least: int, first: int = 32) -> list[tuple[
         size = max(least, size // 2)
 
 
-def _tokens(texts: DataFrame, least: int) -> DataFrame:
-    """(uid, id, toks, seeds) of a table of items (id, t), written once."""
+def seeds_of(h: np.ndarray, at: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all runs of each of `sizes` words inside a text, where they start and their sizes, by start."""
+    found = [seed_hashes(h, at, n) for n in sizes]
+    s, start = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+    size = np.repeat(sizes, [len(f[0]) for f in found])
+    order = np.argsort(start, kind="stable")
+    with np.errstate(over="ignore"):
+        return (s * np.uint64(2) + size.astype(np.uint64) * np.uint64(_BASE))[order], start[order], size[order]
+
+
+def _items(benchmark: DataFrame, least: int) -> DataFrame:
+    """(item, item_id, p, n, seeds) of the benchmark's different items; written once. A short item's one seed is all of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch, "t"):
                 h, at = token_hashes(part.column("t"))
+                seeds = []
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                    own = h[a:b]
+                    seeds.append(seeds_of(own, np.array([0, b - a]), [min(least, b - a)])[0].view(np.int64) if b > a else np.empty(0, np.int64))
                 toks = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(h.view(np.int64)))
-                s, start = seed_hashes(h, at, least)
-                seeds = pa.ListArray.from_arrays(pa.array(np.searchsorted(start, at), pa.int32()), pa.array(s.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), toks, seeds], names=["id", "toks", "seeds"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), toks, pa.array(seeds, pa.list_(pa.int64()))], names=["id", "p", "seeds"])
 
-    schema = f"id {texts.schema['id'].dataType.simpleString()}, toks array<bigint>, seeds array<bigint>"
-    return common.cut(texts.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()))
+    schema = f"id {benchmark.schema['id'].dataType.simpleString()}, p array<bigint>, seeds array<bigint>"
+    rows = benchmark.mapInArrow(run, schema).filter(F.size("p") > 0)
+    distinct = rows.groupBy(F.sha2(F.concat_ws(",", F.transform("p", lambda x: x.cast("string"))), 256).alias("key")).agg(F.min("id").alias("item_id"), F.first("p").alias("p"), F.first("seeds").alias("seeds"))
+    return common.cut(distinct.drop("key").withColumn("item", F.monotonically_increasing_id()).withColumn("n", F.size("p")))
+
+
+def _places(s: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    mask = np.uint64(bits - 1)
+    with np.errstate(over="ignore"):
+        return s & mask, (s * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) & mask
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """The bitmap of column `seed`: at most BITMAP_BITS / 64 rows come to the driver."""
-    place = F.col("seed").bitwiseAND(F.lit(BITMAP_BITS - 1))
-    rows = seeds.select(F.call_function("shiftright", place, F.lit(6)).alias("at"), F.call_function("shiftleft", F.lit(1).cast("bigint"), place.bitwiseAND(F.lit(63)).cast("int")).alias("bit")).groupBy("at").agg(F.bit_or("bit").alias("bits")).collect()
-    out = np.zeros(BITMAP_BITS // 64, np.int64)
-    for r in rows:
-        out[r.at] = r.bits
+def _bitmap(seeds: DataFrame, n: int) -> np.ndarray:
+    """The bitmap of column `seed`, n in number: at most MAX_BITS / 64 rows come to the driver, as Arrow."""
+    bits = MIN_BITS
+    while bits < min(MAX_BITS, BITS_A_SEED * n):
+        bits *= 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            s = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
+            place = np.concatenate(_places(s, bits))
+            yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))], names=["at", "bit"])
+
+    rows = seeds.select("seed").mapInArrow(run, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[rows.column("at").to_numpy()] = rows.column("bits").to_numpy()
     return out.view(np.uint64)
 
 
-def _parts(docs: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
+def _parts(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
     """(uid, id, toks, seeds) of every document (id, t): the words inside seeds that pass the bitmap, 0 between runs."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # of a fixed size
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)  # of at most MAX_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, mask = shared.value, np.uint64(BITMAP_BITS - 1)
+        bits = shared.value
+        here = lambda place: (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
         for batch in batches:
             for part in common.slices(batch, "t"):
                 h, at = token_hashes(part.column("t"))
-                s, start = seed_hashes(h, at, least)
-                place = s & mask
-                hit = (bits[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
-                s, start = s[hit], start[hit]
+                s, start, size = seeds_of(h, at, sizes)
+                one, two = _places(s, len(bits) * 64)
+                hit = here(one)
+                hit[hit] = here(two[hit])
+                s, start, size = s[hit], start[hit], size[hit]
                 inside = np.zeros(len(h) + 1, np.int64)
                 np.add.at(inside, start, 1)
-                np.add.at(inside, start + least, -1)
+                np.add.at(inside, start + size, -1)
                 inside = np.cumsum(inside[:-1]) > 0
                 toks, seeds, first = [], [], np.searchsorted(start, at)
                 for k in range(part.num_rows):
@@ -166,36 +204,62 @@ def _parts(docs: DataFrame, bitmap: np.ndarray, least: int) -> DataFrame:
     return common.cut(docs.mapInArrow(run, schema).withColumn("uid", F.monotonically_increasing_id()))
 
 
+def candidates(some: DataFrame, items: DataFrame, least: int, floor: float) -> DataFrame:
+    """(uid, item) of all pairs of documents (uid, seeds) and items that can reach a coverage of `floor`; and some others."""
+    held = some.select("uid", F.explode("seeds").alias("seed"))
+    of_items = items.select("item", "n", F.explode("seeds").alias("seed")).groupBy("item", "n", "seed").agg(F.count("*").alias("times"))
+    often = held.groupBy("seed").agg(F.count("*").alias("often"))
+    known = of_items.join(often, "seed")
+    # Of its most frequent seeds an item leaves out as many as do not matter: one less than must be shared.
+    w = W.partitionBy("item").orderBy(F.desc("often"), "seed").rowsBetween(W.unboundedPreceding, W.currentRow)
+    spare = F.ceil(F.lit(floor) * F.col("n") / F.least(F.lit(least), F.col("n"))) - 1
+    index = known.withColumn("before", F.sum("times").over(w)).filter(F.col("before") > spare).select("seed", "item")
+    return held.join(index, "seed").select("uid", "item").distinct()
+
+
 def contamination(
-    docs: DataFrame, benchmark: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, benchmark: DataFrame, least: int = LEAST, threshold: float = THRESHOLD, floor: float | None = None,
+    id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+) -> DataFrame:
     """(id, item, n_tiles, n_covered, n_item_words, coverage, contaminated) for each document.
 
-    item is the one covered most; null, with zeros, where no seed is shared.
+    item is the one covered most; null, with zeros, where none is covered by `floor` (half of the threshold if not given).
     """
-    items = _tokens(benchmark.select(benchmark[item_col].alias("id"), benchmark[item_text_col].alias("t")), least)
-    seeds = items.select(F.col("uid").alias("item"), F.explode("seeds").alias("seed")).distinct()
+    floor = threshold / 2 if floor is None else min(floor, threshold)
+    items = _items(benchmark.select(benchmark[item_col].alias("id"), benchmark[item_text_col].alias("t")), least)
+    seeds = items.select(F.explode("seeds").alias("seed")).distinct()
+    # Sizes of seeds: `least`, and those of the items that are shorter.
+    sizes = sorted({least, *(r.n for r in items.filter(F.col("n") < least).select("n").distinct().collect())})
     own = docs.select(docs[id_col].alias("id"), docs[text_col].alias("t"))
-    parts = _parts(own, _bitmap(seeds), least)
+    parts = _parts(own, _bitmap(seeds, seeds.count()), sizes)
     some = parts.filter(F.col("seeds").isNotNull())
-    # A passage that a third of the documents hold is a frequent key on the left only; the right has each item's seeds once.
-    pairs = some.select("uid", F.explode("seeds").alias("seed")).join(seeds, "seed").select("uid", "item").distinct()
-    texts = items.select(F.col("uid").alias("item"), F.col("id").alias("item_id"), F.col("toks").alias("p"))
+    pairs = candidates(some, items, least, floor)
+    texts = items.select("item", "item_id", "p")
     both = pairs.join(some.select("uid", F.col("toks").alias("t")), "uid").join(texts, "item")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = []
             for k in range(batch.num_rows):
-                p = batch.column("p")[k].values.to_numpy().tolist()
-                tiles = tile(p, batch.column("t")[k].values.to_numpy().tolist(), least)
+                p, t = (batch.column(c)[k].values.to_numpy() for c in "pt")
+                size = min(least, len(p))
+                # What the tiles can cover at most: the words inside seeds that the text has too.
+                (a, i, _), (b, _, _) = (seeds_of(x.view(np.uint64), np.array([0, len(x)]), [size]) for x in (p, t))
+                inside = np.zeros(len(p) + 1, np.int64)
+                i = i[np.isin(a, b)]
+                np.add.at(inside, i, 1)
+                np.add.at(inside, i + size, -1)
+                if (np.cumsum(inside[:-1]) > 0).sum() < floor * len(p):
+                    got.append((0, 0, len(p)))
+                    continue
+                tiles = tile(p.tolist(), t.tolist(), size)
                 got.append((len(tiles), sum(n for _, _, n in tiles), len(p)))
             cols = [pa.array([g[k] for g in got], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column("uid"), batch.column("item_id"), *cols], names=["uid", "item_id", "n_tiles", "n_covered", "n_item_words"])
 
     kind = texts.schema["item_id"].dataType.simpleString()
     tiled = both.select("uid", "item_id", "p", "t").mapInArrow(run, f"uid bigint, item_id {kind}, n_tiles bigint, n_covered bigint, n_item_words bigint")
-    tiled = tiled.withColumn("coverage", F.col("n_covered") / F.col("n_item_words"))
+    tiled = tiled.withColumn("coverage", F.col("n_covered") / F.col("n_item_words")).filter(F.col("coverage") >= floor)
     best = tiled.groupBy("uid").agg(F.min_by(F.struct("item_id", "n_tiles", "n_covered", "n_item_words", "coverage"), F.struct(-F.col("coverage"), F.col("item_id"))).alias("b"))
     zero = lambda k: F.coalesce(F.col("b")[k], F.lit(0).cast("bigint")).alias(k)
     return parts.select("uid", "id").join(best, "uid", "left").select(
@@ -205,4 +269,4 @@ def contamination(
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination(common.table(spark, sf_dir, "documents", "doc_id", "text"), common.table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return contamination(common.table(spark, sf_dir, "documents", "doc_id", "text"), common.table(spark, sf_dir, "benchmark", "item_id", "text"), floor=THRESHOLD)
