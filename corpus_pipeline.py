@@ -35,7 +35,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Documents that hold no benchmark item."""
     key = common.row_key(F.col("doc_id"), F.col("text"))
     benchmark = common.table(spark, sf_dir, "benchmark", "item_id", "text")
-    found = decontaminate.contamination(docs.select(key.alias(KEY), "text"), benchmark, id_col=KEY)
+    found = decontaminate.contamination(docs.select(key.alias(KEY), "text"), benchmark, id_col=KEY, floor=decontaminate.THRESHOLD)
     return docs.withColumn(KEY, key).join(found.filter("contaminated").select(KEY).distinct(), KEY, "left_anti").drop(KEY)
 
 
