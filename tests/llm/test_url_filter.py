@@ -28,3 +28,15 @@ def test_rules_and_vocabulary(spark, same_as_sql, tmp_path):
     by = {r.page_id: (r.rule, r.verdict) for r in url_filter.filter_urls(df).collect()}
     assert [by[k] for k in (0, 3, 4, 5, 6, 7, 8)] == [(None, "allow"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("net/de/", "allow"), ("org/es/", "block"), ("org/es/", "block")]
     assert url_filter.filter_urls(df.filter("false")).count() == 0
+
+
+def test_vocabulary_of_a_table_with_weights(spark):
+    rows = [(" Evil ", 100.0), ("soft", 1.5), ("Soft", 0.5), ("mild", 0.5), ("faint", 0.25), ("", 9.0), (None, 9.0), ("none", 0.0)]
+    strict, soft = url_filter.read_vocabulary(spark.createDataFrame(rows, "term string, weight double"))
+    assert (strict, soft) == (("evil",), {"soft": 1.5, "mild": 0.5, "faint": 0.25})
+    urls = ["http://h/evil", "http://h/soft", "http://h/soft-mild", "http://h/soft/soft", "http://h/mild-faint", "http://h/devil-softmild"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = url_filter.filter_urls(df, rules=(), strict=strict, soft=soft).orderBy("page_id").collect()
+    assert [r.verdict for r in got] == ["block", "allow", "block", "allow", "allow", "allow"]
+    assert [r.soft_weight for r in got] == [0.0, 1.5, 2.0, 1.5, 0.75, 0.0]
+    assert url_filter.filter_urls(df, rules=(), strict=(), soft={}).filter("verdict = 'allow'").count() == len(urls)

@@ -1,14 +1,15 @@
 """URL filter: longest host/path rule, else a weighted vocabulary found by an Aho-Corasick automaton.
 
-A term counts only where both neighbours are no ASCII letter or digit. A url is rejected on one strict term or on
-`soft_limit` distinct soft terms. Null urls, and urls without "://", have an empty host and path; the vocabulary still
+A term counts only where both neighbours are no ASCII letter or digit. A url is rejected on one strict term, or on two
+or more distinct soft terms whose weights sum to `soft_limit`. The vocabulary is a parameter, and may come from a table
+(term, weight) of at most MAX_TERMS rows by `read_vocabulary`; it is the only thing that every task gets. Null urls, and urls without "://", have an empty host and path; the vocabulary still
 reads the whole url (null: nothing, so it is allowed). Repeated rows give repeated rows.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -17,14 +18,26 @@ from pyspark.sql import functions as F
 
 from tracklane.llm import common
 
+#: The built-in vocabulary: strict terms, and soft ones with their weights. A weight of STRICT_WEIGHT makes a term strict.
+STRICT_WEIGHT, SOFT_LIMIT, MAX_TERMS = 100.0, 2.0, 1_000_000
 STRICT = ("porn", "xxx", "casino", "viagra", "malware", "phishing", "warez", "hentai")
-SOFT = ("adult", "bet", "bonus", "cheap", "click", "crack", "dating", "download", "escort", "free", "gambling", "loan", "nude", "pills", "poker", "prize", "promo", "sex", "torrent", "win")
-SOFT_LIMIT = 2
+SOFT = {
+    "adult": 1.5, "bet": 1.0, "bonus": 0.75, "cheap": 0.75, "click": 0.5, "crack": 1.25, "dating": 1.0, "download": 0.5, "escort": 1.5, "free": 0.75, "gambling": 1.75, "loan": 1.0,
+    "nude": 1.5, "pills": 1.25, "poker": 1.25, "prize": 1.0, "promo": 0.5, "sex": 1.5, "torrent": 1.25, "win": 0.75,
+}
 #: (action, host and path) of the production rules, fixed by the query's contract.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 _ALNUM = frozenset(string.ascii_lowercase + string.digits)
 
 
+def read_vocabulary(table: DataFrame) -> tuple[tuple[str, ...], dict[str, float]]:
+    """(strict terms, soft terms with weights) of a table (term, weight): lower case, of equal terms the greatest weight."""
+    rows = table.filter("trim(term) <> '' AND weight > 0").groupBy(F.lower(F.trim("term")).alias("term")).agg(F.max("weight").alias("weight")).limit(MAX_TERMS + 1).collect()
+    if len(rows) > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} terms")
+    return tuple(sorted(r.term for r in rows if r.weight >= STRICT_WEIGHT)), {r.term: float(r.weight) for r in rows if r.weight < STRICT_WEIGHT}
+
+
 @lru_cache(maxsize=4)
 def automaton(strict: tuple[str, ...], soft: tuple[str, ...]):
     import ahocorasick
@@ -37,15 +50,15 @@ def automaton(strict: tuple[str, ...], soft: tuple[str, ...]):
     return out
 
 
-def hits(own, url: str | None) -> tuple[int, int]:
-    """Distinct strict and distinct soft terms of a url."""
-    found: tuple[set, set] = (set(), set())
+def hits(own, url: str | None) -> tuple[set[str], set[str]]:
+    """The distinct strict and distinct soft terms of a url."""
+    found: tuple[set[str], set[str]] = (set(), set())
     url = (url or "").lower()
-    for end, (kind, t) in own.iter(url):
+    for end, (kind, t) in own.iter(url) if len(own) else ():
         start = end - len(t)
         if (start < 0 or url[start] not in _ALNUM) and (end + 1 == len(url) or url[end + 1] not in _ALNUM):
             found[kind].add(t)
-    return len(found[0]), len(found[1])
+    return found
 
 
 def host_path(url: Column) -> tuple[Column, Column]:
@@ -58,37 +71,36 @@ def filter_urls(
     df: DataFrame,
     rules: Sequence[tuple[str, str]] = RULES,
     strict: Sequence[str] = STRICT,
-    soft: Sequence[str] = SOFT,
-    soft_limit: int = SOFT_LIMIT,
+    soft: Mapping[str, float] = SOFT,
+    soft_limit: float = SOFT_LIMIT,
     id_col: str = "page_id",
     url_col: str = "url",
 ) -> DataFrame:
-    """(id, host, path, rule, verdict, n_strict, n_soft): one narrow stage; only id and url are read."""
-    strict, soft = tuple(strict), tuple(soft)
-    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, url string, n_strict int, n_soft int"
+    """(id, host, path, rule, verdict, n_strict, n_soft, soft_weight): one narrow stage; only id and url are read."""
+    strict, weights = tuple(strict), dict(soft)
+    schema = f"`{id_col}` {df.schema[id_col].dataType.simpleString()}, url string, n_strict int, n_soft int, soft_weight double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = automaton(strict, soft)
+        own = automaton(strict, tuple(weights))
         for batch in batches:
             found = [hits(own, u) for u in batch.column("u").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("i"), batch.column("u"), pa.array([x[0] for x in found], pa.int32()), pa.array([x[1] for x in found], pa.int32())],
-                names=[id_col, "url", "n_strict", "n_soft"],
-            )
+            columns = [pa.array([len(x[k]) for x in found], pa.int32()) for k in (0, 1)] + [pa.array([sum(weights[t] for t in x[1]) for x in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([batch.column("i"), batch.column("u"), *columns], names=[id_col, "url", "n_strict", "n_soft", "soft_weight"])
 
     counted = df.select(df[id_col].alias("i"), df[url_col].alias("u")).mapInArrow(run, schema)
     host, path = host_path(F.col("url"))
-    counted = counted.select(F.col(id_col), host.alias("host"), path.alias("path"), "n_strict", "n_soft")
+    counted = counted.select(F.col(id_col), host.alias("host"), path.alias("path"), "n_strict", "n_soft", "soft_weight")
     rule = action = None
     for what, text in sorted(rules, key=lambda r: -len(r[1])):  # the longest first
         h, _, p = text.partition("/")
         fits = ((F.col("host") == h) | F.col("host").endswith("." + h)) & F.col("path").startswith("/" + p)
         rule = F.when(fits, text) if rule is None else rule.when(fits, text)
         action = F.when(fits, what) if action is None else action.when(fits, what)
-    method = F.when((F.col("n_strict") > 0) | (F.col("n_soft") >= soft_limit), "block").otherwise("allow")
+    several = (F.col("n_soft") >= 2) & (F.col("soft_weight") >= soft_limit)
+    method = F.when((F.col("n_strict") > 0) | several, "block").otherwise("allow")
     return counted.select(
         id_col, "host", "path", (rule if rule is not None else F.lit(None).cast("string")).alias("rule"),
-        (F.coalesce(action, method) if action is not None else method).alias("verdict"), "n_strict", "n_soft",
+        (F.coalesce(action, method) if action is not None else method).alias("verdict"), "n_strict", "n_soft", "soft_weight",
     )
 
 
@@ -97,19 +109,21 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    some = lambda terms: " + ".join(f"CAST(regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INT)" for t in terms)
+    one = lambda t: f"CAST(regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)') AS INT)"
+    some = lambda terms: " + ".join(map(one, terms))
+    weight = " + ".join(f"{w} * {one(t)}" for t, w in SOFT.items())
     rules = sorted(RULES, key=lambda r: -len(r[1]))
     fits = lambda t: f"((host = '{(h := t.partition('/')[0])}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{t.partition('/')[2]}'))"
     rule = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{t}'" for _, t in rules) + " END"
-    verdict = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{a}'" for a, t in rules) + f" WHEN n_strict > 0 OR n_soft >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END"
+    verdict = "CASE " + " ".join(f"WHEN {fits(t)} THEN '{a}'" for a, t in rules) + f" WHEN n_strict > 0 OR n_soft >= 2 AND soft_weight >= {SOFT_LIMIT} THEN 'block' ELSE 'allow' END"
     return f"""
 WITH p AS (
   SELECT page_id, lower(coalesce(url, '')) AS u,
     translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 1), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS host,
     regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', 2) AS path
   FROM pages),
-c AS (SELECT page_id, host, path, CAST({some(STRICT)} AS INT) AS n_strict, CAST({some(SOFT)} AS INT) AS n_soft FROM p)
-SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict, n_strict, n_soft FROM c"""
+c AS (SELECT page_id, host, path, CAST({some(STRICT)} AS INT) AS n_strict, CAST({some(SOFT)} AS INT) AS n_soft, CAST({weight} AS DOUBLE) AS soft_weight FROM p)
+SELECT page_id, host, path, {rule} AS rule, {verdict} AS verdict, n_strict, n_soft, soft_weight FROM c"""
 
 
 ORACLE_SQL = _sql()
