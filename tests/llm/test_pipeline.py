@@ -1,5 +1,6 @@
 """The stages one after another against what each must keep, on real and on odd documents."""
 
+import itertools
 import re
 
 import corpus_pipeline
@@ -14,6 +15,11 @@ from tracklane.llm import common
 SF = f"{DATA}/sf0.001"
 
 
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
 @pytest.fixture(scope="module")
 def stages(spark):
     docs = common.table(spark, SF, "documents")
@@ -29,12 +35,17 @@ def test_each_stage(spark, stages):
     texts = [{r.doc_id: r.text for r in x.collect()} for x in stages[:5]]
     failed = {i for i, t in texts[0].items() if (s := plain(t))[0] < 50 or 100 * s[4] > 50 * s[0]}
     assert failed.isdisjoint(texts[1])
+    # The stage's own contract: SimHash links of radius 2, and all pairs of 5-word shingle sets of Jaccard 0.8 or more.
     prints = {i: plain_print(t) for i, t in texts[1].items()}
     root = roots(set(prints.values()))
-    least = {}
-    for i in sorted(prints):
-        least.setdefault(root[prints[i]], i)
-    assert set(texts[2]) == set(least.values())
+    group = {i: i for i in prints}
+    find = lambda i: i if group[i] == i else find(group[i])
+    sets = {i: shingles(t) for i, t in texts[1].items()}
+    for i, j in itertools.combinations(sorted(prints), 2):
+        if root[prints[i]] == root[prints[j]] or 9 * len(sets[i] & sets[j]) >= 4 * (len(sets[i]) + len(sets[j])):
+            a, b = sorted((find(i), find(j)))
+            group[b] = a
+    assert set(texts[2]) == {i for i in prints if find(i) == i}
     words = lambda t: " ".join(filter(None, (re.sub(r"[\W_]+", "", w) for w in t.lower().split())))
     items = [words(r.text) for r in common.table(spark, SF, "benchmark").collect()]
     held = {i for i, t in texts[2].items() if any(x in words(t) for x in items)}
@@ -61,3 +72,30 @@ def test_odd_documents(spark):
     for _, f in corpus_pipeline.STAGES:
         none = common.cut(f(spark, none, SF))
     assert none.count() == 0
+
+
+def test_a_run_leaves_only_its_result(spark):
+    """Of all the tables that a run writes, those are left that its result reads; also with a column of the stages' own name."""
+    import os
+
+    here = common.shared_dir(spark)
+    before = set(os.listdir(here))
+    out = corpus_pipeline.run(spark, SF)
+    left = set(os.listdir(here)) - before
+    assert len(left) == 1 and left == {f.split("/")[-2] for f in out.inputFiles()}
+    assert out.count() > 0
+    docs = common.table(spark, SF, "documents").withColumn(corpus_pipeline.KEY, common.F.lit("x"))
+    assert common.cut(corpus_pipeline.decontamination(spark, docs, SF)).columns == docs.columns
+
+
+def test_queries_leave_only_what_their_results_read(spark):
+    import os
+
+    from tracklane.llm import registry
+
+    here = common.shared_dir(spark)
+    for name in ("op2_simhash_dedup", "op4_decontaminate", "op9_secret_scan"):
+        before = set(os.listdir(here))
+        out = registry.QUERIES[name](spark, SF)
+        assert set(os.listdir(here)) - before <= {f.split("/")[-2] for f in out.inputFiles()}, name
+        assert out.count() > 0

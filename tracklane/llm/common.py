@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ GAP = r"[\x20\x09-\x0D]+"
 SLICE_BYTES = 4_000_000
 
 _own_dirs: dict[str, str] = {}
+#: Of each running query, innermost last, the tables that it has written so far.
+_written: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -34,7 +37,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return _own_dirs.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="tracklane-"))
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="tracklane-")
+    return _own_dirs[app]
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -42,19 +48,48 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._cut_path = path  # noqa: SLF001
-    return out
+    if _written:
+        _written[-1].append(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Remove the files of a table made by `cut` that no later plan reads."""
-    if path := getattr(df, "_cut_path", None):
-        spark = df.sparkSession
+def _remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)  # noqa: SLF001
 
 
+def tidy(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """`query`, after which only those of the tables that it has cut are left that its result still reads."""
+
+    @functools.wraps(query)
+    def run(*args, **kwargs) -> DataFrame:
+        _written.append([])
+        try:
+            out = query(*args, **kwargs)
+        except BaseException:
+            _written.pop()
+            raise
+        mine = _written.pop()
+        read = {f.rpartition("/")[0].rpartition("/")[2] for f in out.inputFiles()} if mine else set()
+        _remove(out.sparkSession, [p for p in mine if p.rpartition("/")[2] not in read])
+        if _written:
+            _written[-1] += [p for p in mine if p.rpartition("/")[2] in read]
+        return out
+
+    return run
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the files of a table made by `cut` that no later plan reads, before its query ends."""
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    names = {f.rpartition("/")[2] for f in folders}
+    if len(names) == 1 and (name := names.pop()).startswith("cut-"):
+        _remove(df.sparkSession, folders)
+        for paths in _written:
+            paths[:] = [p for p in paths if not p.endswith(name)]
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once a row."""
     return F.transform(F.array(value), body)[0]

@@ -210,7 +210,7 @@ def _prune(rows: DataFrame, rule: list, binned) -> tuple[list, int, int]:
 def judge(docs: DataFrame, rules: DecisionList, text_col: str = "text") -> DataFrame:
     """(doc, quality): each row of `docs` as a struct, and the statistics, base_failed, kept, and the rule that rejects it."""
     s = F.col("s")
-    rows = docs.select(F.struct(*docs.columns).alias("doc")).withColumn("s", base_stats(F.col("doc")[text_col])).withColumn("rule", rules.rule(s))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).withColumn("s", base_stats(F.col("doc")[text_col])).withColumn("rule", rules.rule(s))
     return rows.select("doc", F.struct("s.*", base_failed(s).alias("base_failed"), (~base_failed(s) & F.col("rule").isNull()).alias("kept"), "rule").alias("quality"))
 
 

@@ -1,6 +1,6 @@
 """The subpackage's queries and their DuckDB counterparts."""
 
-from tracklane.llm import decontaminate, katz_lm, packing, pii_surrogates, quality_rules, secret_scan, simhash_dedup, token_counts, tool_calls, url_filter
+from tracklane.llm import common, decontaminate, katz_lm, packing, pii_surrogates, quality_rules, secret_scan, simhash_dedup, token_counts, tool_calls, url_filter
 
 QUERIES = {
     "op1_quality_rules": quality_rules.op1_quality_rules,
@@ -14,4 +14,5 @@ QUERIES = {
     "op9_secret_scan": secret_scan.op9_secret_scan,
     "op10_tool_calls": tool_calls.op10_tool_calls,
 }
+QUERIES = {name: common.tidy(query) for name, query in QUERIES.items()}
 ORACLES = {"op8_url_filter": url_filter.ORACLE_SQL, "op10_tool_calls": tool_calls.ORACLE_SQL}
