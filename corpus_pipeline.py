@@ -17,6 +17,14 @@ from tracklane.llm import common, decontaminate, jaccard, packing, pii_surrogate
 KEY = "_row_key_of_stage"
 
 
+def _free(docs: DataFrame) -> str:
+    """A column name that docs has not."""
+    name = KEY
+    while name in docs.columns:
+        name += "_"
+    return name
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the learned decision list keep; no shuffle of texts."""
     rules = quality_rules.learn(docs, common.table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -25,25 +33,27 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group that SimHash (radius 2) or a 5-word-shingle Jaccard of 0.8 links."""
-    key = common.row_key(F.col("doc_id"), F.col("text"))
+    own, key = _free(docs), common.row_key(F.col("doc_id"), F.col("text"))
     rows = docs.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", key.alias("key")).alias("row"), "text")
-    kept = jaccard.near_duplicates(rows, id_col="row").filter("row = component_id").select(F.col("row.key").alias(KEY)).distinct()
-    return docs.withColumn(KEY, key).join(kept, KEY, "left_semi").dropDuplicates([KEY]).drop(KEY)
+    kept = jaccard.near_duplicates(rows, id_col="row").filter("row = component_id").select(F.unhex("row.key").alias(own)).distinct()
+    return docs.withColumn(own, F.unhex(key)).join(common.cut(kept), own, "left_semi").dropDuplicates([own]).drop(own)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    key = common.row_key(F.col("doc_id"), F.col("text"))
+    """Documents that hold no benchmark item. The keys of the others are written first, so that Spark knows how few they are."""
+    own, key = _free(docs), common.row_key(F.col("doc_id"), F.col("text"))
     benchmark = common.table(spark, sf_dir, "benchmark", "item_id", "text")
-    found = decontaminate.contamination(docs.select(key.alias(KEY), "text"), benchmark, id_col=KEY, floor=decontaminate.THRESHOLD)
-    return docs.withColumn(KEY, key).join(found.filter("contaminated").select(KEY).distinct(), KEY, "left_anti").drop(KEY)
+    found = decontaminate.contamination(docs.select(key.alias("key"), "text"), benchmark, id_col="key", floor=decontaminate.THRESHOLD)
+    held = common.cut(found.filter("contaminated").select(F.unhex("key").alias(own)).distinct())
+    return docs.withColumn(own, F.unhex(key)).join(held, own, "left_anti").drop(own)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by surrogates."""
     text = F.col("pii.text")
     fresh = {"text": text, "n_chars": F.length(text).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
-    return pii_surrogates.replace(docs).select(*[fresh.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
+    key = spark.conf.get("spark.tracklane.pii.key", pii_surrogates.KEY)
+    return pii_surrogates.replace(docs, key).select(*[fresh.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,11 +64,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", quality),
-    ("simhash_dedup", near_dedup),
-    ("decontaminate", decontamination),
-    ("pii_surrogates", pii),
-    ("best_fit_packing", pack),
+    ("quality_rules", common.tidy(quality)),
+    ("simhash_dedup", common.tidy(near_dedup)),
+    ("decontaminate", common.tidy(decontamination)),
+    ("pii_surrogates", common.tidy(pii)),
+    ("best_fit_packing", common.tidy(pack)),
 ]
 #: The learned rules, the hashes and the packing have no SQL form; tests/llm compares the stages with brute force.
 ORACLE_SQL = None
@@ -67,5 +77,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = common.cut(stage(spark, docs, sf_dir))
+        # Once its rows are written, nothing else of a stage is needed, nor of the one before.
+        before, docs = docs, common.tidy(lambda docs=docs, stage=stage: common.cut(stage(spark, docs, sf_dir)))()
+        common.discard(before)
     return docs
