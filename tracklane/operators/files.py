@@ -72,13 +72,17 @@ def repaired_names(files: DataFrame, name: str = "name", order: str = "listing_o
     return wish.join(first, [folder, "_target", order], "left").withColumn("new_name", F.when(F.col("_wants") & F.col("_won"), F.col("_target")).otherwise(F.col(name))).drop("_target", "_wants", "_won")
 
 
-def year_actions(files: DataFrame, summaries: DataFrame, name: str = "name") -> DataFrame:
+def year_actions(files: DataFrame, summaries: DataFrame, name: str = "name", years: DataFrame | None = None) -> DataFrame:
     """(year, n_files, action): deduplicate, skip_similar, skip_unready or generate.
 
-    files: (year, name); summaries: names in the summary folder, each of which may mention a year.
+    files: (year, name); summaries: names in the summary folder, each of which may mention a year; years: the folders
+    (year), where those without files count too. The summary folder itself is no year.
     """
     n = F.col(name)
     per_year = files.groupBy("year").agg(F.count("*").alias("n_files"), F.bool_or(n.startswith(text.FAILED) | n.contains("_Cleaned")).alias("unready"))
+    if years is not None:
+        folders = years.filter(F.lower("year") != "summary").select("year").distinct()
+        per_year = folders.join(per_year, "year", "left").select("year", F.coalesce("n_files", F.lit(0)).alias("n_files"), F.coalesce("unready", F.lit(False)).alias("unready"))
     found = summaries.select(F.explode(F.array_distinct(F.regexp_extract_all(n, F.lit(r"(\d{4}) Summary"), F.lit(1)))).alias("year"), n.alias("s"))
     known = found.groupBy("year").agg(F.bool_or(F.col("s") == F.concat("year", F.lit(" Summary"))).alias("canonical"), F.lit(True).alias("similar"))
     action = F.when(F.coalesce("canonical", F.lit(False)), "deduplicate").when(F.coalesce("similar", F.lit(False)), "skip_similar").when(F.col("unready"), "skip_unready").otherwise("generate")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import text
 from tracklane.operators import live, playlists, routing
-from tracklane.plans.base import Registry, table
+from tracklane.plans.base import Registry, scratch, table
 from tracklane.sources import files as sources
+from tracklane.streaming import incoming
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -151,3 +152,15 @@ def paged_service(spark, sf_dir):
 def report_order(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_orderdate").select("o_orderdate", F.lit("imported").alias("status"), F.lit(1).alias("n_tracks"))
     return routing.sorted_report(routing.yearly_report(o, F.year("o_orderdate"))).select("year", "expected", "place")
+
+
+@R.add("SELECT n_name AS line FROM nation UNION ALL SELECT r_name FROM region")
+def incoming_stream(spark, sf_dir):
+    """Files that arrive in two runs of a stream, each read once, cleaned and written."""
+    path = scratch(spark, "stream")
+    for name, column in (("nation", "n_name"), ("region", "r_name")):
+        lines = table(spark, sf_dir, name, column).select(F.concat(F.lit(" "), column, F.lit("  ")).alias("value"))
+        lines.coalesce(1).write.mode("append").text(f"{path}/in")
+        stream = incoming.incoming_lines(spark, f"{path}/in")
+        incoming.run_available(stream, f"{path}/checkpoint", lambda df, _: df.select("line").write.mode("append").parquet(f"{path}/out"))
+    return spark.read.parquet(f"{path}/out")

@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import functions as F
 
 from tracklane import modes
 from tracklane.operators import first_fit, grid, summaries, tracks
-from tracklane.plans.base import Registry, fold_sql, table
+from tracklane.plans.base import Registry, fold_sql, scratch, table
 from tracklane.sources import files as sources
 from tracklane.sources import sinks
 
@@ -221,17 +218,11 @@ def clean_texts(spark, sf_dir):
     return sinks.clean_texts(sources.clean_lines(docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))), "doc_id")
 
 
-def _scratch(spark, name):
-    """A new folder that driver and executors share."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tracklane-")
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 @R.add("""SELECT CAST(o_orderkey AS BIGINT) AS v, CAST(year(o_orderdate) AS INT) AS year FROM orders WHERE year(o_orderdate) NOT IN (1994, 1995)
 UNION ALL SELECT -CAST(o_orderkey AS BIGINT), CAST(year(o_orderdate) AS INT) FROM orders WHERE year(o_orderdate) = 1995""")
 def yearly_tables(spark, sf_dir):
     """A table by year: all years written, one overwritten, one dropped, read back."""
-    path = _scratch(spark, "years")
+    path = scratch(spark, "years")
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate").select(F.col("o_orderkey").alias("v"), F.year("o_orderdate").alias("year"))
     sinks.overwrite_years(o, path)
     sinks.overwrite_years(o.filter("year = 1995").withColumn("v", -F.col("v")), path)
@@ -242,7 +233,7 @@ def yearly_tables(spark, sf_dir):
 @R.add(f"""{_SUMMARY} SELECT e.pos.t AS "Title", s."Artist", e.v_g AS "Genre", e.v_l AS "Length", e.n AS "Count", 1995 AS year FROM merged JOIN s ON s.source_id = e.pos.s AND s.tab = e.pos.b AND s.row_ord = e.pos.r""")
 def summary_written(spark, sf_dir):
     """The combined table, written, and the merge of the written copy, read back."""
-    path = _scratch(spark, "summary")
+    path = scratch(spark, "summary")
     sinks.write_summary(spark, summaries.combined(_sheets(spark, sf_dir)), 1995, path, lambda rows: first_fit.deduplicate(rows, ["at"]).drop("first_at"))
     return spark.read.parquet(f"{path}/summary").select("Title", "Artist", "Genre", "Length", "Count", "year")
 
@@ -250,7 +241,7 @@ def summary_written(spark, sf_dir):
 @R.add("SELECT CAST(year(o_orderdate) AS INT) AS source_id, CASE WHEN o_custkey % 2 = 0 THEN 'x' ELSE 'y' END AS tab, CASE WHEN o_custkey % 2 = 0 THEN -o_orderkey ELSE o_orderkey END AS v FROM orders")
 def tabs_rewritten(spark, sf_dir):
     """Tabs cleared and rewritten while the others stay."""
-    path = _scratch(spark, "tabs")
+    path = scratch(spark, "tabs")
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate", "o_custkey")
     rows = o.select(F.year("o_orderdate").alias("source_id"), F.when(F.col("o_custkey") % 2 == 0, "x").otherwise("y").alias("tab"), F.col("o_orderkey").alias("v"))
     sinks.overwrite_tabs(rows, path)

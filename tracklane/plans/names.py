@@ -96,12 +96,14 @@ def rename_first_wins(spark, sf_dir):
 @R.add("""
 WITH f AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, CASE WHEN o_orderkey % 4999 = 17 THEN 'FAILED_' ELSE '' END || o_orderkey || '.csv' AS name FROM orders),
 y AS (SELECT year, count(*) AS n_files, bool_or(starts_with(name, 'FAILED_') OR contains(name, '_Cleaned')) AS unready FROM f GROUP BY 1)
-SELECT year, CAST(n_files AS BIGINT) AS n_files, CASE WHEN year = '1996' THEN 'deduplicate' WHEN year = '1998' THEN 'skip_similar' WHEN unready THEN 'skip_unready' ELSE 'generate' END AS action FROM y""")
+SELECT year, CAST(n_files AS BIGINT) AS n_files, CASE WHEN year = '1996' THEN 'deduplicate' WHEN year = '1998' THEN 'skip_similar' WHEN unready THEN 'skip_unready' ELSE 'generate' END AS action FROM y
+UNION ALL SELECT '1890', 0, 'generate' UNION ALL SELECT '1891', 0, 'deduplicate'""")
 def year_readiness(spark, sf_dir):
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_orderdate")
     rows = o.select(F.year("o_orderdate").cast("string").alias("year"), F.concat(F.when(F.col("o_orderkey") % 4999 == 17, "FAILED_").otherwise(""), F.col("o_orderkey").cast("string"), F.lit(".csv")).alias("name"))
-    there = spark.createDataFrame([("1996 Summary",), ("Old 1998 Summary",)], "name string")
-    return files.year_actions(rows, there)
+    there = spark.createDataFrame([("1996 Summary",), ("Old 1998 Summary",), ("1891 Summary",)], "name string")
+    folders = rows.select("year").distinct().union(spark.createDataFrame([("1890",), ("1891",), ("Summary",)], "year string"))
+    return files.year_actions(rows, there, years=folders)
 
 
 _FILES = f"""{_NAMES}, f AS (SELECT CASE WHEN o_orderkey % 50 = 0 THEN 'Summary' WHEN o_orderkey % 50 = 1 THEN 'Archive' ELSE CAST(year(o_orderdate) AS VARCHAR) END AS folder, o_orderkey AS file_id, name,
