@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tracklane import modes
-from tracklane.operators import first_fit, grid, summaries, tracks
+from tracklane.operators import files, first_fit, grid, summaries, tracks
 from tracklane.plans.base import Registry, fold_sql, scratch, table
 from tracklane.sources import files as sources
 from tracklane.sources import sinks
@@ -247,3 +251,55 @@ def tabs_rewritten(spark, sf_dir):
     sinks.overwrite_tabs(rows, path)
     sinks.overwrite_tabs(rows.filter("tab = 'x'").withColumn("v", -F.col("v")), path)
     return spark.read.parquet(path)
+
+
+_NS = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+_REL = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+
+
+def _workbook(rows) -> bytes:
+    """A small workbook: the second of two sheets is active; a text, a time of day, a duration and a number a row."""
+    text = lambda x: f'<c t="inlineStr"><is><t>{x}</t></is></c>'
+    cells = [f'<row>{text("Title")}{text("Duration")}{text("Play Time")}{text("BPM")}</row>']
+    cells += [f'<row>{text(r.name)}<c s="2"><v>{r.secs / 86400!r}</v></c><c s="1"><v>{r.minute / 1440!r}</v></c><c><v>{r.bpm}</v></c></row>' for r in rows]
+    sheet = lambda body: f"<worksheet {_NS}><sheetData>{body}</sheetData></worksheet>"
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {_NS} {_REL}><bookViews><workbookView activeTab="1"/></bookViews><sheets><sheet name="a" r:id="r1"/><sheet name="b" r:id="r2"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="r1" Target="worksheets/sheet1.xml"/><Relationship Id="r2" Target="worksheets/sheet2.xml"/></Relationships>')
+        z.writestr("xl/styles.xml", f'<styleSheet {_NS}><cellXfs><xf numFmtId="0"/><xf numFmtId="21"/><xf numFmtId="46"/></cellXfs></styleSheet>')
+        z.writestr("xl/worksheets/sheet1.xml", sheet("<row><c><v>1</v></c></row>"))
+        z.writestr("xl/worksheets/sheet2.xml", sheet("".join(cells)))
+    return out.getvalue()
+
+
+def _archives(pdf: pd.DataFrame) -> pd.DataFrame:
+    """An archive for each region: a workbook for each of its dates, a broken one, and files that are no sets."""
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        for day, rows in pdf.sort_values("k").groupby("day"):
+            z.writestr(f"sets/{day} Club.xlsx", _workbook(list(rows.itertuples())))
+        z.writestr("sets/2001-01-01 Broken.xlsx", b"no workbook")
+        z.writestr("__MACOSX/sets/2001-01-02 Club.xlsx", b"")
+        z.writestr("sets/notes.txt", b"")
+    return pd.DataFrame({"path": [f"{pdf['region'].iloc[0]}.zip"], "content": [out.getvalue()]})
+
+
+@R.add("""WITH p AS (SELECT p_partkey AS k, p_size % 5 AS region, '2001-02-' || lpad(CAST(1 + p_partkey % 9 AS VARCHAR), 2, '0') AS day, p_partkey % 7000 AS secs, p_partkey % 1440 AS m, p_size AS bpm FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY region, day ORDER BY k) AS row_ord FROM p)
+SELECT region || '.zip' AS archive, 'sets/' || day || ' Club.xlsx' AS path, CAST(row_ord AS INT) AS row_ord, 'T' || k AS title, (secs // 3600) || ':' || lpad(CAST(secs // 60 % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(secs % 60 AS VARCHAR), 2, '0') AS length,
+  'T' || lpad(CAST(m // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || ':00' AS play_time, CAST(bpm AS VARCHAR) AS bpm, false AS failed FROM r
+UNION ALL SELECT DISTINCT region || '.zip', 'sets/2001-02-' || lpad(CAST(1 + k % 9 AS VARCHAR), 2, '0') || ' Club.xlsx', 0, 'Title', 'Duration', 'Play Time', 'BPM', false FROM p
+UNION ALL SELECT DISTINCT region || '.zip', 'sets/2001-01-01 Broken.xlsx', -1, NULL, NULL, NULL, NULL, true FROM p""")
+def workbook_cells(spark, sf_dir):
+    """Archives of workbooks: entries that are sets, the active sheet, native times and durations; a broken one is told."""
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part", "p_partkey", "p_size")
+    rows = p.select(
+        k.alias("k"), (F.col("p_size") % 5).alias("region"), F.concat(F.lit("2001-02-"), F.lpad((1 + k % 9).cast("string"), 2, "0")).alias("day"), F.concat(F.lit("T"), k.cast("string")).alias("name"),
+        (k % 7000).alias("secs"), (k % 1440).alias("minute"), F.col("p_size").alias("bpm"),
+    )
+    entries = sources.entries_of(rows.groupBy("region").applyInPandas(_archives, "path string, content binary"))
+    sets = entries.join(files.archive_sets(entries).select("path").distinct(), "path", "left_semi")
+    cell = lambda i: F.get("cells", i)
+    return sources.workbook_rows(sets).select("archive", "path", "row_ord", cell(0).alias("title"), cell(1).alias("length"), cell(2).alias("play_time"), cell(3).alias("bpm"), F.col("error").isNotNull().alias("failed"))

@@ -168,7 +168,11 @@ def archive_entries(spark: SparkSession, paths: str | Sequence[str], wanted: Cal
 
     An archive is read whole by one task (Spark's binary files hold at most 2 GB); its entries are dealt out after that.
     """
-    raw = spark.read.format("binaryFile").load(paths).select("path", "content")
+    return entries_of(spark.read.format("binaryFile").load(paths).select("path", "content"), wanted)
+
+
+def entries_of(archives: DataFrame, wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
+    """archive_entries of archives (path, content)."""
     schema = "archive string, path string, content binary, error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -181,7 +185,7 @@ def archive_entries(spark: SparkSession, paths: str | Sequence[str], wanted: Cal
                 except Exception as e:  # noqa: BLE001  one bad archive must not end the others
                     yield pd.DataFrame({"archive": [archive], "path": [None], "content": [None], "error": [str(e)]})
 
-    return raw.mapInPandas(run, schema)
+    return archives.select("path", "content").mapInPandas(run, schema)
 
 
 def workbook_rows(entries: DataFrame) -> DataFrame:
