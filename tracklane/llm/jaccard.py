@@ -90,15 +90,16 @@ def prefixes(rows: DataFrame, counts: np.ndarray, id_col: str) -> DataFrame:
 
 
 def full_sets(rows: DataFrame) -> DataFrame:
-    """(sid, all): the whole shingle set of each (sid, t)."""
+    """(sid, fp, all): the whole shingle set of each (sid, fp, t)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in common.slices(batch, "t", _SLICE):
                 h, at = shingle_sets(part.column("t"))
-                yield pa.RecordBatch.from_arrays([part.column("sid"), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))], names=["sid", "all"])
+                sets = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column("sid"), part.column("fp"), sets], names=["sid", "fp", "all"])
 
-    return rows.mapInArrow(run, "sid bigint, all array<bigint>")
+    return rows.mapInArrow(run, "sid bigint, fp bigint, all array<bigint>")
 
 
 def _candidates(met: DataFrame, buckets: DataFrame, small: int | None) -> DataFrame:
@@ -135,21 +136,23 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     one = sets.select("sid", "fp", "n", "central", F.posexplode("prefix").alias("pos", "h"))
     shared = one.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo < hi").select("h")
-    met, full = common.cut(one.join(shared, "h")), None
+    met = common.cut(one.join(shared, "h"))
     for k in range(rounds + 1):
         met = rooted(met)
         across = met.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"), F.max(F.struct("central", "sid")).alias("leader")).filter("lo < hi")
         buckets = common.cut(across.select("h", "members", "leader"))
         if buckets.isEmpty():
             break
-        if full is None:
-            wanted = met.join(buckets.select("h"), "h", "left_semi").select("sid").distinct().join(sets.select("sid", "id"), "sid").select("sid", F.col("id").alias("i"))
-            full = common.cut(full_sets(texts.join(wanted, "i").select("sid", "t")).dropDuplicates(["sid"]).join(sets.select("sid", "fp"), "sid"))
-        pairs = _candidates(met, buckets, None if k == rounds else small)
-        of = lambda x: full.select(F.col("sid").alias(x), F.col("fp").alias(f"fp_{x}"), F.col("all").alias(f"all_{x}"))
-        both = F.size(F.array_intersect("all_a", "all_b"))
-        found = common.cut(pairs.join(of("a"), "a").join(of("b"), "b").filter(9 * both >= 4 * (F.size("all_a") + F.size("all_b"))).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
-        tree = common.cut(components(tree.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)))
+        # The pairs come first: whole sets are made, and travel, only for texts that some pair needs.
+        pairs = common.cut(_candidates(met, buckets, None if k == rounds else small))
+        wanted = common.cut(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "fp", F.col("id").alias("i")), "sid"))
+        if not wanted.isEmpty():
+            full = common.cut(full_sets(texts.join(wanted, "i").dropDuplicates(["i"]).select("sid", "fp", "t")))
+            of = lambda x: full.select(F.col("sid").alias(x), F.col("fp").alias(f"fp_{x}"), F.col("all").alias(f"all_{x}"))  # noqa: E731, B023
+            both = F.size(F.array_intersect("all_a", "all_b"))
+            found = common.cut(pairs.join(of("a"), "a").join(of("b"), "b").filter(9 * both >= 4 * (F.size("all_a") + F.size("all_b"))).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
+            common.discard(full)
+            tree = common.cut(components(tree.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found)))
         if k == rounds:
             break
         met = met.join(buckets.filter(F.col("members") > small), "h").filter("sid <> leader.sid").drop("members", "leader")
