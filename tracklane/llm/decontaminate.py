@@ -36,7 +36,7 @@ from tracklane.llm import common
 
 LEAST, THRESHOLD = 5, 0.8
 #: The bitmap: bits for each seed of the items, and bounds of their number (8 MB).
-BITS_A_SEED, MIN_BITS, MAX_BITS = 16, 1 << 16, 1 << 26
+BITS_A_SEED, MIN_BITS, MAX_BITS = 256, 1 << 20, 1 << 26
 _BASE = 0x9E3779B97F4A7C15  # odd: the hash's multiplier modulo 2^64
 
 
@@ -113,14 +113,17 @@ def tile(p: list[int], t: list[int], least: int, first: int = 32) -> list[tuple[
         size = max(least, size // 2)
 
 
-def seeds_of(h: np.ndarray, at: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def seeds_of(h: np.ndarray, at: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray | int]:
     """Hashes of all runs of each of `sizes` words inside a text, where they start and their sizes, by start."""
-    found = [seed_hashes(h, at, n) for n in sizes]
+    with np.errstate(over="ignore"):
+        marked = lambda s, n: s * np.uint64(2) + np.uint64(n) * np.uint64(_BASE)
+        found = [(marked(s, n), start, n) for n in sizes for s, start in [seed_hashes(h, at, n)]]
+    if len(found) == 1:
+        return found[0]
     s, start = (np.concatenate([f[k] for f in found]) for k in (0, 1))
     size = np.repeat(sizes, [len(f[0]) for f in found])
     order = np.argsort(start, kind="stable")
-    with np.errstate(over="ignore"):
-        return (s * np.uint64(2) + size.astype(np.uint64) * np.uint64(_BASE))[order], start[order], size[order]
+    return s[order], start[order], size[order]
 
 
 def _items(benchmark: DataFrame, least: int) -> DataFrame:
@@ -143,10 +146,10 @@ def _items(benchmark: DataFrame, least: int) -> DataFrame:
     return common.cut(distinct.drop("key").withColumn("item", F.monotonically_increasing_id()).withColumn("n", F.size("p")))
 
 
-def _places(s: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    mask = np.uint64(bits - 1)
+def _place(s: np.ndarray, bits: int, k: int) -> np.ndarray:
+    """The k-th place (0 or 1) of each seed among `bits`."""
     with np.errstate(over="ignore"):
-        return s & mask, (s * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) & mask
+        return (s if k == 0 else s * np.uint64(0xD6E8FEB86659FD93) >> np.uint64(32)) & np.uint64(bits - 1)
 
 
 def _bitmap(seeds: DataFrame, n: int) -> np.ndarray:
@@ -158,7 +161,7 @@ def _bitmap(seeds: DataFrame, n: int) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = batch.column("seed").to_numpy(zero_copy_only=False).view(np.uint64)
-            place = np.concatenate(_places(s, bits))
+            place = np.concatenate([_place(s, bits, k) for k in (0, 1)])
             yield pa.RecordBatch.from_arrays([pa.array((place >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (place & np.uint64(63))).view(np.int64))], names=["at", "bit"])
 
     rows = seeds.select("seed").mapInArrow(run, "at bigint, bit bigint").groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
@@ -178,10 +181,9 @@ def _parts(docs: DataFrame, bitmap: np.ndarray, sizes: list[int]) -> DataFrame:
             for part in common.slices(batch, "t"):
                 h, at = token_hashes(part.column("t"))
                 s, start, size = seeds_of(h, at, sizes)
-                one, two = _places(s, len(bits) * 64)
-                hit = here(one)
-                hit[hit] = here(two[hit])
-                s, start, size = s[hit], start[hit], size[hit]
+                hit = np.flatnonzero(here(_place(s, len(bits) * 64, 0)))
+                hit = hit[here(_place(s[hit], len(bits) * 64, 1))]
+                s, start, size = s[hit], start[hit], size[hit] if isinstance(size, np.ndarray) else size
                 inside = np.zeros(len(h) + 1, np.int64)
                 np.add.at(inside, start, 1)
                 np.add.at(inside, start + size, -1)
