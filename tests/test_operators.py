@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracklane import modes
-from tracklane.operators import collection, files, first_fit, grid, live, playlists, routing, tracks
+from tracklane.operators import collection, files, first_fit, grid, live, order, playlists, routing, tracks
 from tracklane.sources import files as sources
 from tracklane.sources import sinks
 from tracklane.streaming import incoming
@@ -105,9 +105,9 @@ def test_union_and_fallback(spark):
 
 def test_cap_and_finding(spark):
     rows = spark.createDataFrame([(i // 3, i) for i in range(9)], "day int, i int")
-    got = routing.capped(rows, F.lit(True), F.col("day"), ["day", "i"], limit=4).orderBy("i").collect()
+    got = routing.capped(rows, F.lit(True), ["day", "i"], limit=4).orderBy("i").collect()
     assert [r.scanned for r in got] == [i < 4 for i in range(9)]
-    assert routing.capped(rows, F.lit(True), F.col("day"), ["day", "i"], limit=0).filter("scanned").count() == 9
+    assert routing.capped(rows, F.lit(True), ["day", "i"], limit=0).filter("scanned").count() == 9
     (f,) = routing.finding(spark.createDataFrame([(0, 2, 1, 5, 9)], "bad_filename_in_file int, ingest_failed int, sets_failed int, seen int, total_tracks int")).collect()
     assert (f.severity, f.text, f.extra) == ("WARN", "Completed with issues: sets_failed=1; ingest_failed=2", "bad_filename_in_file=0 ingest_failed=2 seen=5")
     (f,) = routing.finding(spark.createDataFrame([(0, 7)], "sets_failed int, unrecognized_filename_skips int")).collect()
@@ -145,15 +145,23 @@ def test_a_hot_key_is_split_by_a_column_that_is_never_blank(spark):
     assert sorted((r.Comment, r.Genre, r.Count) for r in got.collect()) == sorted(map(tuple, entries))
 
 
-def test_running_sums_cross_buckets(spark):
-    from tracklane.operators import order
-
+def test_running_sums_cross_partitions(spark):
     rows = spark.createDataFrame([(g, k, k % 3) for g in ("a", None) for k in range(40)], "g string, k int, v int")
-    got = order.running_before(rows, F.col("v"), ["g"], F.floor(F.col("k") / 7), ["k"], "before").collect()
+    got = order.running_before(rows, F.col("v"), ["g"], ["k"], "before").collect()
     assert all(r.before == sum(j % 3 for j in range(r.k)) for r in got) and len(got) == 80
-    assert [r.place for r in order.placed(rows, ["g"], -F.floor(F.col("k") / 7), [F.desc("k")], "place").filter("g IS NULL").orderBy(F.desc("k")).collect()] == list(range(1, 41))
-    assert rows.select(order.spread(rows, F.col("k"), 8).alias("b")).distinct().count() == 8
-    assert rows.filter("false").select(order.spread(rows.filter("false"), F.col("k")).alias("b")).count() == 0
+    assert [r.place for r in order.placed(rows, ["g"], [F.desc("k")], "place").filter("g IS NULL").orderBy(F.desc("k")).collect()] == list(range(1, 41))
+    assert order.placed(rows.filter("false"), [], ["k"], "place").count() == 0
+
+
+def test_places_of_texts_that_share_their_beginning(spark):
+    rows = spark.range(4000).select(F.concat(F.lit("the same long beginning of all texts "), F.lpad(F.col("id").cast("string"), 6, "0")).alias("t"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would else be put together
+    try:
+        sizes = [r.n for r in order.ranged(rows, [], ["t"]).groupBy("_part").agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert [r.place for r in order.placed(rows, [], [F.desc("t")], "place").orderBy(F.desc("t")).collect()] == list(range(1, 4001))
 
 
 def test_summary_order_without_titles(spark):

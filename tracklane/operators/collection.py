@@ -36,7 +36,7 @@ def sheet_rows(rows: DataFrame) -> DataFrame:
         "folder", F.when(~s, text.text_cell(F.col("date"))).alias("date_cell"), F.when(~s, text.text_cell(F.col("title"))).alias("title_cell"), "link",
         F.when(s, F.col("label")).otherwise(text.text_cell(F.col("date"))).alias("by"), "listing_ord",
     )
-    return placed(cells, ["folder"], F.substring("by", 1, 8), [F.desc("by"), "listing_ord"], "tab_row", descending=True).drop("by", "listing_ord")
+    return placed(cells, ["folder"], [F.desc("by"), "listing_ord"], "tab_row").drop("by", "listing_ord")
 
 
 def snapshot(rows: DataFrame) -> DataFrame:
@@ -44,9 +44,7 @@ def snapshot(rows: DataFrame) -> DataFrame:
     s = F.col("is_summary")
     item = F.when(s, F.to_json(F.struct("label", "url", "spreadsheet_id"))).otherwise(F.to_json(F.struct("date", "title", "label", "url", "spreadsheet_id")))
     flat = rows.select("folder", F.when(s, "").otherwise(F.col("date")).alias("by"), "label", item.alias("item"), "listing_ord")
-    # The date and the label's first letters, as one text whose order is theirs.
-    bucket = F.concat(F.rpad("by", 10, " "), F.substring("label", 1, 4))
-    return placed(flat, ["folder"], bucket, [F.desc("by"), F.desc("label"), "listing_ord"], "place", descending=True).select("folder", "place", "item")
+    return placed(flat, ["folder"], [F.desc("by"), F.desc("label"), "listing_ord"], "place").select("folder", "place", "item")
 
 
 def nested(snap: DataFrame) -> DataFrame:

@@ -96,7 +96,7 @@ def sorted_summary(rows: DataFrame) -> DataFrame:
     """Summary rows with their place by title in the order of characters, equal ones as they were; without a title by all columns."""
     at = [c for c in ("source_id", "tab", "row_ord") if c in rows.columns]
     by = ["Title"] if "Title" in rows.columns else [c for c in rows.columns if c not in at]
-    return placed(rows, [], F.substring(F.col(f"`{by[0]}`").cast("string"), 1, 6), [*[F.col(f"`{c}`").cast("string") for c in by], *at], "place").orderBy("place")
+    return placed(rows, [], [*[F.col(f"`{c}`").cast("string") for c in by], *at], "place").orderBy("place")
 
 
 def first_tabs(grid: DataFrame, order: str = "tab") -> DataFrame:

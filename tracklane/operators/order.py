@@ -1,4 +1,11 @@
-"""Places and running sums over groups of any size: rows are ordered in buckets, and only the buckets' sums in one task."""
+"""Places and running sums over groups of any size, by range partitions of the whole sort key.
+
+Rows are dealt by Spark's range partitioner, whose bounds it samples from the rows themselves, sorted inside each
+partition and written once; so rows that share a first letter, a day or a group never share a task for that. A row's
+number then tells its partition and its place there. Of each partition only counts or sums are added up, a row for each
+group that it holds, and the carry of earlier partitions is joined back. Rows equal in the whole key stay in one
+partition unless `order` ends with something that tells them apart.
+"""
 
 from __future__ import annotations
 
@@ -8,37 +15,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tracklane.sources.scratch import written
+
+#: monotonically_increasing_id: the partition is above these bits, the place in it below.
+_BITS = 33
+
+
+def ranged(rows: DataFrame, group: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """`rows` written in the order of (group, order), with `_part`, their range partition, and `_at`, their place in it from 0."""
+    by = [*(F.asc_nulls_first(c) for c in group), *order]
+    sorted_rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_id", F.monotonically_increasing_id())
+    # The partitions' bounds are sampled anew in each run of the plan: everything below must see one run.
+    held = written(sorted_rows, "ranged")
+    return held.select(*rows.columns, F.shiftright("_id", _BITS).cast("int").alias("_part"), F.col("_id").bitwiseAND((1 << _BITS) - 1).alias("_at"))
 
-def running_before(rows: DataFrame, value: Column, group: Sequence[str], bucket: Column, order: Sequence[Column | str], name: str, descending: bool = False) -> DataFrame:
-    """`rows` with the sum of `value` over the rows before each one in its group.
 
-    bucket: a coarse part of the order, such as a day of a time or the first letters of a text (descending: of a falling
-    order). Rows are summed by bucket first; these sums, a row a bucket, are summed up in each group, and joined back.
+def _carried(parts: DataFrame, group: Sequence[str], value: Column) -> DataFrame:
+    """`parts`, a row for each group and partition, with `carry`, the sum of `value` over the group's earlier partitions.
+
+    A group has at most as many rows here as there are partitions.
     """
-    held = rows.withColumn("_bucket", bucket).withColumn("_value", value)
-    keys = [*group, "_bucket"]
-    sums = held.groupBy(*keys).agg(F.sum("_value").alias("_sum"))
-    by = F.desc("_bucket") if descending else F.asc("_bucket")
-    earlier = F.sum("_sum").over(W.partitionBy(*group).orderBy(by).rowsBetween(W.unboundedPreceding, -1))
-    so_far = sums.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.coalesce(earlier, F.lit(0)).alias("_earlier"))
-    inside = F.sum("_value").over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, -1))
-    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    out = held.withColumn("_inside", F.coalesce(inside, F.lit(0))).join(so_far, same)
-    return out.select(*rows.columns, (F.col("_earlier") + F.col("_inside")).alias(name))
+    earlier = W.partitionBy(*group).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    return parts.withColumn("carry", F.coalesce(F.sum(value).over(earlier), F.lit(0)))
 
 
-def placed(rows: DataFrame, group: Sequence[str], bucket: Column, order: Sequence[Column | str], name: str, descending: bool = False) -> DataFrame:
-    """`rows` numbered from 1 in each group, by buckets as in running_before."""
-    out = running_before(rows, F.lit(1).cast("bigint"), group, bucket, order, name, descending)
-    return out.withColumn(name, (F.col(name) + 1).cast("int"))
+def _joined(held: DataFrame, parts: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """`held` with `columns` of `parts`; without a group that is a row a partition, which is broadcast."""
+    right = parts.select(F.col("_part").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], *columns)
+    same = F.col("_part") == F.col("_p")
+    for i, g in enumerate(group):
+        same &= F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return held.join(right if group else F.broadcast(right), same)
 
 
-def spread(rows: DataFrame, by: Column, parts: int = 256) -> Column:
-    """A bucket for each row that keeps the order of `by` (a number or a time) and holds about one of `parts` of all rows.
+def placed(rows: DataFrame, group: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """`rows` numbered from 1 in each group, in column `name`."""
+    held = ranged(rows, group, order)
+    parts = held.groupBy(*group, "_part").agg(F.count("*").alias("n"), F.min("_at").alias("first"))
+    offset = _carried(parts, group, F.col("n")).withColumn("offset", F.col("carry") - F.col("first"))
+    return _joined(held, offset, group, ["offset"]).select(*rows.columns, (F.col("_at") + F.col("offset") + 1).cast("int").alias(name))
 
-    The buckets' bounds, `parts` numbers, are found in one pass and come to the driver. Rows equal in `by` share one.
-    """
-    at = F.unix_micros(by.cast("timestamp")) if dict(rows.select(by.alias("x")).dtypes)["x"].startswith(("timestamp", "date")) else by
-    bounds = rows.select(F.percentile_approx(at.cast("double"), [k / parts for k in range(1, parts)], 20 * parts)).first()[0] or []
-    steps = F.array(*map(F.lit, sorted(set(bounds)))).cast("array<double>")
-    return F.size(F.filter(steps, lambda b: b < at.cast("double")))
+
+def running_before(rows: DataFrame, value: Column, group: Sequence[str], order: Sequence[Column | str], name: str) -> DataFrame:
+    """`rows` with the sum of `value` over the rows before each one in its group, in column `name`."""
+    held = ranged(rows.withColumn("_value", value), group, order)
+    parts = held.groupBy(*group, "_part").agg(F.sum("_value").alias("n"))
+    inside = F.sum("_value").over(W.partitionBy("_part", *group).orderBy("_at").rowsBetween(W.unboundedPreceding, -1))
+    out = _joined(held.withColumn("_inside", F.coalesce(inside, F.lit(0))), _carried(parts, group, F.col("n")), group, ["carry"])
+    return out.select(*rows.columns, (F.col("carry") + F.col("_inside")).alias(name))

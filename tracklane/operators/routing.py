@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracklane.functions.text import base_name
-from tracklane.operators.order import running_before, spread
+from tracklane.operators.order import running_before
 
 MIN_CONFIDENCE, MAX_UPLOADS, MAX_CANDIDATES = 0.90, 200, 5
 #: The counters that make a run's finding a warning, in the order in which they are named.
@@ -58,12 +58,9 @@ def retag_finding(counters: DataFrame) -> DataFrame:
     return counters.select(F.when(bad, "WARN").otherwise("SUCCESS").alias("severity"), F.when(bad, text).alias("text"))
 
 
-def capped(rows: DataFrame, uploaded: Column, by: Column, order: Sequence[str], limit: int = MAX_UPLOADS) -> DataFrame:
-    """Rows with `before`, the uploads before each one in `order`, and scanned: false once there were `limit` of them.
-
-    by: the first of `order`, a number or a time, by whose values the rows are dealt. 0 or less: no limit.
-    """
-    out = running_before(rows, uploaded.cast("bigint"), [], spread(rows, by), order, "before")
+def capped(rows: DataFrame, uploaded: Column, order: Sequence[str], limit: int = MAX_UPLOADS) -> DataFrame:
+    """Rows with `before`, the uploads before each one in `order`, and scanned: false once there were `limit` of them (0 or less: no limit)."""
+    out = running_before(rows, uploaded.cast("bigint"), [], order, "before")
     return out.withColumn("scanned", F.lit(True) if limit <= 0 else F.col("before") < limit)
 
 

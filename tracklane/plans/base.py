@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tracklane.sources.scratch import scratch as scratch  # noqa: PLC0414
+
 #: Unicode white space for DuckDB's regular expressions.
 SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
@@ -25,14 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share; in local mode without one, a temporary folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    return f"{(shared or tempfile.mkdtemp(prefix='tracklane-')).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 class Registry:
     def __init__(self):
         self.queries: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

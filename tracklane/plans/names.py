@@ -225,4 +225,4 @@ def archive_by_date(spark, sf_dir):
     """The order by date as numbers; the collection's own workbook is no set."""
     own = spark.createDataFrame([("y/DJ Set Collection.xlsx",), ("y/1998-01-02 DJ Set Collection.xlsx",)], "path string")
     entries = _names(spark, sf_dir).select(F.concat(F.lit("y/"), "name").alias("path")).union(own)
-    return placed(files.archive_sets(entries), [], F.substring("set_date", 1, 7), ["set_date", "path"], "place").select("place", "path")
+    return placed(files.archive_sets(entries), [], ["set_date", "path"], "place").select("place", "path")

@@ -113,7 +113,7 @@ SELECT event_id, CAST(coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE
   coalesce(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 200 AS scanned FROM events""")
 def running_cap(spark, sf_dir):
     e = table(spark, sf_dir, "events", "event_id", "ts", "event_type")
-    return routing.capped(e, F.col("event_type") == "purchase", F.col("ts"), ["ts", "event_id"]).select("event_id", "before", "scanned")
+    return routing.capped(e, F.col("event_type") == "purchase", ["ts", "event_id"]).select("event_id", "before", "scanned")
 
 
 @R.add("""
@@ -186,7 +186,7 @@ n AS (SELECT count(*) FILTER (scanned) AS scanned, count(*) FILTER (scanned) AS
 
 def _retagged(spark, sf_dir):
     rows = routing.routed(_identified(spark, sf_dir))
-    return routing.retag_counters(routing.capped(rows, ~F.col("failed"), F.col("ts"), ["ts", "event_id"]))
+    return routing.retag_counters(routing.capped(rows, ~F.col("failed"), ["ts", "event_id"]))
 
 
 @R.add(f"WITH {_HANDLED} SELECT * FROM n")

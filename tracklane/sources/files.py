@@ -63,7 +63,7 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     rows = raw.select(
         F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder"), F.col("path").alias("file_id"), file_name(F.col("path")).alias("name"), mime.alias("mime_type"), F.lit(False).alias("trashed")
     )
-    return placed(rows, ["folder"], F.substring("name", 1, 8), ["name", "file_id"], "listing_ord")
+    return placed(rows, ["folder"], ["name", "file_id"], "listing_ord")
 
 
 def folder_files(listed: DataFrame, folder: str | None = None, mime_type: str | None = None) -> DataFrame:
