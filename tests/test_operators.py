@@ -48,6 +48,58 @@ def test_merge_equals_a_plain_loop(spark):
     assert sorted((r.Title, r.Genre, r.Length, r.Count) for r in got.collect()) == sorted((t, *e) for t, es in entries.items() for e in es)
 
 
+def plain_merge(rows):
+    """First fit by looking at all entries: [(values, n)] of rows of values, blanks empty."""
+    entries = []
+    for x in rows:
+        for e in entries:
+            if all(not a or not b or a == b for a, b in zip(e[0], x, strict=True)):
+                e[0][:] = [a or b for a, b in zip(e[0], x, strict=True)]
+                e[1] += 1
+                break
+        else:
+            entries.append([list(x), 1])
+    return [(tuple(v), n) for v, n in entries]
+
+
+def test_entries_equal_a_plain_loop_whatever_the_pattern_of_blanks():
+    rng = random.Random(8)
+    for _ in range(200):
+        width = rng.randrange(1, 5)
+        rows = [[rng.choice(["", "", "a", "b", "c"]) for _ in range(width)] for _ in range(rng.randrange(60))]
+        e = first_fit.Entries(width)
+        for x in rows:
+            e.add(x, x, 1, ())
+        assert [(tuple(v), n[0]) for v, _, n, _ in e.rows] == plain_merge(rows)
+
+
+def test_merge_of_a_hot_key(spark):
+    """One key holds all rows, nearly each of which is another combination: comments are free texts, every column has blanks."""
+    n = 200_000
+    word = lambda k, m: F.concat(F.lit("w"), (F.xxhash64("id", F.lit(k)) % m).cast("string"))
+    rows = spark.range(n).select("id", F.when(F.col("id") % 50 != 3, word(1, 10**9)).otherwise("").alias("a"), F.when(F.col("id") % 7 > 0, word(2, 40)).otherwise("").alias("b"))
+    got = first_fit.merge(rows, {"k": F.lit("x")}, {c: (F.col(c), F.col(c)) for c in "ab"}, F.lit(1), ["id"])
+    assert got.agg(F.sum("n")).first()[0] == n
+    part = rows.filter("id < 3000")
+    small = first_fit.merge(part, {"k": F.lit("x")}, {c: (F.col(c), F.col(c)) for c in "ab"}, F.lit(1), ["id"]).orderBy("key_at", "at").collect()
+    assert [((r.a, r.b), r.n) for r in small] == plain_merge([(r.a, r.b) for r in part.orderBy("id").collect()])
+
+
+def test_large_keys_are_split_by_columns_without_blanks(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("AB"), rng.choice("xyz"), rng.choice(["", "1", "2"])) for i in range(400)]
+    df = spark.createDataFrame(rows, "i int, k string, a string, b string")
+    merged = lambda split: first_fit.merge(df, {"k": F.col("k")}, {c: (F.col(c), F.col(c)) for c in "ab"}, F.lit(1), ["i"], split=split).orderBy("key_at", "at").collect()
+    assert merged(2) == merged(10**6) and len(merged(2)) > 10
+
+
+def test_a_merged_sheet_keeps_the_order_of_keys_and_entries(spark):
+    rows = [(0, "b", "x"), (1, "a", "x"), (2, "b", "y"), (3, "c", ""), (4, "a", "y"), (5, "b", "")]
+    got = first_fit.deduplicate(spark.createDataFrame(rows, "i int, Title string, Genre string"), ["i"])
+    order_ = first_fit.numbered(first_fit.ranked(got, "first_at"), ["key_at"], "first_at").orderBy("key_rank", "entry").collect()
+    assert [(r.Title, r.Genre, r.Count, r.key_rank, r.entry) for r in order_] == [("b", "x", 2, 1, 0), ("b", "y", 1, 1, 1), ("a", "x", 1, 2, 0), ("a", "y", 1, 2, 1), ("c", "", 1, 3, 0)]
+
+
 def test_summary_and_merge_of_a_sheet(spark):
     g = sheet(spark, ["Title", "Artist", "Ignored", "Genre"], [" A ", " X ", "foo", " House "], ["a", "x"], ["B", "Y", "", ""], ["", "", " "])
     rows = grid.summary_rows(g).collect()

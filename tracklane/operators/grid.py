@@ -79,8 +79,8 @@ def align(tables: Sequence[DataFrame], order: Mapping[str, str] = SUMMARY_COLUMN
 def present_columns(grid: DataFrame, order: Mapping[str, str] = SUMMARY_COLUMNS) -> list[str]:
     """The summary columns, in order, that some tab with rows has. At most as many names as `order` reach the driver."""
     rows = with_headers(grid).filter(any_filled(F.col("cells")))
-    found = rows.select(F.explode("header").alias("h")).filter(F.col("h").isin(*order)).distinct().collect()
-    there = {r.h for r in found}
+    tabs = rows.groupBy("source_id", "tab").agg(F.any_value("header").alias("header"))
+    there = {r.h for r in tabs.select(F.explode("header").alias("h")).filter(F.col("h").isin(*order)).distinct().collect()}
     return [v for k, v in order.items() if k in there]
 
 

@@ -63,7 +63,7 @@ def first_fit_merge(spark, sf_dir):
     brand = F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.col("p_brand"))
     kind = F.when(F.col("p_partkey") % 5 == 0, "").otherwise(F.col("p_type"))
     out = first_fit.merge(p, {"p_name": F.col("p_name")}, {"brand": (brand, brand), "type": (kind, kind)}, F.lit(1), ["p_partkey"])
-    return out.select("p_name", "entry", "brand", "type", "n", F.col("at.p_partkey").alias("first_key"))
+    return first_fit.numbered(out, ["p_name"]).select("p_name", "entry", "brand", "type", "n", F.col("at.p_partkey").alias("first_key"))
 
 
 @R.add(f"""

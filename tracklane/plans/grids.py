@@ -94,7 +94,15 @@ _SUMMARY = f"WITH {_ROWS}, {_KEYED}, {_merge_sql('k', 'tk, ak', ['c', 'g', 'y',
 @R.add(f"""{_SUMMARY} SELECT e.pos.t AS "Title", s."Artist", e.v_c AS "Comment", e.v_g AS "Genre", e.v_y AS "Year", e.v_b AS "BPM", e.v_l AS "Length", e.n AS "Count", e.pos.r AS row_ord
 FROM merged JOIN s ON s.source_id = e.pos.s AND s.tab = e.pos.b AND s.row_ord = e.pos.r""")
 def summary_merged(spark, sf_dir):
-    return modes.run("summaries", _sheets(spark, sf_dir)).withColumn("row_ord", F.col("first_at.at.row_ord")).drop("first_at")
+    return modes.run("summaries", _sheets(spark, sf_dir)).withColumn("row_ord", F.col("first_at.at.row_ord")).drop("first_at", "key_at")
+
+
+@R.add(f"""{_SUMMARY}, o AS (SELECT *, min(e.pos) OVER (PARTITION BY tk, ak) AS kp FROM merged)
+SELECT e.pos.t AS "Title", e.pos.r AS row_ord, CAST(dense_rank() OVER (ORDER BY kp) AS BIGINT) AS key_rank, CAST(entry AS INT) AS entry, e.n AS "Count" FROM o""")
+def summary_places(spark, sf_dir):
+    """The order of a de-duplicated sheet: keys by first appearance, and a key's entries as they were made."""
+    merged = first_fit.ranked(modes.run("summaries", _sheets(spark, sf_dir)), "first_at")
+    return first_fit.numbered(merged, ["key_at"], "first_at").select("Title", F.col("first_at.at.row_ord").alias("row_ord"), "key_rank", "entry", "Count")
 
 
 @R.add(f"{_SUMMARY} SELECT (SELECT count(*) FROM s) AS rows_before, count(*) AS rows_after, CAST(sum(e.n) AS BIGINT) AS total_count FROM merged")
@@ -110,7 +118,7 @@ k AS (SELECT *, CASE WHEN tab = 'without' THEN 1 WHEN c = 'two' THEN 0 ELSE CAST
 
 
 @R.add(f"""WITH {_COUNTED}, {_merge_sql('k', 'source_id, tab, tk', ['g'], 'row_ord', 'n')}
-SELECT source_id, tab, CAST(entry AS INT) AS entry, e.pos AS row_ord, e.n AS count, CASE WHEN tab = 'with' THEN ['Ｔｉｔｌｅ', ' GENRE', 'Note', 'count'] ELSE ['title', 'Genre'] END AS header,
+SELECT source_id, tab, min(e.pos) OVER (PARTITION BY source_id, tab, tk) AS key_row, CAST(entry AS INT) AS entry, e.pos AS row_ord, e.n AS count, CASE WHEN tab = 'with' THEN ['Ｔｉｔｌｅ', ' GENRE', 'Note', 'count'] ELSE ['title', 'Genre'] END AS header,
   CASE WHEN tab = 'with' THEN [r.t || '!', e.v_g, CASE WHEN e.pos % 6 = 0 THEN 'a b' ELSE 'A b' END, CAST(e.n AS VARCHAR)] ELSE [r.t || '!', e.v_g] END AS cells
 FROM merged JOIN (SELECT row_ord AS ro, t FROM r) r ON ro = e.pos""")
 def grid_merged(spark, sf_dir):
@@ -238,7 +246,7 @@ def yearly_tables(spark, sf_dir):
 def summary_written(spark, sf_dir):
     """The combined table, written, and the merge of the written copy, read back."""
     path = scratch(spark, "summary")
-    sinks.write_summary(spark, summaries.combined(_sheets(spark, sf_dir)), 1995, path, lambda rows: first_fit.deduplicate(rows, ["at"]).drop("first_at"))
+    sinks.write_summary(spark, summaries.combined(_sheets(spark, sf_dir)), 1995, path, lambda rows: first_fit.deduplicate(rows, ["at"]).drop("first_at", "key_at"))
     return spark.read.parquet(f"{path}/summary").select("Title", "Artist", "Genre", "Length", "Count", "year")
 
 
