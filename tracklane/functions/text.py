@@ -31,6 +31,11 @@ def clean_cell(c: Column) -> Column:
     return F.replace(strip(c), F.lit("\u00a0"), F.lit(" "))
 
 
+def json_text(c: Column) -> Column:
+    """A text as JSON."""
+    return F.regexp_extract(F.to_json(F.struct(c.cast("string").alias("x"))), r'(?s)^\{"x":(.*)\}$', 1)
+
+
 def collapse(c: Column) -> Column:
     """Each run of white space as one space."""
     return F.regexp_replace(c, f"{SPACE}+", " ")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tracklane.functions import text
 from tracklane.operators.files import SPREADSHEET
 from tracklane.operators.order import placed
+from tracklane.sources import ordered
 
 ARCHIVE, SUMMARY = "archive", "summary"
 
@@ -47,8 +48,26 @@ def snapshot(rows: DataFrame) -> DataFrame:
     return placed(flat, ["folder"], [F.desc("by"), F.desc("label"), "listing_ord"], "place").select("folder", "place", "item")
 
 
+def write_snapshot(snap: DataFrame, path: str, file: str = "collection.json") -> DataFrame:
+    """(file, bytes): the whole collection as one JSON file below `path`, folders by name, last first, an item a line.
+
+    {"folders":[{"name": ..., "items":[...]}, ...]}, written by as many tasks as its items fill; see sources.ordered.
+    """
+    ends = snap.agg(F.max("folder").alias("_first"))
+    opens = F.concat(F.when(F.col("folder") == F.col("_first"), "").otherwise("]},\n"), F.lit('{"name":'), text.json_text(F.col("folder")), F.lit(',"items":[\n'))
+    lines = snap.join(F.broadcast(ends), how="cross").withColumn("_text", F.concat(F.when(F.col("place") == 1, opens).otherwise(",\n"), "item"))  # one row
+    return ordered.write(lines, path, F.lit(file), F.col("_text"), [F.desc("folder"), "place"], lambda f: F.lit('{"folders":[\n'), lambda f: F.lit("]}]}\n"), "")
+
+
+def write_folders(snap: DataFrame, path: str) -> DataFrame:
+    """(file, bytes): a JSON file of each folder's items below `path`, an item a line."""
+    name = F.concat(F.url_encode("folder"), F.lit(".json"))
+    folder = lambda f: F.url_decode(F.regexp_replace(f, r"\.json$", ""))
+    return ordered.write(snap, path, name, F.col("item"), ["place"], lambda f: F.concat(F.lit('{"name":'), text.json_text(folder(f)), F.lit(',"items":[\n')), lambda f: F.lit("\n]}\n"), ",\n")
+
+
 def nested(snap: DataFrame) -> DataFrame:
-    """(folder, n_items, items): a folder's items as one JSON array, for a file sink; a folder must fit one row there."""
+    """(folder, n_items, items): a folder's items as one JSON array, where that fits one row; write_folders has no such bound."""
     parts = F.transform(F.array_sort(F.collect_list(F.struct("place", "item"))), lambda x: x["item"])
     return snap.groupBy("folder").agg(F.count("*").alias("n_items"), F.concat(F.lit("["), F.array_join(parts, ","), F.lit("]")).alias("items"))
 

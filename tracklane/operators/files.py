@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,6 +75,49 @@ def repaired_names(files: DataFrame, name: str = "name", order: str = "listing_o
     return wish.join(first, [folder, "_target", order], "left").withColumn("new_name", F.when(F.col("_wants") & F.col("_won"), F.col("_target")).otherwise(F.col(name))).drop("_target", "_wants", "_won")
 
 
+def names_in_turn(files: DataFrame, name: str = "name", order: str = "listing_ord", folder: str = "folder_id") -> DataFrame:
+    """Files with new_name, repaired one after the other: a status prefix goes where no file has that name by then.
+
+    Unlike repaired_names a renamed file frees its old name for those behind it, and takes the new one. Only names that are
+    alike without all their prefixes can meet: each such family of a folder is settled in order by itself. What a task
+    holds of a family is the set of its names, which reach it first; its files pass as a stream. Of files equal in folder
+    and name the first in order is repaired first; a null name is left.
+    """
+    family = F.regexp_replace(name, f"^(?i:{'|'.join(text.STATUS_PREFIXES)})+", "")
+    target = text.without_status(F.col(name))
+    row = F.struct(*files.columns)
+    held = files.select(F.col(folder).alias("_folder"), family.alias("_family"), F.col(name).alias("_name"), F.nullif(target, F.col(name)).alias("_target"), F.col(order).alias("_order"), row.alias("_row"))
+    names = held.filter("_name IS NOT NULL").groupBy("_folder", "_family", "_name").agg(F.lit(0).alias("_step"))
+    nothing = lambda c: F.lit(None).cast(held.schema[c].dataType).alias(c)
+    first = names.select("_folder", "_family", "_step", "_name", nothing("_target"), nothing("_order"), nothing("_row"))
+    wishes = held.filter("_target IS NOT NULL").select("_folder", "_family", F.lit(1).alias("_step"), "_name", "_target", "_order", "_row")
+    by = ["_folder", "_family"]
+    dealt = first.union(wishes).repartition(*by).sortWithinPartitions(*by, "_step", "_order", "_name")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, there = None, set()
+        for batch in batches:
+            new, rows = [], []
+            for i, (*key, step, old, wish) in enumerate(zip(*[batch.column(c).to_pylist() for c in (*by, "_step", "_name", "_target")], strict=True)):
+                if key != now:
+                    now, there = key, set()
+                if not step:
+                    there.add(old)
+                    continue
+                rows.append(i)
+                if wish in there:
+                    new.append(old)
+                else:
+                    there.discard(old)
+                    there.add(wish)
+                    new.append(wish)
+            yield pa.RecordBatch.from_arrays([batch.column("_row").take(pa.array(rows, pa.int64())), pa.array(new, pa.string())], names=["_row", "new_name"])
+
+    shape = held.select("_row", F.col("_name").alias("new_name")).schema
+    settled = dealt.mapInArrow(settle, shape).select("_row.*", "new_name")
+    return settled.unionByName(held.filter("_target IS NULL").select("_row.*", F.col("_name").alias("new_name")))
+
+
 def year_actions(files: DataFrame, summaries: DataFrame, name: str = "name", years: DataFrame | None = None) -> DataFrame:
     """(year, n_files, action): deduplicate, skip_similar, skip_unready or generate.
 
@@ -89,11 +135,15 @@ def year_actions(files: DataFrame, summaries: DataFrame, name: str = "name", yea
     return per_year.join(known, "year", "left").select("year", "n_files", action.alias("action"))
 
 
-def archive_sets(entries: DataFrame, path: str = "path", year: str | None = None) -> DataFrame:
-    """Workbooks of an archive listing that are sets: (path, set_date, venue, source_file); the catalogue is none."""
+def archive_sets(entries: DataFrame, path: str = "path", year: str | None = None, keep: bool = False) -> DataFrame:
+    """Workbooks of an archive listing that are sets: (path, set_date, venue, source_file); the catalogue is none.
+
+    keep: with all other columns of `entries` too.
+    """
     p = F.col(path)
     good = ~p.endswith("/") & ~p.contains("__MACOSX") & ~p.contains("/Summary/") & ~F.substring_index(p, "/", -1).contains(CATALOGUE)
-    out = entries.filter(good).select(path, text.archive_entry(p).alias("_e")).select(path, "_e.*").filter(F.col("set_date").isNotNull())
+    kept = entries.columns if keep else [path]
+    out = entries.filter(good).select(*kept, text.archive_entry(p).alias("_e")).select(*kept, "_e.*").filter(F.col("set_date").isNotNull())
     return out.filter(F.col("set_date").startswith(year)) if year else out
 
 

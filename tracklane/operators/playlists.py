@@ -14,9 +14,9 @@ SCHEMA = "id string, name string, uri string, type string, public boolean, colla
 
 
 def flattened(playlists: DataFrame) -> DataFrame:
-    """Playlists with an id and a name, flat, with defaults: public, not collaborative, no tracks, an empty url.
+    """Playlists (SCHEMA) with an id and a name, flat, with defaults: public, not collaborative, no tracks, an empty url.
 
-    A service that leaves a field out sends no null: uri and snapshot_id are then empty and type is "playlist".
+    A field is null here whether it was null or left out; `read` tells them apart and comes before.
     """
     e = lambda c: F.coalesce(F.col(c), F.lit(""))
     return playlists.filter((e("id") != "") & (e("name") != "")).select(
@@ -25,6 +25,30 @@ def flattened(playlists: DataFrame) -> DataFrame:
     )
 
 
+#: What a field is where the service leaves it out; where it says null, it is null.
+MISSING = {"id": "", "name": "", "uri": "", "type": "playlist", "snapshot_id": ""}
+
+
+def read(answers: DataFrame, raw: str = "raw") -> DataFrame:
+    """Playlists as SCHEMA says from `raw`, the service's JSON of one each; other columns stay. What is no object has no id.
+
+    A left-out field gets its value of MISSING, a null one stays null; an owner, urls or tracks that are null, empty or
+    no object count as left out.
+    """
+    v = F.col("_v")
+
+    def field(path: str, kind: str, missing: str | None = None) -> Column:
+        got = F.try_variant_get(v, path, kind)
+        return got if missing is None else F.when(F.try_variant_get(v, path, "variant").isNull(), missing).otherwise(got)
+
+    return answers.withColumn("_v", F.try_parse_json(raw)).select(
+        *[c for c in answers.columns if c != raw], *[field(f"$.{k}", "string", d).alias(k) for k, d in MISSING.items()],
+        *[field(f"$.{k}", "boolean").alias(k) for k in ("public", "collaborative")],
+        F.struct(field("$.external_urls.spotify", "string").alias("spotify")).alias("external_urls"), F.struct(field("$.tracks.total", "int").alias("total")).alias("tracks"),
+        F.struct(*[field(f"$.owner.{k}", "string", "").alias(k) for k in ("id", "display_name")]).alias("owner"),
+    )
+
+
 def match_key(c: Column) -> Column:
     return F.lower(text.fold(c))
 

@@ -41,21 +41,58 @@ def writes(routed_files: DataFrame) -> DataFrame:
     return routed_files.select("file_id", F.inline(F.when(F.col("action") == "move", moved).otherwise(kept)).alias("k", "step", "target"))
 
 
+def steps(routed_files: DataFrame) -> DataFrame:
+    """(file_id, k, step) of each routed file in order: download, identify, tag and rename with metadata, update or upload and delete.
+
+    A file without an id has none.
+    """
+    tags = F.when(F.col("tagged"), F.array(F.lit("tag"), F.lit("rename"))).otherwise(F.array().cast("array<string>"))
+    end = F.when(F.col("action") == "move", F.array(F.lit("upload"), F.lit("delete"))).otherwise(F.array(F.lit("update")))
+    all_ = F.concat(F.array(F.lit("download"), F.lit("identify")), tags, end)
+    return routed_files.filter("file_id IS NOT NULL").select("file_id", F.posexplode(all_).alias("k", "step"))
+
+
+def attempted(planned: DataFrame, failing: DataFrame) -> DataFrame:
+    """(file_id, k, step, ok): what happens of the planned steps where those of `failing` (file_id, step) fail; such a step is a file's last."""
+    stop = planned.join(failing, ["file_id", "step"]).groupBy("file_id").agg(F.min("k").alias("_stop"))
+    held = planned.join(stop, "file_id", "left").filter("_stop IS NULL OR k <= _stop")
+    return held.select("file_id", "k", "step", (F.col("_stop").isNull() | (F.col("k") < F.col("_stop"))).alias("ok"))
+
+
+#: The counters of a file, and which steps count for each. A file counts as identified once its upload begins.
+DELTAS = {"downloaded": ("download", True), "identified": ("upload", None), "tagged": ("tag", True), "uploaded": (("upload", "update"), True), "deleted": ("delete", True), "failed": (None, False)}
+
+
+def deltas(events: DataFrame) -> DataFrame:
+    """(file_id, downloaded, identified, tagged, uploaded, deleted, failed) from events (file_id, step, ok)."""
+
+    def counts(step: str | tuple[str, ...] | None, ok: bool | None) -> Column:
+        named = F.lit(True) if step is None else F.col("step").isin(*((step,) if isinstance(step, str) else step))
+        return F.count_if(named & (F.lit(True) if ok is None else F.col("ok") == ok))
+
+    return events.groupBy("file_id").agg(*[counts(*x).alias(k) for k, x in DELTAS.items()])
+
+
+def retag_run(files: DataFrame, file_deltas: DataFrame, order: Sequence[str], limit: int = MAX_UPLOADS) -> DataFrame:
+    """Files (file_id, order) with what happened to each (in place of columns of those names), and scanned: false once `limit` files before it were uploaded."""
+    out = files.drop(*DELTAS).join(file_deltas, "file_id", "left").na.fill(0, list(DELTAS))
+    return capped(out, F.col("uploaded"), order, limit)
+
+
 def retag_counters(handled: DataFrame) -> DataFrame:
-    """One row of sums over handled files (scanned, action, tagged, failed); files behind the cap count as skipped."""
+    """One row of sums over the scanned files; files behind the cap count as skipped, whatever would have happened to them."""
     seen = F.col("scanned")
-    good, moved = seen & ~F.col("failed"), F.col("action") == "move"
-    return handled.agg(
-        F.count_if(seen).alias("scanned"), F.count_if(seen).alias("downloaded"), F.count_if(good & moved).alias("identified"), F.count_if(good & F.col("tagged")).alias("tagged"),
-        F.count_if(good).alias("uploaded"), F.count_if(good & moved).alias("deleted"), F.count_if(seen & F.col("failed")).alias("failed"), F.count_if(~seen).alias("skipped"),
-    )
+    sums = [F.coalesce(F.sum(F.when(seen, F.col(k))), F.lit(0)).alias(k) for k in DELTAS]
+    return handled.agg(F.count_if(seen).alias("scanned"), *sums, F.count_if(~seen).alias("skipped"))
 
 
 def retag_finding(counters: DataFrame) -> DataFrame:
-    """Retag counters as (severity, text)."""
-    bad = F.col("failed") > 0
-    text = F.concat(F.lit("Completed with issues: failed="), F.col("failed").cast("string"), F.lit(" of scanned="), F.col("scanned").cast("string"), F.lit("."))
-    return counters.select(F.when(bad, "WARN").otherwise("SUCCESS").alias("severity"), F.when(bad, text).alias("text"))
+    """Retag counters as (severity, text, sets_imported, sets_failed, sets_skipped, total_tracks) and the counters."""
+    bad, said = F.col("failed") > 0, lambda k: F.col(k).cast("string")
+    #: Fixed value: the finding's text.
+    text = F.concat(F.lit("Completed with issues: failed="), said("failed"), F.lit(" of scanned="), said("scanned"), F.lit(". Check AcoustID/MusicBrainz logs for identification failures."))
+    named = {"sets_imported": "uploaded", "sets_failed": "failed", "sets_skipped": "skipped", "total_tracks": "scanned"}
+    return counters.select(F.when(bad, "WARN").otherwise("SUCCESS").alias("severity"), F.when(bad, text).alias("text"), *[F.col(v).alias(k) for k, v in named.items()], "scanned", *DELTAS)
 
 
 def capped(rows: DataFrame, uploaded: Column, order: Sequence[str], limit: int = MAX_UPLOADS) -> DataFrame:

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tracklane.functions import text
 from tracklane.operators import live, playlists, routing
 from tracklane.plans.base import Registry, scratch, table
 from tracklane.sources import files as sources
+from tracklane.sources import ordered, paged, posts, stores
 from tracklane.streaming import incoming
 
 R = Registry()
@@ -67,16 +72,45 @@ def playlist_writes(spark, sf_dir):
     return playlists.write_plan(there, sets)
 
 
-@R.add("""WITH p AS (SELECT '{"id":"' || n_nationkey || '","name":"' || n_name || '","uri":null,"type":null,"public":' || CASE WHEN n_nationkey % 2 = 0 THEN 'true' ELSE 'false' END || ',"collaborative":false,"snapshot_id":"s' || n_regionkey || '","url":"","tracks_total":' || n_nationkey ||
-  ',"owner_id":null,"owner_name":null}' AS j, CAST(n_nationkey AS VARCHAR) AS id FROM nation)
+#: A playlist for each part, as a service would say it: fields are there, null or left out.
+_RAW = {"uri": 3, "type": 4, "snapshot_id": 5, "public": 6, "collaborative": 7}
+_SAID = {"uri": "'u' || p_partkey", "type": "'mix'", "snapshot_id": "'s' || p_size", "public": "true", "collaborative": "true"}
+
+
+def _field(k: str, n: int) -> str:
+    """Left out where the key's remainder is 0, null where it is 1, else said; of Spark and DuckDB alike."""
+    said = _SAID[k] if k in ("public", "collaborative") else f"'\"' || {_SAID[k]} || '\"'"
+    return f"CASE p_partkey % {n} WHEN 0 THEN '' WHEN 1 THEN '\"{k}\":null,' ELSE '\"{k}\":' || {said} || ',' END"
+
+
+_ANSWER = " || ".join([
+    "'{'", *[_field(k, n) for k, n in _RAW.items()], "CASE p_partkey % 9 WHEN 0 THEN '' WHEN 1 THEN '\"owner\":null,' WHEN 2 THEN '\"owner\":{\"id\":null},' ELSE '\"owner\":{\"id\":\"o' || p_size || '\",\"display_name\":\"O\"},' END",
+    "CASE p_partkey % 10 WHEN 0 THEN '' WHEN 1 THEN '\"external_urls\":null,' WHEN 2 THEN '\"external_urls\":{\"spotify\":null},' ELSE '\"external_urls\":{\"spotify\":\"http://x/' || p_partkey || '\"},' END",
+    "CASE p_partkey % 8 WHEN 0 THEN '' WHEN 1 THEN '\"tracks\":{},' ELSE '\"tracks\":{\"total\":' || p_size || '},' END", "CASE p_partkey % 11 WHEN 0 THEN '' WHEN 1 THEN '\"id\":null,' ELSE '\"id\":\"' || p_partkey || '\",' END", "'\"name\":\"' || p_name || '\"}'",
+])
+_WITH = {k: f"CASE p_partkey % {n} WHEN 0 THEN {{}} WHEN 1 THEN {'NULL' if k in ('uri', 'type', 'snapshot_id') else '{}'} ELSE {_SAID[k]} END" for k, n in _RAW.items()}
+
+
+@R.add(f"""SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, {_WITH['uri'].format("''")} AS uri, {_WITH['type'].format("'playlist'")} AS type, {_WITH['public'].format('true', 'true')} AS public,
+  {_WITH['collaborative'].format('false', 'false')} AS collaborative, {_WITH['snapshot_id'].format("''")} AS snapshot_id, CASE WHEN p_partkey % 10 < 3 THEN '' ELSE 'http://x/' || p_partkey END AS url,
+  CASE WHEN p_partkey % 8 < 2 THEN 0 ELSE p_size END AS tracks_total, CASE WHEN p_partkey % 9 < 2 THEN '' WHEN p_partkey % 9 > 2 THEN 'o' || p_size END AS owner_id, CASE WHEN p_partkey % 9 < 3 THEN '' ELSE 'O' END AS owner_name
+FROM part WHERE p_partkey % 11 > 1""")
+def playlist_fields(spark, sf_dir):
+    """A field that is left out is not one that is null."""
+    raw = table(spark, sf_dir, "part", "p_partkey", "p_size", "p_name").select(F.expr(_ANSWER).alias("raw"))
+    return playlists.flattened(playlists.read(raw))
+
+
+@R.add("""WITH p AS (SELECT '{"id":"' || n_nationkey || '","name":"' || n_name || '","uri":"","type":"playlist","public":' || CASE WHEN n_nationkey % 2 = 0 THEN 'true' ELSE 'false' END || ',"collaborative":false,"snapshot_id":"s' || n_regionkey || '","url":"","tracks_total":' || n_nationkey ||
+  ',"owner_id":"","owner_name":""}' AS j, CAST(n_nationkey AS VARCHAR) AS id FROM nation)
 SELECT count(*) AS n_playlists, '{"playlists":[' || string_agg(j, ',' ORDER BY id) || ']}' AS payload FROM p""")
 def playlist_snapshot(spark, sf_dir):
-    n, k, none = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"), F.col("n_nationkey"), F.lit(None).cast("string")
-    rows = n.select(
-        k.cast("string").alias("id"), F.col("n_name").alias("name"), none.alias("uri"), none.alias("type"), F.when(k % 2 == 0, F.lit(None).cast("boolean")).otherwise(False).alias("public"), F.lit(None).cast("boolean").alias("collaborative"),
-        F.concat(F.lit("s"), F.col("n_regionkey").cast("string")).alias("snapshot_id"), F.lit(None).cast("struct<spotify: string>").alias("external_urls"), F.struct(k.cast("int").alias("total")).alias("tracks"), F.struct(none.alias("id"), none.alias("display_name")).alias("owner"),
+    n, k = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey"), F.col("n_nationkey")
+    fields = F.struct(
+        k.cast("string").alias("id"), F.col("n_name").alias("name"), F.when(k % 2 == 0, F.lit(None).cast("boolean")).otherwise(False).alias("public"),
+        F.concat(F.lit("s"), F.col("n_regionkey").cast("string")).alias("snapshot_id"), F.struct(k.alias("total")).alias("tracks"),
     )
-    return playlists.snapshot_payload(playlists.flattened(rows))
+    return playlists.snapshot_payload(playlists.flattened(playlists.read(n.select(F.to_json(fields).alias("raw")))))
 
 
 @R.add("""SELECT event_id, CASE WHEN event_id % 6 IN (0, 1) THEN event_id % 40 END AS upserted, CASE WHEN event_id % 6 = 0 THEN 5 WHEN event_id % 6 = 1 THEN 0 END AS unchanged FROM events""")
@@ -103,10 +137,10 @@ def identified_texts(spark, sf_dir):
     return rows.select("event_id", routing.candidate_text(F.col("c")).alias("candidate"), routing.metadata_text(F.col("m")).alias("metadata"))
 
 
-@R.add("""WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) AS k FROM events WHERE event_id % 50 < 10)
+@R.add("""WITH r AS (SELECT user_id, event_id, value, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) AS k FROM events)
 SELECT user_id, list(event_id ORDER BY k) AS best FROM r WHERE k <= 5 GROUP BY 1""")
 def best_candidates(spark, sf_dir):
-    e = table(spark, sf_dir, "events", "user_id", "event_id", "value").filter("event_id % 50 < 10")
+    e = table(spark, sf_dir, "events", "user_id", "event_id", "value")
     held = e.groupBy("user_id").agg(F.collect_list(F.struct(F.col("value").alias("confidence"), "event_id")).alias("c"))
     return held.select("user_id", F.transform(routing.best_candidates(F.col("c")), lambda x: x["event_id"]).alias("best"))
 
@@ -134,18 +168,80 @@ def service_urls(spark, sf_dir):
     return p.select("page_id", text.base_url(url).alias("base"))
 
 
-def _page(offset: int, limit: int, where: dict):
-    """A service of 130 rows, in pages that tell whether there is a next one."""
-    rows = [(i, "odd" if i % 2 else "even") for i in range(offset, min(offset + limit, 130)) if where.get("type") in (None, "odd" if i % 2 else "even")]
-    return {"items": rows, "next": offset + limit < 130}
+_ROWS = "SELECT CAST(c_custkey AS BIGINT) AS id, CASE WHEN c_custkey % 3 = 0 THEN 'odd' ELSE 'even' END AS type, c_mktsegment AS name FROM customer"
+
+
+def _customers(spark, sf_dir):
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    return c.select(F.col("c_custkey").cast("bigint").alias("id"), F.when(F.col("c_custkey") % 3 == 0, "odd").otherwise("even").alias("type"), F.col("c_mktsegment").alias("name"))
 
 
-@R.add("SELECT CAST(i AS INT) AS id, 'odd' AS type FROM range(130) t(i) WHERE i % 2 = 1")
+@R.add(f"SELECT * FROM ({_ROWS}) WHERE type = 'odd'")
 def paged_service(spark, sf_dir):
     """A paged service read page by page while there is a next one; the filter goes to the service."""
+    folder = scratch(spark, "pages")
+    paged.write_pages(_customers(spark, sf_dir), folder, ["id"], 500)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    spark.dataSource.register(sources.paged_source("tracklane_pages", "id int, type string", _page))
-    return spark.read.format("tracklane_pages").load().filter("type = 'odd'")
+    spark.dataSource.register(paged.source("tracklane_pages", "id bigint, type string, name string", paged.file_service(folder)))
+    return spark.read.format("tracklane_pages").option("limit", 500).load().filter("type = 'odd'")
+
+
+@R.add(_ROWS)
+def polled_pages(spark, sf_dir):
+    """The same service as a stream, polled twice: pages that have come by then, and the rest with the last, shorter page."""
+    folder, rows = scratch(spark, "polled"), _customers(spark, sf_dir)
+    spark.dataSource.register(paged.source("tracklane_polled", "id bigint, type string, name string", paged.file_service(f"{folder}/pages")))
+
+    def poll(closed: bool) -> None:
+        stream = spark.readStream.format("tracklane_polled").option("limit", 100).option("closed", str(closed).lower()).load()
+        incoming.run_available(stream, f"{folder}/checkpoint", lambda df, _: df.write.mode("append").parquet(f"{folder}/out"))
+
+    paged.write_pages(rows.filter("id <= 100"), f"{folder}/pages", ["id"], 100)
+    poll(False)
+    paged.write_pages(rows.filter("id > 100"), f"{folder}/pages", ["id"], 100, before=1)
+    poll(True)
+    return spark.read.parquet(f"{folder}/out")
+
+
+@R.add("""SELECT 'C' || c_custkey AS key, CASE WHEN c_custkey % 13 = 0 THEN 0 ELSE 1 END AS times, CASE WHEN c_custkey % 13 <> 0 THEN '{"segment":"' || c_mktsegment || '"}' END AS payload,
+  c_custkey % 13 <> 0 AS ok, CASE WHEN c_custkey % 13 = 0 THEN 'HTTP 422' END AS error FROM customer""")
+def posted_once(spark, sf_dir):
+    """Payloads of a stream; the first run ends midway through its batch, the next one sends what is left, and refusals are told."""
+    path = scratch(spark, "posts")
+    c = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
+    payload = F.to_json(F.struct(F.col("c_mktsegment").alias("segment")))
+    c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("key"), payload.alias("payload"), (F.col("c_custkey") % 13).alias("k")).write.parquet(f"{path}/in")
+    inbox = f"{path}/inbox"
+
+    def send(key: str, payload: str) -> None:
+        if int(key[1:]) % 13 == 0:
+            raise ValueError("HTTP 422")
+        stores.write_whole(f"{inbox}/{key}-{uuid.uuid4().hex}", iter([f"{key}\t{payload}".encode()]))
+
+    def half(df, batch: int) -> None:
+        posts.post_batch(df.filter("xxhash64(key) % 2 = 0"), batch, path, send)
+        raise RuntimeError("the run ends here")
+
+    for each in (half, lambda df, batch: posts.post_batch(df, batch, path, send)):
+        with contextlib.suppress(StreamingQueryException):
+            stream = spark.readStream.schema("key string, payload string, k bigint").parquet(f"{path}/in")
+            incoming.run_available(stream, f"{path}/checkpoint", each)
+    got = spark.read.text(inbox, wholetext=True).select(F.split_part("value", F.lit("\t"), F.lit(1)).alias("key"), F.split_part("value", F.lit("\t"), F.lit(2)).alias("payload"))
+    answers = spark.read.parquet(f"{path}/answers").select("key", "ok", "error")
+    return answers.join(got.groupBy("key").agg(F.count("*").alias("times"), F.first("payload").alias("payload")), "key", "left").na.fill(0, ["times"]).select("key", F.col("times").cast("int").alias("times"), "payload", "ok", "error")
+
+
+@R.add("""SELECT 'S' || s_suppkey || '.csv' AS name, 'text/csv' AS mime_type, s_name AS line, CAST(row_number() OVER (ORDER BY 'S' || s_suppkey || '.csv') AS INT) AS listing_ord FROM supplier""")
+def archived_files(spark, sf_dir):
+    """Files that arrive in two runs, read once each, and moved to an archive, whose listing is read."""
+    path = scratch(spark, "arriving")
+    s = table(spark, sf_dir, "supplier", "s_suppkey", "s_name").select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string"), F.lit(".csv")).alias("name"), F.col("s_name").alias("line"), (F.col("s_suppkey") % 2).alias("run"))
+    each = incoming.archived_batch(lambda df, _: df.select("name", "line").write.mode("append").parquet(f"{path}/out"), f"{path}/archive")
+    for run in (0, 1):
+        ordered.write(s.filter(F.col("run") == run), f"{path}/in", F.col("name"), F.col("line"), ["line"], lambda f: F.lit("sep=,\n"), lambda f: F.lit("\n")).count()
+        incoming.run_available(incoming.incoming_lines(spark, f"{path}/in"), f"{path}/checkpoint", each)
+    lines = spark.read.parquet(f"{path}/out")
+    return sources.listing(spark, f"{path}/archive").join(lines, "name").select("name", "mime_type", "line", "listing_ord")
 
 
 @R.add("""WITH y AS (SELECT CAST(year(o_orderdate) AS INT) AS year, count(*) AS expected FROM orders GROUP BY ROLLUP (1)) SELECT year, expected, CAST(row_number() OVER (ORDER BY year NULLS LAST) AS INT) AS place FROM y""")

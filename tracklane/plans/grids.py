@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from tracklane import modes
 from tracklane.operators import files, first_fit, grid, summaries, tracks
 from tracklane.plans.base import Registry, fold_sql, scratch, table
+from tracklane.sources import archives, sinks, stores
 from tracklane.sources import files as sources
-from tracklane.sources import sinks
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -281,33 +281,60 @@ def _workbook(rows) -> bytes:
     return out.getvalue()
 
 
-def _archives(pdf: pd.DataFrame) -> pd.DataFrame:
-    """An archive for each region: a workbook for each of its dates, a broken one, and files that are no sets."""
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w") as z:
-        for day, rows in pdf.sort_values("k").groupby("day"):
-            z.writestr(f"sets/{day} Club.xlsx", _workbook(list(rows.itertuples())))
-        z.writestr("sets/2001-01-01 Broken.xlsx", b"no workbook")
-        z.writestr("__MACOSX/sets/2001-01-02 Club.xlsx", b"")
-        z.writestr("sets/notes.txt", b"")
-    return pd.DataFrame({"path": [f"{pdf['region'].iloc[0]}.zip"], "content": [out.getvalue()]})
+#: Parts whose workbooks lie in one archive, so that archives are many and not large.
+_PER_ARCHIVE = 4000
 
 
-@R.add("""WITH p AS (SELECT p_partkey AS k, p_size % 5 AS region, '2001-02-' || lpad(CAST(1 + p_partkey % 9 AS VARCHAR), 2, '0') AS day, p_partkey % 7000 AS secs, p_partkey % 1440 AS m, p_size AS bpm FROM part),
-r AS (SELECT *, row_number() OVER (PARTITION BY region, day ORDER BY k) AS row_ord FROM p)
-SELECT region || '.zip' AS archive, 'sets/' || day || ' Club.xlsx' AS path, CAST(row_ord AS INT) AS row_ord, 'T' || k AS title, (secs // 3600) || ':' || lpad(CAST(secs // 60 % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(secs % 60 AS VARCHAR), 2, '0') AS length,
-  'T' || lpad(CAST(m // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || ':00' AS play_time, CAST(bpm AS VARCHAR) AS bpm, false AS failed FROM r
-UNION ALL SELECT DISTINCT region || '.zip', 'sets/2001-02-' || lpad(CAST(1 + k % 9 AS VARCHAR), 2, '0') || ' Club.xlsx', 0, 'Title', 'Duration', 'Play Time', 'BPM', false FROM p
-UNION ALL SELECT DISTINCT region || '.zip', 'sets/2001-01-01 Broken.xlsx', -1, NULL, NULL, NULL, NULL, true FROM p""")
-def workbook_cells(spark, sf_dir):
-    """Archives of workbooks: entries that are sets, the active sheet, native times and durations; a broken one is told."""
-    k = F.col("p_partkey")
+def _archives(folder: str):
+    """Writes the archive of each group: a workbook for each of its dates, a broken one, and files that are no sets."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        name = f"{pdf['region'].iloc[0]}-{pdf['n'].iloc[0]}.zip"
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+            for day, rows in pdf.sort_values("k").groupby("day"):
+                z.writestr(f"sets/{day} Club.xlsx", _workbook(list(rows.itertuples())))
+            z.writestr("sets/2001-01-01 Broken.xlsx", b"no workbook")
+            z.writestr("__MACOSX/sets/2001-01-02 Club.xlsx", b"")
+            z.writestr("sets/notes.txt", b"")
+        return pd.DataFrame({"archive": [name], "bytes": [stores.write_whole(f"{folder}/{name}", iter([out.getvalue()]))]})
+
+    return run
+
+
+def _archive_folder(spark, sf_dir) -> str:
+    """A folder of archives made of the parts."""
+    k, folder = F.col("p_partkey"), scratch(spark, "archives")
     p = table(spark, sf_dir, "part", "p_partkey", "p_size")
     rows = p.select(
-        k.alias("k"), (F.col("p_size") % 5).alias("region"), F.concat(F.lit("2001-02-"), F.lpad((1 + k % 9).cast("string"), 2, "0")).alias("day"), F.concat(F.lit("T"), k.cast("string")).alias("name"),
+        k.alias("k"), (F.col("p_size") % 5).alias("region"), F.floor(k / _PER_ARCHIVE).alias("n"), F.concat(F.lit("2001-02-"), F.lpad((1 + k % 9).cast("string"), 2, "0")).alias("day"), F.concat(F.lit("T"), k.cast("string")).alias("name"),
         (k % 7000).alias("secs"), (k % 1440).alias("minute"), F.col("p_size").alias("bpm"),
     )
-    entries = sources.entries_of(rows.groupBy("region").applyInPandas(_archives, "path string, content binary"))
-    sets = entries.join(files.archive_sets(entries).select("path").distinct(), "path", "left_semi")
+    rows.groupBy("region", "n").applyInPandas(_archives(folder), "archive string, bytes bigint").write.format("noop").mode("overwrite").save()
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    return folder
+
+
+_PARTS = f"""p AS (SELECT p_partkey AS k, (p_size % 5) || '-' || (p_partkey // {_PER_ARCHIVE}) AS name, '2001-02-' || lpad(CAST(1 + p_partkey % 9 AS VARCHAR), 2, '0') AS day, p_partkey % 7000 AS secs, p_partkey % 1440 AS m, p_size AS bpm FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY name, day ORDER BY k) AS row_ord FROM p)"""
+
+
+@R.add(f"""WITH {_PARTS}
+SELECT name || '.zip' AS archive, 'sets/' || day || ' Club.xlsx' AS path, CAST(row_ord AS INT) AS row_ord, 'T' || k AS title, (secs // 3600) || ':' || lpad(CAST(secs // 60 % 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(secs % 60 AS VARCHAR), 2, '0') AS length,
+  'T' || lpad(CAST(m // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(m % 60 AS VARCHAR), 2, '0') || ':00' AS play_time, CAST(bpm AS VARCHAR) AS bpm, false AS failed FROM r
+UNION ALL SELECT DISTINCT name || '.zip', 'sets/2001-02-' || lpad(CAST(1 + k % 9 AS VARCHAR), 2, '0') || ' Club.xlsx', 0, 'Title', 'Duration', 'Play Time', 'BPM', false FROM p
+UNION ALL SELECT DISTINCT name || '.zip', 'sets/2001-01-01 Broken.xlsx', -1, NULL, NULL, NULL, NULL, true FROM p""")
+def workbook_cells(spark, sf_dir):
+    """Archives of workbooks: entries that are sets, each read by its place; the active sheet, native times and durations; a broken one is told."""
+    folder = _archive_folder(spark, sf_dir)
+    sets = files.archive_sets(archives.read(spark, folder, partition_bytes=1 << 18).filter(~F.col("path").startswith("__MACOSX") | F.col("path").isNull()), keep=True)
     cell = lambda i: F.get("cells", i)
-    return sources.workbook_rows(sets).select("archive", "path", "row_ord", cell(0).alias("title"), cell(1).alias("length"), cell(2).alias("play_time"), cell(3).alias("bpm"), F.col("error").isNotNull().alias("failed"))
+    return sources.workbook_rows(sets).select(sources.file_name(F.col("archive")).alias("archive"), "path", "row_ord", cell(0).alias("title"), cell(1).alias("length"), cell(2).alias("play_time"), cell(3).alias("bpm"), F.col("error").isNotNull().alias("failed"))
+
+
+@R.add(f"WITH {_PARTS} SELECT name || '.zip' AS archive, count(*) AS n_rows FROM p WHERE day = '2001-02-03' GROUP BY 1")
+def archive_entry_of_day(spark, sf_dir):
+    """One day's entry of each archive: planning looks it up in the archives' directories, and nothing else is read."""
+    folder = _archive_folder(spark, sf_dir)
+    day = archives.read(spark, folder).filter("path = 'sets/2001-02-03 Club.xlsx'")
+    return sources.workbook_rows(day).filter("row_ord > 0").groupBy(sources.file_name(F.col("archive")).alias("archive")).agg(F.count("*").alias("n_rows"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tracklane.functions import text
 from tracklane.operators import collection, files
 from tracklane.operators.order import placed
-from tracklane.plans.base import Registry, table
+from tracklane.plans.base import Registry, scratch, table
 from tracklane.sources import files as sources
 
 R = Registry()
@@ -93,6 +93,28 @@ def rename_first_wins(spark, sf_dir):
     return files.repaired_names(rows, order="doc_id").select("doc_id", "folder_id", "name", "new_name")
 
 
+_CHAINS = "CASE doc_id % 5 WHEN 0 THEN 'Copy of ' WHEN 1 THEN 'FAILED_failed_' WHEN 2 THEN 'failed_' WHEN 3 THEN 'Possible_Duplicate_FAILED_failed_' ELSE '' END || source || doc_id % 4"
+
+
+@R.add(f"""
+WITH f AS (SELECT doc_id, lang AS folder_id, CASE WHEN doc_id % 97 = 0 THEN 'FAILED_' ELSE {_CHAINS} END AS name FROM documents),
+p AS (SELECT *, regexp_replace(name, '^(?i:FAILED_|possible_duplicate_|Copy of )', '') AS rest, regexp_replace(name, '^(?i:FAILED_|possible_duplicate_|Copy of )+', '') AS family FROM f),
+w AS (SELECT *, CASE WHEN rest <> name AND rest <> '' THEN rest END AS target FROM p),
+g AS (SELECT folder_id, family, list(DISTINCT name) AS names, list({{'k': doc_id, 'n': name, 't': target}} ORDER BY doc_id) FILTER (target IS NOT NULL) AS wishes FROM w GROUP BY 1, 2),
+r AS (SELECT folder_id, list_reduce(list_prepend({{'names': names, 'n': '', 't': '', 'k': -1::BIGINT, 'done': []::STRUCT(k BIGINT, n VARCHAR)[]}}, list_transform(wishes, lambda x: {{'names': []::VARCHAR[], 'n': x.n, 't': x.t, 'k': x.k, 'done': []::STRUCT(k BIGINT, n VARCHAR)[]}})),
+  lambda a, x: CASE WHEN list_contains(a.names, x.t) THEN {{'names': a.names, 'n': '', 't': '', 'k': -1::BIGINT, 'done': list_append(a.done, {{'k': x.k, 'n': x.n}})}}
+    ELSE {{'names': list_append(list_filter(a.names, lambda z: z <> x.n), x.t), 'n': '', 't': '', 'k': -1::BIGINT, 'done': list_append(a.done, {{'k': x.k, 'n': x.t}})}} END).done AS done FROM g WHERE wishes IS NOT NULL),
+u AS (SELECT unnest(done) AS d FROM r)
+SELECT f.doc_id, f.folder_id, f.name, coalesce(u.d.n, f.name) AS new_name FROM f LEFT JOIN u ON u.d.k = f.doc_id""")
+def rename_in_turn(spark, sf_dir):
+    """Names repaired one after the other: what one frees, the next may take."""
+    d = table(spark, sf_dir, "documents", "doc_id", "lang", "source")
+    k = F.col("doc_id")
+    prefix = F.when(k % 5 == 0, "Copy of ").when(k % 5 == 1, "FAILED_failed_").when(k % 5 == 2, "failed_").when(k % 5 == 3, "Possible_Duplicate_FAILED_failed_").otherwise("")
+    name = F.when(k % 97 == 0, "FAILED_").otherwise(F.concat(prefix, "source", (k % 4).cast("string")))
+    return files.names_in_turn(d.select("doc_id", F.col("lang").alias("folder_id"), name.alias("name")), order="doc_id")
+
+
 @R.add("""
 WITH f AS (SELECT CAST(year(o_orderdate) AS VARCHAR) AS year, CASE WHEN o_orderkey % 4999 = 17 THEN 'FAILED_' ELSE '' END || o_orderkey || '.csv' AS name FROM orders),
 y AS (SELECT year, count(*) AS n_files, bool_or(starts_with(name, 'FAILED_') OR contains(name, '_Cleaned')) AS unready FROM f GROUP BY 1)
@@ -143,6 +165,25 @@ def collection_nested(spark, sf_dir):
     return collection.nested(collection.snapshot(collection.items(_files(spark, sf_dir))))
 
 
+@R.add(f"""WITH {_SNAPSHOT}, e AS (SELECT *, max(place) OVER (PARTITION BY folder) AS last FROM j) SELECT folder || '.json' AS file, item || CASE WHEN place < last THEN ',' ELSE '' END AS line FROM e
+UNION ALL SELECT DISTINCT folder || '.json', '{{"name":"' || folder || '","items":[' FROM j UNION ALL SELECT DISTINCT folder || '.json', ']}}' FROM j""")
+def collection_files(spark, sf_dir):
+    """A file of each folder, written by many tasks and read back."""
+    path = scratch(spark, "folders")
+    collection.write_folders(collection.snapshot(collection.items(_files(spark, sf_dir))), path)
+    return spark.read.text(path).select(sources.file_name(F.col("_metadata.file_path")).alias("file"), F.col("value").alias("line"))
+
+
+@R.add(f"""WITH {_SNAPSHOT}, e AS (SELECT *, max(place) OVER (PARTITION BY folder) AS last, dense_rank() OVER (ORDER BY folder DESC) AS k FROM j)
+SELECT item || CASE WHEN place < last THEN ',' WHEN k = (SELECT max(k) FROM e) THEN ']}}]}}' ELSE ']}},' END AS line FROM e
+UNION ALL SELECT DISTINCT '{{"name":"' || folder || '","items":[' FROM j UNION ALL SELECT '{{"folders":['""")
+def collection_file(spark, sf_dir):
+    """The whole snapshot as one file, written by many tasks and read back."""
+    path = scratch(spark, "collection")
+    collection.write_snapshot(collection.snapshot(collection.items(_files(spark, sf_dir))), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @R.add(f"""WITH {_FILES} SELECT count(DISTINCT folder) AS folders_processed, count(DISTINCT folder) FILTER (mime_type LIKE '%spreadsheet' AND folder NOT IN ('Archive', 'Summary')) AS tabs_written,
   count(*) FILTER (mime_type LIKE '%spreadsheet' AND folder NOT IN ('Archive', 'Summary')) AS total_sets FROM f""")
 def collection_totals(spark, sf_dir):
@@ -219,6 +260,13 @@ def stale_summaries(spark, sf_dir):
     return files.stale_summaries(kept, years).select("c_custkey", "name")
 
 
+@R.add(f"""WITH {_NAMES} SELECT 'y/' || name AS path, strftime(o_orderdate, '%Y-%m-%d') AS set_date, regexp_replace(name, '\\.xlsx$', '') AS source_file FROM n WHERE ends_with(name, '.xlsx') AND year(o_orderdate) = 1996""")
+def archive_of_year(spark, sf_dir):
+    """The sets of one year of an archive's listing."""
+    entries = _names(spark, sf_dir).select(F.concat(F.lit("y/"), "name").alias("path"))
+    return files.archive_sets(entries, year="1996").select("path", "set_date", "source_file")
+
+
 @R.add(f"""WITH {_NAMES} SELECT CAST(row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m-%d'), 'y/' || name) AS INT) AS place, 'y/' || name AS path
 FROM n WHERE ends_with(name, '.xlsx')""")
 def archive_by_date(spark, sf_dir):

@@ -158,14 +158,14 @@ def upsert_diff(spark, sf_dir):
 
 
 _SURE = "coalesce(CASE WHEN event_id % 9 <> 0 THEN value / 25 END, 0)"
-_ROUTED = f"""r AS (SELECT event_id, ts, event_id % 37 = 0 AS failed, CASE WHEN event_type = 'error' OR {_SURE} < 0.9 THEN 'in_place' ELSE 'move' END AS action,
+_ROUTED = f"""r AS (SELECT event_id, ts, CASE WHEN event_type = 'error' OR {_SURE} < 0.9 THEN 'in_place' ELSE 'move' END AS action,
   CASE WHEN event_type = 'error' THEN 'no_candidates' WHEN {_SURE} < 0.9 THEN 'low_confidence:' || printf('%.3f', {_SURE}) ELSE 'identified' END AS reason, event_id % 2 = 0 AS tagged FROM events)"""
 
 
 def _identified(spark, sf_dir):
     """Audio files with what was found about them, made of the events."""
     e, k = table(spark, sf_dir, "events", "event_id", "event_type", "value", "ts"), F.col("event_id")
-    return e.select("event_id", "ts", (F.col("event_type") != "error").alias("has_candidate"), F.when(k % 9 != 0, F.col("value") / 25).alias("confidence"), (k % 2 == 0).alias("has_metadata"), (k % 37 == 0).alias("failed"))
+    return e.select("event_id", "ts", (F.col("event_type") != "error").alias("has_candidate"), F.when(k % 9 != 0, F.col("value") / 25).alias("confidence"), (k % 2 == 0).alias("has_metadata"))
 
 
 @R.add(f"WITH {_ROUTED} SELECT event_id, action, reason, tagged FROM r")
@@ -179,14 +179,34 @@ def file_writes(spark, sf_dir):
     return routing.writes(routing.routed(_identified(spark, sf_dir)).withColumnRenamed("event_id", "file_id"))
 
 
-_HANDLED = f"""{_ROUTED}, h AS (SELECT *, coalesce(sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 200 AS scanned FROM r),
-n AS (SELECT count(*) FILTER (scanned) AS scanned, count(*) FILTER (scanned) AS downloaded, count(*) FILTER (scanned AND NOT failed AND action = 'move') AS identified, count(*) FILTER (scanned AND NOT failed AND tagged) AS tagged,
-  count(*) FILTER (scanned AND NOT failed) AS uploaded, count(*) FILTER (scanned AND NOT failed AND action = 'move') AS deleted, count(*) FILTER (scanned AND failed) AS failed, count(*) FILTER (NOT scanned) AS skipped FROM h)"""
+#: Which step fails: of a file's number, the first of these that divides it, where the step is planned.
+_FAILING = {"download": 37, "identify": 41, "tag": 43, "rename": 47, "upload": 29, "update": 31, "delete": 23}
+_PLACES = {"download": 0, "identify": 1, "tag": 2, "rename": 3, "upload": 4, "update": 4, "delete": 5}
+_STOP = "least(" + ", ".join(
+    f"CASE WHEN event_id % {n} = 0{' AND tagged' if k in ('tag', 'rename') else ''}{' AND ' + chr(39) + ('in_place' if k == 'update' else 'move') + chr(39) + ' = action' if k in ('upload', 'update', 'delete') else ''} THEN {_PLACES[k]} ELSE 9 END"
+    for k, n in _FAILING.items()
+) + ")"
+_HANDLED = f"""{_ROUTED}, f AS (SELECT *, {_STOP} AS stop FROM r),
+d AS (SELECT event_id, ts, CAST(stop > 0 AS INT) AS downloaded, CAST(action = 'move' AND stop >= 4 AS INT) AS identified, CAST(tagged AND stop > 2 AS INT) AS tagged, CAST(stop > 4 AS INT) AS uploaded,
+  CAST(action = 'move' AND stop > 5 AS INT) AS deleted, CAST(stop < 9 AS INT) AS failed FROM f),
+h AS (SELECT *, coalesce(sum(uploaded) OVER (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < 200 AS scanned FROM d),
+n AS (SELECT count(*) FILTER (scanned) AS scanned, {", ".join(f"CAST(coalesce(sum({k}) FILTER (scanned), 0) AS BIGINT) AS {k}" for k in routing.DELTAS)}, count(*) FILTER (NOT scanned) AS skipped FROM h)"""
+
+
+def _deltas(spark, sf_dir):
+    files = routing.routed(_identified(spark, sf_dir).withColumnRenamed("event_id", "file_id"))
+    fails = F.explode(F.array_compact(F.array(*[F.when(F.col("file_id") % n == 0, k) for k, n in _FAILING.items()])))
+    return files, routing.deltas(routing.attempted(routing.steps(files), files.select("file_id", fails.alias("step"))))
 
 
 def _retagged(spark, sf_dir):
-    rows = routing.routed(_identified(spark, sf_dir))
-    return routing.retag_counters(routing.capped(rows, ~F.col("failed"), ["ts", "event_id"]))
+    return routing.retag_counters(routing.retag_run(*_deltas(spark, sf_dir), ["ts", "file_id"]))
+
+
+@R.add(f"WITH {_HANDLED} SELECT event_id AS file_id, {', '.join(f'CAST({k} AS BIGINT) AS {k}' for k in routing.DELTAS)} FROM d")
+def retag_deltas(spark, sf_dir):
+    """What happened to each file, whose steps fail here and there."""
+    return _deltas(spark, sf_dir)[1]
 
 
 @R.add(f"WITH {_HANDLED} SELECT * FROM n")
@@ -194,7 +214,9 @@ def retag_counters(spark, sf_dir):
     return _retagged(spark, sf_dir)
 
 
-@R.add(f"WITH {_HANDLED} SELECT CASE WHEN failed > 0 THEN 'WARN' ELSE 'SUCCESS' END AS severity, CASE WHEN failed > 0 THEN 'Completed with issues: failed=' || failed || ' of scanned=' || scanned || '.' END AS text FROM n")
+@R.add(f"""WITH {_HANDLED} SELECT CASE WHEN failed > 0 THEN 'WARN' ELSE 'SUCCESS' END AS severity,
+  CASE WHEN failed > 0 THEN 'Completed with issues: failed=' || failed || ' of scanned=' || scanned || '. Check AcoustID/MusicBrainz logs for identification failures.' END AS text,
+  uploaded AS sets_imported, failed AS sets_failed, skipped AS sets_skipped, scanned AS total_tracks, scanned, {", ".join(routing.DELTAS)} FROM n""")
 def retag_finding(spark, sf_dir):
     return routing.retag_finding(_retagged(spark, sf_dir))
 

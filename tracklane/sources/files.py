@@ -1,20 +1,20 @@
-"""File sources: raw text files as lines, play histories, listings, archives of workbooks, paged services."""
+"""File sources: raw text files as lines, play histories, listings, workbooks."""
 
 from __future__ import annotations
 
 import io
 import re
 import zipfile
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, InputPartition
 
 from tracklane.functions.text import clean_line
 from tracklane.operators.order import placed
+from tracklane.sources import archives
 
 #: The audio types that are listed.
 AUDIO_TYPES = ("audio/mpeg", "audio/mp4", "audio/x-m4a", "audio/wav", "audio/x-wav", "audio/flac", "audio/aac", "audio/ogg", "audio/x-aiff", "audio/aiff")
@@ -163,31 +163,6 @@ def sheet_cells(data: bytes) -> list[list[str]]:
     return out
 
 
-def archive_entries(spark: SparkSession, paths: str | Sequence[str], wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
-    """(archive, path, content, error): a row for each wanted entry of zip archives; a broken archive gives one with its error.
-
-    An archive is read whole by one task (Spark's binary files hold at most 2 GB); its entries are dealt out after that.
-    """
-    return entries_of(spark.read.format("binaryFile").load(paths).select("path", "content"), wanted)
-
-
-def entries_of(archives: DataFrame, wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
-    """archive_entries of archives (path, content)."""
-    schema = "archive string, path string, content binary, error string"
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for archive, content in zip(part["path"], part["content"], strict=True):
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        for name in sorted(n for n in z.namelist() if wanted(n)):
-                            yield pd.DataFrame({"archive": [archive], "path": [name], "content": [z.read(name)], "error": [None]})
-                except Exception as e:  # noqa: BLE001  one bad archive must not end the others
-                    yield pd.DataFrame({"archive": [archive], "path": [None], "content": [None], "error": [str(e)]})
-
-    return archives.select("path", "content").mapInPandas(run, schema)
-
-
 def workbook_rows(entries: DataFrame) -> DataFrame:
     """(archive, path, row_ord, cells, error) of the workbooks in `entries`; a broken one gives a row with its error."""
 
@@ -208,68 +183,6 @@ def workbook_rows(entries: DataFrame) -> DataFrame:
     return entries.select("archive", "path", "content", "error").mapInPandas(run, "archive string, path string, row_ord int, cells array<string>, error string")
 
 
-def workbook_archives(spark: SparkSession, paths: str | Sequence[str], wanted: Callable[[str], bool] = lambda name: name.lower().endswith(".xlsx")) -> DataFrame:
-    """(archive, path, row_ord, cells, error) of the workbooks in zip archives, parsed in tasks of their own."""
-    entries = archive_entries(spark, paths, wanted)
-    return workbook_rows(entries.repartition(F.xxhash64("archive", "path")))
-
-
-class Page(InputPartition):
-    def __init__(self, offset: int, limit: int):
-        self.offset, self.limit = offset, limit
-
-
-class PagedReader(DataSourceReader):
-    """One input partition for each page of `limit` rows where the option `total` tells how many rows there are.
-
-    Without it one partition follows the pages, mappings of `items` and `next`, as long as there is a next one; anything
-    that is no mapping ends it. Equality filters on `type` are taken over.
-    """
-
-    def __init__(self, schema, options, fetch: Callable[[int, int, dict], Sequence[tuple] | Mapping]):
-        self.total, self.limit = int(options.get("total", -1)), int(options.get("limit", 50))
-        self.fetch, self.where = fetch, {}
-
-    def pushFilters(self, filters: list[Filter]):  # noqa: N802
-        for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("type",):
-                self.where["type"] = f.value
-            else:
-                yield f
-
-    def partitions(self):
-        return [Page(o, self.limit) for o in range(0, self.total, self.limit)] if self.total >= 0 else [Page(0, self.limit)]
-
-    def read(self, page: Page):
-        offset = page.offset
-        while True:
-            got = self.fetch(offset, page.limit, self.where)
-            if self.total >= 0:
-                yield from got["items"] if isinstance(got, Mapping) else got
-                return
-            if not isinstance(got, Mapping):
-                return
-            yield from got.get("items") or []
-            if not got.get("next"):
-                return
-            offset += page.limit
-
-
-def paged_source(format_name: str, ddl: str, fetch: Callable[[int, int, dict], Sequence[tuple] | Mapping]) -> type[DataSource]:
-    """A data source class for spark.dataSource.register that reads a service page by page.
-
-    It takes over filters, so the session needs spark.sql.python.filterPushdown.enabled=true.
-    """
-
-    class Paged(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return format_name
-
-        def schema(self) -> str:
-            return ddl
-
-        def reader(self, schema) -> DataSourceReader:
-            return PagedReader(schema, self.options, fetch)
-
-    return Paged
+def workbook_archives(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".xlsx") -> DataFrame:
+    """(archive, path, row_ord, cells, error) of the workbooks in zip archives, each entry read by the task that parses it."""
+    return workbook_rows(archives.read(spark, paths, suffix))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from tracklane.sources import stores
+from tracklane.sources.scratch import written
+
 
 def clean_texts(lines: DataFrame, path: str = "path") -> DataFrame:
     """(path, value): one text a source file, its lines joined by newlines; a file must fit one row."""
@@ -56,10 +60,14 @@ def write_json(df: DataFrame, path: str, ascii_only: bool = False) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").option("writeNonAsciiCharacterAsCodePoint", str(ascii_only).lower()).json(path)
 
 
-def pretty_snapshot(df: DataFrame) -> DataFrame:
-    """One row: all rows as one indented JSON text. For a catalogue of folders, whose number is small by nature."""
-    rows = F.transform(F.array_sort(F.collect_list(F.struct(*df.columns))), lambda x: x)
-    return df.agg(F.to_json(F.struct(rows.alias("folders")), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
+def moves(plan: DataFrame) -> DataFrame:
+    """(source, target, done) of a plan (source, target): files moved by the tasks, as stores.moved does; moved twice, they move once."""
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            yield part.assign(done=[stores.moved(a, b) for a, b in zip(part["source"], part["target"], strict=True)])
+
+    return written(plan.select("source", "target").mapInPandas(run, "source string, target string, done string"), "moves")
 
 
 class Sent(WriterCommitMessage):
