@@ -10,7 +10,7 @@ from __future__ import annotations
 import struct
 import zipfile
 import zlib
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,7 +76,7 @@ _TESTS: dict[type[Filter], Callable[[str, str], bool]] = {EqualTo: str.__eq__, S
 
 
 class ArchiveReader(DataSourceReader):
-    def __init__(self, options: dict[str, str]):
+    def __init__(self, options: Mapping[str, str]):
         self.archives = [f for p in options["path"].split("\n") for f in stores.files_below(p, ".zip")]
         self.suffix, self.bytes = options.get("suffix", "").lower(), int(options.get("partitionBytes", PARTITION_BYTES))
         self.tests: dict[str, list[tuple[Callable[[str, str], bool], str]]] = {"path": [], "archive": []}
@@ -127,7 +127,7 @@ class Archives(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return ArchiveReader(dict(self.options))
+        return ArchiveReader(self.options)
 
 
 def read(spark: SparkSession, paths: str | Sequence[str], suffix: str = ".xlsx", partition_bytes: int = PARTITION_BYTES) -> DataFrame:
