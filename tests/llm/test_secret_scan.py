@@ -75,11 +75,23 @@ def test_runs_at_a_base_span(spark):
     hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
     formats = secret_scan.Formats({"hex": {hexa(40): 2 for _ in range(300)}}, ["word", "other", "things"] * 50)
     inside, beyond = hexa(40), "0d" * 20 + "-" + hexa(12)
-    rows = spark.createDataFrame([(1, f"a {inside} b"), (2, f"a {beyond} b"), (3, f"a {hexa(20)} b")], "doc_id bigint, text string")
+    short = hexa(20)
+    rows = spark.createDataFrame([(1, f"a {inside} b"), (2, f"a {beyond} b"), (3, f"a {short} b")], "doc_id bigint, text string")
     got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(rows, formats).collect()}
     assert got[1] == [("hex", 2, 42)]
     assert ("hex", 2, 42) in got[2]
-    assert got[3] == ([("format", 2, 22)] if formats.least <= 20 else [])
+    assert got[3] == ([("format", 2, 22)] if formats.likes(short) else [])
+
+
+def test_runs_shorter_than_all_labelled_ones_are_scored(spark):
+    """All labelled strings have one length; the automaton, whose states merge, also likes shorter ones of their format."""
+    rng = random.Random(6)
+    code = lambda n: "".join(rng.choice("0123456789ABCDEF") for _ in range(n))
+    formats = secret_scan.Formats({"access": {code(40): 1 for _ in range(300)}}, ["plain", "words", "and", "other", "things", "between"] * 50)
+    short = code(22)
+    rows = spark.createDataFrame([(1, f"a {short} b"), (2, "a between b")], "doc_id bigint, text string")
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secret_scan.scan(rows, formats).collect()}
+    assert got == {1: [("format", 2, 24)], 2: []}
 
 
 def test_counts_weigh(spark):

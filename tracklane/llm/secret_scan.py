@@ -3,8 +3,8 @@
 The base kinds are regular expressions. Their finds in a bounded sample of documents are the labelled credentials: each
 kind's strings with their counts, as character classes, make a prefix tree whose statistically compatible states are
 merged (Hoeffding bound) into a probabilistic automaton; runs of credential characters that no base kind covers make the
-background's. Then every run of such characters in every document, from the least length of a labelled string on, is
-scored: it is a secret where some kind's automaton likes it far better than the background's does, and about as well as
+background's. Then every run of MIN_VALUE or more such characters in every document is
+scored, whatever the lengths of the labelled ones: it is a secret where some kind's automaton likes it far better than the background's does, and about as well as
 that kind's own credentials. A secret run that a base span holds whole is not named again; the others are added as spans
 of the kind "format".
 
@@ -44,6 +44,8 @@ RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
 GAP = r"[^A-Za-z0-9+/_.=-]+"
 #: Texts without a match (RE2) have no assignment.
 MAY_ASSIGN = r"(?i)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]"
+#: Classes of credential characters, and the end.
+SYMBOLS = 12
 #: Distinct shapes of runs whose scores a worker remembers.
 CACHE_SHAPES = 500_000
 
@@ -55,12 +57,12 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return out + [(m.start(), m.end(), 2, m.group()) for m in LONG_HEX.finditer(text)]
 
 
-def free_runs(text: str, base: list[tuple[int, int, int, str]], least: int) -> Iterator[tuple[int, int, str, bool]]:
+def free_runs(text: str, base: list[tuple[int, int, int, str]]) -> Iterator[tuple[int, int, str, bool]]:
     """Runs of credential characters (start, end, run, whether it is apart from all base spans) that no base span holds whole."""
     taken = sorted((a, b) for a, b, _, _ in base)
     for m in RUN.finditer(text):
         a, b = m.span()
-        if b - a >= least:
+        if b - a >= MIN_VALUE:
             near = [(x, y) for x, y in taken if x < b and y > a] if taken else []
             if not any(x <= a and b <= y for x, y in near):
                 yield a, b, m.group(), not near
@@ -161,8 +163,6 @@ class Formats:
     def __init__(self, strings: Mapping[str, Mapping[str, int] | Sequence[str]], background: Mapping[str, int] | Sequence[str]):
         self.kinds = [Automaton(s) for _, s in sorted(strings.items()) if s]
         self.background = Automaton(background)
-        #: No labelled credential is shorter.
-        self.least = max(MIN_VALUE, min((len(x) for s in strings.values() for x in s), default=MIN_VALUE))
         self.known: dict[str, bool] = {}
 
     def likes(self, run: str) -> bool:
@@ -172,7 +172,9 @@ class Formats:
         if shape not in self.known:
             if len(self.known) >= CACHE_SHAPES:
                 self.known.clear()
-            usual, n = self.background.score(run), len(run) + 1
+            n = len(run) + 1
+            # A run that is like none of the background's is at least one of any characters.
+            usual = max(self.background.score(run), -n * log(SYMBOLS))
             scores = [(a.score(run), a.usual) for a in self.kinds]
             self.known[shape] = any(s - usual > MARGIN and s / n >= floor - SLACK for s, floor in scores)
         return self.known[shape]
@@ -184,7 +186,7 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in batch.column("t").to_pylist():
             base = base_spans(t or "")
             found.update((KINDS[k], v) for _, _, k, v in base)
-            found.update(("background", s) for _, _, s, apart in free_runs(t or "", base, MIN_VALUE) if apart)
+            found.update(("background", s) for _, _, s, apart in free_runs(t or "", base) if apart)
         rows = [(k, v, n) for (k, v), n in found.items() if len(v) <= MAX_LENGTH]
         kinds, values, counts = zip(*rows, strict=True) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string()), pa.array(counts, pa.int64())], names=["kind", "value", "n"])
@@ -210,7 +212,7 @@ def liked_texts(texts: pa.Array, formats: Formats) -> tuple[np.ndarray, np.ndarr
     runs, at = lists.flatten(), np.asarray(lists.offsets, dtype=np.int64)
     at = at - at[0]
     size = pc.binary_length(runs).to_numpy(zero_copy_only=False)
-    enough = size >= formats.least
+    enough = size >= MIN_VALUE
     coded = runs.filter(pa.array(enough)).dictionary_encode()
     liked = np.fromiter(map(formats.likes, coded.dictionary.to_pylist()), bool, len(coded.dictionary))
     good = np.zeros(len(size), np.int64)
@@ -234,7 +236,7 @@ def scan(df: DataFrame, formats: Formats, id_col: str = "doc_id", text_col: str
                     base = base_spans(t)
                     spans = [(a, n, b) for a, b, n, _ in base]
                     if liked[k]:
-                        spans += [(a, 3, b) for a, b, s, _ in free_runs(t, base, formats.least) if formats.likes(s)]
+                        spans += [(a, 3, b) for a, b, s, _ in free_runs(t, base) if formats.likes(s)]
                     out[k] = [{"kind": KINDS[n], "start": a, "end": b} for a, n, b in sorted(spans)]
                 yield pa.RecordBatch.from_arrays([part.column("i"), pa.array(out, pa.list_(kind))], names=[id_col, "spans"])
 
