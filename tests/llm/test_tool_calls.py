@@ -35,6 +35,16 @@ def test_links_order_and_checks(spark):
     assert all(list(json.loads(r.json)) == sorted(json.loads(r.json)) for r in got)
 
 
+def test_an_object_may_be_a_call_and_a_result(spark):
+    both = json.dumps({"tool_call_id": "a", "content": "found", "tool_calls": [{"id": "b", "name": "search", "arguments": {"query": "x"}}]})
+    rows = [(1, 0, "assistant", call(("a", "search", {"query": "y"}))), (1, 1, "tool", both), (1, 2, "tool", result("b"))]
+    got = tool_calls.link(spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")).collect()
+    assert [(r.kind, r.call_id, r.link, r.turn) for r in sorted(got, key=lambda r: r.place)] == [
+        ("call", "a", "linked", 0), ("call", "b", "linked", 1), ("result", "a", "linked", 1), ("result", "b", "linked", 2)
+    ]
+    assert '"content":"found"' in next(r.json for r in got if r.kind == "result" and r.call_id == "a")
+
+
 def test_query_equals_sql(spark, same_as_sql):
     for sf in ("sf0.001", "sf0.01"):
         same_as_sql(tool_calls.op10_tool_calls(spark, f"{DATA}/{sf}"), tool_calls.ORACLE_SQL, f"{DATA}/{sf}")

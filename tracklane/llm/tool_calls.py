@@ -2,7 +2,8 @@
 
 A message's text is a call message where it is a JSON object with an array `tool_calls` of {id, name, arguments} or
 {id, function: {name, arguments}}, and a result where it is an object with a `tool_call_id` (and `content`); any other
-text is a plain message. A call message with a content gives a plain message of that content before its calls. Calls and
+text is a plain message. A call message with a content gives a plain message of that content before its calls. An object
+that has both gives its calls and its result, whose content is the object's. Calls and
 results of a conversation are hash-joined by identifier. Order is topological: messages by turn, a message's calls by
 their index, and a result right after its call or at its own turn, whichever is later; `place` numbers a conversation's
 rows from 1 in that order (then by JSON text). Conversations are numbered in blocks of BLOCK turns, whose counts are
@@ -107,23 +108,23 @@ def link(
     # Strings in `arguments` arrive as raw JSON text of the object, or as the text of a JSON string.
     rows = rows.withColumn("call", F.when(looks, F.from_json(text, _CALLS))).withColumn("rid", F.when(looks, F.get_json_object(text, "$.tool_call_id")))
     n_calls = F.size(F.coalesce(F.col("call.tool_calls"), F.array().cast(f"array<{_CALL}>")))
-    rows = rows.withColumn("kind", F.when(n_calls > 0, "call").when(F.col("rid").isNotNull(), "result").otherwise("message"))
+    rows = rows.withColumns({"is_call": n_calls > 0, "is_result": F.col("rid").isNotNull()})
     string, boolean = F.lit(None).cast("string"), F.lit(None).cast("boolean")
     canonical = lambda raw: F.coalesce(F.to_json(F.try_parse_json(raw)), _quoted(raw))
     role = _quoted(F.col("role"))
 
-    said = F.when(F.col("kind") == "call", F.nullif(F.col("call.content"), F.lit(""))).otherwise(text)
-    plain = rows.filter((F.col("kind") == "message") | ((F.col("kind") == "call") & (F.col("call.content") != ""))).select(
+    said = F.when(F.col("is_call"), F.nullif(F.col("call.content"), F.lit(""))).otherwise(text)
+    plain = rows.filter("NOT is_result").filter(~F.col("is_call") | (F.col("call.content") != "")).select(
         "conv", "turn", F.col("turn").alias("order_turn"), F.lit(0).alias("order_rank"), F.lit(0).alias("order_index"),
         F.lit("message").alias("kind"), "role", string.alias("call_id"), string.alias("name"), F.lit("none").alias("link"), boolean.alias("valid"), string.alias("problems"),
         _json(role=role, content=_quoted(said), type=F.lit('"message"')).alias("json"),
     )
 
-    calls = rows.filter("kind = 'call'").select("conv", "turn", "role", F.posexplode("call.tool_calls").alias("index", "c"))
+    calls = rows.filter("is_call").select("conv", "turn", "role", F.posexplode("call.tool_calls").alias("index", "c"))
     calls = calls.select(
         "conv", "turn", "role", "index", F.col("c.id").alias("call_id"), F.coalesce("c.name", "c.function.name").alias("name"), F.coalesce("c.arguments", "c.function.arguments").alias("arguments")
     )
-    results = rows.filter("kind = 'result'").select("conv", "turn", "role", F.col("rid").alias("call_id"), F.get_json_object("text", "$.content").alias("content"))
+    results = rows.filter("is_result").select("conv", "turn", "role", F.col("rid").alias("call_id"), F.get_json_object("text", "$.content").alias("content"))
     keys = ["conv", "call_id"]
     # The earliest call and result of each identifier; partial minimums before the shuffle.
     in_turn, came = F.struct("turn", "index", "name", "arguments"), F.struct("turn", "content")
