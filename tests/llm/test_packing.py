@@ -93,6 +93,26 @@ def test_the_search_saves_sequences(spark):
     assert len(rows) == 600 and held(rows, 2048) <= 202
 
 
+def test_levels_go_on_while_they_save_bins(spark, monkeypatch):
+    """Most bins stay loose on every level: no two halves fit together, and shards as small as these pack triplets badly."""
+    monkeypatch.setattr(packing, "SHARD", 16)
+    rng = random.Random(9)
+    for sizes, saves in (([rng.randint(1100, 1500) for _ in range(40)], False), (full_triplets(20, 4), True)):
+        df = common.cut(spark.createDataFrame(list(enumerate(sizes)), "rid bigint, length bigint"))
+        first = packing._level(df, len(sizes), 2048, 0).filter("offset = 0").count()
+        rows = packing.pack(df).join(df, "rid").collect()
+        assert len(rows) == len(sizes)
+        assert held(rows, 2048) < first if saves else held(rows, 2048) == first == len(sizes)
+
+
+def test_a_shard_is_settled_at_the_bound_of_what_stays():
+    sizes = [2048, 2000, 1000, 100]
+    assert packing.settled([[0], [1], [2, 3]], sizes, 2048)
+    assert not packing.settled([[0], [1], [2], [3]], sizes, 2048)
+    assert packing.settled([[0], [1], [2], [3]], sizes, 2048, last=False)
+    assert not packing.settled([[0], [1], [2], [3]], [2048, 1000, 1000, 100], 2048, last=False)
+
+
 def test_swaps_keep_every_piece():
     rng = random.Random(5)
     sizes = [rng.randint(1, 900) for _ in range(120)]

@@ -4,9 +4,12 @@ Documents become pieces of at most `capacity` tokens; full pieces are sequences
 into shards of about SHARD pieces, so a task's work is bounded at any corpus size. A shard is packed on several islands
 (tasks): each holds a population that starts from best fit, decreasing and in random orders; crossover injects whole
 well-filled bins of one parent into the other, bins that hold a duplicate are emptied, displaced pieces take the place
-of one or two smaller ones in other bins where that fills those better, and what is left over is put back by best fit. After each epoch an island's elite migrates to the next island through a shuffle. A shard at its lower
-bound (tokens / capacity, rounded up) stops. Bins that are not nearly full are then emptied and packed together at
-the next level, until one shard holds them all, so about one bin in the whole corpus stays loose.
+of one or two smaller ones in other bins where that fills those better, and what is left over is put back by best fit. After each epoch an island's elite migrates to the next island through a shuffle.
+
+Bins that are not nearly full (LOOSE) are then emptied and packed together at the next level, and so on until one shard
+holds them all, or until that takes as many bins as before. So a shard's emptiest bin costs nothing yet, and the shard is
+settled where no packing of what its other bins hold takes fewer: their waste is less than a bin. The last shard is
+settled at the lower bound of all that it holds (tokens / capacity, rounded up). A shard that is settled stops.
 
 Null and empty texts are documents of the end id alone. Repeated rows are packed once each. An empty table gives no rows.
 """
@@ -213,15 +216,21 @@ def mutated(a: Packing, sizes: list[int], capacity: int, rng: random.Random) ->
     return replaced([list(x) for x in rest[gone:]], [i for x in by_fill[:gone] + rest[:gone] for i in x], sizes, capacity)
 
 
-def evolve(sizes: list[int], elites: list[Packing], capacity: int, seed: int) -> Packing:
-    """The best packing after GENERATIONS of one island, or the first at the lower bound."""
-    bound, rng = ceil(sum(sizes) / capacity), random.Random(seed)
+def settled(packing: Packing, sizes: list[int], capacity: int, last: bool = True) -> bool:
+    """No packing of its pieces takes fewer bins; where loose bins go on (not last), of the pieces outside of its emptiest bin."""
+    waste = [capacity - sum(sizes[i] for i in x) for x in packing]
+    return sum(waste) - (0 if last else max(waste, default=0)) < capacity
+
+
+def evolve(sizes: list[int], elites: list[Packing], capacity: int, seed: int, last: bool = True) -> Packing:
+    """The best packing after GENERATIONS of one island, or the first that is settled."""
+    rng = random.Random(seed)
     # Fewer bins first; of equals the one with the fullest full bins, which leave the most room elsewhere.
     worth = lambda p: (len(p), -sum(sum(sizes[i] for i in x) ** 2 for x in p))
     falling = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     people = [*elites] or [packed(falling, sizes, capacity)]
-    if min(map(len, people)) <= bound:
-        return min(people, key=len)
+    if settled(first := min(people, key=worth), sizes, capacity, last):
+        return first
     while len(people) < POPULATION:
         order = falling[:]
         # A few swaps keep the decreasing order's quality but give another packing.
@@ -232,17 +241,17 @@ def evolve(sizes: list[int], elites: list[Packing], capacity: int, seed: int) ->
         people.append(packed(order, sizes, capacity))
     for _ in range(GENERATIONS):
         people.sort(key=worth)
-        if len(people[0]) <= bound:
+        if settled(people[0], sizes, capacity, last):
             break
         keep = people[: POPULATION // 2]
         people = keep + [mutated(crossover(*rng.sample(keep, 2), sizes, capacity, rng), sizes, capacity, rng) for _ in range(POPULATION - len(keep))]
     return min(people, key=worth)
 
 
-_STATE = "shard bigint, island int, rid bigint, length bigint, bin int, offset bigint, fill bigint, bins int, bound int"
+_STATE = "shard bigint, island int, rid bigint, length bigint, bin int, offset bigint, fill bigint, bins int, settled boolean"
 
 
-def _island(capacity: int):
+def _island(capacity: int, last: bool):
     """One epoch of the island that `group` holds: its pieces once for each elite that it begins with (elite -1: none)."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -256,7 +265,7 @@ def _island(capacity: int):
                 got.setdefault(b, []).append(i)
             elites.append(list(got.values()))
         shard, island = int(one["shard"].iloc[0]), int(one["island"].iloc[0])
-        best = evolve(sizes, elites, capacity, shard * 1009 + island + 7919 * len(elites))
+        best = evolve(sizes, elites, capacity, shard * 1009 + island + 7919 * len(elites), last)
         order = [i for x in best for i in x]
         length = np.array(sizes, np.int64)[order]
         bin_of = np.repeat(np.arange(len(best)), [len(x) for x in best])
@@ -265,7 +274,7 @@ def _island(capacity: int):
         fill = np.add.reduceat(length, first)
         return pd.DataFrame({
             "shard": shard, "island": np.int32(island), "rid": one["rid"].to_numpy()[order], "length": length, "bin": bin_of.astype(np.int32), "offset": before - before[first][bin_of],
-            "fill": fill[bin_of], "bins": np.int32(len(best)), "bound": np.int32(ceil(sum(sizes) / capacity)),
+            "fill": fill[bin_of], "bins": np.int32(len(best)), "settled": settled(best, sizes, capacity, last),
         })
 
     return run
@@ -273,19 +282,20 @@ def _island(capacity: int):
 
 def _level(items: DataFrame, n: int, capacity: int, level: int) -> DataFrame:
     """One level over (rid, length): the best island's state of every shard."""
+    last = n <= SHARD
     shards = max(1, ceil(n / SHARD))
     every = F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island")
     dealt = items.select(F.pmod(F.xxhash64("rid", F.lit(level)), F.lit(shards)).alias("shard"), "rid", "length")
     start = dealt.select("shard", every, "rid", "length", F.lit(-1).alias("bin"), F.lit(-1).alias("elite"))
-    state = common.cut(start.groupBy("shard", "island").applyInPandas(_island(capacity), _STATE))
-    best = lambda s: s.groupBy("shard").agg(F.min_by("island", F.struct("bins", "island")).alias("island"), F.min("bins").alias("bins"), F.first("bound").alias("bound"))
+    state = common.cut(start.groupBy("shard", "island").applyInPandas(_island(capacity, last), _STATE))
+    best = lambda s: s.groupBy("shard").agg(F.min_by("island", F.struct(~F.col("settled"), "bins", "island")).alias("island"), F.bool_or("settled").alias("settled"))
     for _ in range(EPOCHS - 1):
-        unsolved = best(state).filter("bins > bound").select("shard")
+        unsolved = best(state).filter("NOT settled").select("shard")
         own = state.join(unsolved, "shard", "left_semi")
         cols = ["shard", "island", "rid", "length", "bin"]
         migrants = own.select("shard", ((F.col("island") + 1) % ISLANDS).alias("island"), "rid", "length", "bin", F.lit(1).alias("elite"))
         moved = own.select(*cols, F.lit(0).alias("elite")).union(migrants)
-        again = moved.groupBy("shard", "island").applyInPandas(_island(capacity), _STATE)
+        again = moved.groupBy("shard", "island").applyInPandas(_island(capacity, last), _STATE)
         state = common.cut(state.join(unsolved, "shard", "left_anti").select(*again.columns).union(again))
     chosen = best(state).select("shard", "island")
     return state.join(chosen, ["shard", "island"], "left_semi").select("shard", "rid", "length", "bin", "offset", "fill")
@@ -295,17 +305,19 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(rid, sequence_id, offset) for (rid unique, length <= capacity) rows; sequence ids are below 0 for full pieces."""
     full = items.filter(F.col("length") >= capacity).select("rid", (-1 - F.col("rid")).alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     rest, out, level = items.filter(F.col("length") < capacity).select("rid", "length"), full, 0
-    n = rest.count()
+    n, columns = rest.count(), ["rid", "sequence_id", "offset"]
+    before = None  # the loose bins of the level before, as they are, and how many
     while n:
         state = common.cut(_level(rest, n, capacity, level))
         placed = state.select("rid", (F.lit(level << 56) + F.call_function("shiftleft", F.col("shard"), F.lit(20)) + F.col("bin")).alias("sequence_id"), "offset", "length", "fill")
+        firm, begins = F.col("fill") >= LOOSE * capacity, F.col("offset") == 0
+        found = state.agg(F.count_if(begins).alias("bins"), F.count_if(begins & ~firm).alias("loose"), F.count_if(~firm).alias("left")).first()
+        if before is not None and found.bins >= before[1]:
+            return out.union(before[0])
         if n <= SHARD:
-            return out.union(placed.select("rid", "sequence_id", "offset"))
-        firm = F.col("fill") >= LOOSE * capacity
-        rest, left = placed.filter(~firm).select("rid", "length"), state.filter(~firm).count()
-        if left > 0.5 * n:  # little would be gained: the shards are already packed together well enough
-            return out.union(placed.select("rid", "sequence_id", "offset"))
-        out, n, level = out.union(placed.filter(firm).select("rid", "sequence_id", "offset")), left, level + 1
+            return out.union(placed.select(*columns))
+        out, before = out.union(placed.filter(firm).select(*columns)), (placed.filter(~firm).select(*columns), found.loose)
+        rest, n, level = placed.filter(~firm).select("rid", "length"), found.left, level + 1
     return out
 
 
