@@ -9,11 +9,14 @@ Buckets are the shingles that prefixes of different sets share. Pairs that links
 Buckets of up to SMALL sets compare all others; in larger ones all sets are compared with the most central one, which is
 then done with, and only buckets that still hold different components go on. After ROUNDS such rounds what is left is
 compared pair by pair, so every pair is either joined already or checked; that last step is quadratic in the sets of one
-bucket that are similar to none of its central ones. All checks are exact on the sets of 64-bit shingle hashes.
+bucket that are similar to none of its central ones. Of a pair first the sets' histograms are compared, CELLS counts of
+shingles by hash: two sets share no more than the sum of the lesser counts, and where that is too little the pair goes
+without its sets. All other checks are exact on the sets of 64-bit shingle hashes.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +31,9 @@ from tracklane.llm.components import components
 SHINGLE, SMALL, ROUNDS = 5, simhash_dedup.SMALL, 4
 #: Slots of the counting sketch, and how many of them one row of a partial sketch holds.
 SLOTS, CHUNK = 1 << 18, 1 << 12
+#: Counts in a set's histogram, of 16 bits each; CELL_BITS first bits of a hash name the cell.
+CELL_BITS = 7
+CELLS = 1 << CELL_BITS
 _SLICE = 2_000_000
 
 
@@ -66,8 +72,26 @@ def sketch(texts: DataFrame) -> np.ndarray:
     return out.reshape(-1)
 
 
+def histograms(h: np.ndarray, row: np.ndarray, n: int) -> list[bytes]:
+    """How many of each of n sets' hashes fall in each cell. A set with a count of over 16 bits has the most in all: no bound."""
+    counts = np.bincount(row * CELLS + (h >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=n * CELLS).reshape(n, CELLS)
+    counts[(counts >= 1 << 16).any(1)] = (1 << 16) - 1
+    return [x.tobytes() for x in counts.astype(np.uint16)]
+
+
+@functools.lru_cache(maxsize=1)
+def _shared_at_most():
+    """A UDF: the sum of the lesser counts of two histograms. Made when it is used: that needs a session."""
+
+    def bound(a: pa.Array, b: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint16).reshape(-1, CELLS) for c in (a, b))
+        return pa.array(np.minimum(x, y).sum(1, dtype=np.int64))
+
+    return F.arrow_udf(bound, "bigint")
+
+
 def prefixes(rows: DataFrame, counts: np.ndarray, id_col: str) -> DataFrame:
-    """(id, fp, sid, n, central, prefix): SimHash, name and size of the shingle set, mean log count of its shingles, its prefix."""
+    """(id, fp, sid, n, central, prefix, cells): SimHash, name and size of the shingle set, mean log count of its shingles, its prefix, its histogram."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,9 +107,11 @@ def prefixes(rows: DataFrame, counts: np.ndarray, id_col: str) -> DataFrame:
                 central = common.sums(np.log1p(seen), at) / np.maximum(n, 1)
                 sid = np.array([xxhash.xxh64_intdigest(h[a:b].tobytes(), simhash_dedup.SEED) for a, b in zip(at[:-1], at[1:], strict=True)], np.uint64)
                 heads = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(head.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([part.column("i"), pa.array(fp.view(np.int64)), pa.array(sid.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(central), heads], names=[id_col, "fp", "sid", "n", "central", "prefix"])
+                cells = pa.array(histograms(h, row, len(n)), pa.binary())
+                arrays = [part.column("i"), pa.array(fp.view(np.int64)), pa.array(sid.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(central), heads, cells]
+                yield pa.RecordBatch.from_arrays(arrays, names=[id_col, "fp", "sid", "n", "central", "prefix", "cells"])
 
-    schema = f"`{id_col}` {rows.schema['i'].dataType.simpleString()}, fp bigint, sid bigint, n int, central double, prefix array<bigint>"
+    schema = f"`{id_col}` {rows.schema['i'].dataType.simpleString()}, fp bigint, sid bigint, n int, central double, prefix array<bigint>, cells binary"
     return rows.mapInArrow(run, schema)
 
 
@@ -126,7 +152,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows = common.cut(prefixes(texts, sketch(texts.select("t")), "id"))
     least = common.cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
     # Sets of equal shingles may still differ in fingerprint: their order or repeats differ.
-    sets = common.cut(rows.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("central").alias("central"), F.first("prefix").alias("prefix")))
+    sets = common.cut(rows.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("central").alias("central"), F.first("prefix").alias("prefix"), F.first("cells").alias("cells")))
     alike = rows.select("sid", F.col("fp").alias("a")).distinct().join(sets.select("sid", F.col("fp").alias("b")), "sid").filter("a <> b").select("a", "b")
     edges = common.cut(simhash_dedup.links(least.select("fp")).select("a", "b").union(alike))
     tree = common.cut(components(edges))
@@ -134,17 +160,21 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def rooted(met: DataFrame) -> DataFrame:
         return common.cut(met.drop("root").join(tree.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
 
-    one = sets.select("sid", "fp", "n", "central", F.posexplode("prefix").alias("pos", "h"))
+    # Most shingles are in one set's prefix only: what else is known of a set is put to the others, once they are found.
+    one = sets.select("sid", F.posexplode("prefix").alias("pos", "h"))
     shared = one.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo < hi").select("h")
-    met = common.cut(one.join(shared, "h"))
+    met = common.cut(common.cut(one.join(shared, "h")).join(sets.select("sid", "fp", "n", "central"), "sid"))
+    cells = sets.select("sid", "n", "cells")
+    side = lambda x: cells.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}"))
     for k in range(rounds + 1):
         met = rooted(met)
         across = met.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("members"), F.max(F.struct("central", "sid")).alias("leader")).filter("lo < hi")
         buckets = common.cut(across.select("h", "members", "leader"))
         if buckets.isEmpty():
             break
-        # The pairs come first: whole sets are made, and travel, only for texts that some pair needs.
-        pairs = common.cut(_candidates(met, buckets, None if k == rounds else small))
+        # The pairs come first: whole sets are made, and travel, only for texts of pairs that share enough by their histograms.
+        close = 9 * _shared_at_most()("cells_a", "cells_b") >= 4 * (F.col("n_a") + F.col("n_b"))
+        pairs = common.cut(_candidates(met, buckets, None if k == rounds else small).join(side("a"), "a").join(side("b"), "b").filter(close).select("a", "b"))
         wanted = common.cut(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "fp", F.col("id").alias("i")), "sid"))
         if not wanted.isEmpty():
             full = common.cut(full_sets(texts.join(wanted, "i").dropDuplicates(["i"]).select("sid", "fp", "t")))
