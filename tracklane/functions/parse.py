@@ -68,14 +68,19 @@ _LENGTH = rf"^[:\s]*({_PART})\s*:[:\s]*({_PART})\s*(?::[:\s]*({_PART})\s*)?(?::[
 def length_key(c: Column) -> Column:
     """Equal lengths in one form, "m:ss" or "h:mm:ss"; other text unchanged (stripped). Empty parts do not count."""
     s = strip(c)
-    # Most lengths are plain; only others need the parts found by the wider form.
-    plain = s.rlike(r"^(?:0|[1-9][0-9]?):[0-5][0-9]$")
-    a, b, c3 = (F.replace(F.regexp_extract(s, _LENGTH, k), F.lit("_"), F.lit("")).try_cast("int") for k in (1, 2, 3))
-    three = F.regexp_extract(s, _LENGTH, 3) != ""
-    h, m, sec = F.when(three, a).otherwise(0), F.when(three, b).otherwise(a), F.when(three, c3).otherwise(b)
-    good = (h >= 0) & (m >= 0) & (m < 60) & (sec >= 0) & (sec < 60)
-    short, long = F.concat_ws(":", m.cast("string"), _two(sec)), F.concat_ws(":", h.cast("string"), _two(m), _two(sec))
-    return F.when((plain & (_part(s, 1) < 60)) | ~s.rlike(_LENGTH), s).when(good, F.when(h > 0, long).otherwise(short)).otherwise(s)
+    # Most lengths are plain; only others are taken apart, once a row.
+    plain = s.rlike(r"^(?:0|[1-9]|[1-5][0-9]):[0-5][0-9]$")
+    parts = F.when(s.rlike(_LENGTH), F.split(F.regexp_replace(F.regexp_replace(s, _LENGTH, "$1:$2:$3"), "_", ""), ":"))
+
+    def key(x: Column) -> Column:
+        a, b, c3 = (F.get(x["parts"], k).try_cast("int") for k in range(3))
+        three = F.get(x["parts"], 2) != ""
+        h, m, sec = F.when(three, a).otherwise(0), F.when(three, b).otherwise(a), F.when(three, c3).otherwise(b)
+        good = (h >= 0) & (m >= 0) & (m < 60) & (sec >= 0) & (sec < 60)
+        short, long = F.concat_ws(":", m.cast("string"), _two(sec)), F.concat_ws(":", h.cast("string"), _two(m), _two(sec))
+        return F.when(good, F.when(h > 0, long).otherwise(short)).otherwise(x["text"])
+
+    return F.when(plain, s).otherwise(F.transform(F.array(F.struct(s.alias("text"), parts.alias("parts"))), key)[0])
 
 
 def bpm_key(c: Column) -> Column:

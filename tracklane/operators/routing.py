@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -148,29 +149,53 @@ def listed_or_all(tables: Sequence[DataFrame], everything: DataFrame, key: str =
     return some.unionByName(rest)
 
 
-def run_counters(files: DataFrame) -> DataFrame:
-    """One row of a run's counters from (route, status, n_tracks, ingest, playlist).
-
-    route as operators.files.routed gives it; status of a CSV file: imported, duplicate or failed; ingest and playlist:
-    sent, failed, no_tracks, unset or null; n_tracks null where the tracks could not be read.
-    """
+def _counters() -> list[Column]:
+    """The aggregates of a run's counters; see run_counters."""
     route, status, c = F.col("route"), F.col("status"), F.count_if
     csv = route.isin("set", "bad_set_name")
     imported = csv & (status == "imported")
-    return files.agg(
-        c(csv).alias("sets_attempted"), c(imported).alias("sets_imported"), c(csv & (status == "failed")).alias("sets_failed"), c(route == "other").alias("sets_skipped"),
+    return [
+        c(csv).alias("sets_attempted"), c(imported).alias("sets_imported"), c(csv & _counts_as_failed()).alias("sets_failed"), c(route == "other").alias("sets_skipped"),
         c(route == "bad_filename").alias("unrecognized_filename_skips"), c(csv & (status == "duplicate")).alias("duplicate_csv_count"),
         F.coalesce(F.sum(F.when(imported, F.col("n_tracks"))), F.lit(0)).alias("total_tracks"), c(imported & F.col("ingest").isin("sent", "failed")).alias("ingest_attempted"),
         c(imported & (F.col("ingest") == "failed")).alias("ingest_failed"), c(imported & (F.col("playlist") == "failed")).alias("spotify_failed"),
         c(imported & (route == "bad_set_name")).alias("bad_filename_in_file"), c(imported & (F.col("ingest") == "no_tracks")).alias("ingest_skipped_no_tracks"),
         c(imported & (F.col("ingest") == "unset")).alias("ingest_skipped_env_missing"), c(imported & F.col("n_tracks").isNull()).alias("track_read_failed"),
-    ).withColumn("api_ingest_success", F.col("ingest_failed") == 0)
+    ]
+
+
+def _counts_as_failed() -> Column:
+    """A failed file whose rename failed too is told by its log only; one of an unexpected error always counts."""
+    return (F.col("status") == "error") | (F.col("status") == "failed") & F.coalesce("renamed", F.lit(True))
+
+
+def _ended(counters: DataFrame, push_failed: bool) -> DataFrame:
+    """Counters with what the end of the run adds: the push of all playlists, and whether all ingests worked."""
+    return counters.withColumn("spotify_failed", F.col("spotify_failed") + int(push_failed)).withColumn("api_ingest_success", F.col("ingest_failed") == 0)
+
+
+def run_counters(files: DataFrame, push_failed: bool = False) -> DataFrame:
+    """One row of a run's counters from (route, status, renamed, n_tracks, ingest, playlist).
+
+    route as operators.files.routed gives it; status of a CSV file: imported, duplicate, failed or error (unexpected);
+    renamed: whether a failed one got its failed name (null: yes); ingest and playlist: sent, failed, no_tracks, unset or
+    null; n_tracks null where the tracks could not be read. push_failed: the push of all playlists at the run's end.
+    """
+    return _ended(files.agg(*_counters()), push_failed)
+
+
+def counted_while(files: DataFrame, write: Callable[[DataFrame], None], push_failed: bool = False) -> DataFrame:
+    """run_counters of `files`, taken while `write` writes them: one job, no second look at the files."""
+    seen = Observation(f"run-{uuid.uuid4().hex}")
+    write(files.observe(seen, *_counters()))
+    n = seen.get
+    return _ended(files.sparkSession.createDataFrame([tuple(n.values())], ", ".join(f"{k} bigint" for k in n)), push_failed)
 
 
 def failed_labels(files: DataFrame, name: str = "name") -> DataFrame:
-    """The base names of the sets that failed, as rows: their number has no bound."""
+    """The base names of the sets that failed and were renamed, as rows: their number has no bound."""
     csv = F.col("route").isin("set", "bad_set_name")
-    return files.filter(csv & (F.col("status") == "failed")).select(base_name(F.col(name)).alias("label"))
+    return files.filter(csv & (F.col("status") == "failed") & F.coalesce("renamed", F.lit(True))).select(base_name(F.col(name)).alias("label"))
 
 
 def finding(counters: DataFrame, issues: Sequence[str] = ISSUES, absorbed: Sequence[str] = ABSORBED) -> DataFrame:

@@ -164,11 +164,11 @@ def sheet_payloads(spark, sf_dir):
     return tracks.payloads(modes.run("tracks", grid.first_tabs(_sheets(spark, sf_dir))), _meta(spark, sf_dir))
 
 
-@R.add("""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 2 = 0 THEN l_linenumber END AS p FROM lineitem WHERE l_suppkey % 3 <> 0)
+@R.add("""WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE WHEN l_partkey % 2 = 0 THEN 10 * l_linenumber END AS p FROM lineitem)
 SELECT l_orderkey, l_linenumber, coalesce(p, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INT)) AS play_order FROM r""")
 def fallback_order(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").filter("l_suppkey % 3 <> 0")
-    rows = rows.withColumn("play_order", F.when(F.col("l_partkey") % 2 == 0, F.col("l_linenumber").cast("int")))
+    rows = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    rows = rows.withColumn("play_order", F.when(F.col("l_partkey") % 2 == 0, (10 * F.col("l_linenumber")).cast("int")))
     return tracks.with_order(rows, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").select("l_orderkey", "l_linenumber", "play_order")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import parse
 from tracklane.operators import live, playlists, routing, tracks
-from tracklane.plans.base import Registry, table
+from tracklane.plans.base import Registry, scratch, table
 
 R = Registry()
 QUERIES, ORACLES = R.queries, R.oracles
@@ -49,10 +49,11 @@ def yearly_report(spark, sf_dir):
 
 _RUN = """
 f AS (SELECT CASE WHEN event_id % 50 = 0 THEN 'bad_filename' WHEN event_id % 50 < 4 THEN 'other' WHEN event_id % 50 < 6 THEN 'bad_set_name' ELSE 'set' END AS route,
-  CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 11 = 0 THEN 'duplicate' ELSE 'imported' END AS status, CASE WHEN event_id % 301 <> 0 THEN CAST(user_id % 40 AS BIGINT) END AS n_tracks,
+  CASE WHEN event_type = 'error' THEN 'failed' WHEN event_id % 11 = 0 THEN 'duplicate' WHEN event_id % 211 = 0 THEN 'error' ELSE 'imported' END AS status, CASE WHEN event_id % 3 > 0 THEN event_id % 3 = 1 END AS renamed,
+  CASE WHEN event_id % 301 <> 0 THEN CAST(user_id % 40 AS BIGINT) END AS n_tracks,
   CASE WHEN event_id % 17 = 0 THEN 'failed' WHEN event_id % 17 = 1 THEN 'no_tracks' WHEN event_id % 17 = 2 THEN 'unset' ELSE 'sent' END AS ingest, event_id % 503 = 0 AS playlist_failed, event_id FROM events),
 i AS (SELECT * FROM f WHERE route IN ('set', 'bad_set_name') AND status = 'imported'),
-c AS (SELECT count(*) FILTER (route IN ('set', 'bad_set_name')) AS sets_attempted, (SELECT count(*) FROM i) AS sets_imported, count(*) FILTER (route IN ('set', 'bad_set_name') AND status = 'failed') AS sets_failed,
+c AS (SELECT count(*) FILTER (route IN ('set', 'bad_set_name')) AS sets_attempted, (SELECT count(*) FROM i) AS sets_imported, count(*) FILTER (route IN ('set', 'bad_set_name') AND (status = 'error' OR status = 'failed' AND coalesce(renamed, true))) AS sets_failed,
   count(*) FILTER (route = 'other') AS sets_skipped, count(*) FILTER (route = 'bad_filename') AS unrecognized_filename_skips, count(*) FILTER (route IN ('set', 'bad_set_name') AND status = 'duplicate') AS duplicate_csv_count,
   (SELECT CAST(coalesce(sum(n_tracks), 0) AS BIGINT) FROM i) AS total_tracks, (SELECT count(*) FROM i WHERE ingest IN ('sent', 'failed')) AS ingest_attempted, (SELECT count(*) FROM i WHERE ingest = 'failed') AS ingest_failed,
   (SELECT count(*) FROM i WHERE playlist_failed) AS spotify_failed, (SELECT count(*) FROM i WHERE route = 'bad_set_name') AS bad_filename_in_file, (SELECT count(*) FROM i WHERE ingest = 'no_tracks') AS ingest_skipped_no_tracks,
@@ -66,7 +67,7 @@ def _run_files(spark, sf_dir):
     return e.select(
         "event_id", F.concat(F.lit("2024-01-01 S"), k.cast("string"), F.lit(".csv")).alias("name"),
         F.when(k % 50 == 0, "bad_filename").when(k % 50 < 4, "other").when(k % 50 < 6, "bad_set_name").otherwise("set").alias("route"),
-        F.when(F.col("event_type") == "error", "failed").when(k % 11 == 0, "duplicate").otherwise("imported").alias("status"), F.when(k % 301 != 0, F.col("user_id").cast("bigint") % 40).alias("n_tracks"),
+        F.when(F.col("event_type") == "error", "failed").when(k % 11 == 0, "duplicate").when(k % 211 == 0, "error").otherwise("imported").alias("status"), F.when(k % 3 > 0, k % 3 == 1).alias("renamed"), F.when(k % 301 != 0, F.col("user_id").cast("bigint") % 40).alias("n_tracks"),
         F.when(m == 0, "failed").when(m == 1, "no_tracks").when(m == 2, "unset").otherwise("sent").alias("ingest"), F.when(k % 503 == 0, "failed").otherwise("sent").alias("playlist"),
     )
 
@@ -76,6 +77,13 @@ def run_counters(spark, sf_dir):
     return routing.run_counters(_run_files(spark, sf_dir))
 
 
+@R.add(f"WITH {_RUN} SELECT * REPLACE (spotify_failed + 1 AS spotify_failed), ingest_failed = 0 AS api_ingest_success FROM c")
+def observed_counters(spark, sf_dir):
+    """The same counters, taken while the files are written, of a run whose last push failed."""
+    path = scratch(spark, "run")
+    return routing.counted_while(_run_files(spark, sf_dir), lambda df: df.write.parquet(path), push_failed=True)
+
+
 @R.add(f"""WITH {_RUN}, p AS (SELECT *, concat_ws('; ', CASE WHEN sets_failed > 0 THEN 'sets_failed=' || sets_failed END, CASE WHEN ingest_failed > 0 THEN 'ingest_failed=' || ingest_failed END,
   CASE WHEN spotify_failed > 0 THEN 'spotify_failed=' || spotify_failed END, CASE WHEN bad_filename_in_file > 0 THEN 'bad_filename_in_file=' || bad_filename_in_file END,
   CASE WHEN track_read_failed > 0 THEN 'track_read_failed=' || track_read_failed END) AS said FROM c)
@@ -93,18 +101,18 @@ def run_finding_without_issues(spark, sf_dir):
     return routing.finding(n)
 
 
-@R.add(f"WITH {_RUN} SELECT '2024-01-01 S' || event_id AS label FROM f WHERE route IN ('set', 'bad_set_name') AND status = 'failed'")
+@R.add(f"WITH {_RUN} SELECT '2024-01-01 S' || event_id AS label FROM f WHERE route IN ('set', 'bad_set_name') AND status = 'failed' AND coalesce(renamed, true)")
 def run_failed_labels(spark, sf_dir):
     return routing.failed_labels(_run_files(spark, sf_dir))
 
 
 @R.add("""
-WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS file, date_trunc('minute', ts) AS t, 'u' || user_id AS title, event_type AS artist FROM events WHERE event_type <> 'error'),
-u AS (SELECT *, timezone('UTC', timezone('America/Chicago', t)) AS utc FROM e WHERE file = (SELECT max(file) FROM e))
+WITH e AS (SELECT event_id, strftime(ts, '%Y-%m-%d') AS file, date_trunc('minute', ts) AS t, 'u' || user_id AS title, event_type AS artist FROM events),
+u AS (SELECT *, timezone('UTC', timezone('America/Chicago', t)) AS utc FROM e WHERE file = (SELECT max(file) FROM e) AND artist <> 'error')
 SELECT event_id, title, artist, strftime(t, '%Y-%m-%dT%H:%M:%S') || CASE WHEN t < utc THEN '-' ELSE '+' END || printf('%02d:%02d', abs(date_diff('minute', utc, t)) // 60, abs(date_diff('minute', utc, t)) % 60) AS played_at FROM u""")
 def latest_file_plays(spark, sf_dir):
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
-    rows = e.filter("event_type <> 'error'").select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("file"), F.date_format("ts", "yyyy-M-d H:m").alias("dt"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("title"), F.col("event_type").alias("artist"))
+    rows = e.select("event_id", F.date_format("ts", "yyyy-MM-dd").alias("file"), F.date_format("ts", "yyyy-M-d H:m").alias("dt"), F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("title"), F.when(F.col("event_type") != "error", F.col("event_type")).alias("artist"))
     return live.plays(live.latest_file(rows)).select("event_id", "title", "artist", "played_at")
 
 
@@ -240,10 +248,10 @@ def set_payloads(spark, sf_dir):
 
 
 @R.add("""
-SELECT count(*) FILTER (event_type = 'view') AS files_ok, count(*) FILTER (event_type IN ('error', 'click')) AS files_failed, CAST(coalesce(sum(CAST(value AS INT)) FILTER (event_type = 'view'), 0) AS BIGINT) AS plays_sent,
+SELECT count(*) FILTER (event_type = 'view') AS files_ok, count(*) FILTER (event_type <> 'view' OR event_type IS NULL) AS files_failed, CAST(coalesce(sum(CAST(value AS INT)) FILTER (event_type = 'view'), 0) AS BIGINT) AS plays_sent,
   CAST(coalesce(sum(CAST(value AS INT)) FILTER (event_type = 'error'), 0) AS BIGINT) AS plays_failed FROM (SELECT event_type, floor(value) AS value FROM events)""")
 def live_summary(spark, sf_dir):
-    e = table(spark, sf_dir, "events", "event_type", "value").filter("event_type IN ('view', 'error', 'click')")
+    e = table(spark, sf_dir, "events", "event_type", "value")
     status = F.when(F.col("event_type") == "view", "sent").when(F.col("event_type") == "error", "api_error").otherwise("error")
     return live.summary(e.select(status.alias("status"), F.floor("value").alias("n_plays")))
 
