@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tracklane.functions import parse, text
 from tracklane.operators.grid import padded
-from tracklane.operators.order import running_before
+from tracklane.operators.order import placed, running_before
 from tracklane.sources.scratch import written
 
 #: The columns that may differ within a merged row, and how each is compared once it is folded.
@@ -164,6 +164,11 @@ def numbered(merged: DataFrame, keys: Sequence[str], at: str = "at") -> DataFram
     return merged.withColumn("entry", F.row_number().over(W.partitionBy(*keys).orderBy(at)) - 1)
 
 
+def in_order(merged: DataFrame, at: str = "first_at") -> DataFrame:
+    """Entries with their place, from 1, in the order of a de-duplicated sheet, for a sink; without key_at and `at`."""
+    return placed(merged, [], ["key_at", at], "place").drop("key_at", at)
+
+
 def ranked(merged: DataFrame, at: str = "at") -> DataFrame:
     """Entries with key_rank, the place of their key by its first appearance, from 1; see operators.order for groups of any size."""
     first = (F.col("key_at") == F.col(at)).cast("bigint")

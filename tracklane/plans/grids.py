@@ -242,12 +242,13 @@ def yearly_tables(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@R.add(f"""{_SUMMARY} SELECT e.pos.t AS "Title", s."Artist", e.v_g AS "Genre", e.v_l AS "Length", e.n AS "Count", 1995 AS year FROM merged JOIN s ON s.source_id = e.pos.s AND s.tab = e.pos.b AND s.row_ord = e.pos.r""")
+@R.add(f"""{_SUMMARY}, o AS (SELECT *, row_number() OVER (ORDER BY kp, e.pos) AS place FROM (SELECT *, min(e.pos) OVER (PARTITION BY tk, ak) AS kp FROM merged))
+SELECT e.pos.t AS "Title", s."Artist", e.v_g AS "Genre", e.v_l AS "Length", e.n AS "Count", CAST(place AS INT) AS place, 1995 AS year FROM o JOIN s ON s.source_id = e.pos.s AND s.tab = e.pos.b AND s.row_ord = e.pos.r""")
 def summary_written(spark, sf_dir):
-    """The combined table, written, and the merge of the written copy, read back."""
+    """The combined table, written, and the merge of the written copy in the order of a de-duplicated sheet, read back."""
     path = scratch(spark, "summary")
-    sinks.write_summary(spark, summaries.combined(_sheets(spark, sf_dir)), 1995, path, lambda rows: first_fit.deduplicate(rows, ["at"]).drop("first_at", "key_at"))
-    return spark.read.parquet(f"{path}/summary").select("Title", "Artist", "Genre", "Length", "Count", "year")
+    sinks.write_summary(spark, summaries.combined(_sheets(spark, sf_dir)), 1995, path, lambda rows: first_fit.in_order(first_fit.deduplicate(rows, ["at"])))
+    return spark.read.parquet(f"{path}/summary").select("Title", "Artist", "Genre", "Length", "Count", "place", "year")
 
 
 @R.add("SELECT CAST(year(o_orderdate) AS INT) AS source_id, CASE WHEN o_custkey % 2 = 0 THEN 'x' ELSE 'y' END AS tab, CASE WHEN o_custkey % 2 = 0 THEN -o_orderkey ELSE o_orderkey END AS v FROM orders")
