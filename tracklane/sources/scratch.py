@@ -23,14 +23,15 @@ def scratch(spark: SparkSession, name: str) -> str:
         app = spark.sparkContext.applicationId
         if app not in _own:
             _own[app] = tempfile.mkdtemp(prefix="tracklane-")
-            _at_end(spark, _own[app])
+            at_end(spark, _own[app])
         return f"{_own[app]}/{name}-{uuid.uuid4().hex}"
     path = f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _at_end(spark, path)
+    at_end(spark, path)
     return path
 
 
-def _at_end(spark: SparkSession, path: str) -> None:
+def at_end(spark: SparkSession, path: str) -> None:
+    """Remove `path` when the JVM ends, if it is still there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
     p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)  # noqa: SLF001
 
