@@ -85,9 +85,42 @@ def test_forms_found_and_not_found(spark):
     assert [(r.text, r.pii.text) for r in got if r.text != r.pii.text] == []
 
 
-def test_given_name_of_a_neutral_title(spark):
-    got = pii.replace(spark.createDataFrame([("Herr Dr. Hans Meyer met Dr. Hans Meyer and Herr Hans Meyer.",)], "text string"), "k").first().pii.text.rstrip(".").split()
-    assert got[:2] == ["Herr", "Dr."] and got[2] == got[10] != got[6] and got[3] == got[7] == got[11]
+def test_a_given_name_is_one_entity_whatever_its_titles(spark):
+    text = "Herr Dr. Hans Meyer met Dr. Hans Meyer and Herr Hans Meyer."
+    got = pii.replace(spark.createDataFrame([(text,)], "text string"), "k").first().pii.text.rstrip(".").split()
+    assert got[:2] == ["Herr", "Dr."] and got[2] == got[6] == got[10] and got[3] == got[7] == got[11]
+    got = pii.replace(spark.createDataFrame([("Dr. John Smith met Mr. John Smith and John.",)], "text string"), "k").first().pii.text.rstrip(".").split()
+    assert got[1] == got[5] == got[8] and got[1].endswith("rik") and got[2] == got[6]
+
+
+def test_gender_is_the_texts_then_the_corpuses(spark):
+    texts = ["Dr. Kim Lee", "Mrs. Kim Lee", "Mr. Kim Lee and Mrs. Kim Lee", "Dr. Ann Lee", "Mrs. Ann Poe", "Prof. Max Poe"]
+    got = [r.pii.text.split() for r in pii.replace(spark.createDataFrame(list(enumerate(texts)), "i int, text string"), "k").orderBy("doc.i").collect()]
+    end = lambda w: w[-3:]
+    assert [end(w[1]) for w in got] == ["nor", "lia", "rik", "lia", "lia", "nor"]  # Kim: both in the corpus; Ann: one; Max: none
+    assert got[2][1] == got[2][5] and got[3][1] == got[4][1]
+    assert len({w[1][:-3] for w in got[:3]}) == 1 and len({w[1][:-3] for w in got}) == 3
+
+
+def test_generated_names_keep_coreference_and_stay_distinct(spark):
+    """The documents hold no titled name: names are made, and every word has one stem whatever the title and the text."""
+    import random
+
+    rng = random.Random(3)
+    made = lambda n: ["".join(rng.choice("bcdfg") + rng.choice("aeiou") for _ in range(3)).capitalize() for _ in range(n)]
+    given, family = made(60), [f"{x}son" for x in made(60)]
+    texts = [[(rng.choice(["Mr.", "Mrs", "Dr.", "Prof."]), rng.choice(given), rng.choice(family)) for _ in range(6)] for _ in range(200)]
+    rows = [(k, "; ".join(" ".join(x) for x in t)) for k, t in enumerate(texts)]
+    stems, surnames = {}, {}
+    for r in pii.replace(spark.createDataFrame(rows, "i int, text string"), "k").select("doc.i", F.col("pii.text").alias("t")).collect():
+        here = {}
+        for (title, g, f), new in zip(texts[r.i], r.t.split("; "), strict=True):
+            t, a, b = new.split()
+            assert t == title and here.setdefault(g, a) == a
+            assert stems.setdefault(g, a[:-3]) == a[:-3] and surnames.setdefault(f, b) == b
+            first = next((x for x, n, _ in texts[r.i] if n == g and x in ("Mr.", "Mrs")), None)
+            assert first is None or a[-3:] == {"Mr.": "rik", "Mrs": "lia"}[first]
+    assert len(set(stems.values())) == len(stems) and len(set(surnames.values())) == len(surnames)
 
 
 def test_names_are_replaced_wherever_they_recur(spark):

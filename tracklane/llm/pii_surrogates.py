@@ -3,7 +3,9 @@
 An entity's core is drawn from a keyed hash of its type and canonical form (lower case; of numbers the digits, of phone
 numbers without a leading 1), so the same entity has the same surrogate everywhere (coreference) and any spelling of it
 keeps its own punctuation. A name that a text gives with a title is replaced wherever its words stand in that text as
-whole words in the same case. Cores are checked over the whole corpus: where two entities of a type would share one, or
+whole words in the same case. A given name is one entity whatever its titles; its gender only chooses the surrogate's
+ending: that of the first title in the text that tells one for this name, else the one that all such titles of the corpus
+tell, else neither. Cores are checked over the whole corpus: where two entities of a type would share one, or
 a core is some entity's own form, all but the least canonical form draw again with the next attempt; names then get
 longer, so their space has no end. Only entities that move take part in a further round, and only their attempts are
 joined back, to the documents that hold one; all other text is rewritten where it is read. Formats of fixed length (card,
@@ -95,9 +97,7 @@ def parts(m: Column) -> Column:
     def of(kind: Column) -> Column:
         one = lambda t, c: F.struct(t.alias("type"), c.alias("canon"))
         words = name_words(m)
-        told = lambda titles: F.regexp_extract(m, rf"^{_TITLE}", 0).rlike(rf"(?:^| )(?:{'|'.join(titles)})\.? ")
-        gender = F.when(told(MALE), "given_m").when(told(FEMALE), "given_f").otherwise("given")
-        names = F.transform(words, lambda w, i: one(F.when(i == F.size(words) - 1, "surname").otherwise(gender), F.lower(w)))
+        names = F.transform(words, lambda w, i: one(F.when(i == F.size(words) - 1, "surname").otherwise("given"), F.lower(w)))
         return (
             F.when(kind == "name", names).when(kind.isin("email", "ip", "ip6"), F.array(one(kind, F.lower(m))))
             .when(kind == "iban", F.array(one(kind, F.regexp_replace(m, " ", ""))))
@@ -108,8 +108,28 @@ def parts(m: Column) -> Column:
     return let(kind_of(m), of)
 
 
+def told(m: Column) -> Column:
+    """The (gender, canonical form) pairs of a match's given names where its title tells a gender: m or f."""
+    says = lambda titles: F.regexp_extract(m, rf"^{_TITLE}", 0).rlike(rf"(?:^| )(?:{'|'.join(titles)})\.? ")
+    gender, words = F.when(says(MALE), "m").when(says(FEMALE), "f"), name_words(m)
+    named = (kind_of(m) == "name") & gender.isNotNull()
+    given = F.transform(F.slice(words, F.lit(1), F.size(words) - 1), lambda w: F.struct(gender.alias("gender"), F.lower(w).alias("canon")))
+    return F.when(named, given).otherwise(F.array().cast("array<struct<gender: string, canon: string>>"))
+
+
+def own_gender(all_told: Column, canon: Column) -> Column:
+    """What the first of a text's titles tells of a given name, or null."""
+    return F.get(F.filter(all_told, lambda x: x["canon"] == canon), 0)["gender"]
+
+
+def ended(canon: Column, stem: Column, gender: Column) -> Column:
+    """A given name's surrogate: the stem with the ending of its script and gender."""
+    of = lambda script: F.when(gender == "m", _SYLLABLES[script][1]["m"]).when(gender == "f", _SYLLABLES[script][1]["f"]).otherwise(_SYLLABLES[script][1]["s"])
+    return F.concat(stem, F.when(canon.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(canon.rlike(r"\p{IsGreek}"), of("greek")).otherwise(of("latin")))
+
+
 def core(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
-    """The canonical form of the surrogate."""
+    """The canonical form of the surrogate; of a given name its stem, which `ended` makes whole."""
     draw = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, canon, attempt.cast("string")), 256)
     at = lambda h, i: F.conv(F.substring(h, F.pmod(i * 2, F.lit(62)) + 1, F.lit(2)), 16, 10).cast("int")
 
@@ -157,14 +177,14 @@ def core(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
             own = F.array(*map(F.lit, syllables))
             # A syllable more with each attempt.
             drawn = F.transform(F.sequence(F.lit(0), F.lit(3) + attempt), lambda k: F.get(own, F.pmod(at(h, k) * 256 + at(h, k + 7), F.lit(len(syllables)))))
-            return F.concat(F.array_join(drawn, ""), F.lit(ends[ending]))
+            return F.concat(F.array_join(drawn, ""), F.lit(ends.get(ending, "")))
 
         return F.when(canon.rlike(r"\p{IsCyrillic}"), of("cyrillic")).when(canon.rlike(r"\p{IsGreek}"), of("greek")).otherwise(of("latin"))
 
     return let(
         draw,
         lambda h: F.when(kind == "email", email(h)).when(kind == "ip", F.concat_ws(".", *[octet(h, 2 * i).cast("string") for i in range(4)])).when(kind == "card", card(h))
-        .when(kind == "ssn", spelled(h, canon)).when(kind == "phone", phone(h)).when(kind == "iban", iban(h)).when(kind == "ip6", ip6(h)).when(kind == "given_m", name(h, "m")).when(kind == "given_f", name(h, "f")).otherwise(name(h, "s")),
+        .when(kind == "ssn", spelled(h, canon)).when(kind == "phone", phone(h)).when(kind == "iban", iban(h)).when(kind == "ip6", ip6(h)).when(kind == "given", name(h, "")).otherwise(name(h, "s")),
     )
 
 
@@ -200,7 +220,10 @@ def attempts(found: DataFrame, key: str) -> DataFrame:
     """
     draw = lambda df, n: df.select("type", "canon").withColumn("core", core(F.col("type"), F.col("canon"), F.lit(n), key)).withColumn("attempt", F.lit(n))
     least = lambda df: df.groupBy("type", "core").agg(F.min("canon").alias("canon"))
-    real = found.select("type", F.col("canon").alias("core"))
+    # A given name's real form stands for the stems that would make it, with whatever ending.
+    endings = "|".join(e for _, ends in _SYLLABLES.values() for e in ends.values())
+    form = F.when(F.col("type") == "given", F.regexp_extract("canon", rf"^(.+)(?:{endings})$", 1)).otherwise(F.col("canon"))
+    real = found.select("type", form.alias("core")).filter("core <> ''").distinct()
     first = common.cut(draw(found, 0))
     shared = first.groupBy("type", "core").agg(F.min("canon").alias("least"), F.count("*").alias("n")).filter("n > 1")
     lost = first.join(shared, ["type", "core"]).filter("canon <> least").select("type", "canon")
@@ -235,27 +258,48 @@ def with_recurrences(rows: DataFrame, text: Column) -> DataFrame:
     return rows.withColumn("all", every).withColumn("kept", F.when(F.size("m") > 0, between)).drop("named", "word_list", "again")
 
 
+def entities(m: Column) -> Column:
+    """The distinct (type, canon) pairs of a text's matches. Of given names also told_m and told_f, or untold where the text tells no gender."""
+    told_here = F.flatten(F.transform(m, told))
+    pair = lambda t, c: F.struct(t.alias("type"), c.alias("canon"))
+
+    def of(all_parts: Column, genders: Column) -> Column:
+        untold = F.filter(all_parts, lambda p: (p["type"] == "given") & own_gender(genders, p["canon"]).isNull())
+        return F.concat(all_parts, F.transform(genders, lambda g: pair(F.concat(F.lit("told_"), g["gender"]), g["canon"])), F.transform(untold, lambda p: pair(F.lit("untold"), p["canon"])))
+
+    return F.array_distinct(let(F.flatten(F.transform(m, parts)), lambda a: let(told_here, lambda g: of(a, g))))
+
+
 def replace(df: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     """(doc, pii): each row of `df` as a struct, and the rewritten text with the number of entities of each type."""
     rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"), matches(df[text_col]).alias("m"))
-    pairs = lambda m: F.array_distinct(F.flatten(F.transform(m, parts)))
-    found = common.cut(df.select(matches(df[text_col]).alias("m")).select(F.explode(pairs(F.col("m"))).alias("x")).select("x.type", "x.canon").distinct())
-    odd = common.cut(attempts(found, key))
-    if odd.isEmpty():
-        rows = rows.withColumn("odd", F.create_map().cast("map<string,int>"))
+    found = common.cut(df.select(matches(df[text_col]).alias("m")).select(F.explode(entities(F.col("m"))).alias("x")).select("x.type", "x.canon").distinct())
+    odd = attempts(found.filter("type NOT LIKE '%told%'"), key)
+    # What all titles of the corpus tell of a given name, for texts that tell nothing.
+    agreed = found.filter("type LIKE 'told%'").groupBy("canon").agg(F.min("type").alias("a"), F.max("type").alias("b")).filter("a = b")
+    genders = found.filter("type = 'untold'").join(agreed, "canon").select("type", "canon", F.substring("a", 6, 1).alias("value"))
+    known = common.cut(odd.select("type", "canon", F.col("attempt").cast("string").alias("value")).unionByName(genders))
+    if known.isEmpty():
+        rows = rows.withColumn("known", F.create_map().cast("map<string,string>"))
     else:
-        # By the list of its entities, each document that holds an odd one finds their attempts.
+        # By the list of its entities, each document that holds such a one finds what is known of it.
         signature = F.when(F.size("m") > 0, F.sha2(F.array_join("m", "\x1f"), 256)).alias("sig")
-        lists = df.select(matches(df[text_col]).alias("m")).filter(F.size("m") > 0).distinct().select(signature, F.explode(pairs(F.col("m"))).alias("x")).select("sig", "x.type", "x.canon")
-        held = lists.join(odd, ["type", "canon"]).groupBy("sig").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "type", "canon"), "attempt"))).alias("odd"))
+        lists = df.select(matches(df[text_col]).alias("m")).filter(F.size("m") > 0).distinct().select(signature, F.explode(entities(F.col("m"))).alias("x")).select("sig", "x.type", "x.canon")
+        held = lists.join(known, ["type", "canon"]).groupBy("sig").agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x1f", "type", "canon"), "value"))).alias("known"))
         rows = rows.withColumn("sig", signature).join(common.cut(held), "sig", "left").drop("sig")
     text = F.col("doc")[text_col]
-    own_core = lambda t, c: core(t, c, F.coalesce(F.try_element_at(F.col("odd"), F.concat_ws("\x1f", t, c)), F.lit(0)), key)
+    known_of = lambda t, c: F.try_element_at(F.col("known"), F.concat_ws("\x1f", t, c))
     # A name's word that stands without a title has the type under which it was found.
     bare = lambda m: F.array_position("words", m)
     one = lambda m: F.array(F.struct(F.get("types", bare(m).cast("int") - 1).alias("type"), F.lower(m).alias("canon")))
-    cores = lambda m: F.transform(F.when(bare(m) > 0, one(m)).otherwise(parts(m)), lambda p: own_core(p["type"], p["canon"]))
-    rows = with_recurrences(rows, text)
+    gender = lambda c: F.coalesce(own_gender(F.col("told"), c), known_of(F.lit("untold"), c), F.lit("s"))
+
+    def surrogate(p: Column) -> Column:
+        drawn = core(p["type"], p["canon"], F.coalesce(known_of(p["type"], p["canon"]).cast("int"), F.lit(0)), key)
+        return F.when(p["type"] == "given", ended(p["canon"], drawn, gender(p["canon"]))).otherwise(drawn)
+
+    cores = lambda m: F.transform(F.when(bare(m) > 0, one(m)).otherwise(parts(m)), surrogate)
+    rows = with_recurrences(rows, text).withColumn("told", F.when(F.size("words") > 0, F.flatten(F.transform("m", told))))
     fresh = F.array_join(F.transform("kept", lambda s, i: F.concat(s, F.coalesce(let(F.get(F.col("all"), i), lambda m: render(m, cores(m))), F.lit("")))), "")
     count = lambda k: F.size(F.filter(F.col("all"), lambda m: kind_of(m) == k)).cast("bigint").alias(f"n_{k}")
     return rows.select("doc", F.struct(F.when(F.size("m") > 0, fresh).otherwise(text).alias("text"), *map(count, TYPES)).alias("pii"))
