@@ -1,4 +1,5 @@
 import random
+import re
 
 from conftest import DATA
 
@@ -30,6 +31,18 @@ def test_rules_and_vocabulary(spark, same_as_sql, tmp_path):
     assert url_filter.filter_urls(df.filter("false")).count() == 0
 
 
+def test_the_query_reads_the_table_that_the_setting_names(spark, tmp_path):
+    spark.createDataFrame([("www", 100.0)], "term string, weight double").write.parquet(str(tmp_path / "terms"))
+    own = {r.page_id: r.n_strict for r in url_filter.op8_url_filter(spark, f"{DATA}/sf0.001").collect()}
+    spark.conf.set(url_filter.SETTING, str(tmp_path / "terms"))
+    try:
+        other = {r.page_id: (r.n_strict, r.n_soft) for r in url_filter.op8_url_filter(spark, f"{DATA}/sf0.001").collect()}
+    finally:
+        spark.conf.unset(url_filter.SETTING)
+    urls = {r.page_id: r.url for r in spark.read.parquet(f"{DATA}/sf0.001/pages.parquet").collect()}
+    assert other.keys() == own.keys() and all(n == (int("www" in re.split("[^a-z0-9]", (urls[k] or "").lower())), 0) for k, n in other.items())
+
+
 def test_vocabulary_of_a_table_with_weights(spark):
     rows = [(" Evil ", 100.0), ("soft", 1.5), ("Soft", 0.5), ("mild", 0.5), ("faint", 0.25), ("", 9.0), (None, 9.0), ("none", 0.0)]
     strict, soft = url_filter.read_vocabulary(spark.createDataFrame(rows, "term string, weight double"))

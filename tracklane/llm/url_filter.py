@@ -8,9 +8,11 @@ reads the whole url (null: nothing, so it is allowed). Repeated rows give repeat
 
 from __future__ import annotations
 
+import csv
 import string
 from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,13 +20,10 @@ from pyspark.sql import functions as F
 
 from tracklane.llm import common
 
-#: The built-in vocabulary: strict terms, and soft ones with their weights. A weight of STRICT_WEIGHT makes a term strict.
+#: A weight of STRICT_WEIGHT makes a term strict.
 STRICT_WEIGHT, SOFT_LIMIT, MAX_TERMS = 100.0, 2.0, 1_000_000
-STRICT = ("porn", "xxx", "casino", "viagra", "malware", "phishing", "warez", "hentai")
-SOFT = {
-    "adult": 1.5, "bet": 1.0, "bonus": 0.75, "cheap": 0.75, "click": 0.5, "crack": 1.25, "dating": 1.0, "download": 0.5, "escort": 1.5, "free": 0.75, "gambling": 1.75, "loan": 1.0,
-    "nude": 1.5, "pills": 1.25, "poker": 1.25, "prize": 1.0, "promo": 0.5, "sex": 1.5, "torrent": 1.25, "win": 0.75,
-}
+#: The setting that names a table (term, weight) to use in place of the terms that come with this module.
+SETTING = "spark.tracklane.url.vocabulary"
 #: (action, host and path) of the production rules, fixed by the query's contract.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
 _ALNUM = frozenset(string.ascii_lowercase + string.digits)
@@ -38,6 +37,22 @@ def read_vocabulary(table: DataFrame) -> tuple[tuple[str, ...], dict[str, float]
     return tuple(sorted(r.term for r in rows if r.weight >= STRICT_WEIGHT)), {r.term: float(r.weight) for r in rows if r.weight < STRICT_WEIGHT}
 
 
+def own_terms() -> list[tuple[str, float]]:
+    """The (term, weight) pairs that come with this module."""
+    with Path(__file__).with_name("url_terms.csv").open() as f:
+        return [(r["term"], float(r["weight"])) for r in csv.DictReader(f)]
+
+
+STRICT = tuple(t for t, w in own_terms() if w >= STRICT_WEIGHT)
+SOFT = {t: w for t, w in own_terms() if w < STRICT_WEIGHT}
+
+
+def vocabulary(spark: SparkSession) -> tuple[tuple[str, ...], dict[str, float]]:
+    """The strict and soft terms of the table that the setting names, else of those that come with this module."""
+    named = spark.conf.get(SETTING, None)
+    return read_vocabulary(spark.read.parquet(named) if named else spark.createDataFrame(own_terms(), "term string, weight double"))
+
+
 @lru_cache(maxsize=4)
 def automaton(strict: tuple[str, ...], soft: tuple[str, ...]):
     import ahocorasick
@@ -105,7 +120,8 @@ def filter_urls(
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return filter_urls(common.table(spark, sf_dir, "pages", "page_id", "url"))
+    strict, soft = vocabulary(spark)
+    return filter_urls(common.table(spark, sf_dir, "pages", "page_id", "url"), strict=strict, soft=soft)
 
 
 def _sql() -> str:
