@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracklane.sources.scratch import at_end
+
 #: A word is a run of anything but these six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
@@ -44,12 +46,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """`df` written once to the shared folder and read back: recomputation after a lost executor starts here."""
+    """`df` written once to the shared folder and read back: recomputation after a lost executor starts here.
+
+    The table goes at the latest when the session's JVM ends.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
-    df.write.parquet(path)
     if _written:
         _written[-1].append(path)
+    at_end(spark, path)
+    df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -68,7 +74,9 @@ def tidy(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         try:
             out = query(*args, **kwargs)
         except BaseException:
-            _written.pop()
+            mine = _written.pop()
+            if mine and (spark := SparkSession.getActiveSession()):
+                _remove(spark, mine)
             raise
         mine = _written.pop()
         read = {f.rpartition("/")[0].rpartition("/")[2] for f in out.inputFiles()} if mine else set()
