@@ -229,6 +229,35 @@ def test_modes_go_on_after_a_failure(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "0")).count() == 1
     assert modes.main(["tracks", str(tmp_path / "in"), str(tmp_path / "none"), "--dry-run"]) == 0
     assert not (tmp_path / "none").exists()
+    assert modes.main([*args, "--outcomes", str(tmp_path / "outcomes.json")]) == 1
+    told = [json.loads(x) for x in (tmp_path / "outcomes.json").read_text().splitlines()]
+    assert [(o["ok"], o["rows"], o["error"] is None) for o in told] == [(True, 1, True), (False, None, False)]
+
+
+def test_modes_read_archives_of_one_year(spark, tmp_path):
+    cell = lambda x: f'<c t="inlineStr"><is><t>{x}</t></is></c>'
+    row = lambda *cells: f"<row>{''.join(map(cell, cells))}</row>"
+    with zipfile.ZipFile(tmp_path / "sets.zip", "w") as z:
+        for year in (2023, 2024):
+            book = io.BytesIO()
+            with zipfile.ZipFile(book, "w") as w:
+                body = row("Title", "Artist", "Duration") + row(f"T{year}", "A", "1:02:03") + row("", "B", "")
+                w.writestr("xl/worksheets/sheet1.xml", f'<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>{body}</sheetData></worksheet>')
+            z.writestr(f"a/{year}-01-02 Club.xlsx", book.getvalue())
+        z.writestr("a/2024-05-06 Broken.xlsx", b"x")
+        z.writestr("a/DJ Set Collection.xlsx", b"x")
+    assert modes.main(["old-workbooks", str(tmp_path / "sets.zip"), str(tmp_path / "out"), "--year", "2024"]) == 0
+    got = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert [(r.source_id, r.title, r.length_secs) for r in got] == [("2024-01-02 Club", "T2024", 3723)]
+
+
+def test_settings_come_from_the_environment(monkeypatch):
+    for k, v in {"ZONE": "UTC", "MIN_CONFIDENCE": "0.5", "MAX_CANDIDATES": "2", "MAX_UPLOADS": "7", "SERVICE": " http://x/ ", "SUMMARY_FOLDER": "S", "SNAPSHOT_PATH": "p"}.items():
+        monkeypatch.setenv(f"TRACKLANE_{k}", v)
+    s = modes.Settings()
+    assert (s.zone, s.min_confidence, s.max_candidates, s.max_uploads, s.service, s.summary_folder, s.snapshot_path) == ("UTC", 0.5, 2, 7, "http://x", "S", "p")
+    monkeypatch.undo()
+    assert modes.Settings() == modes.Settings(zone="America/Chicago", min_confidence=0.9, max_candidates=5, max_uploads=200)
 
 
 def test_sources_and_sinks(spark, tmp_path):
