@@ -36,6 +36,8 @@ from tracklane.llm.word_pieces import Pieces, ragged
 
 CAPACITY, END_ID = 2048, 0
 SHARD, ISLANDS, EPOCHS, POPULATION, GENERATIONS = 4096, 3, 4, 8, 8
+#: Tasks of a level, where the session does not ask for more; a task holds several islands beyond that.
+MOST_TASKS = 2000
 #: Displaced pieces that may be swapped into bins at a time.
 SWAPPED = 48
 #: Bins filled less than this go on to the next level.
@@ -285,9 +287,12 @@ def _level(items: DataFrame, n: int, capacity: int, level: int) -> DataFrame:
     last = n <= SHARD
     shards = max(1, ceil(n / SHARD))
     every = F.explode(F.array(*[F.lit(i) for i in range(ISLANDS)])).alias("island")
+    # Islands are few bytes and much work: a named number of partitions keeps Spark from putting them together.
+    parts = min(shards * ISLANDS, max(int(items.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_TASKS))
+    islands = lambda df: df.repartition(parts, "shard", "island").groupBy("shard", "island").applyInPandas(_island(capacity, last), _STATE)
     dealt = items.select(F.pmod(F.xxhash64("rid", F.lit(level)), F.lit(shards)).alias("shard"), "rid", "length")
     start = dealt.select("shard", every, "rid", "length", F.lit(-1).alias("bin"), F.lit(-1).alias("elite"))
-    state = common.cut(start.groupBy("shard", "island").applyInPandas(_island(capacity, last), _STATE))
+    state = common.cut(islands(start))
     best = lambda s: s.groupBy("shard").agg(F.min_by("island", F.struct(~F.col("settled"), "bins", "island")).alias("island"), F.bool_or("settled").alias("settled"))
     for _ in range(EPOCHS - 1):
         unsolved = best(state).filter("NOT settled").select("shard")
@@ -295,7 +300,7 @@ def _level(items: DataFrame, n: int, capacity: int, level: int) -> DataFrame:
         cols = ["shard", "island", "rid", "length", "bin"]
         migrants = own.select("shard", ((F.col("island") + 1) % ISLANDS).alias("island"), "rid", "length", "bin", F.lit(1).alias("elite"))
         moved = own.select(*cols, F.lit(0).alias("elite")).union(migrants)
-        again = moved.groupBy("shard", "island").applyInPandas(_island(capacity, last), _STATE)
+        again = islands(moved)
         state = common.cut(state.join(unsolved, "shard", "left_anti").select(*again.columns).union(again))
     chosen = best(state).select("shard", "island")
     return state.join(chosen, ["shard", "island"], "left_semi").select("shard", "rid", "length", "bin", "offset", "fill")
