@@ -295,8 +295,9 @@ def replace(df: DataFrame, key: str = KEY, text_col: str = "text") -> DataFrame:
     gender = lambda c: F.coalesce(own_gender(F.col("told"), c), known_of(F.lit("untold"), c), F.lit("s"))
 
     def surrogate(p: Column) -> Column:
+        # The draw is a large expression: bound once, so that it stands in the plan once.
         drawn = core(p["type"], p["canon"], F.coalesce(known_of(p["type"], p["canon"]).cast("int"), F.lit(0)), key)
-        return F.when(p["type"] == "given", ended(p["canon"], drawn, gender(p["canon"]))).otherwise(drawn)
+        return let(drawn, lambda d: F.when(p["type"] == "given", ended(p["canon"], d, gender(p["canon"]))).otherwise(d))
 
     cores = lambda m: F.transform(F.when(bare(m) > 0, one(m)).otherwise(parts(m)), surrogate)
     rows = with_recurrences(rows, text).withColumn("told", F.when(F.size("words") > 0, F.flatten(F.transform("m", told))))
