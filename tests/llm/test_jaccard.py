@@ -1,11 +1,14 @@
 """Jaccard near-duplicates against all pairs."""
 
+import os
 import random
 import re
+import time
 
 import pytest
 from conftest import DATA
 from helpers import no_docs, odd_docs
+from pyspark.sql import functions as F
 from test_simhash_dedup import plain_print
 
 from tracklane.llm import common, jaccard, simhash_dedup
@@ -79,6 +82,26 @@ def test_documents_equal_all_pairs(spark):
     assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == plain_least(texts)
 
 
+def test_texts_of_pairs_are_told_before_a_shuffle(spark):
+    texts = spark.range(20_000).select(F.struct(F.when(F.col("id") % 10 > 0, F.col("id")).alias("doc_id"), "id").alias("i"), F.lit("t").alias("t"))
+    wanted = texts.filter("i.id % 50 = 0").select("i")
+    got = {r.i.id for r in jaccard.possible(texts, wanted).collect()}
+    assert set(range(0, 20_000, 50)) <= got and len(got) < 450
+    assert jaccard.possible(texts, wanted.limit(0)).count() == 0
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    files = lambda: [f for d, _, names in os.walk(spark.conf.get("spark.local.dir")) for f in names if f.startswith("shuffle_")]
+    there = set(files())
+    assert len(common.cut(spark.range(1000, numPartitions=3).groupBy((F.col("id") % 7).alias("k")).count()).collect()) == 7
+    for _ in range(50):
+        if not (left := [f for f in files() if f not in there and f.endswith(".data")]):
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(common.SHUFFLES_GO, None) in (None, "false")
+
+
 def test_odd_and_empty_tables(spark):
     got = jaccard.near_duplicates(odd_docs(spark)).collect()
     assert len(got) == 7

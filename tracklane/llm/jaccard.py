@@ -11,7 +11,8 @@ then done with, and only buckets that still hold different components go on. Aft
 compared pair by pair, so every pair is either joined already or checked; that last step is quadratic in the sets of one
 bucket that are similar to none of its central ones. Of a pair first the sets' histograms are compared, CELLS counts of
 shingles by hash: two sets share no more than the sum of the lesser counts, and where that is too little the pair goes
-without its sets. All other checks are exact on the sets of 64-bit shingle hashes.
+without its sets. All other checks are exact on the sets of 64-bit shingle hashes. Texts of pairs are found by their ids in
+a bitmap of fixed size first, so that the others are not shuffled for that.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SLOTS, CHUNK = 1 << 18, 1 << 12
 #: Counts in a set's histogram, of 16 bits each; CELL_BITS first bits of a hash name the cell.
 CELL_BITS = 7
 CELLS = 1 << CELL_BITS
+#: Bits of the map by which most texts that no pair needs are told before a shuffle; a row of it while it is made holds MAP_ROW.
+MAP, MAP_ROW = 1 << 23, 1 << 15
 _SLICE = 2_000_000
 
 
@@ -128,6 +131,22 @@ def full_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "sid bigint, fp bigint, all array<bigint>")
 
 
+def possible(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """All rows of `texts` whose id (column i) is in `wanted`, and some others: no more than share a bit of a map of MAP bits."""
+    slot = F.pmod(F.xxhash64("i"), F.lit(MAP))
+    part = wanted.select(slot.alias("k")).groupBy(F.floor(F.col("k") / MAP_ROW).alias("part"))
+    bits = np.zeros((MAP // MAP_ROW, MAP_ROW // 8), np.uint8)
+    for r in part.agg(F.bitmap_construct_agg(F.col("k") % MAP_ROW).alias("bits")).collect():
+        bits[r.part] = np.frombuffer(r.bits, np.uint8)
+    bits = bits.reshape(-1)
+
+    def there(k: pa.Array) -> pa.Array:
+        x = k.to_numpy(zero_copy_only=False)
+        return pa.array((bits[x >> 3] >> (x & 7).astype(np.uint8) & 1).astype(bool))
+
+    return texts.filter(F.arrow_udf(there, "boolean")(slot))
+
+
 def _candidates(met: DataFrame, buckets: DataFrame, small: int | None) -> DataFrame:
     """Distinct pairs (a, b) of sets to check: all of buckets up to `small` (None: of any size), of others those with the leader."""
     left = met.join(buckets, "h")
@@ -153,17 +172,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = common.cut(rows.groupBy("fp").agg(F.min("id").alias("least")))
     # Sets of equal shingles may still differ in fingerprint: their order or repeats differ.
     sets = common.cut(rows.groupBy("sid").agg(F.min("fp").alias("fp"), F.min("id").alias("id"), F.first("n").alias("n"), F.first("central").alias("central"), F.first("prefix").alias("prefix"), F.first("cells").alias("cells")))
+    # The prefixes of repeated sets are not needed again.
+    whole, rows = rows, common.cut(rows.select("id", "fp", "sid"))
+    common.discard(whole)
     alike = rows.select("sid", F.col("fp").alias("a")).distinct().join(sets.select("sid", F.col("fp").alias("b")), "sid").filter("a <> b").select("a", "b")
     edges = common.cut(simhash_dedup.links(least.select("fp")).select("a", "b").union(alike))
     tree = common.cut(components(edges))
 
     def rooted(met: DataFrame) -> DataFrame:
-        return common.cut(met.drop("root").join(tree.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+        out = common.cut(met.drop("root").join(tree.select(F.col("node").alias("fp"), "root"), "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+        common.discard(met)
+        return out
 
     # Most shingles are in one set's prefix only: what else is known of a set is put to the others, once they are found.
+    # They are found by the shingles alone, since a set has each once, and written, so that this shuffle's files go before the next.
     one = sets.select("sid", F.posexplode("prefix").alias("pos", "h"))
-    shared = one.groupBy("h").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo < hi").select("h")
-    met = common.cut(common.cut(one.join(shared, "h")).join(sets.select("sid", "fp", "n", "central"), "sid"))
+    shared = common.cut(one.groupBy("h").agg(F.count("*").alias("members")).filter("members > 1").select("h"))
+    places = common.cut(one.join(shared, "h"))
+    common.discard(shared)
+    met = common.cut(places.join(sets.select("sid", "fp", "n", "central"), "sid"))
+    common.discard(places)
     cells = sets.select("sid", "n", "cells")
     side = lambda x: cells.select(F.col("sid").alias(x), F.col("n").alias(f"n_{x}"), F.col("cells").alias(f"cells_{x}"))
     for k in range(rounds + 1):
@@ -177,7 +205,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         pairs = common.cut(_candidates(met, buckets, None if k == rounds else small).join(side("a"), "a").join(side("b"), "b").filter(close).select("a", "b"))
         wanted = common.cut(pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(sets.select("sid", "fp", F.col("id").alias("i")), "sid"))
         if not wanted.isEmpty():
-            full = common.cut(full_sets(texts.join(wanted, "i").dropDuplicates(["i"]).select("sid", "fp", "t")))
+            full = common.cut(full_sets(possible(texts, wanted).join(wanted, "i").dropDuplicates(["i"]).select("sid", "fp", "t")))
             of = lambda x: full.select(F.col("sid").alias(x), F.col("fp").alias(f"fp_{x}"), F.col("all").alias(f"all_{x}"))  # noqa: E731, B023
             both = F.size(F.array_intersect("all_a", "all_b"))
             found = common.cut(pairs.join(of("a"), "a").join(of("b"), "b").filter(9 * both >= 4 * (F.size("all_a") + F.size("all_b"))).select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")))
