@@ -7,9 +7,11 @@ import random
 import zipfile
 
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 
 from tracklane.operators import collection, files, playlists, routing
+from tracklane.plans import feeds
 from tracklane.sources import archives, ordered, paged, posts, sinks, stores
 from tracklane.streaming import incoming
 
@@ -112,6 +114,12 @@ def test_posts_of_a_batch_that_ends_midway(spark, tmp_path):
     assert sorted((r.key, r.ok) for r in answers) == sorted((str(k), k != 7) for k in range(20))
 
 
+def test_posts_need_a_file_a_task_not_a_payload(spark, same_as_sql):
+    df = feeds.QUERIES["posted_once"](spark, f"{DATA}/sf0.01")
+    assert 0 < len([f for f in df.inputFiles() if "/inbox/" in f]) <= 2 * posts.BUCKETS
+    same_as_sql(df, feeds.ORACLES["posted_once"], f"{DATA}/sf0.01")
+
+
 def test_polled_pages_come_once(spark, tmp_path):
     folder = str(tmp_path / "pages")
     spark.dataSource.register(paged.source("polled_numbers", "id bigint", paged.file_service(folder)))

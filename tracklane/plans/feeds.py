@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import uuid
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from tracklane.functions import text
 from tracklane.operators import live, playlists, routing
 from tracklane.plans.base import Registry, scratch, table
 from tracklane.sources import files as sources
-from tracklane.sources import ordered, paged, posts, stores
+from tracklane.sources import ordered, paged, posts
 from tracklane.streaming import incoming
 
 R = Registry()
@@ -211,22 +210,22 @@ def posted_once(spark, sf_dir):
     c = table(spark, sf_dir, "customer", "c_custkey", "c_mktsegment")
     payload = F.to_json(F.struct(F.col("c_mktsegment").alias("segment")))
     c.select(F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("key"), payload.alias("payload"), (F.col("c_custkey") % 13).alias("k")).write.parquet(f"{path}/in")
-    inbox = f"{path}/inbox"
+    inbox = posts.Inbox(f"{path}/inbox")
 
     def send(key: str, payload: str) -> None:
         if int(key[1:]) % 13 == 0:
             raise ValueError("HTTP 422")
-        stores.write_whole(f"{inbox}/{key}-{uuid.uuid4().hex}", iter([f"{key}\t{payload}".encode()]))
+        inbox(key, payload)
 
     def half(df, batch: int) -> None:
-        posts.post_batch(df.filter("xxhash64(key) % 2 = 0"), batch, path, send)
+        posts.post_batch(df.filter("xxhash64(key) % 2 = 0"), batch, path, send, close=inbox.close)
         raise RuntimeError("the run ends here")
 
-    for each in (half, lambda df, batch: posts.post_batch(df, batch, path, send)):
+    for each in (half, lambda df, batch: posts.post_batch(df, batch, path, send, close=inbox.close)):
         with contextlib.suppress(StreamingQueryException):
             stream = spark.readStream.schema("key string, payload string, k bigint").parquet(f"{path}/in")
             incoming.run_available(stream, f"{path}/checkpoint", each)
-    got = spark.read.text(inbox, wholetext=True).select(F.split_part("value", F.lit("\t"), F.lit(1)).alias("key"), F.split_part("value", F.lit("\t"), F.lit(2)).alias("payload"))
+    got = spark.read.schema("key string, payload string").json(inbox.folder)
     answers = spark.read.parquet(f"{path}/answers").select("key", "ok", "error")
     return answers.join(got.groupBy("key").agg(F.count("*").alias("times"), F.first("payload").alias("payload")), "key", "left").na.fill(0, ["times"]).select("key", F.col("times").cast("int").alias("times"), "payload", "ok", "error")
 

@@ -52,8 +52,34 @@ def _sent(send: Callable[[str, str], None], key: str, payload: str, tries: int,
     raise ValueError("tries is 1 or more")
 
 
-def post_batch(rows: DataFrame, batch: int, folder: str, send: Callable[[str, str], None], tries: int = TRIES, pause: float = PAUSE) -> None:
-    """For foreachBatch: send each (key, payload) of the batch once; answers (key, ok, error) go to `folder`/answers/batch=N."""
+class Inbox:
+    """A file-backed service: JSON lines (key, payload) below `folder`, a file for each task that posts, not for each payload.
+
+    A payload is out once its line is flushed. A task gets a copy of its own, which opens its file with the first payload.
+    """
+
+    def __init__(self, folder: str):
+        self.folder, self.out = folder.rstrip("/"), None
+
+    def __call__(self, key: str, payload: str) -> None:
+        if self.out is None:
+            store, path = stores.opened(self.folder)
+            store.create_dir(path, recursive=True)
+            self.out = store.open_output_stream(f"{path}/{uuid.uuid4().hex}")
+        self.out.write(f"{json.dumps({'key': key, 'payload': payload})}\n".encode())
+        self.out.flush()
+
+    def close(self) -> None:
+        if self.out is not None:
+            self.out.close()
+            self.out = None
+
+
+def post_batch(rows: DataFrame, batch: int, folder: str, send: Callable[[str, str], None], tries: int = TRIES, pause: float = PAUSE, close: Callable[[], None] | None = None) -> None:
+    """For foreachBatch: send each (key, payload) of the batch once; answers (key, ok, error) go to `folder`/answers/batch=N.
+
+    Each task calls `close`, if given, at its end, for what `send` keeps open from payload to payload.
+    """
     folder = folder.rstrip("/")
     ledger = f"{folder}/ledger/{batch}"
 
@@ -78,6 +104,8 @@ def post_batch(rows: DataFrame, batch: int, folder: str, send: Callable[[str, st
         finally:
             for n in notes.values():
                 n.close()
+            if close is not None:
+                close()
 
     bucket = F.pmod(F.xxhash64("key"), F.lit(BUCKETS)).cast("int").alias("bucket")
     dealt = rows.select(bucket, F.col("key").cast("string").alias("key"), F.col("payload").cast("string").alias("payload")).repartition(BUCKETS, "bucket")
