@@ -152,6 +152,22 @@ def test_spark_archives_what_it_has_read(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_files_of_a_batch_are_looked_up_by_few_tasks(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for k in range(100):
+        (tmp_path / "in" / f"{k}.csv").write_text(f"a{k}\n")
+    before, seen, tracker = spark.conf.get(incoming.LISTING), [], spark.sparkContext.statusTracker()
+
+    def each(df, _):
+        lines = df.count()
+        stages = [s for j in tracker.getJobIdsForGroup(str(spark.streams.active[0].runId)) for s in tracker.getJobInfo(j).stageIds]
+        seen.append((lines, max(i.numTasks for s in stages if (i := tracker.getStageInfo(s)))))
+
+    incoming.run_available(incoming.incoming_lines(spark, str(tmp_path / "in")), str(tmp_path / "check"), each)
+    assert len(seen) == 1 and seen[0][0] == 100 and seen[0][1] < 50
+    assert spark.conf.get(incoming.LISTING) == before
+
+
 def test_names_in_turn_equal_a_plain_loop(spark):
     rng = random.Random(7)
     names = ["a", "FAILED_a", "failed_FAILED_a", "Copy of a", "copy of FAILED_a", "b", "possible_duplicate_b", "FAILED_", "FAILED_FAILED_", "Copy of FAILED_", None]
