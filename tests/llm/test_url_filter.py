@@ -1,5 +1,9 @@
+import os
 import random
 import re
+import subprocess
+import sys
+from types import SimpleNamespace
 
 from conftest import DATA
 
@@ -53,3 +57,14 @@ def test_vocabulary_of_a_table_with_weights(spark):
     assert [r.verdict for r in got] == ["block", "allow", "block", "allow", "allow", "allow"]
     assert [r.soft_weight for r in got] == [0.0, 1.5, 2.0, 1.5, 0.75, 0.0]
     assert url_filter.filter_urls(df, rules=(), strict=(), soft={}).filter("verdict = 'allow'").count() == len(urls)
+
+
+def test_the_modules_that_a_cluster_gets_find_their_terms(tmp_path):
+    import __spark_entry__ as entry
+
+    sent = []
+    entry._ship(SimpleNamespace(sparkContext=SimpleNamespace(applicationId=str(tmp_path), master="spark://none", addPyFile=sent.append)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import sys; sys.path.insert(0, sys.argv[1]); from tracklane.llm import url_filter as u; print(u.__file__, len(u.own_terms()), u.hits(u.automaton(u.STRICT, ()), 'http://h/' + u.STRICT[0]))"
+    said = subprocess.run([sys.executable, "-c", code, sent[0]], cwd=tmp_path, env=env, capture_output=True, text=True)
+    assert said.stdout == f"{sent[0]}/tracklane/llm/url_filter.py {len(url_filter.own_terms())} {({url_filter.STRICT[0]}, set())}\n", said.stderr
