@@ -1,7 +1,10 @@
 """Hard negatives against the SQL and against all inner products."""
 
 import math
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 from conftest import DATA
@@ -79,3 +82,33 @@ def test_pairs_go_early_and_none_is_lost():
     want = [sorted((-int(np.dot(x[i].astype(np.int64), x[j])), j) for j in range(2000) if j != i)[:5] for i in range(20)]
     assert [[(-int(s), int(j)) for s, j in zip(lists.score[i, 0], lists.id[i, 0], strict=True)] for i in range(20)] == want
     assert sum(a.sum() for a in left[4::4]) < 0.2 * 20 * 2000  # of later slices, what the first four components leave
+
+
+def test_several_groups_of_anchors(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(int(i) * 20, [float(x) for x in rng.choice([-0.5, 0.25, 0.5], 6)], int(i) % 3) for i in rng.permutation(600)]
+    monkeypatch.setattr(hn, "ROWS", 64)
+    monkeypatch.setattr(hn, "ANCHORS", 16)
+    monkeypatch.setattr(hn, "GROUP", 40)
+    groups = []
+    monkeypatch.setattr(hn, "_groups", lambda *a, real=hn._groups: groups.append(real(*a)) or groups[-1])
+    got = found(hn.mine(frame(spark, rows).repartition(3)))
+    assert got == plain(rows) and len(got) > 1000
+    assert [len(x) > 2 for x in groups] == [True, True] and all(a <= b < c for x in groups for (a, b), (c, _) in zip(x, x[1:], strict=False))
+
+
+def test_what_the_driver_gets_does_not_grow_with_the_partitions(tmp_path):
+    code = """
+import random, sys
+from pyspark.sql import SparkSession
+from tracklane.llm import hard_negatives as hn
+conf = {"spark.sql.shuffle.partitions": "400", "spark.driver.maxResultSize": "3m", "spark.ui.enabled": "false", "spark.local.dir": sys.argv[1], "spark.sql.warehouse.dir": sys.argv[1] + "/w"}
+spark = SparkSession.builder.master("local[2]").config(map=conf).getOrCreate()
+rng = random.Random(1)
+rows = [(50 * k, [rng.gauss(0, 1) for _ in range(32)], k % 3) for k in range(2000)]
+df = hn.mine(spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").coalesce(1))
+print(df.select("anchor_id").distinct().count())
+"""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    said = subprocess.run([sys.executable, "-c", code, str(tmp_path)], cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True)
+    assert said.stdout.strip() == "1000", said.stderr[-3000:]

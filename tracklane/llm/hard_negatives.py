@@ -7,11 +7,12 @@ at most the product of the remainders' norms, plus some slack for rounding. A pa
 is discarded; the products of those that are left are computed again from the whole numbers. So results are exact
 whatever the rotation: it decides only how early pairs go.
 
-Rows are packed in blocks of a bounded number of rows where they are read, without a shuffle. The query set, every row whose
-id is divisible by 100, is packed likewise, and its blocks meet the rows' blocks by a join on a deal of both: `parts` deals
-of the row blocks, each of which gets all anchor blocks of its group. Lists of an anchor's best rows so far are kept in a
-task for a bounded number of anchor blocks; lists of several tasks, each of bounded length, are merged by a window.
-Positives are found first; their scores then bound the search for negatives.
+Rows are packed in blocks of a bounded number of rows where they are read. The query set, every row whose id is divisible
+by 100, is packed likewise. Its blocks are searched for in groups of bounded size, one after the other: a group is
+broadcast and meets the rows' blocks, dealt evenly over tasks, each of which keeps lists of the best rows so far of the
+group's anchors. The lists of all tasks, each of bounded length, are merged by a window before the next group. So what is
+broadcast, kept in a task or written on the way does not grow with the table. Positives are found first; their scores then
+bound the search for negatives.
 
 Edge cases. Rows with a null id, label or vector, or a null or non-finite component, take no part, nor do those with a
 component of 2^17 or more in size, whose products might not fit a long. Missing components of shorter vectors count as 0. Repeated
@@ -22,8 +23,7 @@ and vector is searched, once. Ties go by id. An empty table, or one without anch
 from __future__ import annotations
 
 import contextlib
-import math
-from collections import OrderedDict
+import functools
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -35,9 +35,11 @@ from pyspark.sql import functions as F
 from tracklane.llm import common
 
 QUERY_STEP, POSITIVES, NEGATIVES, LABELS, SHIFT_STEP, SCALE = 100, 5, 10, 10, 7, 256
-#: Rows of a block of rows, and how many of them are looked at at once; anchors of a block; anchor blocks whose lists a task
-#: keeps at once; pairs of blocks that one Arrow batch holds.
-ROWS, SLICE, ANCHORS, KEPT, PAIRS = 4096, 256, 512, 32, 8
+#: Rows of a block of rows, and how many of them are looked at at once; anchors of a block; pairs of blocks that one Arrow
+#: batch holds.
+ROWS, SLICE, ANCHORS, PAIRS = 4096, 256, 512, 8
+#: Anchors of a group, and bytes of their blocks: what is broadcast, and has its lists in a task, at once.
+GROUP, GROUP_BYTES = 16_384, 32_000_000
 #: Leading components after which pairs are discarded, as parts of all.
 STEPS = (0.125, 0.25, 0.5, 1.0)
 LARGEST = float(1 << 17)
@@ -212,25 +214,42 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
 _CELLS = ("n", "ids", "labels", "xs", "low", "high")
 
 
+def _ranked(found: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
+    """The first k of each group of `by`, best first, with their rank; a task's list of them has k rows at most."""
+    rank = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("score"), "id"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def _groups(blocks: DataFrame, most: int) -> list[tuple[int, int]]:
+    """The first and last key of each group of `blocks`, in order of their keys, of `most` rows or of one block."""
+    out: list[tuple[int, int]] = []
+    n = 0
+    for r in blocks.select("k", "n").orderBy("k").collect():  # a row for ANCHORS anchors
+        n += r.n
+        if out and n <= most:
+            out[-1] = (out[-1][0], r.k)
+        else:
+            out.append((r.k, r.k))
+            n = r.n
+    return out or [(0, 0)]
+
+
 def search(anchors: DataFrame, blocks: DataFrame, axes: np.ndarray, windows: int, k: int, same: bool) -> DataFrame:
-    """(anchor_id, window, id, score): the best k rows of each window of each anchor, and some that are not (to be ranked).
+    """(anchor_id, window, id, score, rank): the best k rows of each window of each anchor.
 
     anchors: (id, label, x, low, high), low and high arrays of up to `windows` bounds of the score, both included.
     blocks: rows as _blocks packs them. same: rows of the anchor's label, or of others.
     """
     spark, width = blocks.sparkSession, len(axes)
     cuts = sorted({max(1, round(width * s)) for s in STEPS})
-    # Anchors are about a hundredth of the rows: so many parts and groups move the least in all.
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    groups = max(1, round(math.sqrt(tasks / QUERY_STEP)))
-    parts = max(1, math.ceil(tasks / groups))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    # Each task gives lists of its own: some tasks a core, not more.
+    tasks = min(int(spark.conf.get("spark.sql.shuffle.partitions")), max(16, 2 * spark.sparkContext.defaultParallelism))
     asked = common.cut(_blocks(anchors, width, ANCHORS, windows).withColumn("k", F.monotonically_increasing_id()))
-    a = asked.select(every(parts).alias("p"), F.pmod("k", F.lit(groups)).cast("int").alias("g"), *[F.col(c).alias(f"a_{c}") for c in ("k", *_CELLS)])
-    r = blocks.select(F.pmod(F.shiftright("k", 33) + F.col("k"), F.lit(parts)).cast("int").alias("p"), every(groups).alias("g"), *[F.col(c).alias(f"r_{c}") for c in ("k", *_CELLS)])
+    a = asked.select(*[F.col(c).alias(f"a_{c}") for c in ("k", *_CELLS)])
+    r = blocks.select(*[F.col(c).alias(f"r_{c}") for c in ("k", *_CELLS)]).repartition(tasks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: OrderedDict[int, _Lists] = OrderedDict()
+        kept: dict[int, _Lists] = {}
         rows, at = None, None
         for batch in batches:
             for i in range(batch.num_rows):
@@ -238,23 +257,19 @@ def search(anchors: DataFrame, blocks: DataFrame, axes: np.ndarray, windows: int
                 key, row_key = batch.column("a_k")[i].as_py(), batch.column("r_k")[i].as_py()
                 if key not in kept:
                     kept[key] = _Lists(_Block(*cell("a"), axes, cuts), windows, k)
-                    if len(kept) > KEPT:
-                        yield kept.popitem(last=False)[1].rows()
-                kept.move_to_end(key)
                 if at != row_key:
                     rows, at = _Block(*cell("r"), axes, cuts), row_key
                 _scan(kept[key].block, rows, kept[key], cuts, same)
         for x in kept.values():
             yield x.rows()
 
-    with _small_batches(spark):
-        return common.cut(a.join(r, ["p", "g"]).mapInArrow(run, "anchor_id bigint, window int, id bigint, score bigint"))
-
-
-def _ranked(found: DataFrame, k: int, by: Sequence[str]) -> DataFrame:
-    """The first k of each group of `by`, best first, with their rank; a task's list of them has k rows at most."""
-    rank = F.row_number().over(W.partitionBy(*by).orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", rank).filter(F.col("rank") <= k)
+    out = []
+    for first, last in _groups(asked, min(GROUP, GROUP_BYTES // (4 * width + 16 * windows + 16))):
+        with _small_batches(spark):
+            lists = common.cut(r.crossJoin(F.broadcast(a.filter(F.col("a_k").between(first, last)))).mapInArrow(run, "anchor_id bigint, window int, id bigint, score bigint"))
+        out.append(common.cut(_ranked(lists, k, ["anchor_id", "window"])))
+        common.discard(lists)
+    return functools.reduce(DataFrame.union, out)
 
 
 def mine(embeddings: DataFrame, positives: int = POSITIVES, negatives: int = NEGATIVES) -> DataFrame:
@@ -267,13 +282,13 @@ def mine(embeddings: DataFrame, positives: int = POSITIVES, negatives: int = NEG
     blocks = common.cut(_blocks(rows, width, ROWS).withColumn("k", F.monotonically_increasing_id()))
     anchors = common.cut(rows.filter(F.col("id") % QUERY_STEP == 0).groupBy("id").agg(F.min(F.struct("label", "x")).alias("r")).select("id", "r.label", "r.x"))
     open_ = anchors.select("*", F.array(F.lit(_LOW + 1)).alias("low"), F.array(F.lit(_HIGH)).alias("high"))
-    first = _ranked(search(open_, blocks, axes, 1, positives, True), positives, ["anchor_id"])
+    first = search(open_, blocks, axes, 1, positives, True)
     best = common.cut(first.select("anchor_id", F.col("id").alias("positive_id"), F.col("score").alias("positive_score"), (F.col("rank") - 1).alias("window")))
     # 30 p <= 100 n <= 90 p: n from 0.3 p rounded up to 0.9 p rounded down, in decimals.
     low, high = (F.expr(f"cast({f}(positive_score * {x}BD) AS bigint)") for f, x in (("ceil", 0.3), ("floor", 0.9)))
     bounds = best.groupBy(F.col("anchor_id").alias("id")).agg(F.array_sort(F.collect_list(F.struct("window", low.alias("low"), high.alias("high")))).alias("b"))
     asked = anchors.join(bounds, "id").select("id", "label", "x", F.col("b.low").alias("low"), F.col("b.high").alias("high"))
-    found = _ranked(search(asked, blocks, axes, positives, negatives, False), negatives, ["anchor_id", "window"])
+    found = search(asked, blocks, axes, positives, negatives, False)
     return found.join(best, ["anchor_id", "window"]).select("anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))
 
 
